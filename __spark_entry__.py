@@ -228,17 +228,17 @@ def _range_stats(spark, sf):
     return _comparable(series_aggregates(rows, DELTA))
 
 
-def _sliding(window, slide):
+def _sliding(window, slide, plan="auto"):
     def query(spark, sf):
-        report = sliding_report(_samples(spark, sf), _points(spark, sf), [window], slide)
-        return _comparable(report)
+        rows = sliding_aggregates(_samples(spark, sf), [window], slide, plan=plan)
+        return _comparable(to_output(enrich(rows, _points(spark, sf)), STDDEV))
 
     return query
 
 
-def _sliding_direct(spark, sf):
-    rows = windowed_aggregates(_samples(spark, sf), 60, 15)
-    return _comparable(to_output(enrich(rows, _points(spark, sf)), STDDEV))
+def _windowed(spark, sf):
+    """Spark's own time windows with the change over each window."""
+    return _comparable(windowed_aggregates(_samples(spark, sf), 120, 30, DELTA))
 
 
 def _sliding_arrival(spark, sf):
@@ -439,7 +439,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sliding_1d": _sliding(DAY, 60),
         "sliding_7d": _sliding(7 * DAY, DAY),
         "sliding_multi": _sliding_multi,
-        "sliding_direct": _sliding_direct,
+        "sliding_60m_panes": _sliding(60, 15, plan="panes"),
+        "sliding_1d_direct": _sliding(DAY, 360, plan="direct"),
+        "windowed_delta": _windowed,
         "sliding_arrival": _sliding_arrival,
         "panes": _panes,
         "pane_table": _pane_table,
@@ -692,7 +694,10 @@ def oracle_sql() -> dict[str, str]:
         "sliding_1d": _sliding_sql(DAY, 60),
         "sliding_7d": _sliding_sql(7 * DAY, DAY),
         "sliding_multi": _multi_sql(),
-        "sliding_direct": _sliding_sql(60, 15),
+        "sliding_60m_panes": _sliding_sql(60, 15),
+        "sliding_1d_direct": _sliding_sql(DAY, 360),
+        "windowed_delta": f"""WITH {_SAMPLES_SQL}, {_windows_sql(7200, 1800, _DELTA_SQL)}
+            SELECT * FROM windows""",
         "sliding_arrival": f"WITH {_SAMPLES_SQL}, {_windows_sql(7200, 1800)} SELECT * FROM windows",
         "panes": f"""WITH {_SAMPLES_SQL}
             SELECT "timeseriesId",

@@ -56,9 +56,9 @@ def parse_samples(messages: DataFrame, arrival: str | None = None) -> DataFrame:
     missing = F.concat_ws(
         ",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in WIRE.fieldNames()]
     )
-    reason = (
-        F.when(F.col("_malformed").isNotNull() | F.col("raw").isNull(), F.lit("malformed"))
-        .when(missing != "", F.concat(F.lit("missing: "), missing))
+    blank = F.col("raw").isNull() | (F.trim("raw") == "")
+    reason = F.when(F.col("_malformed").isNotNull() | blank, F.lit("malformed")).when(
+        missing != "", F.concat(F.lit("missing: "), missing)
     )
     return from_wire(parsed.withColumn("rejectReason", reason).drop("_malformed"))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.stats import STDDEV, basic_exprs, stat_exprs
@@ -36,6 +36,9 @@ from seriesmill.schemas import INGEST_TIME, SERIES_KEY
 
 DEFAULT_WINDOWS = (60, 60 * 24, 60 * 24 * 7)  # minutes
 DEFAULT_SLIDE = 15  # minutes
+# Up to this many slides per window, handing a sample to all of its windows
+# costs less than sorting panes (measured on sparse and on dense series).
+DIRECT_SLIDES = 4
 
 
 def window_lengths(windows: Sequence[float], slide: float) -> tuple[list[int], int]:
@@ -97,13 +100,15 @@ def pane_aggregates(
 ) -> DataFrame:
     """Mergeable statistics per series and slide.
 
-    ``paneStart`` is in epoch seconds. The result may be written to a table and
+    ``paneStart`` is in epoch seconds. A sample always has a value, so a row
+    without one is no sample. The result may be written to a table and
     merged later, see :func:`merge_panes`.
     """
     step = minutes_to_seconds(slide)
     pane = floor_to(seconds_of(samples, time_col), step)
     return (
-        samples.withColumn("paneStart", pane)
+        samples.where(F.col("value").isNotNull())
+        .withColumn("paneStart", pane)
         .groupBy(*keys, "paneStart")
         .agg(*basic_exprs(), F.var_pop("value").alias("varianceOfSamples"))
     )
@@ -136,119 +141,109 @@ def merge_panes(
     # its own block, and leaves at `change` from the tail the next block sees.
     roles = []
     for length in lengths:
-        size = F.lit(length).cast("bigint")
-        block = floor_to(pane, length)
-        enters = F.struct(
-            size.alias("windowSeconds"),
-            block.alias("block"),
-            (pane + step).alias("change"),
-            F.lit(True).alias("inHead"),
+        block = f"(paneStart - pmod(paneStart, {length}))"
+        size = f"'windowSeconds', {length}L"
+        roles.append(
+            f"named_struct({size}, 'block', {block}, 'change', paneStart + {step}, 'inHead', true)"
         )
-        leaves = F.struct(
-            size.alias("windowSeconds"),
-            (block + length).alias("block"),
-            (pane + length + step).alias("change"),
-            F.lit(False).alias("inHead"),
-        )
-        roles += [enters] if length == step else [enters, leaves]
-    moves = panes.select("*", F.inline(F.array(*roles)))
+        if length > step:
+            roles.append(
+                f"named_struct({size}, 'block', {block} + {length},"
+                f" 'change', paneStart + {length + step}, 'inHead', false)"
+            )
+    moves = panes.selectExpr("*", f"inline(array({', '.join(roles)}))")
     # The first pane of a block is never part of a tail.
-    moves = moves.where(F.col("inHead") | (F.col("change") > F.col("block") + step))
+    moves = moves.where(f"inHead or change > block + {step}")
 
     group = [*keys, "windowSeconds", "block"]
     if partitions is not None:
         moves = moves.repartition(partitions, *group)
-    whole = Window.partitionBy(*group)
-    up_to_here = whole.orderBy("change")
-    after_here = whole.orderBy(F.desc("change")).rangeBetween(Window.unboundedPreceding, -1)
+    group_text = ", ".join(f"`{name}`" for name in group)
+    in_order = f"partition by {group_text} order by change"
+    up_to_here = f"over ({in_order})"
+    whole = f"over ({in_order} rows between unbounded preceding and unbounded following)"
+    after_here = f"over ({in_order} desc range between unbounded preceding and 1 preceding)"
 
     # Squares are summed around the mean of the group, so that they stay small
     # whatever the level of the values.
-    mean, total, count = F.col("avgValOfSamples"), F.col("sumValOfSamples"), F.col("countOfSamples")
-    finite = F.abs(total) < float("inf")
-    centre = F.coalesce(
-        F.sum(F.when(finite, total)).over(whole) / F.sum(F.when(finite, count)).over(whole),
-        F.lit(0.0),
+    finite = "if(abs(sumValOfSamples) < double('infinity'), {}, null)"
+    centre = (
+        f"sum({finite.format('sumValOfSamples')}) {whole}"
+        f" / sum({finite.format('countOfSamples')}) {whole}"
     )
-    off = mean - F.col("centre")
-    moves = (
-        moves.withColumn("centre", centre)
-        .withColumn("shifted", count * off)
-        .withColumn("squares", count * (F.col("varianceOfSamples") + off * off))
+    moves = moves.selectExpr(
+        "*", f"avgValOfSamples - coalesce({centre}, 0D) as offCentre"
     )
-
     parts = {
-        "panes": (F.sum, F.lit(1)),
-        "n": (F.sum, count),
-        "total": (F.sum, total),
-        "shifted": (F.sum, F.col("shifted")),
-        "squares": (F.sum, F.col("squares")),
-        "least": (F.min, F.col("minValOfSamples")),
-        "greatest": (F.max, F.col("maxValOfSamples")),
+        "n": ("sum", "countOfSamples"),
+        "total": ("sum", "sumValOfSamples"),
+        "shifted": ("sum", "countOfSamples * offCentre"),
+        "squares": ("sum", "countOfSamples * (varianceOfSamples + offCentre * offCentre)"),
+        "least": ("min", "minValOfSamples"),
+        "greatest": ("max", "maxValOfSamples"),
     }
-    head, tail, all_tail = {}, {}, {}
+    frames = []
     for name, (fold, value) in parts.items():
-        head[name] = fold(F.when(F.col("inHead"), value)).over(up_to_here)
-        tail[name] = fold(F.when(~F.col("inHead"), value)).over(after_here)
-        all_tail[name] = fold(F.when(~F.col("inHead"), value)).over(whole)
-    folded = moves.select(
-        *group,
+        frames += [
+            f"{fold}(if(inHead, {value}, null)) {up_to_here} as head_{name}",
+            f"{fold}(if(inHead, null, {value})) {after_here} as tail_{name}",
+            f"{fold}(if(inHead, null, {value})) {whole} as all_{name}",
+        ]
+    folded = moves.selectExpr(
+        *[f"`{name}`" for name in group],
         "change",
-        F.lag("change").over(up_to_here).alias("previous"),
-        F.min("change").over(after_here).alias("next"),
-        *[c.alias(f"head_{n}") for n, c in head.items()],
-        *[c.alias(f"tail_{n}") for n, c in tail.items()],
-        *[c.alias(f"all_{n}") for n, c in all_tail.items()],
+        f"lag(change) {up_to_here} as previous",
+        f"min(change) {after_here} as next",
+        *frames,
     )
     # Two panes that change at the same window end give the same results.
-    folded = folded.where(~F.col("change").eqNullSafe(F.col("previous")))
-
-    def both(name: str) -> Column:
-        fold = {"least": F.least, "greatest": F.greatest}.get(name)
-        left, right = F.col(f"tail_{name}"), F.col(f"head_{name}")
-        return fold(left, right) if fold else F.coalesce(left + right, left, right)
-
-    first_end = F.col("block") + step
-    last_end = F.col("block") + F.col("windowSeconds")
-    run = F.struct(
-        F.col("change").alias("fromEnd"),
-        F.coalesce(F.col("next") - step, last_end).alias("toEnd"),
-        *[both(name).alias(name) for name in parts],
-    )
-    # Until the first change of a block its windows hold the whole tail.
-    opening = F.struct(
-        first_end.alias("fromEnd"),
-        (F.col("change") - step).alias("toEnd"),
-        *[F.col(f"all_{name}").alias(name) for name in parts],
-    )
-    opens = F.col("previous").isNull() & (F.col("change") > first_end)
-    runs = folded.select(
-        *keys, "windowSeconds", F.inline(F.when(opens, F.array(opening, run)).otherwise(F.array(run)))
-    ).where(F.col("panes") > 0)
+    folded = folded.where("not change <=> previous")
+
+    def both(name: str) -> str:
+        if name in ("least", "greatest"):
+            return f"{name}(tail_{name}, head_{name})"
+        return f"coalesce(tail_{name} + head_{name}, tail_{name}, head_{name})"
+
+    first_end, last_end = f"block + {step}", "block + windowSeconds"
+    lowest, highest = [], []
     if ends_after is not None:
-        lowest = ends_after - ends_after % step + step
-        runs = runs.withColumn("fromEnd", F.greatest("fromEnd", F.lit(lowest).cast("bigint")))
+        lowest = [f"{ends_after - ends_after % step + step}L"]
     if ends_until is not None:
-        runs = runs.withColumn("toEnd", F.least("toEnd", F.lit(ends_until).cast("bigint")))
-    runs = runs.where(F.col("fromEnd") <= F.col("toEnd"))
-
-    n = F.col("n")
-    spread = F.greatest(F.col("squares") - F.col("shifted") * F.col("shifted") / n, F.lit(0.0))
-    return runs.select(
-        *keys,
+        highest = [f"{ends_until}L"]
+
+    def run(start: str, end: str, values: dict[str, str]) -> str:
+        start = f"greatest({start}, {lowest[0]})" if lowest else start
+        end = f"least({end}, {highest[0]})" if highest else end
+        fields = {"fromEnd": start, "toEnd": end, **values}
+        return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+    # A run is a row of window ends with the same result. Until the first change
+    # in a block its windows hold the whole tail.
+    opening = run(first_end, f"change - {step}", {name: f"all_{name}" for name in parts})
+    here = run("change", f"coalesce(next - {step}, {last_end})", {n: both(n) for n in parts})
+    opens = f"previous is null and change > {first_end}"
+    key_columns = [f"`{name}`" for name in keys]
+    runs = folded.selectExpr(
+        *key_columns,
         "windowSeconds",
-        n.alias("countOfSamples"),
-        F.col("least").alias("minValOfSamples"),
-        F.col("greatest").alias("maxValOfSamples"),
-        (F.col("total") / n).alias("avgValOfSamples"),
-        F.col("total").alias("sumValOfSamples"),
-        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("stddevValOfSamples"),
-        F.explode(F.sequence("fromEnd", "toEnd", F.lit(step).cast("bigint"))).alias("end"),
-    ).select(
-        *keys,
+        f"inline(if({opens}, array({opening}, {here}), array({here})))",
+    ).where("n > 0 and fromEnd <= toEnd")
+    spread = "greatest(squares - shifted * shifted / n, 0D)"
+    return runs.selectExpr(
+        *key_columns,
+        "windowSeconds",
+        "n as countOfSamples",
+        "least as minValOfSamples",
+        "greatest as maxValOfSamples",
+        "total / n as avgValOfSamples",
+        "total as sumValOfSamples",
+        f"if(n > 1, sqrt({spread} / (n - 1)), null) as stddevValOfSamples",
+        f"explode(sequence(fromEnd, toEnd, {step}L)) as end",
+    ).selectExpr(
+        *key_columns,
         "windowSeconds",
-        F.timestamp_seconds(F.col("end") - F.col("windowSeconds")).alias("windowStart"),
-        F.timestamp_seconds("end").alias("windowEnd"),
+        "timestamp_seconds(end - windowSeconds) as windowStart",
+        "timestamp_seconds(end) as windowEnd",
         "countOfSamples",
         "minValOfSamples",
         "maxValOfSamples",
@@ -264,21 +259,26 @@ def sliding_aggregates(
     slide: float = DEFAULT_SLIDE,
     time_col: str = INGEST_TIME,
     keys: Sequence[str] = (SERIES_KEY,),
-    plan: str = "panes",
+    plan: str = "auto",
     partitions: int | None = None,
 ) -> DataFrame:
     """Statistics per series for every sliding window, several lengths at once.
 
     A window is labelled ``[end - length, end)``; a series without a sample in a
     window has no row for it. Batch only: see :mod:`seriesmill.streaming`.
-    ``plan="direct"`` gives each sample to each of its windows.
+
+    ``plan="panes"`` works as described above. ``plan="direct"`` gives each
+    sample to each of its windows, which is faster if no window is longer than
+    ``DIRECT_SLIDES`` slides; ``auto`` chooses by that. The rows are the same.
     """
+    lengths, step = window_lengths(windows, slide)
+    if plan == "auto":
+        plan = "direct" if lengths[-1] <= DIRECT_SLIDES * step else "panes"
     if plan == "panes":
         panes = pane_aggregates(samples, slide, time_col, keys)
         return merge_panes(panes, windows, slide, keys, partitions=partitions)
     if plan == "direct":
-        lengths, step = window_lengths(windows, slide)
-        parts = [_windowed(samples, n, step, STDDEV, time_col, keys) for n in lengths]
+        valued = samples.where(F.col("value").isNotNull())
+        parts = [_windowed(valued, n, step, STDDEV, time_col, keys) for n in lengths]
         return reduce(DataFrame.unionByName, parts)
     raise ValueError(f"unknown plan {plan!r}")
-
