@@ -228,7 +228,17 @@ def _range_stats(spark, sf):
     return _comparable(series_aggregates(rows, DELTA))
 
 
-def _sliding(window, slide, plan="auto"):
+def _sliding(window, slide):
+    def query(spark, sf):
+        report = sliding_report(_samples(spark, sf), _points(spark, sf), [window], slide)
+        return _comparable(report)
+
+    return query
+
+
+def _sliding_by(plan, window, slide):
+    """The same records by a given plan, joined window by window."""
+
     def query(spark, sf):
         rows = sliding_aggregates(_samples(spark, sf), [window], slide, plan=plan)
         return _comparable(to_output(enrich(rows, _points(spark, sf)), STDDEV))
@@ -439,8 +449,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sliding_1d": _sliding(DAY, 60),
         "sliding_7d": _sliding(7 * DAY, DAY),
         "sliding_multi": _sliding_multi,
-        "sliding_60m_panes": _sliding(60, 15, plan="panes"),
-        "sliding_1d_direct": _sliding(DAY, 360, plan="direct"),
+        "sliding_60m_panes": _sliding_by("panes", 60, 15),
+        "sliding_1d_direct": _sliding_by("direct", DAY, 360),
         "windowed_delta": _windowed,
         "sliding_arrival": _sliding_arrival,
         "panes": _panes,

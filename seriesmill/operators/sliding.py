@@ -114,7 +114,7 @@ def pane_aggregates(
     )
 
 
-def merge_panes(
+def pane_runs(
     panes: DataFrame,
     windows: Sequence[float] = DEFAULT_WINDOWS,
     slide: float = DEFAULT_SLIDE,
@@ -123,7 +123,12 @@ def merge_panes(
     ends_until: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Sliding-window statistics from panes, for all window lengths at once.
+    """Sliding-window statistics from panes, one row per run of equal windows.
+
+    A run stands for the windows that end at ``fromEnd``, one slide later, and so
+    on up to ``toEnd``. There are at most two runs per pane and window length,
+    however many windows they stand for, so whatever can be done per run should
+    be, before :func:`expand_runs`. All window lengths are merged together.
 
     ``ends_after`` (exclusive) and ``ends_until`` (inclusive) restrict the result
     to windows that end in that range, in epoch seconds; only the panes such
@@ -232,27 +237,51 @@ def merge_panes(
     return runs.selectExpr(
         *key_columns,
         "windowSeconds",
+        "fromEnd",
+        "toEnd",
         "n as countOfSamples",
         "least as minValOfSamples",
         "greatest as maxValOfSamples",
         "total / n as avgValOfSamples",
         "total as sumValOfSamples",
         f"if(n > 1, sqrt({spread} / (n - 1)), null) as stddevValOfSamples",
-        f"explode(sequence(fromEnd, toEnd, {step}L)) as end",
-    ).selectExpr(
-        *key_columns,
-        "windowSeconds",
+    )
+
+
+def expand_runs(runs: DataFrame, slide: float = DEFAULT_SLIDE) -> DataFrame:
+    """One row per window from rows that stand for a run of windows."""
+    step = minutes_to_seconds(slide)
+    others = [f"`{c}`" for c in runs.columns if c not in ("fromEnd", "toEnd")]
+    ends = runs.selectExpr(*others, f"explode(sequence(fromEnd, toEnd, {step}L)) as end")
+    after = others.index("`windowSeconds`") + 1
+    return ends.selectExpr(
+        *others[:after],
         "timestamp_seconds(end - windowSeconds) as windowStart",
         "timestamp_seconds(end) as windowEnd",
-        "countOfSamples",
-        "minValOfSamples",
-        "maxValOfSamples",
-        "avgValOfSamples",
-        "sumValOfSamples",
-        "stddevValOfSamples",
+        *others[after:],
     )
 
 
+def merge_panes(
+    panes: DataFrame,
+    windows: Sequence[float] = DEFAULT_WINDOWS,
+    slide: float = DEFAULT_SLIDE,
+    keys: Sequence[str] = (SERIES_KEY,),
+    ends_after: int | None = None,
+    ends_until: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Sliding-window statistics from panes, one row per window; see :func:`pane_runs`."""
+    runs = pane_runs(panes, windows, slide, keys, ends_after, ends_until, partitions)
+    return expand_runs(runs, slide)
+
+
+def use_direct(windows: Sequence[float], slide: float) -> bool:
+    """Whether every window is short enough to hand each sample to all its windows."""
+    lengths, step = window_lengths(windows, slide)
+    return lengths[-1] <= DIRECT_SLIDES * step
+
+
 def sliding_aggregates(
     samples: DataFrame,
     windows: Sequence[float] = DEFAULT_WINDOWS,
@@ -273,7 +302,7 @@ def sliding_aggregates(
     """
     lengths, step = window_lengths(windows, slide)
     if plan == "auto":
-        plan = "direct" if lengths[-1] <= DIRECT_SLIDES * step else "panes"
+        plan = "direct" if use_direct(windows, slide) else "panes"
     if plan == "panes":
         panes = pane_aggregates(samples, slide, time_col, keys)
         return merge_panes(panes, windows, slide, keys, partitions=partitions)

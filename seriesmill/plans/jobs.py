@@ -19,7 +19,15 @@ from seriesmill.functions.timeunits import durations, minutes_to_seconds
 from seriesmill.operators.enrich import enrich, to_output
 from seriesmill.operators.lastvalue import last_known_value
 from seriesmill.operators.lookback import lookback_aggregates
-from seriesmill.operators.sliding import DEFAULT_SLIDE, DEFAULT_WINDOWS, sliding_aggregates
+from seriesmill.operators.sliding import (
+    DEFAULT_SLIDE,
+    DEFAULT_WINDOWS,
+    expand_runs,
+    pane_aggregates,
+    pane_runs,
+    sliding_aggregates,
+    use_direct,
+)
 from seriesmill.schemas import INGEST_TIME
 from seriesmill.sources.sinks import Sink, start, write_batch, write_version
 from seriesmill.streaming.panes import start_pane_query
@@ -46,8 +54,16 @@ def sliding_report(
     slide: float = DEFAULT_SLIDE,
     time_col: str = INGEST_TIME,
 ) -> DataFrame:
-    """Published records of the sliding job over a table of samples."""
-    return to_output(enrich(sliding_aggregates(samples, windows, slide, time_col), points), STDDEV)
+    """Published records of the sliding job over a table of samples.
+
+    Equal windows that follow each other are joined with their point once.
+    """
+    if use_direct(windows, slide):
+        rows = enrich(sliding_aggregates(samples, windows, slide, time_col), points)
+    else:
+        runs = pane_runs(pane_aggregates(samples, slide, time_col), windows, slide)
+        rows = expand_runs(enrich(runs, points), slide)
+    return to_output(rows, STDDEV)
 
 
 def interval_report(

@@ -53,18 +53,20 @@ def closed_windows(
     the same windows.
     """
     lengths, step = window_lengths(windows, slide)
+    newest = F.max("paneStart")
     closed = panes.where(F.col(BATCH_COLUMN) == batch_id)
-    low, high = closed.agg(F.min("paneStart"), F.max("paneStart")).first()
+    low, high = closed.agg(F.min("paneStart"), newest).first()
     if high is None:
         return None
     # Panes close in time order, so the last earlier one says where the batch
     # before stopped. It is looked up among recent panes first.
-    before = panes.where(F.col(BATCH_COLUMN) < batch_id)
-    last = F.max("paneStart")
-    recent = before.where(F.col("paneStart") > low - lengths[-1])
-    earlier = recent.agg(last).first()[0]
-    if earlier is None:
-        earlier = before.agg(last).first()[0]
+    earlier = None
+    if batch_id > 0:
+        before = panes.where(F.col(BATCH_COLUMN) < batch_id)
+        recent = before.where(F.col("paneStart") > low - lengths[-1])
+        earlier = recent.agg(newest).first()[0]
+        if earlier is None:
+            earlier = before.agg(newest).first()[0]
     after = low if earlier is None else earlier + step
     return merge_panes(
         panes.where(F.col(BATCH_COLUMN) <= batch_id),
