@@ -9,21 +9,40 @@ from seriesmill.functions.stats import BASIC_COLUMNS, STAT_COLUMN
 from seriesmill.schemas import POINT_FIELDS, SERIES_KEY
 
 
-def enrich(aggregates: DataFrame, points: DataFrame) -> DataFrame:
+# Points up to this many rows are broadcast: about 100 MB at 10 short strings a row.
+BROADCAST_ROWS = 250_000
+
+
+def fits_broadcast(points: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the dimension has at most ``rows`` rows; reads hardly more than that."""
+    return points.select(SERIES_KEY).limit(rows + 1).count() <= rows
+
+
+def enrich(aggregates: DataFrame, points: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Inner join on the series; one row per matching point.
 
-    There is no broadcast hint: Spark broadcasts the dimension only if its size
-    is below ``spark.sql.autoBroadcastJoinThreshold``, from the file size or, in
-    a batch query, from the size measured at run time, and otherwise shuffles
-    both sides. Aggregates are joined, never samples, so the big side has one
-    row per series and window.
+    A dimension of checked size is broadcast; ``broadcast`` hands in a check made
+    before. A larger one is joined by shuffle and sort, where Spark splits hot
+    series at run time. The aggregates are never broadcast: window expansion
+    makes them far larger than the files that Spark estimates their size from.
+    Aggregates are joined, not samples, so there is one row per series and window.
     """
-    return aggregates.join(points.select(*POINT_FIELDS), SERIES_KEY, "inner")
+    if broadcast is None:
+        broadcast = fits_broadcast(points)
+    side = points.select(*POINT_FIELDS)
+    side = F.broadcast(side) if broadcast else side.hint("merge")
+    return aggregates.join(side, SERIES_KEY, "inner")
 
 
-def unmatched_series(aggregates: DataFrame, points: DataFrame) -> DataFrame:
+def unmatched_series(
+    aggregates: DataFrame, points: DataFrame, broadcast: bool | None = None
+) -> DataFrame:
     """Aggregates that :func:`enrich` drops because no point has their series."""
-    return aggregates.join(points.select(SERIES_KEY), SERIES_KEY, "left_anti")
+    if broadcast is None:
+        broadcast = fits_broadcast(points)
+    side = points.select(SERIES_KEY)
+    side = F.broadcast(side) if broadcast else side.hint("merge")
+    return aggregates.join(side, SERIES_KEY, "left_anti")
 
 
 def to_output(enriched: DataFrame, stat: str) -> DataFrame:

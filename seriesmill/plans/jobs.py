@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from seriesmill.functions.codec import encode_samples
 from seriesmill.functions.stats import DELTA, STDDEV
 from seriesmill.functions.timeunits import durations, minutes_to_seconds
-from seriesmill.operators.enrich import enrich, to_output
+from seriesmill.operators.enrich import enrich, fits_broadcast, to_output
 from seriesmill.operators.lastvalue import last_known_value
 from seriesmill.operators.lookback import lookback_aggregates
 from seriesmill.operators.sliding import (
@@ -97,10 +97,11 @@ def run_sliding_job(
 ) -> list[StreamingQuery]:
     """One query per window length; a changed window is published again."""
     queries = []
+    small = fits_broadcast(points)
     for window in windows:
         length = minutes_to_seconds(window)
         rows = streaming_sliding_aggregates(samples, window, period, lateness, time_col)
-        record = to_output(enrich(rows, points), STDDEV)
+        record = to_output(enrich(rows, points, small), STDDEV)
         target = sink
         if sink.kind in ("table", "json", "parquet") and len(windows) > 1:
             target = Sink(sink.kind, f"{sink.location}/window_{length}", sink.options)
@@ -134,8 +135,10 @@ def run_sliding_pane_job(
 ) -> StreamingQuery:
     """All window lengths in one query; a window is published once, when closed."""
 
+    small = fits_broadcast(points)
+
     def publish(closed: DataFrame, batch_id: int) -> None:
-        record = to_output(enrich(closed, points), STDDEV)
+        record = to_output(enrich(closed, points, small), STDDEV)
         if sink.kind == "table":
             write_version(record, sink.location, batch_id)
         else:
@@ -170,11 +173,12 @@ def run_interval_job(
     """One query per frequency; a late sample publishes its interval again."""
     durations(frequencies)
     horizon = max(frequencies)
+    small = fits_broadcast(points)
     queries = []
     for frequency in sorted(set(frequencies)):
         length = minutes_to_seconds(frequency)
         rows = streaming_interval_aggregates(samples, frequency, period, horizon, time_col)
-        record = to_output(enrich(rows, points), DELTA)
+        record = to_output(enrich(rows, points, small), DELTA)
         target = sink
         if sink.kind in ("table", "json", "parquet") and len(set(frequencies)) > 1:
             target = Sink(sink.kind, f"{sink.location}/frequency_{length}", sink.options)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from builders import points_frame, rows_of, samples_frame
 from seriesmill.functions.stats import DELTA, STDDEV
-from seriesmill.operators.enrich import enrich, to_output, unmatched_series
+from seriesmill.operators.enrich import enrich, fits_broadcast, to_output, unmatched_series
 from seriesmill.operators.lastvalue import advance_last_known_value, last_known_value
 from seriesmill.operators.lookback import lookback_aggregates
 from seriesmill.operators.series import samples_between, series_aggregates
@@ -18,6 +18,7 @@ from seriesmill.operators.sliding import (
     windowed_aggregates,
 )
 from seriesmill.schemas import INTERVAL_AGGREGATE, WINDOW_AGGREGATE
+from seriesmill.sources.readers import read_sensor_points
 
 FEW = settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -284,24 +285,18 @@ def test_records_have_the_published_schema(spark):
     assert types(panes.schema) == types(WINDOW_AGGREGATE)
 
 
-def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark, tmp_path):
-    points_frame(spark, [("P1", "a")]).write.json(str(tmp_path / "p"))
-    from seriesmill.sources.readers import read_sensor_points
-
+def test_only_a_small_dimension_is_broadcast(spark, tmp_path, capsys):
+    points_frame(spark, [("P1", "a"), ("P2", "a")]).write.json(str(tmp_path / "p"))
     points = read_sensor_points(spark, str(tmp_path / "p"))
-    frame = samples_frame(spark, [("a", 1, 0)])
-
-    def plan():
-        rows = enrich(sliding_aggregates(frame, [60], 15), points)
-        return rows._jdf.queryExecution().executedPlan().toString()
-
-    assert "BroadcastHashJoin" in plan()
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-    try:
-        assert "SortMergeJoin" in plan()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stats = series_aggregates(samples_frame(spark, [("a", 1, 0), ("z", 1, 0)]))
+    assert fits_broadcast(points, 2) and not fits_broadcast(points, 1)
+    for broadcast, plan in [(True, "BroadcastHashJoin"), (False, "SortMergeJoin")]:
+        for join, names in [(enrich, ["a", "a"]), (unmatched_series, ["z"])]:
+            rows = join(stats, points, broadcast)
+            rows.explain()
+            text = capsys.readouterr().out
+            assert plan in text and "BuildLeft" not in text
+            assert [r.timeseriesId for r in rows.collect()] == names
 
 
 def test_hot_series(spark):
