@@ -39,7 +39,7 @@ from seriesmill.plans.jobs import (
     run_last_known_value_job,
     run_rejects_job,
     run_sliding_job,
-    run_sliding_pane_job,
+    run_sliding_updates_job,
     sliding_report,
 )
 from seriesmill.schemas import (
@@ -360,7 +360,7 @@ def _stream_ingest(spark, sf):
 
 def _stream_sliding(spark, sf):
     folder = _work_folder(spark, "sliding")
-    queries = run_sliding_job(
+    queries = run_sliding_updates_job(
         _sample_stream(spark, sf),
         _points(spark, sf),
         table_sink(f"{folder}/out"),
@@ -376,11 +376,10 @@ def _stream_sliding(spark, sf):
 
 def _stream_sliding_panes(spark, sf):
     folder = _work_folder(spark, "sliding-panes")
-    query = run_sliding_pane_job(
+    query = run_sliding_job(
         _sample_stream(spark, sf),
         _points(spark, sf),
         table_sink(f"{folder}/out"),
-        pane_table=f"{folder}/panes",
         windows=[DAY, 7 * DAY],
         period=6 * 60,
         lateness=15,

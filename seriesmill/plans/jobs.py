@@ -29,7 +29,7 @@ from seriesmill.operators.sliding import (
     use_direct,
 )
 from seriesmill.schemas import INGEST_TIME
-from seriesmill.sources.sinks import Sink, start, write_batch, write_version
+from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
 from seriesmill.streaming.panes import start_pane_query
 from seriesmill.streaming.windows import (
     streaming_interval_aggregates,
@@ -83,6 +83,48 @@ def _folder(root: str | None, name: str) -> str | None:
 
 
 def run_sliding_job(
+    samples: DataFrame,
+    points: DataFrame,
+    sink: Sink,
+    windows: Sequence[float] = DEFAULT_WINDOWS,
+    period: float = DEFAULT_SLIDE,
+    lateness: float = DEFAULT_SLIDE,
+    pane_table: str | None = None,
+    time_col: str = INGEST_TIME,
+    checkpoint: str | None = None,
+    drain: bool = False,
+    name: str = "sliding",
+) -> StreamingQuery:
+    """All window lengths in one query; a window is published once, when closed.
+
+    Panes go to ``pane_table``, by default a folder beside the checkpoint.
+    """
+
+    small = fits_broadcast(points)
+    checkpoint = _folder(checkpoint, name) or checkpoint_for(samples.sparkSession, name)
+
+    def publish(closed: DataFrame, batch_id: int) -> None:
+        record = to_output(enrich(closed, points, small), STDDEV)
+        if sink.kind == "table":
+            write_version(record, sink.location, batch_id)
+        else:
+            write_batch(record, sink)
+
+    return start_pane_query(
+        samples,
+        pane_table or f"{checkpoint}-panes",
+        publish,
+        name,
+        windows,
+        period,
+        lateness,
+        time_col,
+        checkpoint=checkpoint,
+        drain=drain,
+    )
+
+
+def run_sliding_updates_job(
     samples: DataFrame,
     points: DataFrame,
     sink: Sink,
@@ -93,9 +135,13 @@ def run_sliding_job(
     time_col: str = INGEST_TIME,
     checkpoint: str | None = None,
     drain: bool = False,
-    name: str = "sliding",
+    name: str = "sliding_updates",
 ) -> list[StreamingQuery]:
-    """One query per window length; a changed window is published again."""
+    """Windows kept in the state store, one query per length.
+
+    A window is published whenever it changes, before it closes. State holds
+    window / period rows per series: for short windows, see :func:`run_sliding_job`.
+    """
     queries = []
     small = fits_broadcast(points)
     for window in windows:
@@ -120,44 +166,6 @@ def run_sliding_job(
     return queries
 
 
-def run_sliding_pane_job(
-    samples: DataFrame,
-    points: DataFrame,
-    sink: Sink,
-    pane_table: str,
-    windows: Sequence[float] = DEFAULT_WINDOWS,
-    period: float = DEFAULT_SLIDE,
-    lateness: float = DEFAULT_SLIDE,
-    time_col: str = INGEST_TIME,
-    checkpoint: str | None = None,
-    drain: bool = False,
-    name: str = "sliding_panes",
-) -> StreamingQuery:
-    """All window lengths in one query; a window is published once, when closed."""
-
-    small = fits_broadcast(points)
-
-    def publish(closed: DataFrame, batch_id: int) -> None:
-        record = to_output(enrich(closed, points, small), STDDEV)
-        if sink.kind == "table":
-            write_version(record, sink.location, batch_id)
-        else:
-            write_batch(record, sink)
-
-    return start_pane_query(
-        samples,
-        pane_table,
-        publish,
-        name,
-        windows,
-        period,
-        lateness,
-        time_col,
-        checkpoint=_folder(checkpoint, name),
-        drain=drain,
-    )
-
-
 def run_interval_job(
     samples: DataFrame,
     points: DataFrame,

@@ -24,7 +24,7 @@ def streaming_sliding_aggregates(
 
     Samples up to ``lateness`` minutes late are counted; the default is one
     window length. State holds window / slide rows per series, so for long
-    windows prefer :func:`seriesmill.streaming.panes.start_pane_query`.
+    windows prefer :mod:`seriesmill.streaming.panes`.
     """
     delay = interval_text(minutes_to_seconds(window if lateness is None else lateness))
     return windowed_aggregates(samples, window, slide, STDDEV, time_col, keys, watermark=delay)

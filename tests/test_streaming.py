@@ -12,7 +12,7 @@ from seriesmill.plans.jobs import (
     run_interval_job,
     run_last_known_value_job,
     run_sliding_job,
-    run_sliding_pane_job,
+    run_sliding_updates_job,
 )
 from seriesmill.schemas import SAMPLE_COLUMNS
 from seriesmill.sources.readers import (
@@ -88,7 +88,7 @@ def test_stream_equals_batch(feed, points, tmp_path):
     feed.add(("a", 3, 70), ("a", 4, 130))
     feed.add(("b", 5, 15), ("a", 6, 200))
     out = str(tmp_path / "out")
-    job = run_sliding_job(
+    job = run_sliding_updates_job(
         feed.stream(), points, table_sink(out), [3], 1, checkpoint=str(tmp_path), drain=True
     )
     finish(*job)
@@ -101,7 +101,7 @@ def test_stream_equals_batch(feed, points, tmp_path):
 def test_several_windows_run_as_queries_of_their_own(feed, points, tmp_path):
     feed.add(("a", 1, 10), ("b", 2, 20))
     out = str(tmp_path / "out")
-    job = run_sliding_job(
+    job = run_sliding_updates_job(
         feed.stream(), points, table_sink(out), [1, 2], 1, checkpoint=str(tmp_path), drain=True
     )
     assert len({q.name for q in finish(*job)}) == 2
@@ -112,7 +112,7 @@ def test_several_windows_run_as_queries_of_their_own(feed, points, tmp_path):
 def test_published_rows_are_counted(feed, points, tmp_path):
     feed.add(("a", 1, 10))
     (query,) = finish(
-        *run_sliding_job(
+        *run_sliding_updates_job(
             feed.stream(),
             points,
             table_sink(str(tmp_path / "out")),
@@ -184,7 +184,7 @@ def test_restart_goes_on_where_it_stopped(feed, points, tmp_path):
 
     def run():
         finish(
-            *run_sliding_job(
+            *run_sliding_updates_job(
                 feed.stream(), points, table_sink(out), [3], 1, checkpoint=str(tmp_path), drain=True
             )
         )
@@ -231,11 +231,10 @@ def test_pane_job_equals_batch_and_survives_a_restart(feed, points, tmp_path):
     out = str(tmp_path / "out")
 
     def run():
-        query = run_sliding_pane_job(
+        query = run_sliding_job(
             feed.stream(),
             points,
             table_sink(out),
-            str(tmp_path / "panes"),
             windows=[1, 5],
             period=1,
             lateness=1,
@@ -289,7 +288,7 @@ def test_append_mode_publishes_json_messages(feed, points, tmp_path):
     feed.add(("a", 3, 2000))
     out = str(tmp_path / "out")
     finish(
-        *run_sliding_job(
+        *run_sliding_updates_job(
             feed.stream(),
             points,
             json_sink(out),
