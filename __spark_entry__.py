@@ -37,6 +37,7 @@ from seriesmill.plans.jobs import (
     interval_report,
     run_interval_job,
     run_last_known_value_job,
+    run_lookback_job,
     run_rejects_job,
     run_sliding_job,
     run_sliding_updates_job,
@@ -408,6 +409,22 @@ def _stream_intervals(spark, sf):
     return _comparable(hour.unionByName(day))
 
 
+def _stream_lookback(spark, sf):
+    """Uneven frequencies over the stream, for a batch at the end of the data."""
+    folder = _work_folder(spark, "lookback")
+    query = run_lookback_job(
+        _sample_stream(spark, sf),
+        _points(spark, sf),
+        table_sink(f"{folder}/out"),
+        frequencies=UNEVEN_FREQUENCIES,
+        checkpoint=folder,
+        drain=True,
+        clock=lambda: AS_OF,
+    )
+    _finish(query)
+    return _comparable(read_snapshot(spark, f"{folder}/out"))
+
+
 def _stream_last_known_value(mode):
     def query(spark, sf):
         folder = _work_folder(spark, "last-known-value")
@@ -470,6 +487,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sliding": _stream_sliding,
         "stream_sliding_panes": _stream_sliding_panes,
         "stream_intervals": _stream_intervals,
+        "stream_lookback": _stream_lookback,
         "stream_last_known_value": _stream_last_known_value("update"),
         "stream_last_known_value_all": _stream_last_known_value("complete"),
     }
@@ -735,6 +753,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_sliding": _sliding_sql(60, 15),
         "stream_sliding_panes": _stream_panes_sql(),
         "stream_intervals": _stream_intervals_sql(),
+        "stream_lookback": f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, "
+        + _lookback_rows_sql(UNEVEN_FREQUENCIES)
+        + _record_sql("delta", "lookback"),
         "stream_last_known_value": _LAST_VALUE_SQL,
         "stream_last_known_value_all": _LAST_VALUE_SQL,
     }

@@ -8,14 +8,15 @@ own name and checkpoint, below ``spark.checkpoint.dir`` unless a folder is given
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesmill.functions.codec import encode_samples
 from seriesmill.functions.stats import DELTA, STDDEV
-from seriesmill.functions.timeunits import durations, minutes_to_seconds
+from seriesmill.functions.timeunits import durations, interval_text, minutes_to_seconds
 from seriesmill.operators.enrich import enrich, fits_broadcast, to_output
 from seriesmill.operators.lastvalue import last_known_value
 from seriesmill.operators.lookback import lookback_aggregates
@@ -29,6 +30,7 @@ from seriesmill.operators.sliding import (
     use_direct,
 )
 from seriesmill.schemas import INGEST_TIME
+from seriesmill.sources.dated import append_dated, read_dated
 from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
 from seriesmill.streaming.panes import start_pane_query
 from seriesmill.streaming.windows import (
@@ -205,6 +207,56 @@ def run_interval_job(
     return queries
 
 
+def run_lookback_job(
+    samples: DataFrame,
+    points: DataFrame,
+    sink: Sink,
+    frequencies: Sequence[float],
+    period: float = 5,
+    sample_table: str | None = None,
+    checkpoint: str | None = None,
+    drain: bool = False,
+    clock: Callable[[], float] = time.time,
+    name: str = "lookback",
+) -> StreamingQuery:
+    """Every interval of every frequency, computed anew and published by each batch.
+
+    Frequencies of any length fit, and late samples correct all intervals within
+    the longest one. Samples are kept in ``sample_table``, by default a folder
+    beside the checkpoint; a batch reads only the days of the longest frequency.
+    The batch time is the last multiple of the period on the clock; samples at or
+    after it wait for the next batch.
+    """
+    lengths, step = durations(frequencies), minutes_to_seconds(period)
+    small = fits_broadcast(points)
+    checkpoint = _folder(checkpoint, name) or checkpoint_for(samples.sparkSession, name)
+    table = sample_table or f"{checkpoint}-samples"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if append_dated(batch, table, batch_id, INGEST_TIME) is None:
+            return
+        now = int(clock()) // step * step
+        since = now - lengths[-1]
+        kept = read_dated(batch.sparkSession, table, batch_id, since, now)
+        if kept is None:  # all rows of the batch lie outside
+            return
+        intervals = lookback_aggregates(kept, now, frequencies)
+        record = to_output(enrich(intervals, points, small), DELTA)
+        if sink.kind == "table":
+            write_version(record, sink.location, batch_id)
+        else:
+            write_batch(record, sink)
+
+    writer = (
+        samples.writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(on_batch)
+    )
+    if drain:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval_text(step)).start()
+
+
 def run_last_known_value_job(
     samples: DataFrame,
     sink: Sink,

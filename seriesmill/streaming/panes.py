@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,11 +19,9 @@ from seriesmill.functions.stats import basic_exprs
 from seriesmill.functions.timeunits import interval_text, minutes_to_seconds
 from seriesmill.operators.sliding import merge_panes, window_lengths, with_event_time
 from seriesmill.schemas import INGEST_TIME, SERIES_KEY
+from seriesmill.sources.dated import append_dated, read_dated
 from seriesmill.sources.sinks import BATCH_COLUMN, checkpoint_for
 
-DAY = 24 * 60 * 60
-DAY_OF_PANE = f"cast((paneStart - pmod(paneStart, {DAY})) / {DAY} as int)"
-
 
 def streaming_panes(
     samples: DataFrame,
@@ -44,34 +42,6 @@ def streaming_panes(
     )
 
 
-def append_panes(panes: DataFrame, table: str, batch_id: int) -> tuple[int, int] | None:
-    """Add the panes of a micro-batch; returns the first and last ``paneStart``.
-
-    The table has a folder per day and, below it, per batch. A batch that runs
-    again has the same panes and replaces its own folders. Days older than the
-    longest window may be removed.
-    """
-    bounds = Observation()
-    rows = panes.selectExpr("*", f"{DAY_OF_PANE} as paneDay", f"{batch_id}L as {BATCH_COLUMN}")
-    rows = rows.observe(bounds, F.min("paneStart").alias("low"), F.max("paneStart").alias("high"))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("paneDay", BATCH_COLUMN).parquet(table)
-    low, high = bounds.get["low"], bounds.get["high"]
-    return None if high is None else (low, high)
-
-
-def read_panes(
-    spark: SparkSession, table: str, batch_id: int, since: int | None = None, until: int | None = None
-) -> DataFrame:
-    """Panes of the batches up to ``batch_id``; lists only the days of the given seconds."""
-    path = table
-    if since is not None:
-        days = range(since // DAY, until // DAY + 1)
-        path = f"{table}/paneDay={{{','.join(str(day) for day in days)}}}"
-    panes = spark.read.option("basePath", table).parquet(path)
-    return panes.where(F.col(BATCH_COLUMN) <= batch_id).drop("paneDay")
-
-
 def closed_windows(
     spark: SparkSession,
     table: str,
@@ -93,12 +63,12 @@ def closed_windows(
     earlier = None
     if batch_id > 0:
         newest = F.max("paneStart")
-        recent = read_panes(spark, table, batch_id, low - lengths[-1], high)
+        recent = read_dated(spark, table, batch_id, low - lengths[-1], high)
         earlier = recent.where(F.col(BATCH_COLUMN) < batch_id).agg(newest).first()[0]
         if earlier is None:
-            earlier = read_panes(spark, table, batch_id - 1).agg(newest).first()[0]
+            earlier = read_dated(spark, table, batch_id - 1).agg(newest).first()[0]
     after = low if earlier is None else earlier + step
-    panes = read_panes(spark, table, batch_id, after - lengths[-1], high)
+    panes = read_dated(spark, table, batch_id, after - lengths[-1], high)
     return merge_panes(panes, windows, slide, keys, ends_after=after, ends_until=high + step)
 
 
@@ -124,7 +94,7 @@ def start_pane_query(
     window_lengths(windows, slide)  # reject unusable lengths before starting
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        bounds = append_panes(batch, pane_table, batch_id)
+        bounds = append_dated(batch, pane_table, batch_id, "paneStart")
         if bounds is not None:
             session = batch.sparkSession
             rows = closed_windows(session, pane_table, batch_id, *bounds, windows, slide, keys)

@@ -9,8 +9,10 @@ from seriesmill.functions.codec import encode_samples
 from seriesmill.operators.lastvalue import last_known_value
 from seriesmill.operators.sliding import sliding_aggregates, windowed_aggregates
 from seriesmill.plans.jobs import (
+    interval_report,
     run_interval_job,
     run_last_known_value_job,
+    run_lookback_job,
     run_sliding_job,
     run_sliding_updates_job,
 )
@@ -261,6 +263,41 @@ def test_pane_job_equals_batch_and_survives_a_restart(feed, points, tmp_path):
     assert windows_of(got) == expected
 
 
+def test_lookback_job_recomputes_every_interval_in_each_batch(feed, points, tmp_path):
+    out, base = str(tmp_path / "out"), 200_000
+
+    def run(now):
+        query = run_lookback_job(
+            feed.stream(),
+            points,
+            table_sink(out),
+            frequencies=[7, 15],
+            period=5,
+            checkpoint=str(tmp_path),
+            drain=True,
+            clock=lambda: now + 17,  # not on a multiple of the period
+        )
+        finish(query)
+
+    def report(batch):
+        rows = feed.spark.read.parquet(out).where(F.col("batch") == batch).drop("batch")
+        return sorted(map(tuple, rows.collect()))
+
+    def expected(now):
+        return sorted(map(tuple, interval_report(feed.table(), points, now, [7, 15]).collect()))
+
+    base -= base % 300
+    feed.add(("a", 1, base - 100), ("b", 2, base - 890), ("a", 4, base - 2000), ("a", 64, base + 1))
+    run(base)
+    assert report(0) == expected(base) and len(report(0)) == 4
+    feed.add(("a", 8, base - 150), ("b", 16, base + 200))  # late, and on time
+    run(base + 300)
+    assert report(1) == expected(base + 300)
+    feed.add(("a", 32, 10))  # a day no batch reads
+    run(base + 90_000)
+    assert feed.spark.read.parquet(out).where("batch = 2").count() == 0
+
+
 def test_json_folder_stream_with_rejects(spark, tmp_path):
     encode_samples(samples_frame(spark, [("a", 1, 10)])).write.text(str(tmp_path / "in"))
     spark.createDataFrame([("junk",)], "value string").write.mode("append").text(str(tmp_path / "in"))
