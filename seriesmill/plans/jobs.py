@@ -237,7 +237,7 @@ def run_lookback_job(
             return
         now = int(clock()) // step * step
         since = now - lengths[-1]
-        kept = read_dated(batch.sparkSession, table, batch_id, since, now)
+        kept = read_dated(samples.sparkSession, table, batch_id, since, now)
         if kept is None:  # all rows of the batch lie outside
             return
         intervals = lookback_aggregates(kept, now, frequencies)

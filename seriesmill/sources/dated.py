@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,17 +15,26 @@ DAY_COLUMN = "day"
 
 
 def append_dated(
-    rows: DataFrame, table: str, batch_id: int, time_col: str
+    rows: DataFrame,
+    table: str,
+    batch_id: int,
+    time_col: str,
+    spread_by: Sequence[str] = (),
+    files_per_day: int = 16,
 ) -> tuple[int, int] | None:
     """Add the rows of a micro-batch; returns their first and last second.
 
     ``time_col`` holds epoch seconds. A batch that runs again has the same rows
     and replaces its own folders, so every row counts once. Days that are no
-    longer read may be removed.
+    longer read may be removed. ``spread_by`` names columns by whose hash the rows
+    of a day are put into ``files_per_day`` files; without it each task writes its own.
     """
     bounds = Observation()
     day = f"cast((`{time_col}` - pmod(`{time_col}`, {DAY})) / {DAY} as int) as {DAY_COLUMN}"
     dated = rows.selectExpr("*", day, f"{batch_id}L as {BATCH_COLUMN}")
+    if spread_by:
+        slot = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_day))
+        dated = dated.repartition(DAY_COLUMN, slot)
     dated = dated.observe(bounds, F.min(time_col).alias("low"), F.max(time_col).alias("high"))
     writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(DAY_COLUMN, BATCH_COLUMN).parquet(table)

@@ -94,10 +94,12 @@ def start_pane_query(
     window_lengths(windows, slide)  # reject unusable lengths before starting
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        bounds = append_dated(batch, pane_table, batch_id, "paneStart")
+        # The state store has many partitions and few closed panes in each.
+        bounds = append_dated(batch, pane_table, batch_id, "paneStart", spread_by=keys)
         if bounds is not None:
-            session = batch.sparkSession
-            rows = closed_windows(session, pane_table, batch_id, *bounds, windows, slide, keys)
+            # The session of a stateful stream plans without adaptive execution,
+            # so the table is read through the caller's.
+            rows = closed_windows(spark, pane_table, batch_id, *bounds, windows, slide, keys)
             publish(rows, batch_id)
 
     writer = (
