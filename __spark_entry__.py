@@ -61,6 +61,13 @@ from seriesmill.sources.sinks import (
     write_batch,
 )
 
+# The text operators are a part of their own; without it the rest works alone.
+try:
+    import corpus_pipeline
+    from seriesmill.llm import queries as llm_queries
+except ModuleNotFoundError:
+    corpus_pipeline = llm_queries = None
+
 # The look-back ends at the end of the data and reaches back over all of it.
 AS_OF = 1706659200  # 2024-01-31T00:00:00Z
 MONTH = 30 * 24 * 60  # minutes
@@ -449,8 +456,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return _sliding(60, 15)(spark, "/root/testdata/sf0.001")
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return {}
+    return {"pipeline": corpus_pipeline.run, **llm_queries.QUERIES}
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**pipeline, **llm_queries.SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _llm_queries() | {
         "read_points": _read_points,
         "sample_id": _sample_id,
         "sample_roundtrip": _sample_roundtrip,
@@ -685,7 +705,7 @@ def oracle_sql() -> dict[str, str]:
         f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, {_lookback_rows_sql((DAY, MONTH))}"
         + _record_sql("delta", "lookback")
     )
-    return {
+    return _llm_sql() | {
         "read_points": f"WITH {_POINTS_SQL} SELECT * FROM customer_points",
         "sample_id": f"""WITH {_SAMPLES_SQL}
             SELECT id, "timeseriesId", metric, "unixTimestamp" FROM samples""",
