@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesmill.llm import quality_rules
+from seriesmill.llm import line_dedup, quality_rules
 from seriesmill.llm.common import scratch, table
 
 
@@ -15,9 +16,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality_rules.keep_good(docs)
 
 
+def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the line chunks that occur before; their length is counted anew."""
+    rows = line_dedup.remove_repeated_chunks(docs)
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 #: (name, function of the session, the documents and the folder of the tables).
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", good_documents),
+    ("line dedup", new_lines),
 ]
 
 #: The model of the first stage is fitted by iteration, which SQL can't express.

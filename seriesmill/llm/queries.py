@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import quality_rules
+from seriesmill.llm import jaccard_join, line_dedup, quality_rules
 from seriesmill.llm.common import table
 
 
@@ -18,7 +18,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_texts(table(spark, sf_dir, "documents"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_chunks(docs, counts=("n_chunks_removed", "n_lines_removed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_line_dedup": op5_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -1,0 +1,71 @@
+"""Line dedup against a brute-force version over all chunks."""
+
+import random
+
+from seriesmill.llm import line_dedup, queries
+from seriesmill.llm.common import table
+
+COLUMNS = "doc_id long, text string, hash string, id long, places string"
+
+
+def brute(rows):
+    """Expected texts; of equal chunks the first by (doc_id, hash, number) stays."""
+    seen = {}
+    for doc_id, h, text in sorted({(r[0], r[1], r[2]) for r in rows if r[2] is not None}):
+        for no, part in line_dedup.chunks(text):
+            seen.setdefault(part, (doc_id, h, no))
+    made = []
+    for doc_id, h, text in rows:
+        if not text:
+            made.append((doc_id, text))
+            continue
+        gone = {no for no, part in line_dedup.chunks(text) if seen[part] != (doc_id, h, no)}
+        made.append((doc_id, line_dedup.without(text, gone)[0]))
+    return sorted(made, key=str)
+
+
+def hashed(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    return [tuple(r) for r in frame.selectExpr("doc_id", "xxhash64(text)", "text").collect()]
+
+
+def test_random_texts_equal_brute_force(spark):
+    draw = random.Random(5)
+    lines = [f"line {i} with some words" for i in range(40)] + ["w " * 60, "", " "]
+    rows = [(i, "\n".join(draw.choices(lines, k=draw.randint(0, 30)))) for i in range(120)]
+    rows += [(500, rows[3][1]), (500, rows[3][1]), (501, None), (502, ""), (503, "x\n" * 5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.remove_repeated_chunks(frame).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(hashed(spark, rows))
+
+
+def test_registered_query_equals_brute_force(spark, sf):
+    rows = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    got = queries.op5_line_dedup(spark, sf).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(hashed(spark, rows))
+    assert sum(r.n_chunks_removed for r in got) > 0
+
+
+def test_inserted_line_moves_few_boundaries():
+    lines = [f"line {i}".encode() for i in range(400)]
+    cut = lambda ls: {b"\n".join(ls[s:e]) for s, e in line_dedup.bounds(ls)}
+    before, after = cut(lines), cut([*lines[:200], b"new", *lines[200:]])
+    assert len(before - after) <= 4
+
+
+def test_long_line_is_found_between_others(spark):
+    passage = " ".join(f"word{i}" for i in range(55))
+    rows = [(1, f"a b\n{passage}\nc d"), (2, f"e f\ng h\n{passage}"), (3, "clean one\nclean two")]
+    got = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in got.collect()} == {1: rows[0][1], 2: "e f\ng h", 3: rows[2][1]}
+
+
+def test_clashing_names_nulls_and_empty_table(spark):
+    rows = [(1, "a\nb\nc\nd", "x", 7, None), (2, "a\nb\nc\nd", None, None, "p"), (None, "a\nb\nc\nd", "y", 1, "q"), (None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, COLUMNS)
+    got = line_dedup.remove_repeated_chunks(frame, counts=("chunks", "lines"))
+    assert got.columns == [*frame.columns, "chunks", "lines"]
+    assert got.count() == 4
+    kept = [r for r in got.collect() if r.text == "a\nb\nc\nd"]
+    assert [r.doc_id for r in kept] == [None]  # null ids come first
+    assert line_dedup.remove_repeated_chunks(frame.limit(0)).count() == 0
