@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import line_dedup, quality_rules
+from seriesmill.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
 from seriesmill.llm.common import scratch, table
 
 
@@ -22,10 +23,31 @@ def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the least doc_id."""
+    return jaccard_join.one_of_each(docs)
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences, with a checksum of their ids."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 #: (name, function of the session, the documents and the folder of the tables).
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", good_documents),
     ("line dedup", new_lines),
+    ("n-gram Jaccard join", distinct_documents),
+    ("benchmark decontamination", clean_documents),
+    ("packing", packed),
 ]
 
 #: The model of the first stage is fitted by iteration, which SQL can't express.

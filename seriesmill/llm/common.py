@@ -38,21 +38,26 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again: computed once, lineage cut."""
     folder = scratch(rows.sparkSession, name)
-    rows.write.parquet(folder)
+    rows.write.option("compression", "zstd").parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def arrow_batches(rows: DataFrame) -> DataFrame:
+    """The rows; Python workers get them in small batches."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return rows
+
+
 def arrow_rows(
     rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str
 ) -> DataFrame:
     """``mapInArrow`` with small batches, one result batch for each."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield function(batch)
 
-    return rows.mapInArrow(each, schema)
+    return arrow_batches(rows).mapInArrow(each, schema)
 
 
 def extended(
@@ -97,3 +102,23 @@ def position(pid: str = "pid", idx: str = "idx") -> list[Column]:
     """Number of the partition, and of the row within it. Only of use if written at once."""
     row = F.monotonically_increasing_id()
     return [F.shiftright(row, 33).alias(pid), row.bitwiseAND((1 << 33) - 1).alias(idx)]
+
+
+#: Rows of a side that may be broadcast; a longer one is shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of a stored table, marked for a broadcast if they are ``most`` at most.
+
+    The count comes from the Parquet files' footers.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def ascii_lower(word: Column) -> Column:
+    """A-Z in lower case, all else as it is; ``lower`` would change other letters too."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(
+        F.translate(word, capitals, capitals.lower())
+    )

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import itertools
 import math
-from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.llm.common import documents_only, extended, free_name, stored
+from seriesmill.llm.weak import VoteModel, estimate
 
 #: Measures of a text. The first five are exact counts, the others serve the rules.
 MEASURES = T.StructType(
@@ -136,59 +136,14 @@ def votes(m: str) -> Column:
     return F.concat(*((v + 1).cast("string") for v in map(rules(m).__getitem__, RULES)))
 
 
-@dataclass(frozen=True)
-class RuleModel:
-    """Log odds of good against bad: ``prior``, and ``weights[rule][vote]`` with votes as 0, 1, 2."""
-
-    prior: float
-    weights: tuple[tuple[float, float, float], ...]
-
-    def log_odds(self, pattern: Column) -> Column:
-        total = F.lit(self.prior)
-        for i, weights in enumerate(self.weights):
-            digit = F.substring(pattern, i + 1, 1)
-            total = total + F.when(digit == "0", weights[0]).when(digit == "2", weights[2]).otherwise(weights[1])
-        return total
-
-    def probability(self, pattern: Column) -> Column:
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.log_odds(pattern)))
-
-
-def estimate(patterns: list[tuple[str, int]], rounds: int = 60) -> RuleModel:
-    """Expectation-maximisation over counts of vote patterns.
-
-    Starts from the share of good among the votes given, which also fixes which of the two classes is
-    the good one. Counts are smoothed by one, so that no vote is ever certain.
-    """
-    k = len(RULES)
-    if not patterns:
-        return RuleModel(0.0, ((0.0, 0.0, 0.0),) * k)
-    digits = np.array([[int(c) for c in p] for p, _ in sorted(patterns)])
-    counts = np.array([n for _, n in sorted(patterns)], float)
-    onehot = np.stack([digits == v for v in range(3)], axis=2).astype(float)
-    bad, good = (digits == 0).sum(1), (digits == 2).sum(1)
-    posterior = (good + 1) / (good + 3 * bad + 2)
-    for _ in range(rounds):
-        total = np.array([(counts * (1 - posterior)).sum(), (counts * posterior).sum()])
-        prior = (total + 1) / (total.sum() + 2)
-        given = [
-            (np.einsum("p,pkv->kv", counts * share, onehot) + 1) / (t + 3)
-            for share, t in ((1 - posterior, total[0]), (posterior, total[1]))
-        ]
-        weights = np.log(given[1]) - np.log(given[0])
-        odds = np.log(prior[1] / prior[0]) + np.einsum("kv,pkv->p", weights, onehot)
-        posterior = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-    return RuleModel(float(np.log(prior[1] / prior[0])), tuple(tuple(map(float, w)) for w in weights))
-
-
-def fit(measured: DataFrame, m: str) -> RuleModel:
+def fit(measured: DataFrame, m: str) -> VoteModel:
     """The model of a table with a struct ``m`` of measures, from all its rows.
 
     To the driver come counts of vote patterns: 3 to the number of rules (59,049) rows at most,
     whatever the size of the table; in practice a few hundred.
     """
     counts = measured.groupBy(votes(m).alias("pattern")).agg(F.count(F.lit(1)).alias("n")).collect()
-    return estimate([(r["pattern"], r["n"]) for r in counts])
+    return estimate([(r["pattern"], r["n"]) for r in counts], len(RULES))
 
 
 def base_failed(m: str) -> Column:

@@ -1,0 +1,85 @@
+"""Benchmark passages against SQL and plain loops."""
+
+import random
+import re
+
+from oracle import differences
+from seriesmill.llm import decontaminate, queries
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        size = min(10, len(w))
+        for s in range(len(w) - size + 1 if w else 0):
+            windows.setdefault(tuple(w[s : s + size]), set()).add("" if item is None else str(item))
+    sizes = {len(k) for k in windows}
+    made = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for size in sizes:
+            for s in range(len(w) - size + 1):
+                if (ids := windows.get(tuple(w[s : s + size]))):
+                    found |= ids
+                    hit |= set(range(s, s + size))
+        made.append((doc, len(w), len(hit), sorted(found)))
+    return sorted(made, key=str)
+
+
+def check(spark, docs, items):
+    got = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS hash", "1 AS id", "2 AS term"),
+        spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS off", "'y' AS item"),
+    ).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.items) for r in got), key=str) == brute(docs, items)
+    return {r.doc_id: r for r in got}
+
+
+def test_query_equals_sql(spark, sf):
+    frame = queries.op9_decontamination(spark, sf)
+    assert differences(frame, sf, queries.SQL["op9_decontamination"]) is None
+
+
+def test_query_runs_no_python(spark, sf):
+    plan = queries.op9_decontamination(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_random_texts_equal_brute_force(spark):
+    draw = random.Random(9)
+    vocabulary = ["the", "of", "École", "école", "É", "x1", *(f"w{i}" for i in range(60))]
+    items = [(i, " ".join(draw.choices(vocabulary, k=draw.choice([3, 9, 10, 11, 25])))) for i in range(25)]
+    docs = []
+    for i in range(150):
+        parts = [" ".join(draw.choices(vocabulary, k=draw.randint(0, 40)))]
+        if draw.random() < 0.5:
+            w = draw.choice(items)[1].split()
+            parts.append(", ".join(w[draw.randint(0, 4) :]).upper() if draw.random() < 0.3 else " ".join(w))
+        docs.append((i, "-".join(parts)))
+    items += [(70, None), (71, ""), (None, "null item of three words"), (3, items[3][1]), (3, items[4][1])]
+    docs += [(800, None), (801, ""), (802, "!!"), (5, docs[5][1]), (5, docs[6][1]), (None, items[0][1]), (None, "w1")]
+    docs += [(900, "the of " * 3000 + items[1][1])]
+    check(spark, docs, items)
+
+
+def test_proximity(spark):
+    item = [f"q{i}" for i in range(12)]
+    changed = [*item[:4], "other", *item[5:]]
+    got = check(spark, [(1, " ".join(changed)), (2, " ".join(item[6:]))], [(1, " ".join(item))])
+    assert (got[1].n_items, got[1].n_near_items, got[2].n_near_items) == (0, 1, 0)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert decontaminate.contamination(docs.limit(0), items).count() == 0
+    assert [r.contaminated for r in decontaminate.contamination(docs, items.limit(0)).collect()] == [False]
+    assert decontaminate.without_contaminated(docs, items).count() == 0
+    assert decontaminate.without_contaminated(docs, items.limit(0)).columns == docs.columns

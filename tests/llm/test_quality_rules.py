@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from seriesmill.llm import quality_rules, queries
 from seriesmill.llm.common import table
+from seriesmill.llm.weak import estimate
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -57,11 +58,10 @@ def test_verdicts_agree_with_labels(spark):
 
 
 def test_estimate_needs_no_rows_and_is_stable():
-    model = quality_rules.estimate([])
-    assert model.prior == 0.0
     k = len(quality_rules.RULES)
+    assert estimate([], k).prior == 0.0
     patterns = [("2" * k, 90), ("0" * k, 10), ("1" * k, 5)]
-    assert quality_rules.estimate(patterns) == quality_rules.estimate(patterns[::-1])
+    assert estimate(patterns, k) == estimate(patterns[::-1], k)
 
 
 def test_nulls_ties_clashing_columns_and_empty_table(spark):
