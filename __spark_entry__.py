@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from seriesmill.functions.codec import (
     decode_records,
     decode_samples,
-    encode_records,
     encode_samples,
     with_sample_id,
 )
@@ -35,10 +35,10 @@ from seriesmill.operators.sliding import (
 )
 from seriesmill.plans.jobs import (
     interval_report,
+    run_ingest_job,
     run_interval_job,
     run_last_known_value_job,
     run_lookback_job,
-    run_rejects_job,
     run_sliding_job,
     run_sliding_updates_job,
     sliding_report,
@@ -51,7 +51,13 @@ from seriesmill.schemas import (
     WINDOW_AGGREGATE,
 )
 from seriesmill.sources import star_schema
-from seriesmill.sources.readers import json_source, parquet_source, read_samples, read_sensor_points
+from seriesmill.sources.readers import (
+    json_source,
+    parquet_source,
+    read_messages,
+    read_samples,
+    read_sensor_points,
+)
 from seriesmill.sources.sinks import (
     json_sink,
     parquet_sink,
@@ -74,6 +80,9 @@ MONTH = 30 * 24 * 60  # minutes
 DAY = 24 * 60
 MULTI_FREQUENCIES = (60, DAY, MONTH)
 UNEVEN_FREQUENCIES = (420, 7 * DAY, MONTH)  # neither of the first two divides a month
+STREAM_PARTS = 4
+# The streams of intervals end before the data do.
+STREAM_END = 1706270400  # 2024-01-26T12:00:00Z
 RANGE_START, RANGE_END = 1704672000, 1705881600  # 2024-01-08 and 2024-01-22, UTC
 
 
@@ -94,19 +103,34 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of four parts in order of time, one in ten rows a part late."""
     _utc(spark)
-    schema = star_schema.table(spark, sf, "events").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return star_schema.samples_from_events(files.parquet(sf))
+    events = star_schema.table(spark, sf, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(seconds), F.max(seconds)).first()
+    part = F.floor((seconds - low) * STREAM_PARTS / (high - low + 1))
+    late = (F.pmod(F.xxhash64("user_id", "ts"), F.lit(10)) == 0).cast("long")
+    parts = events.withColumn("part", F.least(part + late, F.lit(STREAM_PARTS - 1)))
+    folder = _work_folder(spark, "events")
+    for number in range(STREAM_PARTS):
+        # files are read in order of their time stamps
+        parts.where(F.col("part") == number).drop("part").write.mode("append").parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    stream = spark.readStream.schema(events.schema)
+    stream = stream.option("maxFilesPerTrigger", max(1, files // STREAM_PARTS))
+    return star_schema.samples_from_events(stream.parquet(folder))
 
 
 _LOCAL_FOLDER: list[str] = []
 
 
 def _work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared folder; a local one only where none is set."""
+    """A new folder in the cluster's shared folder; only a local session may do without one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _LOCAL_FOLDER:
             _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="seriesmill-"))
         root = _LOCAL_FOLDER[0]
@@ -232,7 +256,9 @@ def _metric_stats(spark, sf):
 
 
 def _range_stats(spark, sf):
-    rows = samples_between(_samples(spark, sf), RANGE_START, RANGE_END)
+    _utc(spark)
+    pruned = star_schema.samples(spark, sf, RANGE_START, RANGE_END)
+    rows = samples_between(pruned, RANGE_START, RANGE_END)
     return _comparable(series_aggregates(rows, DELTA))
 
 
@@ -266,22 +292,8 @@ def _sliding_arrival(spark, sf):
 
 
 def _sliding_multi(spark, sf):
-    """All default windows at the default slide, summed up per series and length."""
-    rows = sliding_aggregates(_samples(spark, sf))
-    per_length = rows.groupBy(SERIES_KEY, "windowSeconds").agg(
-        F.count(F.lit(1)).alias("windows"),
-        F.min(F.unix_seconds("windowStart")).alias("firstStart"),
-        F.max(F.unix_seconds("windowEnd")).alias("lastEnd"),
-        F.sum("countOfSamples").alias("samplesInWindows"),
-        F.max("countOfSamples").alias("mostSamples"),
-        F.min("minValOfSamples").alias("leastValue"),
-        F.max("maxValOfSamples").alias("greatestValue"),
-        F.round(F.max("avgValOfSamples"), 9).alias("greatestAvg"),
-        F.round(F.max("sumValOfSamples"), 6).alias("greatestSum"),
-        F.round(F.max("stddevValOfSamples"), 6).alias("greatestStddev"),
-        F.count("stddevValOfSamples").alias("windowsWithStddev"),
-    )
-    return per_length
+    """All default windows at the default slide."""
+    return _comparable(sliding_aggregates(_samples(spark, sf)))
 
 
 def _panes(spark, sf):
@@ -298,7 +310,9 @@ def _pane_table(spark, sf):
 
 def _lookback(frequencies, plan="panes"):
     def query(spark, sf):
-        return _comparable(lookback_aggregates(_samples(spark, sf), AS_OF, frequencies, plan=plan))
+        _utc(spark)
+        recent = star_schema.samples(spark, sf, AS_OF - 60 * max(frequencies), AS_OF)
+        return _comparable(lookback_aggregates(recent, AS_OF, frequencies, plan=plan))
 
     return query
 
@@ -344,8 +358,49 @@ def _publish_windows(spark, sf):
 
 
 def _publish_intervals(spark, sf):
+    folder = _work_folder(spark, "intervals")
     report = interval_report(_samples(spark, sf), _points(spark, sf), AS_OF, (DAY, MONTH))
-    return _comparable(decode_records(encode_records(report), INTERVAL_AGGREGATE))
+    write_batch(report, json_sink(folder))
+    return _comparable(decode_records(spark.read.text(folder), INTERVAL_AGGREGATE))
+
+
+def _publish_last_known_value(spark, sf):
+    """Last known values as JSON messages in wire names, reduced to the newest when read back."""
+    folder = _work_folder(spark, "last-known-value-json")
+    query = run_last_known_value_job(
+        _sample_stream(spark, sf), json_sink(f"{folder}/out"), mode="update", checkpoint=folder, drain=True
+    )
+    _finish(query)
+    published, _ = read_samples(spark, json_source(f"{folder}/out"))
+    return _sample_rows(last_known_value(published))
+
+
+def _null_values(spark, sf):
+    """Samples of which those of one kind have no value: rows and samples by operator, and rejects."""
+    folder = _work_folder(spark, "nulls")
+    damaged = _samples(spark, sf).withColumn("value", F.when(F.col("metric") != "view", F.col("value")))
+    damaged.write.parquet(folder)
+    checked, rejects = read_samples(spark, parquet_source(folder))
+    raw = spark.read.parquet(folder)
+    counted = {
+        "sliding": sliding_aggregates(raw, [DAY], 60),
+        "windowed": windowed_aggregates(raw, DAY, 60),
+        "lookback": lookback_aggregates(raw, AS_OF, [60, MONTH]),
+        "series": series_aggregates(raw),
+        "panes": pane_aggregates(raw, 60),
+        "last": last_known_value(raw).withColumn("countOfSamples", F.lit(1)),
+        "checked": checked.withColumn("countOfSamples", F.lit(1)),
+        "rejects": rejects.where("rejectReason = 'missing: value'").withColumn("countOfSamples", F.lit(0)),
+    }
+    parts = [
+        rows.agg(
+            F.lit(name).alias("operator"),
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum("countOfSamples"), F.lit(0)).cast("long").alias("samples"),
+        )
+        for name, rows in counted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _publish_samples(spark, sf):
@@ -356,14 +411,14 @@ def _publish_samples(spark, sf):
 
 
 def _stream_ingest(spark, sf):
-    """JSON files to a stream of samples in a Parquet folder."""
+    """JSON files to a stream of samples, published as JSON, and of rejects in a Parquet folder."""
     folder = _work_folder(spark, "ingest")
     _messages(spark, sf).write.text(f"{folder}/in")
-    good, rejects = read_samples(spark, json_source(f"{folder}/in"), streaming=True)
-    _finish(
-        run_rejects_job(rejects, parquet_sink(f"{folder}/rejects"), checkpoint=folder, drain=True)
-    )
-    return spark.read.parquet(f"{folder}/rejects")
+    messages = read_messages(spark, json_source(f"{folder}/in", maxFilesPerTrigger="1"), streaming=True)
+    good, rejects = json_sink(f"{folder}/good"), parquet_sink(f"{folder}/rejects")
+    _finish(run_ingest_job(messages, good, rejects, checkpoint=folder, drain=True))
+    samples = spark.read.text(f"{folder}/good").select("value", F.lit(None).cast("string").alias("rejectReason"))
+    return samples.unionByName(spark.read.parquet(f"{folder}/rejects").drop("batch"))
 
 
 def _stream_sliding(spark, sf):
@@ -390,12 +445,12 @@ def _stream_sliding_panes(spark, sf):
         table_sink(f"{folder}/out"),
         windows=[DAY, 7 * DAY],
         period=6 * 60,
-        lateness=15,
         checkpoint=folder,
         drain=True,
     )
     _finish(query)
-    return _comparable(spark.read.parquet(f"{folder}/out").drop("batch"))
+    keys = ("pointId", "timestampStartOfWindow", "timestampEndOfWindow")
+    return _comparable(read_latest(spark, f"{folder}/out", keys))
 
 
 def _stream_intervals(spark, sf):
@@ -408,6 +463,7 @@ def _stream_intervals(spark, sf):
         period=6 * 60,
         checkpoint=folder,
         drain=True,
+        clock=lambda: STREAM_END,
     )
     _finish(*queries)
     keys = ("pointId", "timestampStartOfWindow", "timestampEndOfWindow")
@@ -503,6 +559,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_windows": _publish_windows,
         "publish_intervals": _publish_intervals,
         "publish_samples": _publish_samples,
+        "publish_last_known_value": _publish_last_known_value,
+        "null_values": _null_values,
         "stream_ingest": _stream_ingest,
         "stream_sliding": _stream_sliding,
         "stream_sliding_panes": _stream_sliding_panes,
@@ -614,35 +672,36 @@ def _multi_sql() -> str:
     parts = " UNION ALL ".join(
         f"(WITH {_windows_sql(w * 60, 900)} SELECT * FROM windows)" for w in (60, DAY, 7 * DAY)
     )
-    return f"""WITH {_SAMPLES_SQL}, every AS ({parts})
-SELECT "timeseriesId", "windowSeconds", count(*) AS "windows",
-       min("windowStart") AS "firstStart", max("windowEnd") AS "lastEnd",
-       cast(sum("countOfSamples") AS bigint) AS "samplesInWindows",
-       max("countOfSamples") AS "mostSamples", min("minValOfSamples") AS "leastValue",
-       max("maxValOfSamples") AS "greatestValue", max("avgValOfSamples") AS "greatestAvg",
-       max("sumValOfSamples") AS "greatestSum", max("stddevValOfSamples") AS "greatestStddev",
-       count("stddevValOfSamples") AS "windowsWithStddev"
-FROM every GROUP BY "timeseriesId", "windowSeconds\""""
+    return f"WITH {_SAMPLES_SQL} {parts}"
+
+
+def _null_sql() -> str:
+    counted = {
+        "sliding": f"(WITH {_windows_sql(DAY * 60, 3600)} SELECT \"countOfSamples\" FROM windows)",
+        "windowed": f"(WITH {_windows_sql(DAY * 60, 3600)} SELECT \"countOfSamples\" FROM windows)",
+        "lookback": f"(WITH {_lookback_rows_sql([60, MONTH])} SELECT \"countOfSamples\" FROM lookback)",
+        "series": '(SELECT count(*) AS "countOfSamples" FROM samples GROUP BY "timeseriesId")',
+        "panes": """(SELECT count(*) AS "countOfSamples" FROM samples
+            GROUP BY "timeseriesId", "ingestUnixTimestamp" // 3600)""",
+        "last": '(SELECT DISTINCT "timeseriesId", 1 AS "countOfSamples" FROM samples)',
+        "checked": '(SELECT 1 AS "countOfSamples" FROM samples)',
+        "rejects": """(SELECT 0 AS "countOfSamples" FROM every WHERE metric = 'view')""",
+    }
+    parts = " UNION ALL ".join(
+        f"""SELECT '{name}' AS "operator", count(*) AS n,
+            cast(coalesce(sum("countOfSamples"), 0) AS bigint) AS samples FROM {rows}"""
+        for name, rows in counted.items()
+    )
+    every = _SAMPLES_SQL.replace("samples AS", "every AS")
+    return f"WITH {every}, samples AS (SELECT * FROM every WHERE metric <> 'view') {parts}"
 
 
 def _stream_panes_sql() -> str:
-    slide, lateness = 6 * 3600, 15 * 60
     parts = " UNION ALL ".join(
-        f"(WITH {_windows_sql(w, slide)} SELECT * FROM windows)" for w in (86400, 7 * 86400)
-    )
-    # A pane is closed once the newest sample is `lateness` past its end.
-    return (
-        f"""WITH {_SAMPLES_SQL}, {_POINTS_SQL}, every AS ({parts}),
-closed AS (
-  SELECT max("ingestUnixTimestamp" - "ingestUnixTimestamp" % {slide} + {slide}) AS upto
-  FROM samples
-  WHERE "ingestUnixTimestamp" - "ingestUnixTimestamp" % {slide} + {slide}
-        <= (SELECT max("ingestUnixTimestamp") FROM samples) - {lateness}
-)"""
-        + _record_sql(
-            "stddevValOfSamples", "every", 'WHERE "windowEnd" <= (SELECT upto FROM closed)'
-        )
+        f"(WITH {_windows_sql(w, 6 * 3600)} SELECT * FROM windows)" for w in (86400, 7 * 86400)
     )
+    every = f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, every AS ({parts})"
+    return every + _record_sql("stddevValOfSamples", "every")
 
 
 def _stream_intervals_sql() -> str:
@@ -651,7 +710,7 @@ def _stream_intervals_sql() -> str:
     return (
         f"""WITH {_SAMPLES_SQL}, {_POINTS_SQL}, every AS (
 (WITH {hour} SELECT * FROM windows) UNION ALL (WITH {day} SELECT * FROM windows))"""
-        + _record_sql("delta", "every")
+        + _record_sql("delta", "every", f'WHERE "windowEnd" <= {STREAM_END}')
     )
 
 
@@ -680,6 +739,12 @@ SELECT start || '"val":1.5,"timestamp":"' || second || '.000+05:30",' || '"Metri
          || '",' || rest, 'malformed'
 FROM messages WHERE metric = 'purchase'"""
 
+_INGEST_SQL = f"""{_REJECTS_SQL}
+UNION ALL
+SELECT start || '"val":1.5,"timestamp":"' || second || '.000Z",' || '"Metric":"' || metric || '",'
+         || rest, NULL
+FROM messages WHERE metric NOT IN ('error', 'view', 'signup', 'purchase')"""
+
 _LAST_VALUE_SQL = f"""WITH {_SAMPLES_SQL}
 SELECT id, "timeseriesId", value, metric, "timeOffset", "unixTimestamp", "ingestUnixTimestamp",
        "timestampMillis"
@@ -769,7 +834,9 @@ def oracle_sql() -> dict[str, str]:
         "publish_windows": _sliding_sql(7 * DAY, DAY),
         "publish_intervals": day_report,
         "publish_samples": _SAMPLE_ROWS_SQL,
-        "stream_ingest": _REJECTS_SQL,
+        "publish_last_known_value": _LAST_VALUE_SQL,
+        "null_values": _null_sql(),
+        "stream_ingest": _INGEST_SQL,
         "stream_sliding": _sliding_sql(60, 15),
         "stream_sliding_panes": _stream_panes_sql(),
         "stream_intervals": _stream_intervals_sql(),

@@ -67,7 +67,11 @@ def decode_samples(
     messages: DataFrame, arrival: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Split JSON messages into typed samples and rejects."""
-    parsed = parse_samples(messages, arrival)
+    return split_parsed(parse_samples(messages, arrival), arrival)
+
+
+def split_parsed(parsed: DataFrame, arrival: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Samples and rejects of what :func:`parse_samples` gave."""
     extra = ["arrivalTime"] if arrival is not None else []
     good = parsed.where(F.col("rejectReason").isNull()).select(*SAMPLE_COLUMNS, *extra)
     rejects = parsed.where(F.col("rejectReason").isNotNull()).select(
@@ -76,6 +80,15 @@ def decode_samples(
     return good, rejects
 
 
+def check_samples(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split typed rows into samples and rejects by the rule for messages: no field is null."""
+    missing = F.concat_ws(",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in SAMPLE_COLUMNS])
+    rejects = rows.where(missing != "").select(
+        json_value(list(SAMPLE_COLUMNS)), F.concat(F.lit("missing: "), missing).alias("rejectReason")
+    )
+    return rows.where(missing == ""), rejects
+
+
 def json_value(columns: list[str]) -> Column:
     return F.to_json(F.struct(*columns), WRITE_OPTIONS).alias("value")
 

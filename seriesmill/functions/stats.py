@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.schemas import INGEST_TIME
@@ -13,6 +15,7 @@ DELTA = "delta"
 # Name of the statistic in the published record.
 STAT_COLUMN = {STDDEV: "stddevValOfSamples", DELTA: "delta"}
 
+# Names and order of the statistics in the published record.
 BASIC_COLUMNS = (
     "countOfSamples",
     "minValOfSamples",
@@ -38,6 +41,15 @@ def order_key(order: str = "total") -> Column:
     raise ValueError(f"unknown order {order!r}")
 
 
+def usable(samples: DataFrame, *columns: str) -> DataFrame:
+    """The rows with a value, a series and a time: no field of a sample is ever null.
+
+    Sources put other rows with the rejects; here they are left out of every aggregate alike.
+    """
+    known = [F.col(name).isNotNull() for name in dict.fromkeys(("value", *columns))]
+    return samples.where(reduce(Column.__and__, known))
+
+
 def basic_exprs(value: str = "value") -> list[Column]:
     return [
         F.count(value).alias("countOfSamples"),
@@ -61,6 +73,20 @@ def last_expr(order: str = "total", value: str = "value") -> Column:
     return F.max_by(value, order_key(order))
 
 
+def first_key(order: str = "total") -> Column:
+    """Order and ``value`` of the oldest sample in one struct, to be merged by the least."""
+    return F.min(_ordered_value(order))
+
+
+def last_key(order: str = "total") -> Column:
+    """Order and ``value`` of the newest sample in one struct, to be merged by the greatest."""
+    return F.max(_ordered_value(order))
+
+
+def _ordered_value(order: str) -> Column:
+    return order_key(order) if order == "total" else F.struct(order_key(order), "value")
+
+
 def delta_expr(order: str = "total", value: str = "value") -> Column:
     """Newest value minus oldest value; 0 for a single sample."""
     return last_expr(order, value) - first_expr(order, value)

@@ -9,21 +9,26 @@ from seriesmill.functions.stats import BASIC_COLUMNS, STAT_COLUMN
 from seriesmill.schemas import POINT_FIELDS, SERIES_KEY
 
 
-# Points up to this many rows are broadcast: about 100 MB at 10 short strings a row.
-BROADCAST_ROWS = 250_000
+# Points whose plan promises at most so many bytes are broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def fits_broadcast(points: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the dimension has at most ``rows`` rows; reads hardly more than that."""
-    return points.select(SERIES_KEY).limit(rows + 1).count() <= rows
+def fits_broadcast(points: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the dimension has at most ``most`` bytes by the statistics of its plan.
+
+    No job is started. For files these are their sizes; for joins Spark multiplies the sizes of both
+    sides, so that only small tables pass, and no large one does.
+    """
+    plan = points._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= most
 
 
 def enrich(aggregates: DataFrame, points: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Inner join on the series; one row per matching point.
 
     A dimension of checked size is broadcast; ``broadcast`` hands in a check made
-    before. A larger one is joined by shuffle and sort, where Spark splits hot
-    series at run time. The aggregates are never broadcast: window expansion
+    before. Another one is joined by shuffle and sort, where Spark splits hot
+    series at run time in batch; there is one row per series and window on that side. The aggregates are never broadcast: window expansion
     makes them far larger than the files that Spark estimates their size from.
     Aggregates are joined, not samples, so there is one row per series and window.
     """

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.functions.stats import order_key
-from seriesmill.schemas import SAMPLE_COLUMNS, SERIES_KEY
+from seriesmill.functions.stats import order_key, usable
+from seriesmill.schemas import INGEST_TIME, SAMPLE_COLUMNS, SERIES_KEY
 
 
 def last_known_value(samples: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def last_known_value(samples: DataFrame) -> DataFrame:
     a large share of the samples costs no more there than any other.
     """
     newest = F.max_by(F.struct(*SAMPLE_COLUMNS), order_key()).alias("newest")
-    return samples.groupBy(SERIES_KEY).agg(newest).select("newest.*")
+    return usable(samples, SERIES_KEY, INGEST_TIME).groupBy(SERIES_KEY).agg(newest).select("newest.*")
 
 
 def advance_last_known_value(known: DataFrame, samples: DataFrame) -> DataFrame:

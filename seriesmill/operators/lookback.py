@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.functions.stats import DELTA, first_expr, last_expr, stat_exprs
+from seriesmill.functions.stats import DELTA, basic_exprs, first_key, last_key, stat_exprs, usable
 from seriesmill.functions.timeunits import durations, epoch_seconds
 from seriesmill.operators.series import samples_between
 from seriesmill.schemas import INGEST_TIME, SERIES_KEY
@@ -39,7 +39,7 @@ def lookback_aggregates(
     lengths = durations(frequencies)
     end = epoch_seconds(as_of)
     horizon = lengths[-1]
-    recent = samples_between(samples, end - horizon, end, time_col)
+    recent = samples_between(usable(samples, *keys, time_col), end - horizon, end, time_col)
     age = F.lit(end - 1) - F.col(time_col)  # 0 for the newest second
     every_length = F.explode(F.array(*[F.lit(n).cast("bigint") for n in lengths]))
 
@@ -53,34 +53,55 @@ def lookback_aggregates(
     elif plan == "panes":
         step = math.gcd(*lengths)
         panes = (
-            recent.withColumn("age", age - F.pmod(age, F.lit(step)))
-            .groupBy(*keys, "age")
-            .agg(
-                F.count("value").alias("n"),
-                F.min("value").alias("least"),
-                F.max("value").alias("greatest"),
-                F.sum("value").alias("total"),
-                first_expr(order).alias("oldest"),
-                last_expr(order).alias("newest"),
-            )
-        )
-        grouped = (
-            panes.withColumn("windowSeconds", every_length)
-            .withColumn("paneAge", F.col("age"))
-            .withColumn("age", F.col("paneAge") - F.pmod("paneAge", "windowSeconds"))
-            .groupBy(*keys, "windowSeconds", "age")
-            .agg(
-                F.sum("n").alias("countOfSamples"),
-                F.min("least").alias("minValOfSamples"),
-                F.max("greatest").alias("maxValOfSamples"),
-                (F.sum("total") / F.sum("n")).alias("avgValOfSamples"),
-                F.sum("total").alias("sumValOfSamples"),
-                (F.min_by("newest", "paneAge") - F.max_by("oldest", "paneAge")).alias("delta"),
-            )
+            recent.withColumn("paneStart", F.lit(end - step) - age + F.pmod(age, F.lit(step)))
+            .groupBy(*keys, "paneStart")
+            .agg(*basic_exprs(), first_key(order).alias("oldest"), last_key(order).alias("newest"))
         )
+        return lookback_from_panes(panes, end, frequencies, keys, step)
     else:
         raise ValueError(f"unknown plan {plan!r}")
 
+    return _intervals(grouped, end, horizon, keys)
+
+
+def lookback_from_panes(
+    panes: DataFrame,
+    as_of: int | dt.datetime,
+    frequencies: Sequence[float],
+    keys: Sequence[str] = (SERIES_KEY,),
+    step: int | None = None,
+) -> DataFrame:
+    """The same intervals from panes with their oldest and newest samples.
+
+    ``step`` is the panes' length in seconds, by default the greatest common divisor of the
+    frequencies; it must divide each of these, and ``as_of`` must be the end of a pane.
+    """
+    lengths = durations(frequencies)
+    end, horizon = epoch_seconds(as_of), lengths[-1]
+    step = step or math.gcd(*lengths)
+    pane = F.col("paneStart")
+    grouped = (
+        panes.where((pane >= end - horizon) & (pane < end))
+        .withColumn("windowSeconds", F.explode(F.array(*[F.lit(n).cast("bigint") for n in lengths])))
+        .withColumn("paneAge", F.lit(end - step) - pane)
+        .withColumn("age", F.col("paneAge") - F.pmod("paneAge", "windowSeconds"))
+        .groupBy(*keys, "windowSeconds", "age")
+        .agg(
+            F.sum("countOfSamples").alias("countOfSamples"),
+            F.min("minValOfSamples").alias("minValOfSamples"),
+            F.max("maxValOfSamples").alias("maxValOfSamples"),
+            (F.sum("sumValOfSamples") / F.sum("countOfSamples")).alias("avgValOfSamples"),
+            F.sum("sumValOfSamples").alias("sumValOfSamples"),
+            F.min("oldest").alias("oldest"),
+            F.max("newest").alias("newest"),
+        )
+        .withColumn("delta", F.col("newest.value") - F.col("oldest.value"))
+        .drop("oldest", "newest")
+    )
+    return _intervals(grouped, end, horizon, keys)
+
+
+def _intervals(grouped: DataFrame, end: int, horizon: int, keys: Sequence[str]) -> DataFrame:
     interval_end = F.lit(end) - F.col("age")
     interval_start = interval_end - F.col("windowSeconds")
     return grouped.select(

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.functions.stats import STDDEV, stat_exprs
+from seriesmill.functions.stats import STDDEV, stat_exprs, usable
 from seriesmill.functions.timeunits import epoch_seconds
 from seriesmill.schemas import INGEST_TIME, SERIES_KEY
 
@@ -35,4 +35,4 @@ def series_aggregates(
     order: str = "total",
 ) -> DataFrame:
     """One row of statistics per series."""
-    return samples.groupBy(*keys).agg(*stat_exprs(stat, order))
+    return usable(samples, *keys).groupBy(*keys).agg(*stat_exprs(stat, order))

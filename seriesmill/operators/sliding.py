@@ -9,7 +9,8 @@ The pane plan avoids that:
 2. Time is cut into blocks as long as the window. Any window is then the tail of
    one block followed by the head of the next. Running aggregates from each end
    of a block give every tail and head, so a pane is handed on twice instead of
-   w/p times, and partial results are only ever added, never subtracted.
+   w/p times, and partial results are only ever added, never subtracted. Squares
+   around the mean are merged pairwise, see :func:`pane_runs`.
 3. Between two neighbouring changes a result stays the same. Statistics are
    computed once for such a run of windows and repeated for each window in it.
 
@@ -24,8 +25,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from seriesmill.functions.stats import STDDEV, basic_exprs, stat_exprs
+from pyspark.sql.window import Window
+
+from seriesmill.functions.stats import (
+    DELTA,
+    STDDEV,
+    basic_exprs,
+    first_key,
+    last_key,
+    stat_exprs,
+    usable,
+)
 from seriesmill.functions.timeunits import (
     durations,
     floor_to,
@@ -78,7 +88,7 @@ def windowed_aggregates(
 
 
 def _windowed(samples, length, step, stat, time_col, keys, order="total", watermark=None):
-    timed = with_event_time(samples, time_col)
+    timed = with_event_time(usable(samples, *keys, time_col), time_col)
     if watermark is not None:
         timed = timed.withWatermark("eventTime", watermark)
     span = F.window("eventTime", interval_text(length), interval_text(step))
@@ -97,20 +107,61 @@ def pane_aggregates(
     slide: float = DEFAULT_SLIDE,
     time_col: str = INGEST_TIME,
     keys: Sequence[str] = (SERIES_KEY,),
+    stat: str = STDDEV,
 ) -> DataFrame:
     """Mergeable statistics per series and slide.
 
-    ``paneStart`` is in epoch seconds. A sample always has a value, so a row
-    without one is no sample. The result may be written to a table and
-    merged later, see :func:`merge_panes`.
+    ``paneStart`` is in epoch seconds. The result may be written to a table and
+    merged later, see :func:`merge_panes`. ``stat`` says what it can be merged
+    to: the standard deviation, or the change with the oldest and newest sample.
     """
     step = minutes_to_seconds(slide)
     pane = floor_to(seconds_of(samples, time_col), step)
+    extra = {
+        STDDEV: [F.var_pop("value").alias("varianceOfSamples")],
+        DELTA: [first_key().alias("oldest"), last_key().alias("newest")],
+    }
     return (
-        samples.where(F.col("value").isNotNull())
+        usable(samples, *keys, time_col)
         .withColumn("paneStart", pane)
         .groupBy(*keys, "paneStart")
-        .agg(*basic_exprs(), F.var_pop("value").alias("varianceOfSamples"))
+        .agg(*basic_exprs(), *extra[stat])
+    )
+
+
+def fold_panes(
+    parts: DataFrame, keys: Sequence[str] = (SERIES_KEY,), stat: str = STDDEV
+) -> DataFrame:
+    """One pane per series and slide from several parts of it, such as those of micro-batches."""
+    pane = [*keys, "paneStart"]
+    folds = [
+        F.sum("countOfSamples").alias("countOfSamples"),
+        F.min("minValOfSamples").alias("minValOfSamples"),
+        F.max("maxValOfSamples").alias("maxValOfSamples"),
+        (F.sum("sumValOfSamples") / F.sum("countOfSamples")).alias("avgValOfSamples"),
+        F.sum("sumValOfSamples").alias("sumValOfSamples"),
+    ]
+    if stat == DELTA:
+        return parts.groupBy(*pane).agg(
+            *folds, F.min("oldest").alias("oldest"), F.max("newest").alias("newest")
+        )
+    whole = Window.partitionBy(*pane)
+    mean = F.sum("sumValOfSamples").over(whole) / F.sum("countOfSamples").over(whole)
+    distance = F.col("avgValOfSamples") - F.col("meanOfPane")
+    squares = F.col("countOfSamples") * (F.col("varianceOfSamples") + distance * distance)
+    return (
+        parts.withColumn("meanOfPane", mean)
+        .groupBy(*pane)
+        .agg(*folds, (F.sum(squares) / F.sum("countOfSamples")).alias("varianceOfSamples"))
+    )
+
+
+def _apart(count: str, total: str, other_count: str, other_total: str) -> str:
+    """What the distance of two means adds to the squares around them."""
+    # Divided last, as totals often are exact where means can't be.
+    distance = f"({total} * {other_count} - {other_total} * {count})"
+    return (
+        f"({distance} / {count}) * ({distance} / {other_count}) / ({count} + {other_count})"
     )
 
 
@@ -122,6 +173,7 @@ def pane_runs(
     ends_after: int | None = None,
     ends_until: int | None = None,
     partitions: int | None = None,
+    stat: str = STDDEV,
 ) -> DataFrame:
     """Sliding-window statistics from panes, one row per run of equal windows.
 
@@ -169,24 +221,34 @@ def pane_runs(
     whole = f"over ({in_order} rows between unbounded preceding and unbounded following)"
     after_here = f"over ({in_order} desc range between unbounded preceding and 1 preceding)"
 
-    # Squares are summed around the mean of the group, so that they stay small
-    # whatever the level of the values.
-    finite = "if(abs(sumValOfSamples) < double('infinity'), {}, null)"
-    centre = (
-        f"sum({finite.format('sumValOfSamples')}) {whole}"
-        f" / sum({finite.format('countOfSamples')}) {whole}"
-    )
-    moves = moves.selectExpr(
-        "*", f"avgValOfSamples - coalesce({centre}, 0D) as offCentre"
-    )
+    if stat == STDDEV:
+        # Squares around the mean are merged pane by pane: what a pane adds to those of the panes
+        # between it and the near end of its block. Only terms that are not negative are added, and
+        # only panes of one window meet, so that no other level of the values spoils a result.
+        before = f"over ({in_order} rows between unbounded preceding and 1 preceding)"
+        beyond = f"over ({in_order} desc rows between unbounded preceding and 1 preceding)"
+        moves = moves.selectExpr(
+            "*",
+            *[
+                f"if(inHead, sum(if(inHead, {value}, null)) {before},"
+                f" sum(if(inHead, null, {value})) {beyond}) as {name}"
+                for name, value in (("nearCount", "countOfSamples"), ("nearSum", "sumValOfSamples"))
+            ],
+        )
+        apart = _apart("nearCount", "nearSum", "countOfSamples", "sumValOfSamples")
+        moves = moves.selectExpr(
+            "*", f"countOfSamples * varianceOfSamples + if(nearCount > 0, {apart}, 0D) as addedSquares"
+        )
     parts = {
         "n": ("sum", "countOfSamples"),
         "total": ("sum", "sumValOfSamples"),
-        "shifted": ("sum", "countOfSamples * offCentre"),
-        "squares": ("sum", "countOfSamples * (varianceOfSamples + offCentre * offCentre)"),
         "least": ("min", "minValOfSamples"),
         "greatest": ("max", "maxValOfSamples"),
     }
+    if stat == STDDEV:
+        parts["squares"] = ("sum", "addedSquares")
+    else:
+        parts |= {"oldest": ("min", "oldest"), "newest": ("max", "newest")}
     frames = []
     for name, (fold, value) in parts.items():
         frames += [
@@ -205,8 +267,15 @@ def pane_runs(
     folded = folded.where("not change <=> previous")
 
     def both(name: str) -> str:
-        if name in ("least", "greatest"):
-            return f"{name}(tail_{name}, head_{name})"
+        if name in ("least", "greatest", "oldest", "newest"):
+            pick = "least" if name in ("least", "oldest") else "greatest"
+            return f"{pick}(tail_{name}, head_{name})"
+        if name == "squares":
+            apart = _apart("tail_n", "tail_total", "head_n", "head_total")
+            return (
+                "coalesce(tail_squares + head_squares"
+                f" + if(tail_n > 0 and head_n > 0, {apart}, 0D), tail_squares, head_squares)"
+            )
         return f"coalesce(tail_{name} + head_{name}, tail_{name}, head_{name})"
 
     first_end, last_end = f"block + {step}", "block + windowSeconds"
@@ -233,7 +302,6 @@ def pane_runs(
         "windowSeconds",
         f"inline(if({opens}, array({opening}, {here}), array({here})))",
     ).where("n > 0 and fromEnd <= toEnd")
-    spread = "greatest(squares - shifted * shifted / n, 0D)"
     return runs.selectExpr(
         *key_columns,
         "windowSeconds",
@@ -244,7 +312,9 @@ def pane_runs(
         "greatest as maxValOfSamples",
         "total / n as avgValOfSamples",
         "total as sumValOfSamples",
-        f"if(n > 1, sqrt({spread} / (n - 1)), null) as stddevValOfSamples",
+        "if(n > 1, sqrt(squares / (n - 1)), null) as stddevValOfSamples"
+        if stat == STDDEV
+        else "newest.value - oldest.value as delta",
     )
 
 
@@ -270,9 +340,10 @@ def merge_panes(
     ends_after: int | None = None,
     ends_until: int | None = None,
     partitions: int | None = None,
+    stat: str = STDDEV,
 ) -> DataFrame:
     """Sliding-window statistics from panes, one row per window; see :func:`pane_runs`."""
-    runs = pane_runs(panes, windows, slide, keys, ends_after, ends_until, partitions)
+    runs = pane_runs(panes, windows, slide, keys, ends_after, ends_until, partitions, stat)
     return expand_runs(runs, slide)
 
 
@@ -298,7 +369,8 @@ def sliding_aggregates(
 
     ``plan="panes"`` works as described above. ``plan="direct"`` gives each
     sample to each of its windows, which is faster if no window is longer than
-    ``DIRECT_SLIDES`` slides; ``auto`` chooses by that. The rows are the same.
+    ``DIRECT_SLIDES`` slides; ``auto`` chooses by that. The rows are the same, but for
+    the last digits of sums and deviations.
     """
     lengths, step = window_lengths(windows, slide)
     if plan == "auto":
@@ -307,7 +379,6 @@ def sliding_aggregates(
         panes = pane_aggregates(samples, slide, time_col, keys)
         return merge_panes(panes, windows, slide, keys, partitions=partitions)
     if plan == "direct":
-        valued = samples.where(F.col("value").isNotNull())
-        parts = [_windowed(valued, n, step, STDDEV, time_col, keys) for n in lengths]
+        parts = [_windowed(samples, n, step, STDDEV, time_col, keys) for n in lengths]
         return reduce(DataFrame.unionByName, parts)
     raise ValueError(f"unknown plan {plan!r}")

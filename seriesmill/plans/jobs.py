@@ -8,18 +8,20 @@ own name and checkpoint, below ``spark.checkpoint.dir`` unless a folder is given
 from __future__ import annotations
 
 import datetime as dt
+import math
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from seriesmill.functions.codec import encode_samples
+from seriesmill.functions.codec import encode_samples, parse_samples, split_parsed
 from seriesmill.functions.stats import DELTA, STDDEV
 from seriesmill.functions.timeunits import durations, interval_text, minutes_to_seconds
 from seriesmill.operators.enrich import enrich, fits_broadcast, to_output
 from seriesmill.operators.lastvalue import last_known_value
-from seriesmill.operators.lookback import lookback_aggregates
+from seriesmill.operators.lookback import lookback_aggregates, lookback_from_panes
 from seriesmill.operators.sliding import (
     DEFAULT_SLIDE,
     DEFAULT_WINDOWS,
@@ -30,13 +32,9 @@ from seriesmill.operators.sliding import (
     use_direct,
 )
 from seriesmill.schemas import INGEST_TIME
-from seriesmill.sources.dated import append_dated, read_dated
 from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
-from seriesmill.streaming.panes import start_pane_query
-from seriesmill.streaming.windows import (
-    streaming_interval_aggregates,
-    streaming_sliding_aggregates,
-)
+from seriesmill.streaming.panes import Publisher, WindowPublisher, longest, run_publisher
+from seriesmill.streaming.windows import streaming_sliding_aggregates
 
 # Settings a session for these jobs should have. The state store keeps one row
 # per series or open window off the JVM heap.
@@ -84,53 +82,59 @@ def _folder(root: str | None, name: str) -> str | None:
     return None if root is None else f"{root.rstrip('/')}/{name}"
 
 
+def _into(sink: Sink) -> Callable[[DataFrame, int], None]:
+    """Writes a publication to a sink; files go to a folder of its own, which a repetition replaces."""
+
+    def write(record: DataFrame, number: int) -> None:
+        if sink.kind == "table":
+            write_version(record, sink.location, number)
+        else:
+            write_batch(record, sink, number=number)
+
+    return write
+
+
 def run_sliding_job(
     samples: DataFrame,
     points: DataFrame,
     sink: Sink,
     windows: Sequence[float] = DEFAULT_WINDOWS,
     period: float = DEFAULT_SLIDE,
-    lateness: float = DEFAULT_SLIDE,
     pane_table: str | None = None,
     time_col: str = INGEST_TIME,
     checkpoint: str | None = None,
     drain: bool = False,
+    clock: Callable[[], float] = time.time,
     name: str = "sliding",
 ) -> StreamingQuery:
-    """All window lengths in one query; a window is published once, when closed.
+    """All window lengths in one query, from a table of panes; see :mod:`seriesmill.streaming.panes`.
 
-    Panes go to ``pane_table``, by default a folder beside the checkpoint.
+    A window is published once it has ended, and again whenever a late sample changes it. Panes go to
+    ``pane_table``, by default a folder beside the checkpoint. ``query.publisher.publish(as_of)``
+    publishes what is due when no samples arrive.
     """
-
     small = fits_broadcast(points)
     checkpoint = _folder(checkpoint, name) or checkpoint_for(samples.sparkSession, name)
-
-    def publish(closed: DataFrame, batch_id: int) -> None:
-        record = to_output(enrich(closed, points, small), STDDEV)
-        if sink.kind == "table":
-            write_version(record, sink.location, batch_id)
-        else:
-            write_batch(record, sink)
-
-    return start_pane_query(
-        samples,
+    write = _into(sink)
+    publisher = WindowPublisher(
+        samples.sparkSession,
         pane_table or f"{checkpoint}-panes",
-        publish,
-        name,
-        windows,
+        checkpoint,
         period,
-        lateness,
-        time_col,
-        checkpoint=checkpoint,
-        drain=drain,
+        longest(windows, period),
+        lambda rows, number: write(to_output(enrich(rows, points, small), STDDEV), number),
+        time_col=time_col,
+        clock=clock,
+        windows=windows,
     )
+    return run_publisher(publisher, samples, name, period, drain)
 
 
 def run_sliding_updates_job(
     samples: DataFrame,
     points: DataFrame,
     sink: Sink,
-    windows: Sequence[float] = DEFAULT_WINDOWS,
+    windows: Sequence[float],
     period: float = DEFAULT_SLIDE,
     lateness: float | None = None,
     mode: str = "update",
@@ -174,87 +178,98 @@ def run_interval_job(
     sink: Sink,
     frequencies: Sequence[float],
     period: float = 5,
-    mode: str = "update",
     time_col: str = INGEST_TIME,
     checkpoint: str | None = None,
     drain: bool = False,
+    clock: Callable[[], float] = time.time,
     name: str = "intervals",
 ) -> list[StreamingQuery]:
-    """One query per frequency; a late sample publishes its interval again."""
+    """One query per frequency; publishes ended intervals, and again those that a late sample changes.
+
+    With publications at multiples of the period, the intervals of all of them are the windows of
+    length f that start at each multiple of the shorter of f and the period, provided one divides the
+    other. They are merged from panes of that length. For other ratios use :func:`run_lookback_job`.
+    """
     durations(frequencies)
-    horizon = max(frequencies)
     small = fits_broadcast(points)
     queries = []
     for frequency in sorted(set(frequencies)):
-        length = minutes_to_seconds(frequency)
-        rows = streaming_interval_aggregates(samples, frequency, period, horizon, time_col)
-        record = to_output(enrich(rows, points, small), DELTA)
-        target = sink
-        if sink.kind in ("table", "json", "parquet") and len(set(frequencies)) > 1:
-            target = Sink(sink.kind, f"{sink.location}/frequency_{length}", sink.options)
+        length, step = minutes_to_seconds(frequency), minutes_to_seconds(period)
+        if length % step and step % length:
+            raise ValueError(f"neither of {length} s and {step} s divides the other")
+        several = sink.kind in ("table", "json", "parquet") and len(set(frequencies)) > 1
+        target = Sink(sink.kind, f"{sink.location}/frequency_{length}", sink.options) if several else sink
         query = f"{name}_{length}"
-        queries.append(
-            start(
-                record,
-                target,
-                query,
-                mode,
-                minutes_to_seconds(period),
-                _folder(checkpoint, query),
-                drain,
-            )
+        folder = _folder(checkpoint, query) or checkpoint_for(samples.sparkSession, query)
+        write = _into(target)
+        publisher = WindowPublisher(
+            samples.sparkSession,
+            f"{folder}-panes",
+            folder,
+            min(frequency, period),
+            length,
+            lambda rows, number, write=write: write(to_output(enrich(rows, points, small), DELTA), number),
+            DELTA,
+            time_col,
+            period=period,
+            clock=clock,
+            windows=[frequency],
         )
+        queries.append(run_publisher(publisher, samples, query, period, drain))
     return queries
 
 
+@dataclass
+class _LookbackPublisher(Publisher):
+    """Publishes every interval that the look-back at the time of publication has."""
+
+    frequencies: Sequence[float] = ()
+
+    def rows_at(self, as_of, before, upto_batch, bounds):
+        panes = self.panes(upto_batch, as_of - self.horizon, as_of)
+        step = minutes_to_seconds(self.slide)
+        return None if panes is None else lookback_from_panes(panes, as_of, self.frequencies, self.keys, step)
+
+
 def run_lookback_job(
     samples: DataFrame,
     points: DataFrame,
     sink: Sink,
     frequencies: Sequence[float],
     period: float = 5,
-    sample_table: str | None = None,
+    pane_table: str | None = None,
     checkpoint: str | None = None,
     drain: bool = False,
     clock: Callable[[], float] = time.time,
+    keep: bool = True,
     name: str = "lookback",
 ) -> StreamingQuery:
-    """Every interval of every frequency, computed anew and published by each batch.
+    """Every interval of every frequency, published anew for each batch.
 
-    Frequencies of any length fit, and late samples correct all intervals within
-    the longest one. Samples are kept in ``sample_table``, by default a folder
-    beside the checkpoint; a batch reads only the days of the longest frequency.
-    The batch time is the last multiple of the period on the clock; samples at or
-    after it wait for the next batch.
+    Frequencies of any length fit, and late samples correct all intervals within the longest one. The
+    batch time is the last multiple of the period on the clock; samples at or after it wait for the
+    next. Samples are kept as panes as long as the greatest common divisor of the period and the
+    frequencies, in ``pane_table``, by default a folder beside the checkpoint; a batch reads those of
+    the longest frequency. Without ``keep``, older days are removed.
     """
     lengths, step = durations(frequencies), minutes_to_seconds(period)
     small = fits_broadcast(points)
     checkpoint = _folder(checkpoint, name) or checkpoint_for(samples.sparkSession, name)
-    table = sample_table or f"{checkpoint}-samples"
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if append_dated(batch, table, batch_id, INGEST_TIME) is None:
-            return
-        now = int(clock()) // step * step
-        since = now - lengths[-1]
-        kept = read_dated(samples.sparkSession, table, batch_id, since, now)
-        if kept is None:  # all rows of the batch lie outside
-            return
-        intervals = lookback_aggregates(kept, now, frequencies)
-        record = to_output(enrich(intervals, points, small), DELTA)
-        if sink.kind == "table":
-            write_version(record, sink.location, batch_id)
-        else:
-            write_batch(record, sink)
-
-    writer = (
-        samples.writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(on_batch)
+    write = _into(sink)
+    publisher = _LookbackPublisher(
+        samples.sparkSession,
+        pane_table or f"{checkpoint}-panes",
+        checkpoint,
+        math.gcd(step, *lengths) / 60,
+        lengths[-1],
+        lambda rows, number: write(to_output(enrich(rows, points, small), DELTA), number),
+        DELTA,
+        period=period,
+        clock=clock,
+        keep=keep,
+        frequencies=frequencies,
     )
-    if drain:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval_text(step)).start()
+    return run_publisher(publisher, samples, name, period, drain)
 
 
 def run_last_known_value_job(
@@ -279,6 +294,40 @@ def run_last_known_value_job(
     )
 
 
+def run_ingest_job(
+    messages: DataFrame,
+    samples_sink: Sink,
+    rejects_sink: Sink,
+    period: float = 15,
+    checkpoint: str | None = None,
+    drain: bool = False,
+    name: str = "ingest",
+) -> StreamingQuery:
+    """Parse each message once; samples go to one sink, all others with their reason to another.
+
+    ``messages`` is what :func:`seriesmill.sources.readers.read_messages` gives.
+    """
+    checkpoint = _folder(checkpoint, name) or checkpoint_for(messages.sparkSession, name)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_samples(batch).persist()
+        try:
+            good, rejects = split_parsed(parsed)
+            write_batch(good, samples_sink, encode_samples, batch_id)
+            write_batch(rejects, rejects_sink, number=batch_id)
+        finally:
+            parsed.unpersist()
+
+    writer = (
+        messages.writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(on_batch)
+    )
+    if drain:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval_text(minutes_to_seconds(period))).start()
+
+
 def run_rejects_job(
     rejects: DataFrame,
     sink: Sink,

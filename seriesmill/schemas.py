@@ -46,6 +46,7 @@ REJECT = T.StructType(
 )
 
 
+# Names, order and types of the published records.
 def _aggregate_record(last_field: str) -> T.StructType:
     fields = [T.StructField(name, T.StringType()) for name in POINT_FIELDS]
     fields += [

@@ -1,44 +1,65 @@
-"""A growing Parquet table of timed rows, with a folder per day and micro-batch."""
+"""A growing Parquet table of timed rows, with a folder per run, day and micro-batch."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.sources.sinks import BATCH_COLUMN
 
 DAY = 24 * 60 * 60
 DAY_COLUMN = "day"
+#: Rows of a file, about; the number of files of a batch follows from it.
+ROWS_PER_FILE = 500_000
+
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run a checkpoint belongs to; a new checkpoint gives a new name.
+
+    Batch numbers start again with a new checkpoint, so rows of a table are only comparable
+    within one run.
+    """
+    place = f"{checkpoint}/run-name"
+    try:
+        return spark.read.text(place).first()[0]
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+    name = uuid.uuid4().hex
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(place)
+    return name
 
 
 def append_dated(
-    rows: DataFrame,
-    table: str,
-    batch_id: int,
-    time_col: str,
-    spread_by: Sequence[str] = (),
-    files_per_day: int = 16,
+    rows: DataFrame, table: str, batch_id: int, time_col: str, spread_by: Sequence[str] = ()
 ) -> tuple[int, int] | None:
     """Add the rows of a micro-batch; returns their first and last second.
 
-    ``time_col`` holds epoch seconds. A batch that runs again has the same rows
-    and replaces its own folders, so every row counts once. Days that are no
-    longer read may be removed. ``spread_by`` names columns by whose hash the rows
-    of a day are put into ``files_per_day`` files; without it each task writes its own.
+    ``time_col`` holds epoch seconds. A batch that runs again has the same rows and replaces its own
+    folders, so every row counts once. The rows of a day are put into as many files as their
+    number asks for, by the hash of the columns ``spread_by``.
     """
-    bounds = Observation()
     day = f"cast((`{time_col}` - pmod(`{time_col}`, {DAY})) / {DAY} as int) as {DAY_COLUMN}"
-    dated = rows.selectExpr("*", day, f"{batch_id}L as {BATCH_COLUMN}")
-    if spread_by:
-        slot = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_day))
-        dated = dated.repartition(DAY_COLUMN, slot)
-    dated = dated.observe(bounds, F.min(time_col).alias("low"), F.max(time_col).alias("high"))
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(DAY_COLUMN, BATCH_COLUMN).parquet(table)
-    low, high = bounds.get["low"], bounds.get["high"]
+    dated = rows.selectExpr("*", day, f"{batch_id}L as {BATCH_COLUMN}").persist()
+    try:
+        count, low, high = dated.agg(F.count(F.lit(1)), F.min(time_col), F.max(time_col)).first()
+        files = -(-count // ROWS_PER_FILE)
+        slot = F.pmod(F.xxhash64(*spread_by), F.lit(files)) if spread_by and files else F.lit(0)
+        parts = max(1, min(files * 4, count))
+        writer = dated.repartition(parts, DAY_COLUMN, slot).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(
+            DAY_COLUMN, BATCH_COLUMN
+        ).parquet(table)
+    finally:
+        dated.unpersist()
     return None if high is None else (low, high)
 
 
@@ -56,7 +77,22 @@ def read_dated(
     try:
         rows = spark.read.option("basePath", table).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not _missing(error):
             raise
         return None
     return rows.where(F.col(BATCH_COLUMN) <= batch_id).drop(DAY_COLUMN)
+
+
+def remove_days(spark: SparkSession, table: str, before: int) -> int:
+    """Delete the folders of the days that end before a second; returns how many.
+
+    For a table that is only read back to a horizon. Samples later than that start a day anew.
+    """
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = java(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = 0
+    for status in files.globStatus(java(f"{table}/{DAY_COLUMN}=*")) or ():
+        day = status.getPath().getName().partition("=")[2]
+        if day.lstrip("-").isdigit() and (int(day) + 1) * DAY <= before:
+            removed += bool(files.delete(status.getPath(), True))
+    return removed

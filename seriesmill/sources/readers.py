@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.functions.codec import decode_samples
+from seriesmill.functions.codec import check_samples, decode_samples
 from seriesmill.schemas import SENSOR_POINT, SENSOR_SAMPLE
 
 
@@ -65,13 +65,13 @@ def read_samples(
     source: SampleSource,
     streaming: bool = False,
     arrival: str | None = None,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Samples and, for JSON messages, the rejected ones.
+) -> tuple[DataFrame, DataFrame]:
+    """Samples and the rejected rows: messages that are no samples, rows with a null field.
 
     ``arrival="timestamp"`` keeps the Kafka record time as ``arrivalTime``, for
     windows by time of arrival instead of ingest time.
     """
     if source.kind == "parquet":
         reader = (spark.readStream if streaming else spark.read).options(**source.options)
-        return reader.schema(SENSOR_SAMPLE).parquet(source.location), None
+        return check_samples(reader.schema(SENSOR_SAMPLE).parquet(source.location))
     return decode_samples(read_messages(spark, source, streaming), arrival)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,21 +53,42 @@ def memory_sink(name: str) -> Sink:
 
 
 def write_batch(
-    rows: DataFrame, sink: Sink, encode: Callable[[DataFrame], DataFrame] = encode_records
+    rows: DataFrame,
+    sink: Sink,
+    encode: Callable[[DataFrame], DataFrame] = encode_records,
+    number: int | None = None,
 ) -> None:
-    """Append the rows of a batch query. A failed write fails the caller."""
+    """Write the rows of a batch query. A failed write fails the caller.
+
+    With a ``number`` files go to a folder of that number, which is replaced if it is there, so that a
+    batch that runs again counts once; without one they are appended. Kafka gets them again.
+    """
+    folder = sink.location if number is None else f"{sink.location}/{BATCH_COLUMN}={number}"
+    mode = "append" if number is None else "overwrite"
     if sink.kind == "kafka":
         encode(rows).write.format("kafka").options(**sink.options).save()
     elif sink.kind == "json":
-        encode(rows).write.mode("append").text(sink.location)
+        encode(rows).write.mode(mode).text(folder)
     elif sink.kind == "parquet":
-        rows.write.mode("append").parquet(sink.location)
+        rows.write.mode(mode).parquet(folder)
     else:
         raise ValueError(f"no batch write to {sink.kind!r}")
 
 
 def write_version(rows: DataFrame, path: str, batch_id: int) -> str:
-    """Write one micro-batch as its own folder of a table and name that folder."""
+    """Write one micro-batch as its own folder of a table and name that folder.
+
+    Versions are told apart by number alone, and numbers begin again with a new checkpoint. So the
+    first one is refused where later ones lie: those are of another run.
+    """
+    if batch_id == 0:
+        try:
+            later = rows.sparkSession.read.parquet(path).where(F.col(BATCH_COLUMN) > 0)
+            if not later.isEmpty():
+                raise ValueError(f"{path} has the versions of another run; name another folder")
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
     folder = f"{path}/{BATCH_COLUMN}={batch_id}"
     rows.write.mode("overwrite").parquet(folder)
     return folder
@@ -76,9 +98,17 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("bigint"))
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest version of each key in a table written by :func:`table_sink`."""
+def read_latest(
+    spark: SparkSession, path: str, keys: Sequence[str], where: Column | None = None
+) -> DataFrame:
+    """The newest version of each key in a table written by :func:`table_sink`.
+
+    ``where`` restricts the versions read, such as by a range of their time; it must hold for all
+    versions of a key or for none, and reaches the scan.
+    """
     versions = read_versions(spark, path)
+    if where is not None:
+        versions = versions.where(where)
     columns = [c for c in versions.columns if c != BATCH_COLUMN]
     newest = F.max_by(F.struct(*columns), BATCH_COLUMN).alias("newest")
     return versions.groupBy(*keys).agg(newest).select("newest.*")
@@ -133,5 +163,10 @@ def start(
         return writer.foreachBatch(
             lambda batch, batch_id: write_version(batch, sink.location, batch_id)
         ).start()
+    if sink.kind in ("json", "parquet") and mode != "append":
+        # file sinks only append; a folder for each batch takes changed rows as well
+        return writer.foreachBatch(
+            lambda batch, batch_id: write_batch(batch, sink, lambda rows: rows, batch_id)
+        ).start()
     formats = {"json": "text", "parquet": "parquet"}
     return writer.format(formats[sink.kind]).start(sink.location)

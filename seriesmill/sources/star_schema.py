@@ -6,6 +6,8 @@ points, so that every operator can run on tables any SQL engine can read too.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +39,20 @@ def samples_from_events(events: DataFrame) -> DataFrame:
     return with_sample_id(samples).select(*SAMPLE_COLUMNS)
 
 
-def samples(spark: SparkSession, folder: str) -> DataFrame:
-    return samples_from_events(table(spark, folder, "events"))
+def samples(
+    spark: SparkSession, folder: str, since: int | None = None, until: int | None = None
+) -> DataFrame:
+    """All samples, or those of the seconds from ``since`` to before ``until``.
+
+    The bounds are on the raw column, so they reach the scan.
+    """
+    events = table(spark, folder, "events")
+    kind = events.schema["ts"].dataType
+    for bound, compare in ((since, "__ge__"), (until, "__lt__")):
+        if bound is not None:
+            wall = dt.datetime.fromtimestamp(bound, dt.timezone.utc).replace(tzinfo=None)
+            events = events.where(getattr(F.col("ts"), compare)(F.lit(str(wall)).cast(kind)))
+    return samples_from_events(events)
 
 
 def _sites(spark: SparkSession, folder: str) -> DataFrame:

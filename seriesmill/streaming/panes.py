@@ -1,114 +1,194 @@
-"""Sliding windows over a stream through a table of panes.
+"""Windows and intervals over a stream through a table of panes.
 
-Spark's state store keeps only the panes that are still open, one or two rows
-per series. A closed pane is appended to a Parquet table, and every micro-batch
-merges the windows that end in its newly closed panes from that table, all
-window lengths at once. The cost of a micro-batch depends on the longest window,
-not on the age of the stream.
+Every micro-batch is reduced to panes, one row per series and slide, and appended to a Parquet table as
+it is: there is no state and no watermark, and a late sample is one more part of its pane. Parts are
+folded when they are read.
+
+A publication at a time T, a multiple of the slide, has all windows that ended after the publication
+before and up to T, and again those that ended earlier and hold a pane that the new micro-batch has added
+to. A micro-batch publishes once; without new samples :meth:`Publisher.publish` does.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from seriesmill.functions.stats import basic_exprs
+from seriesmill.functions.stats import STDDEV
 from seriesmill.functions.timeunits import interval_text, minutes_to_seconds
-from seriesmill.operators.sliding import merge_panes, window_lengths, with_event_time
+from seriesmill.operators.sliding import fold_panes, merge_panes, pane_aggregates, window_lengths
 from seriesmill.schemas import INGEST_TIME, SERIES_KEY
-from seriesmill.sources.dated import append_dated, read_dated
-from seriesmill.sources.sinks import BATCH_COLUMN, checkpoint_for
-
-
-def streaming_panes(
-    samples: DataFrame,
-    slide: float,
-    lateness: float,
-    time_col: str = INGEST_TIME,
-    keys: Sequence[str] = (SERIES_KEY,),
-) -> DataFrame:
-    """Pane statistics over a stream; in append mode each pane comes once, when closed."""
-    span = F.window("eventTime", interval_text(minutes_to_seconds(slide)))
-    return (
-        with_event_time(samples, time_col)
-        .withWatermark("eventTime", interval_text(minutes_to_seconds(lateness)))
-        .groupBy(*keys, span)
-        .agg(*basic_exprs(), F.var_pop("value").alias("varianceOfSamples"))
-        .withColumn("paneStart", F.unix_seconds("window.start"))
-        .drop("window")
-    )
+from seriesmill.sources.dated import _missing, append_dated, read_dated, remove_days, run_of
+from seriesmill.sources.sinks import BATCH_COLUMN
+
+
+@dataclass
+class Publication:
+    """The ``number``-th publication: of a micro-batch, or of none, at a time."""
 
+    number: int
+    batch: int
+    as_of: int
 
-def closed_windows(
-    spark: SparkSession,
-    table: str,
-    batch_id: int,
-    low: int,
-    high: int,
-    windows: Sequence[float],
-    slide: float,
-    keys: Sequence[str] = (SERIES_KEY,),
-) -> DataFrame:
-    """Windows that end after the panes of earlier batches, up to those of this batch.
-
-    ``low`` and ``high`` are the first and last pane of the batch. Later batches
-    in the table are ignored, so a batch that runs again gives the same windows.
+
+@dataclass
+class Publisher:
+    """A pane table and what has been published of it. Durations are in minutes.
+
+    ``rows_at`` makes the rows of a publication; ``write`` gets them with the publication's number, and
+    gets the same rows again if a micro-batch runs again. Each publication is noted beside the
+    checkpoint before it is written. ``published`` has the number of rows of each, by number.
     """
-    lengths, step = window_lengths(windows, slide)
-    # Panes close in time order, so the last earlier one says where the batch
-    # before stopped. It is looked up among recent panes first.
-    earlier = None
-    if batch_id > 0:
-        newest = F.max("paneStart")
-        recent = read_dated(spark, table, batch_id, low - lengths[-1], high)
-        earlier = recent.where(F.col(BATCH_COLUMN) < batch_id).agg(newest).first()[0]
-        if earlier is None:
-            earlier = read_dated(spark, table, batch_id - 1).agg(newest).first()[0]
-    after = low if earlier is None else earlier + step
-    panes = read_dated(spark, table, batch_id, after - lengths[-1], high)
-    return merge_panes(panes, windows, slide, keys, ends_after=after, ends_until=high + step)
-
-
-def start_pane_query(
-    samples: DataFrame,
-    pane_table: str,
-    publish: Callable[[DataFrame, int], None],
-    name: str,
-    windows: Sequence[float],
-    slide: float,
-    lateness: float,
-    time_col: str = INGEST_TIME,
-    keys: Sequence[str] = (SERIES_KEY,),
-    checkpoint: str | None = None,
-    drain: bool = False,
+
+    spark: SparkSession
+    table: str
+    checkpoint: str
+    slide: float
+    horizon: int
+    write: Callable[[DataFrame, int], None]
+    stat: str = STDDEV
+    time_col: str = INGEST_TIME
+    keys: Sequence[str] = (SERIES_KEY,)
+    period: float | None = None
+    clock: Callable[[], float] = time.time
+    keep: bool = True
+    published: dict[int, int] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.table = f"{self.table}/run={run_of(self.spark, self.checkpoint)}"
+        self._noted: list[Publication] | None = None
+
+    # --- the notes ---
+
+    def _notes(self) -> list[Publication]:
+        if self._noted is None:
+            try:
+                rows = self.spark.read.parquet(f"{self.checkpoint}/publications").collect()
+            except AnalysisException as error:
+                if not _missing(error):
+                    raise
+                rows = []
+            made = (Publication(r["number"], r["for_batch"], r["as_of"]) for r in rows)
+            self._noted = sorted(made, key=lambda p: p.number)
+        return self._noted
+
+    def _note(self, batch: int, as_of: int | None = None) -> tuple[Publication, Publication | None]:
+        """The publication of a batch, which may be running again, and the one before."""
+        notes = self._notes()
+        again = [i for i, p in enumerate(notes) if p.batch == batch and batch >= 0]
+        if again:
+            return notes[again[0]], notes[again[0] - 1] if again[0] else None
+        step = minutes_to_seconds(self.period or self.slide)
+        now = int(self.clock() if as_of is None else as_of) // step * step
+        before = notes[-1] if notes else None
+        new = Publication(before.number + 1 if before else 0, batch, max(now, before.as_of) if before else now)
+        row = [(new.number, new.batch, new.as_of)]
+        frame = self.spark.createDataFrame(row, "number int, for_batch long, as_of long").coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.checkpoint}/publications/p={new.number}")
+        notes.append(new)
+        return new, before
+
+    # --- the table ---
+
+    def panes(self, upto_batch: int, since: int | None, until: int, only: DataFrame | None = None) -> DataFrame | None:
+        """Folded panes from ``since`` to before ``until``; with ``only``, of the series in it."""
+        parts = read_dated(self.spark, self.table, upto_batch, since, until)
+        if parts is None:
+            return None
+        pane = F.col("paneStart")
+        parts = parts.where((pane < until) if since is None else (pane >= since) & (pane < until))
+        if only is not None:
+            parts = parts.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi")
+        return fold_panes(parts, self.keys, self.stat)
+
+    def on_batch(self, batch: DataFrame, batch_id: int) -> None:
+        parts = pane_aggregates(batch, self.slide, self.time_col, self.keys, self.stat)
+        bounds = append_dated(parts, self.table, batch_id, "paneStart", self.keys)
+        self._write(*self._note(batch_id), batch_id, bounds)
+
+    def publish(self, as_of: float | None = None) -> None:
+        """What is due at a time, by default now, without new samples."""
+        notes, step = self._notes(), minutes_to_seconds(self.period or self.slide)
+        now = self.clock() if as_of is None else as_of
+        if notes and int(now) // step * step <= notes[-1].as_of:
+            return
+        last = max((p.batch for p in notes), default=-1)
+        self._write(*self._note(-1, as_of), last, None)
+
+    def _write(self, new: Publication, before: Publication | None, upto_batch: int, bounds) -> None:
+        rows = self.rows_at(new.as_of, before.as_of if before else None, upto_batch, bounds)
+        if rows is None:
+            return
+        count = Observation()
+        self.write(rows.observe(count, F.count(F.lit(1)).alias("rows")), new.number)
+        self.published[new.number] = count.get["rows"]
+        if not self.keep:
+            remove_days(self.spark, self.table, new.as_of - self.horizon)
+
+    def rows_at(self, as_of: int, before: int | None, upto_batch: int, bounds) -> DataFrame | None:
+        raise NotImplementedError
+
+
+@dataclass
+class WindowPublisher(Publisher):
+    """Publishes sliding windows of all the lengths in ``windows``."""
+
+    windows: Sequence[float] = ()
+
+    def _merged(self, panes: DataFrame, after: int | None, until: int) -> DataFrame:
+        return merge_panes(
+            panes, self.windows, self.slide, self.keys, ends_after=after, ends_until=until, stat=self.stat
+        )
+
+    def rows_at(self, as_of, before, upto_batch, bounds):
+        due = None
+        if before is None or as_of > before:
+            panes = self.panes(upto_batch, None if before is None else before - self.horizon, as_of)
+            due = None if panes is None else self._merged(panes, before, as_of)
+        if before is None or bounds is None:
+            return due
+        low, high = bounds
+        until = min(before, high + self.horizon)
+        added = read_dated(self.spark, self.table, upto_batch, low, high)
+        if added is None or low >= until:
+            return due
+        # windows that hold a pane of this batch: those of its panes alone
+        added = added.where(F.col(BATCH_COLUMN) == upto_batch)
+        touched = self._merged(fold_panes(added, self.keys, self.stat), low, until)
+        panes = self.panes(upto_batch, low - self.horizon, until, added)
+        window = [*self.keys, "windowSeconds", "windowEnd"]
+        again = self._merged(panes, low, until).join(touched.select(*window), window, "left_semi")
+        return again if due is None else again.unionByName(due)
+
+
+def run_publisher(
+    publisher: Publisher, samples: DataFrame, name: str, period: float, drain: bool
 ) -> StreamingQuery:
-    """Append closed panes to ``pane_table`` and publish the windows they complete.
+    """Start the query that feeds a publisher, which it gets as its attribute ``publisher``.
 
-    ``publish`` gets the windows and the batch number; it may be called again
-    with the same number after a failure.
+    With ``drain`` the query takes what is there now and ends, and what is due then is published.
     """
-    spark = samples.sparkSession
-    window_lengths(windows, slide)  # reject unusable lengths before starting
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # The state store has many partitions and few closed panes in each.
-        bounds = append_dated(batch, pane_table, batch_id, "paneStart", spread_by=keys)
-        if bounds is not None:
-            # The session of a stateful stream plans without adaptive execution,
-            # so the table is read through the caller's.
-            rows = closed_windows(spark, pane_table, batch_id, *bounds, windows, slide, keys)
-            publish(rows, batch_id)
-
     writer = (
-        streaming_panes(samples, slide, lateness, time_col, keys)
-        .writeStream.queryName(name)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint or checkpoint_for(spark, name))
-        .foreachBatch(on_batch)
+        samples.writeStream.queryName(name)
+        .option("checkpointLocation", publisher.checkpoint)
+        .foreachBatch(publisher.on_batch)
     )
     if drain:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval_text(minutes_to_seconds(slide))).start()
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        publisher.publish()
+    else:
+        query = writer.trigger(processingTime=interval_text(minutes_to_seconds(period))).start()
+    query.publisher = publisher
+    return query
+
+
+def longest(windows: Sequence[float], slide: float) -> int:
+    """The longest window in seconds; unusable lengths are refused."""
+    return window_lengths(windows, slide)[0][-1]

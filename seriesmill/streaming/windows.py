@@ -45,7 +45,8 @@ def streaming_interval_aggregates(
     windows of length f that start at each multiple of the shorter of f and the
     period, provided one divides the other. Late samples update their interval
     while it is inside the horizon (minutes), the longest frequency of the job.
-    For other ratios use ``seriesmill.plans.jobs.run_lookback_job``.
+    Each sample is handed to f / p intervals: for long ones and short periods use the jobs in
+    ``seriesmill.plans.jobs``, which merge panes.
     """
     f, p = minutes_to_seconds(frequency), minutes_to_seconds(period)
     if f % p and p % f:

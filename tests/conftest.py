@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
+from seriesmill.plans.jobs import SESSION_CONF  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -19,6 +21,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config(map=SESSION_CONF)
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

@@ -1,11 +1,13 @@
 import math
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from builders import points_frame, rows_of, samples_frame
+from builders import points_frame, rows_of, sample, samples_frame
+from seriesmill.functions.codec import check_samples
 from seriesmill.functions.stats import DELTA, STDDEV
 from seriesmill.operators.enrich import enrich, fits_broadcast, to_output, unmatched_series
 from seriesmill.operators.lastvalue import advance_last_known_value, last_known_value
@@ -18,8 +20,10 @@ from seriesmill.operators.sliding import (
     windowed_aggregates,
 )
 from seriesmill.schemas import INTERVAL_AGGREGATE, WINDOW_AGGREGATE
+from seriesmill.sources import star_schema
 from seriesmill.sources.readers import read_sensor_points
 
+DAY_MINUTES = 24 * 60
 FEW = settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
@@ -289,7 +293,7 @@ def test_only_a_small_dimension_is_broadcast(spark, tmp_path, capsys):
     points_frame(spark, [("P1", "a"), ("P2", "a")]).write.json(str(tmp_path / "p"))
     points = read_sensor_points(spark, str(tmp_path / "p"))
     stats = series_aggregates(samples_frame(spark, [("a", 1, 0), ("z", 1, 0)]))
-    assert fits_broadcast(points, 2) and not fits_broadcast(points, 1)
+    assert fits_broadcast(points) and not fits_broadcast(points, 1)
     for broadcast, plan in [(True, "BroadcastHashJoin"), (False, "SortMergeJoin")]:
         for join, names in [(enrich, ["a", "a"]), (unmatched_series, ["z"])]:
             rows = join(stats, points, broadcast)
@@ -316,3 +320,71 @@ def test_hot_series(spark):
     exact = ["timeseriesId", "windowEnd", "countOfSamples", "minValOfSamples", "sumValOfSamples"]
     assert panes.count() == direct.count()
     assert panes.select(*exact).exceptAll(direct.select(*exact)).count() == 0
+
+
+def test_level_change_keeps_the_deviation(spark):
+    """One series whose level falls by 1e9 in the middle of a block."""
+    rows = [("a", (1e9 if t < 302_400 else 0) + i % 2, t) for i, t in enumerate(range(0, 604_800, 1200))]
+    frame = samples_frame(spark, rows)
+    panes = sliding_aggregates(frame, [DAY_MINUTES], 15, plan="panes")
+    direct = sliding_aggregates(frame, [DAY_MINUTES], 15, plan="direct")
+    values = {row[2]: row[1] for row in rows}
+
+    def ends(rows):
+        seconds = F.unix_seconds("windowEnd")
+        return {r.end: r.stddevValOfSamples for r in rows.select(seconds.alias("end"), "stddevValOfSamples").collect()}
+
+    got, other = ends(panes), ends(direct)
+    assert set(got) == set(other)
+    for end, deviation in got.items():
+        inside = [Fraction(v) for t, v in values.items() if end - DAY_MINUTES * 60 <= t < end]
+        if len(inside) < 2:
+            assert deviation is None and other[end] is None
+            continue
+        mean = sum(inside) / len(inside)
+        exact = float(sum((v - mean) ** 2 for v in inside) / (len(inside) - 1)) ** 0.5
+        assert deviation == pytest.approx(exact, rel=1e-9)
+        # Spark's own merges means of doubles, which at this level have no more digits
+        assert other[end] == pytest.approx(exact, rel=1e-7)
+
+
+def test_rows_without_value_series_or_time_are_left_out_everywhere(spark):
+    good = samples_frame(spark, [("a", 1, 10), ("a", 2, 70)])
+    bad = samples_frame(spark, [sample("a", None, 20)])
+    bad = bad.union(good.withColumn("timeseriesId", F.lit(None).cast("string")))
+    bad = bad.union(good.withColumn("ingestUnixTimestamp", F.lit(None).cast("long")))
+    every = good.union(bad)
+    jobs = [
+        lambda f: sliding_aggregates(f, [5], 1, plan="panes"),
+        lambda f: sliding_aggregates(f, [5], 1, plan="direct"),
+        lambda f: windowed_aggregates(f, 5, 1),
+        lambda f: lookback_aggregates(f, 120, [1, 2]),
+        lambda f: lookback_aggregates(f, 120, [1, 2], plan="direct"),
+        lambda f: series_aggregates(f.where("ingestUnixTimestamp IS NOT NULL")),
+        last_known_value,
+    ]
+    for job in jobs:
+        assert sorted(map(str, job(every).collect())) == sorted(map(str, job(good).collect()))
+    samples, rejects = check_samples(every)
+    assert samples.count() == 2
+    assert {r.rejectReason for r in rejects.collect()} == {
+        "missing: value", "missing: timeseriesId", "missing: ingestUnixTimestamp"
+    }
+
+
+def test_joining_the_dimension_starts_no_job(spark, sf):
+    points = points_frame(spark, [("Pa", "a")])
+    plan = enrich(series_aggregates(samples_frame(spark, [("a", 1, 10)])), points)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text and "GlobalLimit" not in text
+    assert not fits_broadcast(points, 0)
+
+
+def test_time_range_reaches_the_scan(spark, sf):
+    rows = star_schema.samples(spark, sf, 1704672000, 1705881600)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    pushed = text[text.index("PushedFilters") :].split("]")[0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+    whole = star_schema.samples(spark, sf)
+    inside = whole.where("ingestUnixTimestamp >= 1704672000 AND ingestUnixTimestamp < 1705881600")
+    assert rows.exceptAll(inside).count() == 0 and rows.count() == inside.count() > 0

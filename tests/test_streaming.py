@@ -10,6 +10,7 @@ from seriesmill.operators.lastvalue import last_known_value
 from seriesmill.operators.sliding import sliding_aggregates, windowed_aggregates
 from seriesmill.plans.jobs import (
     interval_report,
+    run_ingest_job,
     run_interval_job,
     run_last_known_value_job,
     run_lookback_job,
@@ -17,6 +18,7 @@ from seriesmill.plans.jobs import (
     run_sliding_updates_job,
 )
 from seriesmill.schemas import SAMPLE_COLUMNS
+from seriesmill.sources.dated import DAY, append_dated, read_dated, remove_days
 from seriesmill.sources.readers import (
     json_source,
     kafka_source,
@@ -128,32 +130,21 @@ def test_published_rows_are_counted(feed, points, tmp_path):
     assert sum(counts) == 2
 
 
-def test_late_sample_updates_its_interval_until_the_horizon(feed, points, tmp_path):
+def test_late_samples_always_correct_their_interval(feed, points, tmp_path):
     feed.add(("a", 1, 70))
     feed.add(("a", 2, 4000))
-    feed.add(("a", 4, 3800))  # late, inside the horizon of five minutes
+    feed.add(("a", 4, 3800))
     feed.add(("a", 8, 4100))
-    feed.add(("a", 16, 6))  # two batches after the watermark passed it
-    feed.add(("a", 32, 4200))
+    feed.add(("a", 16, 6))  # more than an hour late
+    feed.add(("a", 32, 4200), ("a", 64, 4500))  # the last one's interval hasn't ended
     out = str(tmp_path / "out")
     job = run_interval_job(
-        feed.stream(),
-        points,
-        table_sink(out),
-        [5],
-        5,
-        checkpoint=str(tmp_path),
-        drain=True,
+        feed.stream(), points, table_sink(out), [5], 5, checkpoint=str(tmp_path), drain=True, clock=lambda: 4600
     )
     (query,) = finish(*job)
     got = windows_of(read_latest(feed.spark, out, RECORD_KEY))
-    assert got == [("a", 300, 1, 1.0), ("a", 3900, 1, 4.0), ("a", 4200, 2, 10.0), ("a", 4500, 1, 32.0)]
-    dropped = [
-        op["numRowsDroppedByWatermark"]
-        for p in query.recentProgress
-        for op in json.loads(p.json)["stateOperators"]
-    ]
-    assert sum(dropped) == 1
+    assert got == [("a", 300, 2, 17.0), ("a", 3900, 1, 4.0), ("a", 4200, 2, 10.0), ("a", 4500, 1, 32.0)]
+    assert query.publisher.published == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
 
 
 def test_late_sample_corrects_the_delta(feed, points, tmp_path):
@@ -229,38 +220,95 @@ def test_last_known_value_stream(feed, tmp_path):
     assert rows_of(everything.where("batch = 1"), "timeseriesId") == [("a",), ("b",)]
 
 
-def test_pane_job_equals_batch_and_survives_a_restart(feed, points, tmp_path):
-    out = str(tmp_path / "out")
+def run_panes(feed, points, tmp_path, sink, clock=None, folder="checkpoint", table=None):
+    query = run_sliding_job(
+        feed.stream(),
+        points,
+        sink,
+        windows=[1, 5],
+        period=1,
+        pane_table=table,
+        checkpoint=str(tmp_path / folder),
+        drain=True,
+        clock=clock or time.time,
+    )
+    finish(query)
+    return query
 
-    def run():
-        query = run_sliding_job(
-            feed.stream(),
-            points,
-            table_sink(out),
-            windows=[1, 5],
-            period=1,
-            lateness=1,
-            checkpoint=str(tmp_path),
-            drain=True,
-        )
-        finish(query)
 
+def batch_windows(feed, windows=(1, 5), until=None):
+    rows = sliding_aggregates(feed.table(), list(windows), 1).withColumn("end", F.unix_seconds("windowEnd"))
+    rows = rows if until is None else rows.where(F.col("end") <= until)
+    return rows_of(rows, "timeseriesId", "end", "countOfSamples", "sumValOfSamples")
+
+
+def test_pane_job_equals_batch_and_survives_a_restart(feed, points, tmp_path):
+    out = str(tmp_path / "out")
     feed.add(("a", 1, 10), ("b", 2, 20), ("a", 2, 15))
     feed.add(("a", 3, 130), ("a", 4, 70))
     feed.add(("b", 5, 400))
-    run()
+    run_panes(feed, points, tmp_path, table_sink(out))
     feed.add(("a", 6, 410), ("a", 7, 3000))  # a gap longer than any window
-    feed.add(("b", 8, 3100), ("a", 9, 3200))
+    feed.add(("b", 8, 3100), ("a", 9, 3200), ("a", 1, 12))  # one row is very late
     feed.add(("b", 8, 3300))
-    run()
-    got = feed.spark.read.parquet(out).drop("batch")
-    upto = got.agg(F.max(F.unix_seconds("timestampEndOfWindow"))).first()[0]
-    assert upto >= 3060
-    batch = sliding_aggregates(feed.table(), [1, 5], 1).withColumn("end", F.unix_seconds("windowEnd"))
-    expected = rows_of(
-        batch.where(F.col("end") <= upto), "timeseriesId", "end", "countOfSamples", "sumValOfSamples"
-    )
-    assert windows_of(got) == expected
+    run_panes(feed, points, tmp_path, table_sink(out))
+    assert windows_of(read_latest(feed.spark, out, RECORD_KEY)) == batch_windows(feed)
+
+
+def test_windows_are_due_without_new_samples(feed, points, tmp_path):
+    out = str(tmp_path / "out")
+    feed.add(("a", 1, 10), ("b", 2, 200))
+    query = run_panes(feed, points, tmp_path, table_sink(out), clock=lambda: 130)
+    assert windows_of(read_latest(feed.spark, out, RECORD_KEY)) == batch_windows(feed, until=120)
+    query.publisher.publish(as_of=250)
+    assert windows_of(read_latest(feed.spark, out, RECORD_KEY)) == batch_windows(feed, until=240)
+    query.publisher.publish(as_of=100_000)
+    query.publisher.publish(as_of=100_001)
+    assert windows_of(read_latest(feed.spark, out, RECORD_KEY)) == batch_windows(feed)
+    assert len(query.publisher.published) == 3
+
+
+def test_a_new_checkpoint_counts_no_sample_twice(feed, points, tmp_path):
+    table = str(tmp_path / "panes")
+    feed.add(("a", 1, 10), ("b", 2, 20))
+    feed.add(("a", 3, 130))
+    run_panes(feed, points, tmp_path, table_sink(str(tmp_path / "one")), folder="c1", table=table)
+    run_panes(feed, points, tmp_path, table_sink(str(tmp_path / "two")), folder="c2", table=table)
+    assert windows_of(read_latest(feed.spark, str(tmp_path / "two"), RECORD_KEY)) == batch_windows(feed)
+    with pytest.raises(Exception, match="another run"):
+        run_panes(feed, points, tmp_path, table_sink(str(tmp_path / "two")), folder="c3", table=table)
+
+
+def test_a_repeated_batch_is_published_once(feed, points, tmp_path):
+    out = str(tmp_path / "out")
+    feed.add(("a", 1, 10), ("b", 2, 20))
+    query = run_panes(feed, points, tmp_path, json_sink(out))
+    before = sorted(r.value for r in feed.spark.read.text(out).collect())
+    query.publisher.on_batch(feed.table(), 0)
+    assert sorted(r.value for r in feed.spark.read.text(out).collect()) == before
+    fresh = run_panes(feed, points, tmp_path, json_sink(out)).publisher
+    fresh.on_batch(feed.table(), 0)  # also after a restart
+    assert sorted(r.value for r in feed.spark.read.text(out).collect()) == before
+
+
+def test_days_before_the_horizon_are_removed(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 10), ("a", DAY + 5), ("a", 3 * DAY)], "k string, s long")
+    assert append_dated(rows, table, 0, "s", ["k"]) == (10, 3 * DAY)
+    assert remove_days(spark, table, 2 * DAY) == 2
+    assert rows_of(read_dated(spark, table, 0), "s") == [(3 * DAY,)]
+    assert read_dated(spark, table, 0, 0, DAY) is None
+    assert append_dated(rows.limit(0), table, 1, "s", ["k"]) is None
+
+
+def test_ingest_writes_both_streams_and_parses_once(spark, tmp_path):
+    encode_samples(samples_frame(spark, [("a", 1, 10)])).write.text(str(tmp_path / "in"))
+    spark.createDataFrame([("junk",)], "value string").write.mode("append").text(str(tmp_path / "in"))
+    messages = read_messages(spark, json_source(str(tmp_path / "in")), streaming=True)
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    finish(run_ingest_job(messages, parquet_sink(good), json_sink(bad), checkpoint=str(tmp_path), drain=True))
+    assert rows_of(spark.read.parquet(good), "timeseriesId", "value") == [("a", 1.0)]
+    assert "junk" in spark.read.text(bad).first().value
 
 
 def test_lookback_job_recomputes_every_interval_in_each_batch(feed, points, tmp_path):
