@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seriesmill.llm import (
     decontaminate,
     jaccard_join,
+    licenses,
     line_dedup,
     packing,
     pii,
@@ -72,6 +73,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.license_scan(table(spark, sf_dir, "documents"))
+    return rows.withColumn("families", F.array_join("families", ","))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.scores(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
