@@ -1,11 +1,11 @@
 """Benchmark passages in documents, by a positional inverted index.
 
 The index holds (document, place, term) for every word of the documents that is a benchmark term. A
-window is 10 consecutive words of an item, or a whole item that is shorter. Of each window the rarest term
-by the index is looked up first: each of its postings, less the term's offset in the item, is a possible
-alignment of item and document. The postings of these documents, adjusted by their offsets, are then
-intersected with the alignments; runs of 10 consecutive words are phrase matches, and 8 of 10 words in
-their places are a proximity match (of an alignment that a rarest term has led to).
+window is 10 consecutive words of an item, or a whole item that is shorter. Of each window the two rarest
+terms by the index are looked up first: where their postings, less the terms' offsets in the item, meet,
+there is a possible alignment of item and document. The other postings of these documents, adjusted by
+their offsets, are then intersected with the alignments; runs of 10 consecutive words are phrase matches,
+and 8 of 10 words in their places are a proximity match (of an alignment that two rarest terms led to).
 
 All steps are DataFrame operations. The index is written to the shared folder; texts are not shuffled.
 
@@ -60,32 +60,48 @@ def build_index(docs: DataFrame, terms: DataFrame, id_column: str = "doc_id", te
     return stored(rows.join(small(terms), "term", "left_semi").select("id", "hash", "pos", "term"), "postings")
 
 
-def _seeds(words: DataFrame, index: DataFrame) -> DataFrame:
-    """(item, item_hash, off, term): for each window that can occur, if only nearly, its rarest term."""
+def _rarest(words: DataFrame, index: DataFrame) -> DataFrame:
+    """(item, item_hash, one, two) for each window that can occur, if only nearly.
+
+    ``one`` and ``two`` are (off, term) of its rarest terms; the same for a window of one word.
+    """
     times = index.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
     first = F.greatest(F.col("off") - (WINDOW - 1), F.lit(0))
     last = F.least(F.col("off"), F.greatest(F.col("n") - WINDOW, F.lit(0)))
-    return (
+    found = F.when(F.col("times").isNotNull(), F.struct("times", "off", "term"))
+    windows = (
         words.join(times, "term", "left")
         .withColumn("start", F.explode(F.sequence(first, last)))
         .groupBy("item", "item_hash", "start")
-        .agg(
-            F.min(F.when(F.col("times").isNotNull(), F.struct("times", "off", "term"))).alias("rarest"),
-            F.count("times").alias("found"),
-            F.count(F.lit(1)).alias("size"),
-        )
-        .where(F.col("found") >= F.when(F.col("size") == WINDOW, NEAR).otherwise(F.col("size")))
-        .select("item", "item_hash", "rarest.off", "rarest.term")
-        .distinct()
+        .agg(F.array_sort(F.collect_list(found)).alias("found"), F.count(F.lit(1)).alias("size"))
+        .where(F.size("found") >= F.when(F.col("size") == WINDOW, NEAR).otherwise(F.col("size")))
     )
+    place = lambda i: F.struct(F.col("found")[i]["off"].alias("off"), F.col("found")[i]["term"].alias("term"))
+    two = F.when(F.size("found") > 1, place(1)).otherwise(place(0))
+    return windows.select("item", "item_hash", place(0).alias("one"), two.alias("two")).distinct()
+
 
+def _alignments(index: DataFrame, rarest: DataFrame) -> DataFrame:
+    """Distinct (id, hash, item, item_hash, shift): the item's first word would be at place ``shift``.
 
-def _alignments(index: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Distinct (id, hash, item, item_hash, shift): the item's first word would be at place ``shift``."""
+    The postings of a window's two rarest terms, less their offsets, must meet.
+    """
+    seeds = rarest.select("item", "item_hash", F.explode(F.array("one", "two")).alias("s")).select("item", "item_hash", "s.*")
+    met = (
+        index.join(small(stored(seeds.distinct(), "seeds")), "term")
+        .select("id", "hash", "item", "item_hash", (F.col("pos") - F.col("off")).alias("shift"), "off")
+        .groupBy("id", "hash", "item", "item_hash", "shift")
+        .agg(F.collect_set("off").alias("offs"))
+    )
+    # an item has as many pairs as windows, at most
+    pairs = rarest.groupBy("item", "item_hash").agg(
+        F.collect_set(F.struct(F.col("one.off").alias("one"), F.col("two.off").alias("two"))).alias("pairs")
+    )
+    both = F.exists("pairs", lambda p: F.array_contains("offs", p["one"]) & F.array_contains("offs", p["two"]))
     return (
-        index.join(small(seeds), "term")
-        .select("id", "hash", "item", "item_hash", (F.col("pos") - F.col("off")).alias("shift"))
-        .distinct()
+        met.join(small(stored(pairs, "pairs")), ["item", "item_hash"])
+        .where(both)
+        .select("id", "hash", "item", "item_hash", "shift")
     )
 
 
@@ -99,7 +115,7 @@ def matches(
     words = stored(item_words(benchmark, item_column, text), "items")
     terms = stored(words.select("term").distinct(), "terms")
     index = build_index(docs, terms, id_column, text)
-    found = stored(_alignments(index, stored(_seeds(words, index), "seeds")), "alignments")
+    found = stored(_alignments(index, stored(_rarest(words, index), "rarest")), "alignments")
     holders = stored(found.select(F.col("id").alias("i"), F.col("hash").alias("h")).distinct(), "holders")
     held = index.join(
         small(holders), index["id"].eqNullSafe(F.col("i")) & (index["hash"] == F.col("h")), "left_semi"
