@@ -48,20 +48,29 @@ def _wide(stored_ids: bytes) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, id_column: str, text: str) -> DataFrame:
-    """(id, n, ids) of every document, the end id included, stored."""
+    """(id, n, blocks, rest) of every document, the end id included, stored.
+
+    ``blocks`` are the ids of its full windows, ``rest`` those after them.
+    """
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = encoder(tokenizer)
         end = np.array([END], "<u4").tobytes()
         ids = [np.frombuffer(own.encode(t) + end, "<u4") for t in batch.column(1).to_pylist()]
+        cut = [len(i) - len(i) % WINDOW for i in ids]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array([_narrow(i) for i in ids], pa.binary())],
-            names=["id", "n", "ids"],
+            [
+                batch.column(0),
+                pa.array(map(len, ids), pa.int64()),
+                pa.array([_narrow(i[:c]) if c else None for i, c in zip(ids, cut, strict=True)], pa.binary()),
+                pa.array([_narrow(i[c:]) if c < len(i) else None for i, c in zip(ids, cut, strict=True)], pa.binary()),
+            ],
+            names=["id", "n", "blocks", "rest"],
         )
 
     rows = documents_only(docs, id_column, text).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
-    return stored(arrow_rows(rows, encode, f"id {kind}, n long, ids binary"), "tokens")
+    return stored(arrow_rows(rows, encode, f"id {kind}, n long, blocks binary, rest binary"), "tokens")
 
 
 def document_counts(tokens: DataFrame) -> np.ndarray:
@@ -71,15 +80,14 @@ def document_counts(tokens: DataFrame) -> np.ndarray:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                ids = _wide(value)
-                part = np.unique(ids[len(ids) - len(ids) % WINDOW :])
+                part = np.unique(_wide(value))
                 if len(part) and part[-1] >= len(total):
                     total = np.concatenate([total, np.zeros(int(part[-1]) + 1 - len(total), np.int64)])
                 total[part] += 1
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["token", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "token long, n long")
+    rows = tokens.where("rest IS NOT NULL").select("rest").mapInArrow(count, "token long, n long")
     counts = rows.groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     made = np.zeros(max(counts.column("token").to_pylist(), default=-1) + 1, np.int64)
     made[counts.column("token").to_numpy()] = counts.column("n").to_numpy()
@@ -179,21 +187,21 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
     tokens = tokenized(docs, tokenizer, id_column, text)
     kind = tokens.schema["id"].dataType.simpleString()
     counts = document_counts(tokens)
-    rests = tokens.where(F.col("n") % WINDOW > 0)
+    rests = tokens.where("rest IS NOT NULL").select("id", "n", "rest")
     total, mean = rests.agg(F.count(F.lit(1)), F.avg(F.col("n") % WINDOW)).first()
     shards = max(1, -(-total // SHARD))
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for i, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for i, n, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             ids = _wide(value)
-            for start in range(0, len(ids) - WINDOW + 1, WINDOW):
-                rows.append((i, start, WINDOW, ids[start : start + WINDOW].tobytes(), len(ids), 0, 0))
+            for start in range(0, len(ids), WINDOW):
+                rows.append((i, start, WINDOW, ids[start : start + WINDOW].tobytes(), n, 0, 0))
         return pa.RecordBatch.from_arrays(_columns(rows, batch.schema.field(0).type), names=_NAMES)
 
     def shard(key: tuple, group: pa.Table) -> pa.Table:
-        all_ids = [_wide(v) for v in group.column("ids").to_pylist()]
+        all_ids = [_wide(v) for v in group.column("rest").to_pylist()]
         names, whole = group.column("id").to_pylist(), group.column("n").to_pylist()
         index = Index(all_ids, shared.value, total, mean)
         windows = list(fill(np.array([len(r) for r in all_ids]), index.neighbours))
@@ -211,17 +219,11 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
         return pa.Table.from_arrays(_columns(rows, group.schema.field("id").type), names=_NAMES)
 
     schema = f"id {kind}, {PIECES}"
-    full = arrow_rows(tokens.where(F.col("n") >= WINDOW).select("id", "ids"), blocks, schema).withColumn(
+    full = arrow_rows(tokens.where("blocks IS NOT NULL").select("id", "n", "blocks"), blocks, schema).withColumn(
         "sequence_id", F.monotonically_increasing_id()
     )
 
-    def tails(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cut = [_wide(v) for v in batch.column("ids").to_pylist()]
-        made = pa.array([_narrow(i[len(i) - len(i) % WINDOW :]) for i in cut], pa.binary())
-        return batch.set_column(batch.schema.get_field_index("ids"), "ids", made)
-
-    dealt = arrow_rows(rests.select("id", "n", "ids"), tails, f"id {kind}, n long, ids binary")
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    dealt = rests.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     packed = dealt.groupBy("shard").applyInArrow(shard, schema)
     return full.unionByName(packed).withColumnRenamed("id", id_column)
 

@@ -1,19 +1,22 @@
 """Token ids of whole texts by the tokenizers library.
 
 A byte-level BPE cuts a text into pieces by a pattern and encodes each piece by itself. So the ids of a
-piece are looked up by the library once and kept; a text is the sequence of its pieces' ids. Where a
-text holds letters beyond Latin ones the library gets the whole text.
+piece are had from the library's model once and kept; a text is the sequence of its pieces' ids. Where a
+text holds letters beyond Latin ones, or with a tokenizer of another kind, the library gets the whole text.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
+import sys
+from array import array
 
 import numpy as np
 
-#: Pieces kept, and the longest one that is kept, in characters.
-PIECES_KEPT, LONGEST_KEPT = 250_000, 40
+#: Pieces and words kept, some 200 bytes each, and the longest one that is kept, in characters.
+PIECES_KEPT, LONGEST_KEPT = 500_000, 40
 
 # The pieces of byte-level BPE below U+0250. The pattern's letters, numbers and white space there.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -26,35 +29,85 @@ _PIECE = re.compile(
 _BEYOND = re.compile("[^\x00-ɏ]")
 
 
-class Encoder(dict):
-    """Ids of texts as little-endian unsigned 32-bit integers; a dict of the pieces kept."""
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte: itself if it is printed, else the next one from U+0100."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return dict(zip(printed, printed, strict=True)) | {b: 256 + i for i, b in enumerate(others)}
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        # their strings in a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
+_BYTES = _byte_letters()
+
 
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+#: Beside other white space a space may be part of a longer piece; texts with these go by pieces.
+_OTHER_SPACES = "\t\x0b\x0c\r\x85\xa0"
+_NEAR_SPACES = ("  ", "\n ", " \n")
+
+
+class _Pieces(dict):
+    """Ids of pieces by the tokenizer's model, little-endian unsigned 32-bit integers."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
 
     def __missing__(self, piece: str) -> bytes:
-        made = self.whole(piece)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= PIECES_KEPT:
-                self.clear()
+        letters = piece.encode().decode("latin-1").translate(_BYTES)
+        made = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+        if len(piece) <= LONGEST_KEPT and len(self) < PIECES_KEPT:
             self[piece] = made
         return made
 
+
+class _Words(dict):
+    """Ids of a space and what follows up to the next space."""
+
+    def __init__(self, pieces: _Pieces):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes:
+        made = b"".join(map(self.pieces.__getitem__, _PIECE.findall(" " + word)))
+        if len(word) <= LONGEST_KEPT and len(self) < PIECES_KEPT:
+            self[word] = made
+        return made
+
+
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True
+        self.pieces = _Pieces(self.tokenizer.model)
+        self.words = _Words(self.pieces)
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        step = config["pre_tokenizer"] or {}
+        self.by_pieces = (
+            sys.byteorder == "little"
+            and config["normalizer"] is None
+            and step.get("type") == "ByteLevel"
+            and step.get("use_regex", True)
+            and not step.get("add_prefix_space", True)
+            and not config["model"].get("ignore_merges")
+        )
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _BEYOND.search(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        if not self.by_pieces or _BEYOND.search(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        if any(c in text for c in _OTHER_SPACES) or any(pair in text for pair in _NEAR_SPACES):
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
+        # no piece goes on over a space that follows something else
+        first, *words = text.split(" ")
+        start = b"".join(map(self.pieces.__getitem__, _PIECE.findall(first)))
+        return start + b"".join(map(self.words.__getitem__, words))
 
 
 @functools.cache
