@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
-from seriesmill.llm.common import scratch, table
+from seriesmill.llm.common import recording, remove, scratch, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +41,26 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+#: Scratch folders of the stages so far. A stage begins when the one before has been written.
+_scratch: list[str] = []
+
+
+def _stage(function: Callable) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove(spark, _scratch)
+        with recording(_scratch):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 #: (name, function of the session, the documents and the folder of the tables).
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality rules", good_documents),
-    ("line dedup", new_lines),
-    ("n-gram Jaccard join", distinct_documents),
-    ("benchmark decontamination", clean_documents),
-    ("packing", packed),
+    ("quality rules", _stage(good_documents)),
+    ("line dedup", _stage(new_lines)),
+    ("n-gram Jaccard join", _stage(distinct_documents)),
+    ("benchmark decontamination", _stage(clean_documents)),
+    ("packing", _stage(packed)),
 ]
 
 #: The model of the first stage is fitted by iteration, which SQL can't express.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,7 +34,33 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="seriesmill-llm-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    if _recorded is not None:
+        _recorded.append(folder)
+    return folder
+
+
+#: Where :func:`recording` notes the folders that operators make.
+_recorded: list[str] | None = None
+
+
+@contextlib.contextmanager
+def recording(folders: list[str]) -> Iterator[None]:
+    """Note the scratch folders made meanwhile, for :func:`remove`."""
+    global _recorded
+    before, _recorded = _recorded, folders
+    try:
+        yield
+    finally:
+        _recorded = before
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete scratch folders whose operators' results have been written elsewhere."""
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while folders:
+        path = java(folders.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:
@@ -122,3 +150,9 @@ def ascii_lower(word: Column) -> Column:
     return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(
         F.translate(word, capitals, capitals.lower())
     )
+
+
+def fixed_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few fixed rows, as a constant of the plan."""
+    parsed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+    return spark.range(1).select(F.inline(parsed))

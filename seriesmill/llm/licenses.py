@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.llm.common import documents_only, small, stored
+from seriesmill.llm.common import documents_only, fixed_rows, small, stored
 
 UNKNOWN = "unknown"
 #: Lines of the corpus that are learned from, at most: those with the least hashes.
@@ -177,9 +177,9 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     """The model, with lines of the corpus that say nothing of licences as examples of ``unknown``."""
     lines = documents_only(docs, text).select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line"))
     names = "licen[cs]|copyright|rights reserved|public domain|redistribut|permission|spdx|cc by|cc0|gnu|mozilla"
-    lines = lines.where(F.length("line").between(1, 2000) & ~F.lower("line").rlike(names))
     order = F.xxhash64("line")
-    rows = lines.where(F.pmod(order, F.lit(64)) == 0).groupBy("line").count().orderBy(order, "line").limit(BACKGROUND)
+    lines = lines.where(F.pmod(order, F.lit(16)) == 0).where(F.length("line").between(1, 2000) & ~F.lower("line").rlike(names))
+    rows = lines.groupBy("line").count().orderBy(order, "line").limit(BACKGROUND)
     return train(sorted(r["line"] for r in rows.select("line").collect()))
 
 
@@ -199,7 +199,9 @@ def classify(lines: DataFrame, model: Model) -> DataFrame:
     grams = F.array_distinct(F.concat(*(_sequences(F.col("words"), n) for n in range(1, LONGEST + 1))))
     different = stored(different.select("line", grams.alias("grams"), _sequences(F.col("words"), 3).alias("threes")), "lines")
     # as many rows as the training vocabulary has weighted n-grams
-    weights = spark.createDataFrame(list(model.weights.items()), "gram string, weights array<double>")
+    weights = fixed_rows(
+        spark, [{"gram": g, "weights": w} for g, w in model.weights.items()], "gram:string,weights:array<double>"
+    )
     sums = (
         different.select("line", F.explode("grams").alias("gram"))
         .join(F.broadcast(weights), "gram")
@@ -213,8 +215,11 @@ def classify(lines: DataFrame, model: Model) -> DataFrame:
     named = F.element_at(F.array(*map(F.lit, model.classes)), F.array_position("odds", top).cast("int"))
     scored = scored.select("line", "threes", named.alias("predicted"), (F.lit(1.0) / total).alias("probability"))
     # the fixed statements, a few hundred rows
-    templates = [(f, sorted(g for g in ngrams(t) if g.count(" ") == 2)) for f, t in sorted(set(statements())) if f != UNKNOWN]
-    known = spark.createDataFrame([t for t in templates if t[1]], "predicted string, template array<string>")
+    templates = [
+        {"predicted": f, "template": sorted(g for g in ngrams(t) if g.count(" ") == 2)}
+        for f, t in sorted(set(statements())) if f != UNKNOWN
+    ]
+    known = fixed_rows(spark, [t for t in templates if t["template"]], "predicted:string,template:array<string>")
     both = F.size(F.array_intersect("threes", "template"))
     share = both / F.greatest(F.least(F.size("threes"), F.size("template")), F.lit(1))
     best = (

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import arrow_rows, documents_only
+from seriesmill.llm.hashing import MIX, Text
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -34,61 +35,29 @@ BACK = 3
 #: Bytes of a text that are looked at together.
 CHUNK = 1 << 20
 
-_BASE = 0x5851F42D4C957F2D | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    made = np.full(n, base, np.uint64)
-    made[:1] = 1
-    return np.cumprod(made, dtype=np.uint64)
-
-
-class _Tables:
-    """Powers for hashes of any part of a text: the sums of its bytes' terms, shifted back."""
-
-    def __init__(self) -> None:
-        self.size = 0
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.size:
-            self.size = max(1 << 14, 1 << n.bit_length())
-            self.up, self.down = _powers(_BASE, self.size), _powers(_INVERSE, self.size)
-        return self.up[:n], self.down[:n]
-
-
-_tables = _Tables()
-
-
 def _buckets(hashes: np.ndarray, kind: int) -> np.ndarray:
-    mixed = (hashes + np.uint64(kind)) * _MIX
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= _MIX
-    return (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+    spread = (hashes + np.uint64(kind)) * MIX
+    spread ^= spread >> np.uint64(29)
+    spread *= MIX
+    return (spread >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
 def _chunk_features(raw: bytes) -> list[np.ndarray]:
-    data = np.frombuffer(raw, np.uint8)
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edges = np.diff(np.r_[True, space, True].astype(np.int8))
-    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    if not len(starts):
+    text = Text(raw)
+    if not len(text.starts):
         return []
-    up, down = _tables.get(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * up[:-1], dtype=np.uint64)])
-    words = (sums[ends] - sums[starts]) * down[starts]
+    words = text.words()
     made = [_buckets(words, 1)]
     if len(words) > 1:
         made.append(_buckets(words[:-1] * np.uint64(31) ^ words[1:], 2))
     for back in range(1, BACK + 1):
         again = np.count_nonzero(words[back:] == words[:-back])
         made.append(_buckets(np.full(again, back, np.uint64), 3))
-    solid = np.concatenate([[0], np.cumsum(space)])
+    spaces = np.concatenate([[0], np.cumsum(text.space)])
     for size in (3, 4):
-        if len(data) >= size:
-            at = np.flatnonzero(solid[size:] == solid[:-size])
-            made.append(_buckets((sums[at + size] - sums[at]) * down[at], 4 + size))
+        if len(raw) >= size:
+            at = np.flatnonzero(spaces[size:] == spaces[:-size])
+            made.append(_buckets(text.parts(at, at + size), 4 + size))
     return made
 
 
