@@ -8,8 +8,9 @@ of subtrees, and what survives is verified on the whole sets.
 Points alone don't separate texts of a corpus from each other (two unrelated texts of some hundred
 shingles have similar counts), so the tree is not built over all texts at once, but over cells: texts
 that share one of their first n - ceil(0.75 n) + 1 shingles in one order of all shingles. Two texts of
-sufficient similarity share such a cell for certain, whatever the order; frequent shingles come last in
-it, so that a passage that many texts hold makes no cell for most of them.
+sufficient similarity share such a cell for certain, whatever the order. Shingles of rare words come first
+in it, as those of common words are shared by chance, and frequent shingles come last, so that a passage
+that many texts hold makes no cell for most of them.
 
 Within a cell, texts are first compared with one pivot; only pairs that these links don't already connect
 go to the tree. So a group of copies costs links in proportion to its size, not to its square, and
@@ -30,57 +31,84 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from seriesmill.llm.common import arrow_rows, documents_only, stored
+from seriesmill.llm.common import arrow_batches, arrow_rows, documents_only, free_name, small, stored
 from seriesmill.llm.components import components
+from seriesmill.llm.hashing import MIX, Text, mixed
 
 SHINGLE = 5
-GROUPS = 32
+GROUPS = 256
 #: Shingles that come last in the order: so many at most, and each this often. Any list gives the same
 #: links; a better one gives smaller cells.
-FREQUENT, OFTEN = 100_000, 24
+FREQUENT, OFTEN = 500_000, 24
+#: Shingles of different texts that a task counts together; those it sees three times are reported.
+COUNTED = 4_000_000
+#: Words that count as common: so many at most, and each this often in a task's count.
+COMMON, COMMON_OFTEN = 4096, 200
 #: Entries of a cell bucket, on average.
 BUCKET = 250_000
 #: Parts into which the cells of frequent shingles are dealt before their members are compared.
 SALTS = 16
 #: Star rounds before the tree, and texts of a block of a cell that the tree takes at once.
-STARS, BLOCK = 2, 2000
+STARS, BLOCK = 3, 2000
 #: Ids that are broadcast to pick the texts to verify; with more, documents are joined.
 BROADCAST_IDS = 1_000_000
-WORDS_KEPT = 300_000
+#: Bits of the tables that tell common words and frequent shingles.
+TABLE_BITS = 23
+
+_ENTRY = np.dtype([("key", "<i8"), ("twin", "<i8")])
+_MOST = 0xFFFF
+
+
+def _hashed(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a text's words, and of its shingles in their order."""
+    words = mixed(Text((text or "").encode("utf-8", "surrogatepass").lower()).words())
+    if not len(words):
+        return words, words
+    size = min(SHINGLE, len(words))
+    end = len(words) - size + 1
+    made = words[:end] + np.uint64(size)
+    for i in range(1, size):
+        made *= MIX
+        made ^= made >> np.uint64(29)
+        made += words[i : end + i]
+    made *= MIX
+    made ^= made >> np.uint64(32)
+    return words, made
 
-_ENTRY = np.dtype([("key", "<i8"), ("twin", "<i8"), ("n", "<i4")])
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
+def shingles(text: str | None) -> np.ndarray:
+    """The distinct hashed shingles of a text in ascending order."""
+    return np.unique(_hashed(text)[1])
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < WORDS_KEPT:
-            self[word] = value
-        return value
 
+def table_of(values: np.ndarray) -> np.ndarray:
+    """Marks for the lower bits of some hashes. Others with the same bits are taken for them."""
+    marks = np.zeros(1 << TABLE_BITS, bool)
+    marks[_low(values)] = True
+    return marks
 
-_hashes = _WordHashes()
 
+def _low(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
 
-def shingles(text: str | None) -> np.ndarray:
-    """The distinct hashed shingles of a text in ascending order."""
-    if not text:
-        return np.empty(0, np.uint64)
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if len(words) < SHINGLE:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), 1)] if words else [], np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    end = len(words) - SHINGLE + 1
-    made = hashes[:end].copy()
-    for i in range(1, SHINGLE):
-        made *= _MIX
-        made ^= made >> np.uint64(29)
-        made += hashes[i : end + i]
-    made *= _MIX
-    made ^= made >> np.uint64(32)
-    return np.unique(made)
+
+def ranked(text: str | None, common: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles in ascending order, and the first of them in the order for cells.
+
+    ``common`` words and ``frequent`` shingles are tables of marks.
+    """
+    words, made = _hashed(text)
+    values, first = np.unique(made, return_index=True)
+    n = len(values)
+    rank = np.zeros(n, np.int8)
+    if len(words) >= SHINGLE:
+        often = np.concatenate([[0], np.cumsum(common[_low(words)])])
+        rank += (often[first + SHINGLE] - often[first]).astype(np.int8)
+    rank[frequent[_low(values)]] += SHINGLE + 1
+    length = n - (3 * n + 3) // 4 + 1
+    return values, values[np.argsort(rank, kind="stable")[:length]]
 
 
 def digest(values: np.ndarray) -> bytes:
@@ -88,20 +116,32 @@ def digest(values: np.ndarray) -> bytes:
 
 
 def point(values: np.ndarray) -> np.ndarray:
-    """Number of shingles in each group."""
-    return np.bincount((values >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype("<i4")
+    """Number of shingles in each group; the greatest that is held stands for any number from there.
 
+    Long texts have more groups, so that these hold four shingles on average. Groups are ranges of the
+    hash, so that neighbouring ones add up to those of a shorter text.
+    """
+    bits = max(GROUPS, len(values) // 4).bit_length() - 1
+    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, _MOST).astype("<u2")
+
+
+def _folded(packed: bytes, groups: int = GROUPS) -> np.ndarray:
+    made = np.frombuffer(packed, "<u2").astype(np.int32)
+    made[made == _MOST] = 1 << 22
+    return made.reshape(groups, -1).sum(axis=1)
 
-def prefix(values: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The shingles whose cells a text is in: rare before frequent, each by hash."""
-    n = len(values)
-    length = n - (3 * n + 3) // 4 + 1
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
-        late = frequent[at] == values
-        if late.any():
-            return np.concatenate([values[~late], values[late]])[:length]
-    return values[:length]
+
+def _points(packed: list[bytes]) -> np.ndarray:
+    return np.stack([_folded(p) for p in packed]) if packed else np.empty((0, GROUPS), np.int32)
+
+
+def _finer(a: bytes, b: bytes, sizes: int) -> bool:
+    """Whether the bound by the finest groups that both have lets a pair pass."""
+    groups = min(len(a), len(b)) // 2
+    if groups == GROUPS:
+        return True
+    return 7 * int(np.minimum(_folded(a, groups), _folded(b, groups)).sum()) >= 3 * sizes
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -193,63 +233,81 @@ def tree_pairs(
 
 # --- on Spark -----------------------------------------------------------------
 
-_SCANNED = "id long, n int, twin long, digest binary, point binary, shingle long, times long"
-
-
-def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row for each text, and one for each shingle that is frequent within the batch."""
-    ids = batch.column(0).to_pylist()
-    sets = [shingles(t) for t in batch.column(1).to_pylist()]
-    full = [(i, s) for i, s in zip(ids, sets, strict=True)]
-    values, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
-    often = times >= 3
-    values, times = values[often].view(np.int64), times[often].astype(np.int64)
-    blank, k = [None] * len(values), len(full)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([i for i, _ in full] + blank, pa.int64()),
-            pa.array([len(s) for _, s in full] + blank, pa.int32()),
-            pa.array([_twin(digest(s)) if len(s) else None for _, s in full] + blank, pa.int64()),
-            pa.array([digest(s) if len(s) else None for _, s in full] + blank, pa.binary()),
-            pa.array([point(s).tobytes() if len(s) else None for _, s in full] + blank, pa.binary()),
-            pa.array([None] * k + values.tolist(), pa.int64()),
-            pa.array([None] * k + times.tolist(), pa.int64()),
-        ],
-        names=["id", "n", "twin", "digest", "point", "shingle", "times"],
-    )
+_SCANNED = "id long, n int, twin long, digest binary, point binary, shingle long, word long, times long"
+_SCANNED_NAMES = ["id", "n", "twin", "digest", "point", "shingle", "word", "times"]
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text, and one for each shingle or word that is frequent within the task."""
+    held, words, seen, size = [], [], set(), 0
+    for batch in batches:
+        hashed = [_hashed(t) for t in batch.column(1).to_pylist()]
+        sets = [np.unique(made) for _, made in hashed]
+        digests = [digest(s) if len(s) else None for s in sets]
+        blank = [None] * len(sets)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(batch.column(0).to_pylist(), pa.int64()),
+                pa.array(map(len, sets), pa.int32()),
+                pa.array([_twin(d) if d else None for d in digests], pa.int64()),
+                pa.array(digests, pa.binary()),
+                pa.array([point(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                *(pa.array(blank, pa.int64()) for _ in range(3)),
+            ],
+            names=_SCANNED_NAMES,
+        )
+        for d, values, (own, _) in zip(digests, sets, hashed, strict=True):
+            if d and d not in seen:
+                seen.add(d)
+                held.append(values)
+                words.append(own)
+                size += len(values)
+            if size >= COUNTED:
+                yield _frequent(held, 3, 5)
+                yield _frequent(words, COMMON_OFTEN, 6)
+                held, words, seen, size = [], [], set(), 0
+    yield _frequent(held, 3, 5)
+    yield _frequent(words, min(COMMON_OFTEN, 3 + size // 10_000), 6)
+
+
+def _frequent(sets: list[np.ndarray], least: int, column: int) -> pa.RecordBatch:
+    values, times = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
+    often = times >= least
+    n = int(often.sum())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+    arrays = [pa.nulls(n, kind) for kind in kinds]
+    arrays[column] = pa.array(values[often].view(np.int64))
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(times[often].astype(np.int64))], names=_SCANNED_NAMES)
 
 
 def _twin(value: bytes) -> int:
     return int.from_bytes(value[:8], "little", signed=True)
 
 
-def _cells(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """(key, twin, n, pivot): the members of cells with two members or more.
+def _cells(docs: DataFrame, common: np.ndarray, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """(key, twin): the members of cells with two members or more.
 
     ``twin`` is the head of a text's digest; should two sets share one, both are looked at. Members meet
     as packed entries in hash buckets. Cells of frequent shingles are dealt to SALTS parts each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((table_of(common), table_of(frequent)))
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
-        late = shared.value
+        usual, late = shared.value
         entries = []
         for text in batch.column(0).to_pylist():
-            values = shingles(text)
+            values, keys = ranked(text, usual, late)
             if len(values):
-                keys = prefix(values, late)
                 made = np.empty(len(keys), _ENTRY)
-                made["key"], made["twin"], made["n"] = keys.view(np.int64), _twin(digest(values)), len(values)
+                made["key"], made["twin"] = keys.view(np.int64), _twin(digest(values))
                 entries.append(made)
         if not entries:
             return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.binary())], ["bucket", "entries"])
         rows = np.unique(np.concatenate(entries))
-        mixed = (rows["key"].view(np.uint64) * _MIX) >> np.uint64(20)
-        bucket = (mixed % np.uint64(buckets)).astype(np.int64)
-        if len(late):
-            at = np.minimum(np.searchsorted(late, rows["key"].view(np.uint64)), len(late) - 1)
-            hot = late[at] == rows["key"].view(np.uint64)
-            bucket[hot] += buckets * (1 + (rows["twin"][hot] & (SALTS - 1)))
+        spread = (rows["key"].view(np.uint64) * MIX) >> np.uint64(20)
+        bucket = (spread % np.uint64(buckets)).astype(np.int64)
+        hot = late[_low(rows["key"].view(np.uint64))]
+        bucket[hot] += buckets * (1 + (rows["twin"][hot] & (SALTS - 1)))
         order = np.argsort(bucket, kind="stable")
         rows, bucket = rows[order], bucket[order]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -260,20 +318,14 @@ def _cells(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
 
     def members(key: tuple, dealt: pa.Table) -> pa.Table:
         rows = np.unique(np.frombuffer(b"".join(dealt.column("entries").to_pylist()), _ENTRY))
-        start = np.r_[True, rows["key"][1:] != rows["key"][:-1]] if len(rows) else np.empty(0, bool)
-        cell = np.cumsum(start) - 1
-        pivot = rows["twin"][np.flatnonzero(start)][cell] if len(rows) else rows["twin"]
         # parts of a dealt cell may have a single member here, and others elsewhere
-        keep = (np.bincount(cell)[cell] > 1) if len(rows) else np.empty(0, bool)
-        if key[0].as_py() >= buckets:
-            keep[:] = True
-        rows, pivot = rows[keep], pivot[keep]
-        return pa.table(
-            {"key": rows["key"].copy(), "twin": rows["twin"].copy(), "n": rows["n"].copy(), "pivot": pivot.astype(np.int64)}
-        )
+        if len(rows) and key[0].as_py() < buckets:
+            cell = np.cumsum(np.r_[True, rows["key"][1:] != rows["key"][:-1]]) - 1
+            rows = rows[np.bincount(cell)[cell] > 1]
+        return pa.table({"key": rows["key"].copy(), "twin": rows["twin"].copy()})
 
     dealt = arrow_rows(documents_only(docs, "text"), deal, "bucket long, entries binary")
-    return dealt.groupBy("bucket").applyInArrow(members, "key long, twin long, n int, pivot long")
+    return dealt.groupBy("bucket").applyInArrow(members, "key long, twin long")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -311,6 +363,25 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return arrow_rows(both, test, "a long, b long")
 
 
+def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (a, na, da, b, nb, db) that the bound of their points lets pass."""
+
+    def test(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = (_points(batch.column(c).to_pylist()) for c in ("pa", "pb"))
+        sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
+        keep = 7 * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= 3 * sizes
+        fine = zip(*(batch.column(c).to_pylist() for c in ("pa", "pb")), sizes.tolist(), strict=True)
+        keep = [bool(k) and _finer(a, b, n) for k, (a, b, n) in zip(keep, fine, strict=True)]
+        return batch.select(["a", "da", "b", "db"]).filter(pa.array(keep))
+
+    both = (
+        pairs.join(points.select(F.col("digest").alias("da"), F.col("point").alias("pa")), "da")
+        .join(points.select(F.col("digest").alias("db"), F.col("point").alias("pb")), "db")
+        .select("a", "da", "na", "b", "db", "nb", "pa", "pb")
+    )
+    return arrow_rows(both, test, "a long, da binary, b long, db binary")
+
+
 def _new_sets(docs: DataFrame, pairs: DataFrame, before: DataFrame | None) -> DataFrame:
     """The sets that the pairs need; those of ``before`` are not made again."""
     need = pairs.select(F.col("a").alias("id"), F.col("da").alias("digest")).union(pairs.select("b", "db")).distinct()
@@ -322,49 +393,54 @@ def _new_sets(docs: DataFrame, pairs: DataFrame, before: DataFrame | None) -> Da
     return before.union(stored(_sets_of(docs, more), "sets"))
 
 
-def _labelled(cells: DataFrame, heads: DataFrame, edges: DataFrame) -> DataFrame:
-    """Members (key, id, digest, n, label) of the cells (key, twin) that still have two components."""
-    labels = components(edges)
-    known = heads.join(labels, heads["id"] == labels["node"], "left").select(
-        "twin", "id", "digest", "n", F.coalesce("label", "id").alias("label")
-    )
+def _labelled(cells: DataFrame, heads: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """Members (key, id, digest, n, weight, label) of the cells (key, twin) that still have two components."""
+    labels = heads.withColumn("label", F.col("id"))
+    if edges is not None:
+        found = components(edges)
+        labels = heads.join(found, heads["id"] == found["node"], "left").select(
+            *heads.columns, F.coalesce("label", "id").alias("label")
+        )
     split = (
-        cells.join(known.select("twin", "label"), "twin")
+        cells.join(labels.select("twin", "label"), "twin")
         .groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
     )
-    return cells.join(split.select("key"), "key", "left_semi").join(known, "twin")
+    return cells.join(split.select("key"), "key", "left_semi").join(labels, "twin")
 
 
 def _pair(rows: DataFrame) -> DataFrame:
     """Distinct pairs of (a, da, na) with (b, db, nb) whose sizes allow the similarity, lesser id first."""
     rows = rows.where("a != b AND 4 * na >= 3 * nb AND 4 * nb >= 3 * na")
     swap = F.col("a") > F.col("b")
-    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    return rows.select(
-        pick("a", "b").alias("a"), pick("da", "db").alias("da"), pick("b", "a").alias("b"), pick("db", "da").alias("db")
-    ).distinct()
-
-
-def _star(cells: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each cell's pivot, another one each turn, with the members that have other labels."""
-    pivot = F.min(F.struct(F.xxhash64(F.lit(turn), "digest").alias("h"), "id", "digest", "n", "label")).alias("p")
-    pivots = cells.groupBy("key").agg(pivot)
-    rows = cells.join(pivots, "key").where("label != p.label")
-    return _pair(
-        rows.select(
-            F.col("id").alias("a"), F.col("digest").alias("da"), F.col("n").alias("na"),
-            F.col("p.id").alias("b"), F.col("p.digest").alias("db"), F.col("p.n").alias("nb"),
-        )
+    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x)
+    names = ("a", "da", "na", "b", "db", "nb")
+    return rows.select(*(pick(x, y) for x, y in zip(names, names[3:] + names[:3], strict=True))).distinct()
+
+
+def _star(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each cell's pivot with the members that have other labels.
+
+    The pivot is the member with the greatest weight. Then the cells without their pivots, all of whose
+    pairs are decided.
+    """
+    pivot = F.max(F.struct("weight", "digest", "id", "n", "label")).alias("p")
+    rows = cells.join(cells.groupBy("key").agg(pivot), "key").where("digest != p.digest")
+    pairs = rows.where("label != p.label").select(
+        F.col("id").alias("a"), F.col("digest").alias("da"), F.col("n").alias("na"),
+        F.col("p.id").alias("b"), F.col("p.digest").alias("db"), F.col("p.n").alias("nb"),
     )
+    return _pair(pairs), rows.select("key", "twin")
 
 
 def _tree_join(cells: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs with different labels within the cells that the R-tree can't rule out.
 
     A cell of more than BLOCK members is cut into blocks, and each pair of blocks is a group of its own.
+    Groups meet in buckets, as most are small.
     """
     sized = cells.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK)
+    buckets = max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.count() // (4 * BLOCK))
     rows = (
         cells.join(sized, "key")
         .withColumn("blocks", blocks.cast("long"))
@@ -375,32 +451,47 @@ def _tree_join(cells: DataFrame, points: DataFrame) -> DataFrame:
             (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"),
             "id", "digest", "n", "label",
         )
+        .withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets)))
         .join(points, "digest")
     )
 
-    def pairs(key: tuple, group: pa.Table) -> pa.Table:
-        at = {c: group.column(c).to_numpy() for c in ("id", "n", "label")}
-        digests = group.column("digest").to_pylist()
-        vectors = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)
-        sides = [np.flatnonzero(group.column(c).to_numpy()) for c in ("left", "right")]
-        same = key[1].as_py() == key[2].as_py()
+    def pairs(_: tuple, dealt: pa.Table) -> pa.Table:
+        at = {c: dealt.column(c).to_numpy() for c in ("key", "i", "j", "id", "n", "label", "left", "right")}
+        digests = dealt.column("digest").to_pylist()
+        packed = dealt.column("point").to_pylist()
+        order = np.lexsort((at["j"], at["i"], at["key"]))
+        new = np.zeros(len(order), bool)
+        for c in ("key", "i", "j"):
+            new[1:] |= at[c][order][1:] != at[c][order][:-1]
         made: list[tuple] = []
-        for x, y in tree_pairs(*((vectors[s], at["n"][s]) for s in sides)):
-            x, y = sides[0][x], sides[1][y]
-            keep = at["label"][x] != at["label"][y]
-            if same:
-                keep &= x < y
-            made += [
-                (int(at["id"][u]), digests[u], int(at["n"][u]), int(at["id"][v]), digests[v], int(at["n"][v]))
-                for u, v in zip(x[keep], y[keep], strict=True)
-            ]
+        for group in np.split(order, np.flatnonzero(new)):
+            vectors = _points([packed[g] for g in group])
+            sides = [np.flatnonzero(at[c][group]) for c in ("left", "right")]
+            same = at["i"][group[0]] == at["j"][group[0]]
+            for x, y in tree_pairs(*((vectors[s], at["n"][group[s]]) for s in sides)):
+                x, y = group[sides[0][x]], group[sides[1][y]]
+                keep = at["label"][x] != at["label"][y]
+                if same:
+                    keep &= x < y
+                made += [
+                    (int(at["id"][u]), digests[u], int(at["n"][u]), int(at["id"][v]), digests[v], int(at["n"][v]))
+                    for u, v in zip(x[keep], y[keep], strict=True)
+                    if _finer(packed[u], packed[v], int(at["n"][u]) + int(at["n"][v]))
+                ]
         columns = list(zip(*made, strict=True)) or [()] * 6
         kinds = (pa.int64(), pa.binary(), pa.int32()) * 2
         names = ("a", "da", "na", "b", "db", "nb")
         return pa.table({n: pa.array(list(c), k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
     schema = "a long, da binary, na int, b long, db binary, nb int"
-    return _pair(rows.groupBy("key", "i", "j").applyInArrow(pairs, schema))
+    return _pair(rows.groupBy("bucket").applyInArrow(pairs, schema))
+
+
+def _most(scanned: DataFrame, column: str, least: int, most: int) -> np.ndarray:
+    """The values seen most often, at most ``most`` of them, sorted."""
+    counts = scanned.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum("times").alias("times"))
+    rows = counts.where(F.col("times") >= least).orderBy(F.desc("times"), column).limit(most).select(column)
+    return np.sort(rows.toArrow().column(column).to_numpy().view(np.uint64))
 
 
 def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -410,13 +501,10 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     """
     spark: SparkSession = docs.sparkSession
     rows = documents_only(docs, id_column, text).toDF("id", "text").withColumn("id", F.col("id").cast("long"))
-    scanned = stored(arrow_rows(rows, _scan, _SCANNED), "shingles")
+    scanned = stored(arrow_batches(rows).mapInArrow(_scan, _SCANNED), "shingles")
     texts = scanned.where("n IS NOT NULL").select("id", "n", "twin", "digest", "point")
-    frequent = (
-        scanned.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
-        .where(F.col("times") >= OFTEN).orderBy(F.desc("times"), "shingle").limit(FREQUENT).collect()
-    )
-    late = np.sort(np.array([r["shingle"] for r in frequent], np.int64).view(np.uint64))
+    late = _most(scanned, "shingle", OFTEN, FREQUENT)
+    usual = _most(scanned, "word", COMMON_OFTEN, COMMON)
     total = texts.agg(F.sum("n")).first()[0] or 0
     known = rows.where("id IS NOT NULL AND text IS NOT NULL")
     heads = stored(
@@ -425,30 +513,32 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         "heads",
     )
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * BUCKET)))
-    cells = stored(_cells(known, late, buckets), "cells")
-    by_twin = heads.select("twin", "id", "digest", "n")
-    stars = cells.where("twin != pivot").select("twin", "pivot").distinct()
-    pairs = stored(
-        _pair(
-            stars.join(by_twin.toDF("twin", "a", "da", "na"), "twin").join(by_twin.toDF("pivot", "b", "db", "nb"), "pivot")
-        ),
-        "pairs",
-    )
-    sets = _new_sets(known, pairs, None)
-    edges = stored(_verified(pairs, sets), "links")
-    members = cells.select("key", "twin")
+    cells = stored(_cells(known, usual, late, buckets), "cells")
+    # A text that shares most of its cells is most likely the one that others were copied from.
+    shares = cells.groupBy("twin").agg(F.count(F.lit(1)).alias("cells"))
+    members = heads.join(shares, "twin").withColumn("weight", F.col("cells") / F.col("n"))
+    members = stored(members.select("twin", "id", "digest", "n", "weight"), "members")
+    points = heads.select("digest", "point")
+    open_cells, sets, edges = cells, None, None
     for turn in range(STARS + 1):
-        members = stored(_labelled(members.select("key", "twin"), by_twin, edges), "open")
-        if members.isEmpty():
+        labelled = stored(_labelled(open_cells, members, edges), "open")
+        if labelled.isEmpty():
             break
-        last = turn == STARS
-        pairs = stored(_tree_join(members, heads.select("digest", "point")) if last else _star(members, turn), "pairs")
-        sets = _new_sets(known, pairs, sets)
-        edges = edges.union(stored(_verified(pairs, sets), "links"))
+        if turn < STARS:
+            found, open_cells = _star(labelled)
+            found = _bounded(found, points)
+        else:
+            found = _tree_join(labelled, points)
+        pairs = stored(found, "pairs")
+        if not pairs.isEmpty():
+            sets = _new_sets(known, pairs, sets)
+            links = stored(_verified(pairs, sets), "links")
+            edges = links if edges is None else edges.union(links)
     # rows with one doc_id and several texts tie the heads of these together
     headed = texts.where("id IS NOT NULL").join(heads.select("digest", F.col("id").alias("a")), "digest").select("id", "a")
     least = headed.groupBy("id").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b != most")
-    labels = components(edges.union(headed.join(least, "id").select("a", "b")))
+    ties = headed.join(least, "id").select("a", "b")
+    labels = components(ties if edges is None else edges.union(ties))
     named = heads.join(labels, heads["id"] == labels["node"], "left").select(
         "digest", F.col("id").alias("head"), F.coalesce("label", "id").alias("label")
     )
@@ -459,3 +549,22 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         F.when(F.col("id").isNotNull(), F.coalesce("label", "id")).alias("component_id"),
         F.when(F.col("id").isNotNull(), F.coalesce("head", "id")).alias("representative"),
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with the least doc_id of their components, in the columns they have.
+
+    Of rows that repeat this doc_id one stays, too. Rows that are linked with nothing stay.
+    """
+    found = similar_texts(docs, id_column, text)
+    gone = stored(
+        found.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).alias("gone")).distinct(), "gone"
+    )
+    rows = docs.join(small(gone), docs[id_column] == gone["gone"], "left_anti")
+    repeated = stored(rows.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("i")).count().where("count > 1"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    number, own = free_name(docs, "number"), Window.partitionBy(id_column).orderBy(F.xxhash64(F.col(f"`{text}`")))
+    alone = rows.join(repeated, rows[id_column] == repeated["i"], "left_anti")
+    first = rows.join(repeated.select("i"), rows[id_column] == repeated["i"], "left_semi")
+    return alone.union(first.withColumn(number, F.row_number().over(own)).where(F.col(number) == 1).drop(number))

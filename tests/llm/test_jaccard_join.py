@@ -91,7 +91,7 @@ def test_query_equals_all_pairs(spark, sf):
 def test_tree_pairs_keep_every_possible_pair():
     draw = np.random.default_rng(1)
     sizes = draw.integers(1, 60, 300).astype(np.int32)
-    points = np.stack([np.bincount(draw.integers(0, jj.GROUPS, n), minlength=jj.GROUPS) for n in sizes]).astype("<i4")
+    points = np.stack([np.bincount(draw.integers(0, jj.GROUPS, n), minlength=jj.GROUPS) for n in sizes]).astype(np.int32)
     found = jj.tree_pairs((points, sizes), (points, sizes))
     got = {(int(i), int(j)) for x, y in found for i, j in zip(x, y, strict=True)}
     for i in range(300):
