@@ -50,7 +50,7 @@ def test_query_finds_the_statements_of_the_documents(spark, sf):
     known = {
         "cc-by-nc": "Licensed under CC BY-NC 4.0.", "mit": "Released under the MIT License.",
         "gpl": "This work is licensed under the GNU General Public License, version 3.",
-        "apache": "Licensed under the Apache License, Version 2.0.",
+        "apache": "Licensed under the Apache License, Version 2.0.", "proprietary": "All rights reserved.",
     }
     texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
     rows = queries.op7_license_scan(spark, sf).collect()
