@@ -51,7 +51,7 @@ BUCKET = 250_000
 #: Parts into which the cells of frequent shingles are dealt before their members are compared.
 SALTS = 16
 #: Star rounds before the tree, and texts of a block of a cell that the tree takes at once.
-STARS, BLOCK = 3, 2000
+STARS, BLOCK = 2, 2000
 #: Ids that are broadcast to pick the texts to verify; with more, documents are joined.
 BROADCAST_IDS = 1_000_000
 #: Bits of the tables that tell common words and frequent shingles.
@@ -84,14 +84,15 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def table_of(values: np.ndarray) -> np.ndarray:
-    """Marks for the lower bits of some hashes. Others with the same bits are taken for them."""
+    """Marks, a bit each, for the lower bits of some hashes. Others with the same bits are taken for them."""
     marks = np.zeros(1 << TABLE_BITS, bool)
-    marks[_low(values)] = True
-    return marks
+    marks[(values & np.uint64(len(marks) - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little")
 
 
-def _low(values: np.ndarray) -> np.ndarray:
-    return (values & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+def _marked(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    low = (values & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+    return (table[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
 
 
 def ranked(text: str | None, common: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,9 +105,9 @@ def ranked(text: str | None, common: np.ndarray, frequent: np.ndarray) -> tuple[
     n = len(values)
     rank = np.zeros(n, np.int8)
     if len(words) >= SHINGLE:
-        often = np.concatenate([[0], np.cumsum(common[_low(words)])])
+        often = np.concatenate([[0], np.cumsum(_marked(words, common))])
         rank += (often[first + SHINGLE] - often[first]).astype(np.int8)
-    rank[frequent[_low(values)]] += SHINGLE + 1
+    rank[_marked(values, frequent)] += SHINGLE + 1
     length = n - (3 * n + 3) // 4 + 1
     return values, values[np.argsort(rank, kind="stable")[:length]]
 
@@ -152,6 +153,8 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 # --- R-tree -------------------------------------------------------------------
 
 _LEAF, _FAN = 16, 8
+#: Pairs up to which all are bounded without a tree.
+_DIRECT = 4096
 
 
 def _ordered(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -187,7 +190,7 @@ def _possible(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether a pair below nodes i and j can have the similarity."""
     keep = (4 * a[2][i] >= 3 * b[1][j]) & (4 * b[2][j] >= 3 * a[1][i])
     at = np.flatnonzero(keep)
-    for part in np.array_split(at, max(1, len(at) // 50_000)):
+    for part in np.array_split(at, max(1, len(at) // 8_000)):
         most = np.minimum(a[0][i[part]], b[0][j[part]]).sum(axis=1, dtype=np.int64)
         keep[part] = 7 * most >= 3 * (a[1][i[part]].astype(np.int64) + b[1][j[part]])
     return keep
@@ -207,7 +210,10 @@ def tree_pairs(
     a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of positions in the tables a and b of (points, sizes) that the bound lets pass, in batches."""
-    if not len(a[1]) or not len(b[1]):
+    if len(a[1]) * len(b[1]) <= _DIRECT:  # a single node on either side
+        i, j = np.divmod(np.arange(len(a[1]) * len(b[1])), max(1, len(b[1])))
+        keep = _possible((a[0], a[1], a[1]), (b[0], b[1], b[1]), i, j)
+        yield i[keep], j[keep]
         return
     orders = [_ordered(*side) for side in (a, b)]
     trees = [_levels(side[0][o], side[1][o]) for side, o in zip((a, b), orders, strict=True)]
@@ -306,7 +312,7 @@ def _cells(docs: DataFrame, common: np.ndarray, frequent: np.ndarray, buckets: i
         rows = np.unique(np.concatenate(entries))
         spread = (rows["key"].view(np.uint64) * MIX) >> np.uint64(20)
         bucket = (spread % np.uint64(buckets)).astype(np.int64)
-        hot = late[_low(rows["key"].view(np.uint64))]
+        hot = _marked(rows["key"].view(np.uint64), late)
         bucket[hot] += buckets * (1 + (rows["twin"][hot] & (SALTS - 1)))
         order = np.argsort(bucket, kind="stable")
         rows, bucket = rows[order], bucket[order]
@@ -440,7 +446,7 @@ def _tree_join(cells: DataFrame, points: DataFrame) -> DataFrame:
     """
     sized = cells.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK)
-    buckets = max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.count() // (4 * BLOCK))
+    buckets = max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.count() // BLOCK)
     rows = (
         cells.join(sized, "key")
         .withColumn("blocks", blocks.cast("long"))
