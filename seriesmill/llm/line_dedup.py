@@ -1,10 +1,13 @@
-"""Removal of repeated line chunks with content-defined boundaries.
+"""Removal of repeated line chunks with content-defined boundaries, and of long repeated passages.
 
 A text is split at "\\n". A rolling hash over the hashes of the last two lines chooses where a chunk
 ends, so that an inserted line moves the boundaries near it only. Lines of 50 words or more are chunks
-of their own. A chunk counts if it has two lines or more, or 50 words. Of the chunks with the same
-bytes in the whole table the first by (doc_id, hash of the text, place) stays; the others are removed
-with their line breaks, after a comparison of bytes with the first.
+of their own. A chunk counts if it has two lines or more, or 50 words. Beside the chunks, every run of
+consecutive lines counts that reaches 50 words and has no line to spare at its end, or none at its start:
+whatever passage of 50 words or more occurs again, such runs cover all its lines, whatever stands around it.
+Of the chunks and runs with the same bytes in the whole table the first by (doc_id, hash of the text,
+place) stays; the lines of the others are removed with their line breaks, after a comparison of bytes with
+the first. A line that goes so has an equal one at an earlier place, and the earliest of these stays.
 
 Defined cases: null and empty texts stay as they are, and so does a row with a null doc_id but for its
 repeated chunks. Rows that repeat both doc_id and text count as one document and keep the same lines.
@@ -13,6 +16,8 @@ A document whose chunks all go stays with an empty text. Other columns are passe
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -53,63 +58,149 @@ def bounds(lines: list[bytes]) -> list[tuple[int, int]]:
     return found
 
 
+def _lines(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split(b"\n")
+
+
+def runs(words: list[int]) -> set[tuple[int, int]]:
+    """The shortest run of LONG_WORDS words or more from each line on, and up to each line.
+
+    ``words`` are the numbers of words of the lines.
+    """
+    before = [0, *accumulate(words)]
+    made, start = set(), 0
+    for end in range(1, len(before)):
+        # the runs from these lines on need the line before ``end``
+        while before[end] - before[start] >= LONG_WORDS:
+            made.add((start, end))
+            start += 1
+        if start and before[end] - before[start - 1] >= LONG_WORDS:
+            made.add((start - 1, end))
+    return made
+
+
+def spans(lines: list[bytes]) -> list[tuple[int, int]]:
+    """First line and end of each chunk that counts and of each run, by place."""
+    words = [len(line.split()) for line in lines]
+    before = [0, *accumulate(words)]
+    made = runs(words)
+    for start, end in bounds(lines):
+        n = before[end] - before[start]
+        if n and (end - start >= LEAST_LINES or n >= LONG_WORDS):
+            made.add((start, end))
+    return sorted(made)
+
+
 def chunks(text: str | None) -> list[tuple[int, bytes]]:
-    """Number and bytes of each chunk that counts."""
+    """Number and bytes of each chunk that counts and of each run. The number holds first line and end."""
     if not text:
         return []
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    made = []
-    for no, (start, end) in enumerate(bounds(lines)):
-        part = b"\n".join(lines[start:end])
-        if part.strip() and (end - start >= LEAST_LINES or len(part.split()) >= LONG_WORDS):
-            made.append((no, part))
-    return made
+    lines = _lines(text)
+    return [(start << 32 | end, b"\n".join(lines[start:end])) for start, end in spans(lines)]
+
+
+_PRIME = (1 << 127) - 1
+_BASE = 0x9E3779B97F4A7C15F39CC0605CEDC835 % _PRIME
+_powers = [1]
+
+
+def digests(text: str | None) -> list[tuple[int, bytes]]:
+    """Number and digest of each chunk that counts and of each run.
+
+    The digest is a rolling hash over the hashes of the lines, so that its cost is that of the lines, however
+    many of them a run needs to reach its words.
+    """
+    if not text:
+        return []
+    lines = _lines(text)
+    found = spans(lines)
+    if not found:
+        return []
+    while len(_powers) <= len(lines):
+        _powers.append(_powers[-1] * _BASE % _PRIME)
+    sums = [0]
+    for line in lines:
+        sums.append((sums[-1] * _BASE + xxhash.xxh3_128_intdigest(line) + 1) % _PRIME)
+    return [
+        (start << 32 | end, ((sums[end] - sums[start] * _powers[end - start]) % _PRIME).to_bytes(16, "little"))
+        for start, end in found
+    ]
+
+
+def without(text: str, numbers: set[int]) -> tuple[str, int, int]:
+    """The text without the lines of these numbers, how many lines went, and from how many chunks."""
+    lines = _lines(text)
+    gone, at = bytearray(len(lines)), 0
+    for number in sorted(numbers):
+        start, end = max(number >> 32, at), number & 0xFFFFFFFF
+        if end > start:
+            gone[start:end] = b"\1" * (end - start)
+            at = end
+    left = [line for line, g in zip(lines, gone, strict=True) if not g]
+    cut = sum(gone.find(1, start, end) >= 0 for start, end in bounds(lines))
+    return b"\n".join(left).decode("utf-8", "surrogatepass"), sum(gone), cut
 
 
-def without(text: str, numbers: set[int]) -> tuple[str, int]:
-    """The text without the chunks of these numbers, and how many lines went."""
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    left: list[bytes] = []
-    for no, (start, end) in enumerate(bounds(lines)):
-        if no not in numbers:
-            left += lines[start:end]
-    return b"\n".join(left).decode("utf-8", "surrogatepass"), len(lines) - len(left)
+def cover(places: list[dict]) -> list[dict]:
+    """Few of these places that have the lines of all of them; a line is part of two at most."""
+    made: list[dict] = []
+    best, reach = None, 0
+    for place in sorted(places, key=lambda p: p["number"]):
+        start, end = place["number"] >> 32, place["number"] & 0xFFFFFFFF
+        if best is not None and start > reach:
+            made.append(best)
+            best, reach = None, best["number"] & 0xFFFFFFFF
+        if best is None:
+            reach = max(reach, start)
+        if end > reach and (best is None or end > best["number"] & 0xFFFFFFFF):
+            best = place
+    return made if best is None else [*made, best]
 
 
-_CHUNK = "chunk_no int, digest binary"
-_OCCURRENCE = "id string, hash long, chunk_no int, digest binary, first boolean, part binary"
+_PLACE = "number long, digest binary"
+_OCCURRENCE = "id string, hash long, number long, digest binary, first boolean, part binary"
 
 
 def _chunk_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     ids, hashes, texts = (c.to_pylist() for c in batch.columns)
     rows = [
-        (i, h, no, xxhash.xxh3_128_digest(part))
+        (i, h, number, digest)
         for i, h, text in zip(ids, hashes, texts, strict=True)
-        for no, part in chunks(text)
+        for number, digest in digests(text)
     ]
     columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-    kinds = (batch.schema.field(0).type, pa.int64(), pa.int32(), pa.binary())
+    kinds = (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.binary())
     arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, names=["id", "hash", "chunk_no", "digest"])
+    return pa.RecordBatch.from_arrays(arrays, names=["id", "hash", "number", "digest"])
+
+
+def _cover_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    places = pa.array([cover(p) for p in batch.column("places").to_pylist()], batch.schema.field("places").type)
+    return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), places], names=["id", "hash", "places"])
 
 
 def _parts(text: str, places: list[dict]) -> list[tuple[int, bytes, bool, bytes]]:
-    parts = dict(chunks(text))
-    return [(p["chunk_no"], p["digest"], p["first"], parts[p["chunk_no"]]) for p in places]
+    lines = _lines(text)
+    return [
+        (p["number"], p["digest"], p["first"], b"\n".join(lines[p["number"] >> 32 : p["number"] & 0xFFFFFFFF]))
+        for p in places
+    ]
 
 
-_MARKED = T.StructType([T.StructField("text", T.StringType()), T.StructField("lines", T.LongType())])
+_MARKED = T.StructType(
+    [T.StructField("text", T.StringType()), T.StructField("lines", T.LongType()), T.StructField("chunks", T.LongType())]
+)
 
 
 def remove_repeated_chunks(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = None
 ) -> DataFrame:
-    """The documents with repeated chunks removed, in the columns they have.
+    """The documents with repeated chunks and passages removed, in the columns they have.
 
-    ``counts`` names two more columns for the numbers of chunks and of lines removed.
+    ``counts`` names two more columns for the numbers of chunks that lost lines and of lines removed.
 
-    What is shuffled: a digest for each chunk, the text of each document once, and the text of chunks
-    that occur more than once. A chunk that a third of all documents share is one row of the
+    What is shuffled: a digest for each chunk and run, the text of each document once, and the text of as many
+    repeated ones as cover the lines that go, with that of their firsts. A chunk that a third of all documents share is one row of the
     pre-aggregated digests; the join that looks its occurrences up can be split by adaptive execution.
     """
     key = F.col(f"`{id_column}`")
@@ -117,19 +208,27 @@ def remove_repeated_chunks(
         key.alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("hash"), F.col(f"`{text}`").alias("text")
     )
     kind = docs.schema[id_column].dataType.simpleString()
-    found = stored(arrow_rows(keyed, _chunk_rows, f"id {kind}, hash long, {_CHUNK}"), "chunks")
-    place = F.struct("id", "hash", "chunk_no")
+    found = stored(arrow_rows(keyed, _chunk_rows, f"id {kind}, hash long, {_PLACE}"), "chunks")
+    place = F.struct("id", "hash", "number")
     repeated = (
         found.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
         .where("n > 1")
         .select("digest", "at")
     )
-    occurrences = (
+    again = (
         found.join(repeated, "digest")
-        .withColumn("first", place.eqNullSafe(F.col("at")))
+        .where(~place.eqNullSafe(F.col("at")))
+        .groupBy("id", "hash")
+        .agg(F.collect_set(F.struct("number", "digest", "at")).alias("places"))
+    )
+    again = stored(arrow_rows(again, _cover_rows, again.schema), "repeated").select("id", "hash", F.inline("places"))
+    needed = again.groupBy("digest").agg(F.min("at").alias("at")).select("at.*", "digest", F.lit(True).alias("first"))
+    occurrences = (
+        again.select(*needed.columns[:4], F.lit(False).alias("first"))
+        .unionByName(needed)
         .groupBy("id", "hash")
-        .agg(F.collect_set(F.struct("chunk_no", "digest", "first")).alias("places"))
+        .agg(F.collect_set(F.struct("number", "digest", "first")).alias("places"))
     )
     names = {n: free_name(docs, n) for n in ("text_hash", "removed", "cut")}
     hashed = docs.withColumn(names["text_hash"], F.xxhash64(F.col(f"`{text}`")))
@@ -144,9 +243,9 @@ def remove_repeated_chunks(
             (i, h, *part) for i, h, t, places in zip(*columns, strict=True) for part in _parts(t, places)
         ]
         made = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = (batch.column("id").type, pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.binary())
+        kinds = (batch.column("id").type, pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary())
         arrays = [pa.array(list(c), k) for c, k in zip(made, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=["id", "hash", "chunk_no", "digest", "first", "part"])
+        return pa.RecordBatch.from_arrays(arrays, names=["id", "hash", "number", "digest", "first", "part"])
 
     # All columns go along, so that both joins read one and the same shuffle of the documents.
     parts = arrow_rows(
@@ -160,7 +259,7 @@ def remove_repeated_chunks(
         .join(firsts, "digest")
         .where(F.col("part") == F.col("kept_part"))
         .groupBy("id", "hash")
-        .agg(F.collect_set("chunk_no").alias("numbers"))
+        .agg(F.collect_set("number").alias("numbers"))
     )
     joined = beside(removed, "left").select(
         *(docs[f"`{c}`"] for c in docs.columns), removed["numbers"].alias(names["removed"])
@@ -168,10 +267,10 @@ def remove_repeated_chunks(
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, numbers = batch.column(text).to_pylist(), batch.column(names["removed"]).to_pylist()
-        made = [(t, 0) if not n else without(t, set(n)) for t, n in zip(texts, numbers, strict=True)]
+        made = [(t, 0, 0) if not n else without(t, set(n)) for t, n in zip(texts, numbers, strict=True)]
         struct = pa.StructArray.from_arrays(
-            [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())],
-            names=["text", "lines"],
+            [pa.array([m[i] for m in made], k) for i, k in enumerate((pa.string(), pa.int64(), pa.int64()))],
+            names=["text", "lines", "chunks"],
         )
         return pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, names["cut"]])
 
@@ -182,7 +281,7 @@ def remove_repeated_chunks(
     ]
     if counts:
         columns += [
-            F.greatest(F.size(F.col(names["removed"])), F.lit(0)).cast("long").alias(counts[0]),
+            F.col(f"`{names['cut']}`.chunks").alias(counts[0]),
             F.col(f"`{names['cut']}`.lines").alias(counts[1]),
         ]
     return rows.select(*columns)

@@ -69,3 +69,40 @@ def test_clashing_names_nulls_and_empty_table(spark):
     kept = [r for r in got.collect() if r.text == "a\nb\nc\nd"]
     assert [r.doc_id for r in kept] == [None]  # null ids come first
     assert line_dedup.remove_repeated_chunks(frame.limit(0)).count() == 0
+
+
+def without_passages(rows):
+    """Texts without the lines of all runs of 50 words or more that occur before, found without chunks or runs."""
+    seen, made = set(), {}
+    for doc_id, _, text in sorted(rows):
+        lines = text.split("\n")
+        gone = set()
+        for start in range(len(lines)):
+            for end in range(start + 1, len(lines) + 1):
+                run = tuple(lines[start:end])
+                if sum(len(x.split()) for x in run) >= 50:
+                    if run in seen:
+                        gone |= set(range(start, end))
+                    seen.add(run)
+        made[doc_id] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return made
+
+
+def test_passages_of_several_lines_are_found_between_any_neighbours(spark):
+    draw = random.Random(7)
+    new = lambda n: " ".join(f"w{draw.random()}" for _ in range(n))
+    passages = [[new(n) for n in ns] for ns in ([30, 30, 5], [26, 25], [13] * 4, [10, 0, 11, 10, 10, 10], [7] * 8, [49, 1])]
+    rows = []
+    for i in range(48):
+        passage = passages[i % 6]
+        around = [new(draw.randint(1, 60)) for _ in range(draw.randint(2, 6))]
+        rows.append((i, "\n".join([*around[1:], *passage, around[0]])))
+    # one period of a text that repeats itself stays
+    rows.append((48, "\n".join(["a b c", "d e", "f"] * 40)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.remove_repeated_chunks(frame, counts=("chunks", "lines")).collect()}
+    want = without_passages(hashed(spark, rows))
+    assert {i: r.text for i, r in got.items()} == want
+    assert got[48].text == "a b c\nd e\nf"
+    for i in range(6, 48):
+        assert got[i].lines >= len(passages[i % 6]) and got[i].chunks > 0
