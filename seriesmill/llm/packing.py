@@ -1,7 +1,9 @@
 """Lexical retrieval packing: windows of 2048 token ids, filled with similar documents.
 
 A document's ids, with the end id, are cut into full windows and a rest that is shorter. A full window is
-a sequence of its own. The rests are dealt to shards of some two thousand. In a shard, a BM25 inverted
+a sequence of its own. The rests are dealt to shards of some two thousand by content: each is linked to
+the most similar one that minhashes of its terms, weighted by rareness, find in the whole table, and rests
+that links connect go to one shard, as far as it holds them. In a shard, a BM25 inverted
 index over the rests' token ids, with document counts and mean length of the whole table, returns for
 each seed (the longest unused rest) the unused neighbours by descending score; those that fit are placed,
 then the best that doesn't fit is cut, and what is left of it stays unused. Where retrieval has no
@@ -10,7 +12,7 @@ is cut into sequences whose lengths are powers of two and which need no padding
 
 Defined cases: a null or empty text is the end id alone. Rows are packed one by one, so that repeated rows
 or ids and null ids need nothing special; equal scores go by place in the shard, which is
-dealt by row. Other columns are not read, and an empty table gives no sequences.
+dealt by content and row. Other columns are not read, and an empty table gives no sequences.
 """
 
 from __future__ import annotations
@@ -19,20 +21,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import arrow_rows, documents_only, stored
+from seriesmill.llm.common import arrow_batches, arrow_rows, documents_only, small, stored
+from seriesmill.llm.components import components
 from seriesmill.llm.tokens import encoder
 
 WINDOW = 2048
 END = 1
 #: Rests of a shard, on average.
 SHARD = 2000
+#: Parts of the table that shards are cut from, at most.
+MOST_PARTS = 500
 #: A seed's terms that are looked up: those of the greatest weight. A query of all of them would rank by
 #: the commonest, at many times the cost.
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
+#: Minhashes of a rest; so many sorted orders, each by its own share of them; rests compared with those that
+#: follow so closely in an order.
+HASHES, ORDERS, FOLLOWING = 32, 8, 8
+#: A term that no other rest has gives no minhash.
+NOWHERE = np.int32(2**31 - 1)
+
+#: Bits of a sequence's number within its shard: no shard has more sequences than twice its rests and a few.
+SHARD_BITS = 16
 
 PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -48,7 +62,7 @@ def _wide(stored_ids: bytes) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, id_column: str, text: str) -> DataFrame:
-    """(id, n, blocks, rest) of every document, the end id included, stored.
+    """(id, n, blocks, rest, row) of every document, the end id included, stored.
 
     ``blocks`` are the ids of its full windows, ``rest`` those after them.
     """
@@ -70,7 +84,8 @@ def tokenized(docs: DataFrame, tokenizer: str, id_column: str, text: str) -> Dat
 
     rows = documents_only(docs, id_column, text).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
-    return stored(arrow_rows(rows, encode, f"id {kind}, n long, blocks binary, rest binary"), "tokens")
+    made = arrow_rows(rows, encode, f"id {kind}, n long, blocks binary, rest binary")
+    return stored(made.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
 
 def document_counts(tokens: DataFrame) -> np.ndarray:
@@ -94,6 +109,96 @@ def document_counts(tokens: DataFrame) -> np.ndarray:
     return made
 
 
+def term_ranks(counts: np.ndarray, total: int) -> np.ndarray:
+    """Each term's rank for each minhash; the least rank of a rest is its minhash.
+
+    A term is chosen in proportion to its idf, so that two rests agree on a minhash with the probability of their
+    weighted Jaccard similarity.
+    """
+    idf = np.log1p((total - counts + 0.5) / (counts + 0.5))
+    shared = counts > 1
+    ranks = np.full((HASHES, len(counts)), NOWHERE, np.int32)
+    for row, draw in zip(ranks, np.random.default_rng(1).exponential(size=(HASHES, len(counts))), strict=True):
+        order = np.argsort(draw / idf)
+        row[order] = np.arange(len(counts), dtype=np.int32)
+        row[~shared] = NOWHERE
+    return np.ascontiguousarray(ranks.T)
+
+
+def signatures(rests: list[np.ndarray], ranks: np.ndarray) -> np.ndarray:
+    """The minhashes of each rest; none of them is empty."""
+    return np.array([ranks.take(rest, axis=0).min(axis=0) for rest in rests])
+
+
+def links(rows: np.ndarray, signs: np.ndarray, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, most similar row, minhashes that agree) of those that stand close in an order."""
+    best, other = np.zeros(len(rows), np.int64), np.full(len(rows), -1, np.int64)
+    for lag in range(1, min(FOLLOWING, len(rows) - 1) + 1):
+        one, two = signs[:-lag], signs[lag:]
+        same = ((one == two) & (one != NOWHERE)).sum(axis=1) * (orders[:-lag] == orders[lag:])
+        for this, that in ((slice(None, -lag), slice(lag, None)), (slice(lag, None), slice(None, -lag))):
+            better = same > best[this]
+            other[this] = np.where(better, rows[that], other[this])
+            best[this] = np.maximum(best[this], same)
+    found = other >= 0
+    return rows[found], other[found], best[found]
+
+
+def shards_by_content(rests: DataFrame, counts: np.ndarray, total: int) -> DataFrame:
+    """(row, shard) of the rests, stored. A shard has SHARD rests at most.
+
+    Each of several orders of the whole table sorts the rests by some of their minhashes, and a rest is compared
+    with those next to it, so that a group of any size costs in proportion to it.
+    """
+    spark = rests.sparkSession
+    shared = spark.sparkContext.broadcast(term_ranks(counts, total))
+
+    def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = [_wide(v) for v in batch.column(1).to_pylist()]
+        made = signatures(values, shared.value).astype(">i4") if values else ()
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([m.tobytes() for m in made], pa.binary())], names=["row", "sign"]
+        )
+
+    signed = stored(arrow_rows(rests.select("row", "rest"), sign, "row long, sign binary"), "signatures")
+    width = 4 * HASHES // ORDERS
+    keyed = signed.withColumn("order", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))).withColumn(
+        "key", F.expr(f"substring(sign, {width} * order + 1, {width})")
+    )
+    place = ["order", "key", "sign", "row"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, signs, orders = np.empty(0, np.int64), np.empty((0, HASHES), ">i4"), np.empty(0, np.int32)
+        for batch in batches:
+            new = np.frombuffer(b"".join(batch.column("sign").to_pylist()), ">i4").reshape(-1, HASHES)
+            rows = np.concatenate([rows, batch.column("row").to_numpy()])
+            signs = np.concatenate([signs, new])
+            orders = np.concatenate([orders, batch.column("order").to_numpy()])
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in links(rows, signs, orders)], names=["a", "b", "same"])
+            rows, signs, orders = rows[-FOLLOWING:], signs[-FOLLOWING:], orders[-FOLLOWING:]
+
+    sorted_rows = keyed.repartitionByRange(*place).sortWithinPartitions(*place).select("row", "sign", "order")
+    found = arrow_batches(sorted_rows).mapInArrow(compare, "a long, b long, same long")
+    nearest = found.groupBy("a").agg(F.max(F.struct("same", F.col("b"))).alias("best")).select("a", "best.b")
+    groups = components(nearest)
+    labelled = signed.join(groups, signed["row"] == groups["node"], "left").select(
+        "row", F.coalesce("label", "row").alias("label"), "sign"
+    )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            shard = (part << 24) + (at + np.arange(batch.num_rows)) // SHARD
+            at += batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(shard, pa.int64())], names=["row", "shard"])
+
+    # parts of several shards each, as the last shard of a part is not full
+    parts = min(max(1, total // (8 * SHARD)), MOST_PARTS)
+    place = ["label", "sign", "row"]
+    dealt = stored(labelled, "labels").repartitionByRange(parts, *place).sortWithinPartitions(*place).select("row")
+    return stored(arrow_batches(dealt).mapInArrow(deal, "row long, shard long"), "shards")
+
+
 class Index:
     """BM25 inverted index of a shard: for each token id the rests that hold it, with their weights."""
 
@@ -181,15 +286,14 @@ def _powers(window: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
 def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset) of the packed sequences.
 
-    ``ids`` are little-endian unsigned 32-bit integers. Only rests are shuffled, once; a shard has some
-    two thousand of them, each shorter than a window, whatever the documents are like.
+    ``ids`` are little-endian unsigned 32-bit integers. Only rests are shuffled, and their minhashes; a shard
+    has two thousand of them at most, each shorter than a window, whatever the documents are like.
     """
     tokens = tokenized(docs, tokenizer, id_column, text)
     kind = tokens.schema["id"].dataType.simpleString()
     counts = document_counts(tokens)
-    rests = tokens.where("rest IS NOT NULL").select("id", "n", "rest")
+    rests = tokens.where("rest IS NOT NULL").select("row", "id", "n", "rest")
     total, mean = rests.agg(F.count(F.lit(1)), F.avg(F.col("n") % WINDOW)).first()
-    shards = max(1, -(-total // SHARD))
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -213,7 +317,7 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
             for rest, start, length in window:
                 base = whole[rest] - len(all_ids[rest])
                 ids = all_ids[rest][start : start + length]
-                sequence = (1 << 62) + (key[0].as_py() << 32) + number
+                sequence = (1 << 62) + (key[0].as_py() << SHARD_BITS) + number
                 rows.append((names[rest], base + start, length, ids.tobytes(), whole[rest], sequence, offset))
                 offset += length
         return pa.Table.from_arrays(_columns(rows, group.schema.field("id").type), names=_NAMES)
@@ -223,7 +327,10 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
         "sequence_id", F.monotonically_increasing_id()
     )
 
-    dealt = rests.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    if total > SHARD:
+        dealt = rests.join(small(shards_by_content(rests, counts, total)), "row").drop("row")
+    else:
+        dealt = rests.drop("row").withColumn("shard", F.lit(0).cast("long"))
     packed = dealt.groupBy("shard").applyInArrow(shard, schema)
     return full.unionByName(packed).withColumnRenamed("id", id_column)
 

@@ -84,3 +84,23 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     tokens = len(plain(["a b"])[0]) + 1
     assert sum(r.length for r in rows) == 1 + 3 * tokens
     assert packing.pack(frame.limit(0), PATH).count() == 0
+
+
+def test_shards_hold_the_neighbours_of_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 40)
+    draw = np.random.default_rng(3)
+    common = lambda: draw.zipf(1.3, 60) % 300
+    topics = [draw.integers(300, 5000, 30) for _ in range(200)]
+    # four rests of each topic with half of its terms, far apart in the table
+    rests = [np.concatenate([common(), draw.choice(topics[i % 200], 15, False)]).astype("<u4") for i in range(800)]
+    counts = np.bincount(np.concatenate([np.unique(r) for r in rests]))
+    index = packing.Index(rests, counts, len(rests), float(np.mean([len(r) for r in rests])))
+    nearest = [next(int(r) for r in index.neighbours(i) if r != i) for i in range(800)]
+    assert np.mean([n % 200 == i % 200 for i, n in enumerate(nearest)]) > 0.9
+    rows = [(i, bytearray(packing._narrow(r))) for i, r in enumerate(rests)]
+    dealt = packing.shards_by_content(spark.createDataFrame(rows, "row long, rest binary"), counts, len(rests)).collect()
+    shard = {r.row: r.shard for r in dealt}
+    assert sorted(shard) == list(range(800)) == sorted(r.row for r in dealt)
+    assert max(np.unique(list(shard.values()), return_counts=True)[1]) <= 40
+    recall = np.mean([shard[i] == shard[n] for i, n in enumerate(nearest)])
+    assert recall > 0.7
