@@ -1,13 +1,14 @@
 """Licence statements by a trained paragraph classifier.
 
-A paragraph is a line. Its features are word n-grams of one to three words; a softmax regression with an L1
+A paragraph is a line, or the lines that a wrapped text has been cut into: a line of 30 to 120 characters that
+ends no sentence goes on in the next one, and so does one that ends within a hyphenated word. Its features are word n-grams of one to three words; a softmax regression with an L1
 penalty gives few of them a weight for each licence family and for the class ``unknown``. It learns from
 statements built of the names and frames below, from statements with made-up names, and from lines of
 the corpus, BACKGROUND at most. A held-out third of these calibrates the probabilities by a temperature.
 
 A prediction is confirmed if the paragraph holds most of a template's 3-word sequences, or a template
-holds most of the paragraph's. Paragraphs without any cover word can't be predicted and aren't classified:
-cover words are chosen so that every statement learned from has one, rarest in the corpus lines first.
+holds most of the paragraph's. Paragraphs without any cover word can't be predicted and aren't classified: all
+weights of n-grams without a cover word together don't bring a family's odds up to those of ``unknown``.
 
 Texts are handled by DataFrame operations alone; numpy fits the weights, on the driver, from the bounded
 examples. Each different paragraph is classified once, however often it occurs.
@@ -84,6 +85,19 @@ def ngrams(text: str) -> set[str]:
     return {" ".join(words[i : i + n]) for n in range(1, LONGEST + 1) for i in range(len(words) - n + 1)}
 
 
+#: The breaks of a wrapped text, the second kind within a word, and what takes their place.
+_BREAKS = [
+    (r"(?m)^([^\n]{29,119}(?:[^\s.!?-]|\b[vV]\.))[ \t\r]*\n(?=[^\n]*[A-Za-z0-9])", "$1 "),
+    (r"([A-Za-z0-9]-)\r?\n[ \t]*(?:[#*/;%]+[ \t]+)?(?=[A-Za-z0-9])", "$1"),
+]
+
+
+def _unwrapped(text: Column) -> Column:
+    for pattern, made in _BREAKS:
+        text = F.regexp_replace(text, pattern, made)
+    return text
+
+
 def _word_column(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(_WORD), F.lit(0))
 
@@ -154,23 +168,39 @@ def train(background: list[str], rounds: int = 250, penalty: float = 2e-4, rate:
     temperature = min(np.geomspace(0.1, 3, 60), key=loss)
     weights, bias = fitted(x, y)
     weights, bias = weights / temperature, bias / temperature
-    # a word of every statement, the rarest in the corpus lines first
+    kept = np.flatnonzero(np.abs(weights).max(axis=1) > 1e-4)
+    weighted = {vocabulary[i]: weights[i].tolist() for i in kept}
+    return Model(classes, bias.tolist(), weighted, cover_words(classes, bias, weighted, background))
+
+
+def cover_words(classes: list[str], bias: np.ndarray, weights: dict[str, list[float]], background: list[str]) -> list[str]:
+    """Words of which a text has one at least if a family's odds reach those of ``unknown``.
+
+    What an n-gram adds to a family's lead is put down to its word that is rarest in the corpus lines. The
+    commonest words are left out as long as all that is put down to them leaves every family behind.
+    """
     times: dict[str, int] = {}
     for line in background:
         for word in set(re.findall(_WORD, line.lower())):
             times[word] = times.get(word, 0) + 1
-    cover: list[str] = []
-    open_ones = [set(re.findall(_WORD, text.lower())) for family, text in known if family != UNKNOWN]
-    while open_ones:
-        counts: dict[str, int] = {}
-        for words in open_ones:
-            for word in words:
-                counts[word] = counts.get(word, 0) + 1
-        best = max(sorted(counts), key=lambda w: (counts[w] / (1 + 20 * times.get(w, 0)) ** 2, w))
-        cover.append(best)
-        open_ones = [words for words in open_ones if best not in words]
-    kept = np.flatnonzero(np.abs(weights).max(axis=1) > 1e-4)
-    return Model(classes, bias.tolist(), {vocabulary[i]: weights[i].tolist() for i in kept}, cover)
+    unknown = classes.index(UNKNOWN)
+    gains: dict[str, np.ndarray] = {}
+    for gram, values in weights.items():
+        gain = np.maximum(np.array(values) - values[unknown], 0)
+        if gain.any():
+            word = min(gram.split(" "), key=lambda w: (times.get(w, 0), w))
+            gains[word] = gains.get(word, 0) + gain
+    lead = np.delete(np.array(bias, float) - bias[unknown], unknown)
+    cover = []
+    for word in sorted(gains, key=lambda w: (-times.get(w, 0), gains[w].max(), w)):
+        more = lead + np.delete(gains[word], unknown)
+        if times.get(word, 0) and (more < -1e-6).all():
+            lead = more
+        else:
+            cover.append(word)
+    if (lead >= 0).any():
+        raise ValueError("a text without any n-gram would have a family")
+    return cover
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
@@ -186,10 +216,11 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
 def paragraphs(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, hash, line_no, line) of the paragraphs that hold a cover word, stored."""
     rows = documents_only(docs, id_column, text).toDF("id", "text").where("text IS NOT NULL")
-    pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(model.cover)) + r")(?![a-z0-9])"
-    rows = rows.where(F.col("text").rlike(pattern))
-    lines = rows.select("id", F.xxhash64("text").alias("hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return stored(lines.where(F.col("line").rlike(pattern)).distinct(), "paragraphs")
+    pattern = r"(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(model.cover)) + r")(?![a-z0-9])"
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("text", _unwrapped(F.col("text")))
+    rows = rows.where(F.lower("text").rlike(pattern))
+    lines = rows.select("id", "hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return stored(lines.where(F.lower("line").rlike(pattern)).distinct(), "paragraphs")
 
 
 def classify(lines: DataFrame, model: Model) -> DataFrame:

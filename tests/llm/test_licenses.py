@@ -1,6 +1,7 @@
 """Licence statements: unseen wordings, documents, special cases."""
 
 import re
+import textwrap
 
 import pytest
 
@@ -75,3 +76,38 @@ def test_nulls_repeated_rows_clashing_names_and_empty_table(spark):
         [(1, ["mit"], 2), (1, ["mit"], 2), (None, ["mit"], 2), (2, [], 0), (3, [], 0), (4, [], 0), (5, [], 0)], key=str
     )
     assert licenses.license_scan(frame.limit(0)).count() == 0
+
+
+def test_paragraphs_without_a_cover_word_have_no_family(model):
+    """Every n-gram of other words together, the best case of a family, leaves it behind."""
+    unknown = model.classes.index(licenses.UNKNOWN)
+    lead = [b - model.bias[unknown] for b in model.bias]
+    for gram, weights in model.weights.items():
+        if not set(gram.split(" ")) & set(model.cover):
+            lead = [o + max(w - weights[unknown], 0) for o, w in zip(lead, weights, strict=True)]
+    assert max(o for i, o in enumerate(lead) if i != unknown) < 0
+
+
+def test_scan_finds_wrapped_notices_and_other_wordings(spark):
+    prose = "\n".join(f"plain line number {i} of the text is here in words." for i in range(40))
+    notices = [(body, family) for family, bodies in licenses.BODIES.items() for body in bodies if len(body) > 100]
+    texts = [
+        ("\n".join(f"{mark}{line}" for line in textwrap.wrap(body, width)), family)
+        for body, family in notices for width in (40, 70, 78) for mark in ("", "# ", " * ")
+    ]
+    texts += [
+        ("You may copy and change the whole text of it under the terms of the GNU Lesser\nGeneral Public License, version 2.1", "lgpl"),
+        ("The pictures are here under the Creative Commons Attribution-\nNonCommercial 4.0 International License", "cc-by-nc"),
+        # without a word of the former cover
+        ("obtaining a copy of this and associated documentation", "mit"),
+        ("provided that the following conditions are met", "bsd"),
+        ("GNU General Public, version 3", "gpl"), ("Apache 2.0", "apache"),
+    ]
+    frame = spark.createDataFrame([(i, f"{prose}\n\n{t}\n\n{prose}") for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    model = licenses.fit(frame)
+    got = {r.doc_id: r for r in licenses.license_scan(frame).collect()}
+    for i, (text, family) in enumerate(texts):
+        shares = model.probabilities(" ".join(re.sub(r"(?m)^ ?[#*] ", "", text).replace("-\n", "-").split()))
+        want = [family] if shares[family] >= licenses.SURE else []
+        assert got[i].families == want, text
+        assert want or "\n" not in text
