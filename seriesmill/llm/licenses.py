@@ -208,9 +208,13 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     lines = documents_only(docs, text).select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line"))
     names = "licen[cs]|copyright|rights reserved|public domain|redistribut|permission|spdx|cc by|cc0|gnu|mozilla"
     order = F.xxhash64("line")
-    lines = lines.where(F.pmod(order, F.lit(16)) == 0).where(F.length("line").between(1, 2000) & ~F.lower("line").rlike(names))
-    rows = lines.groupBy("line").count().orderBy(order, "line").limit(BACKGROUND)
-    return train(sorted(r["line"] for r in rows.select("line").collect()))
+    fitting = F.length("line").between(1, 2000) & ~F.lower("line").rlike(names)
+    # the hashes first, so that the lines themselves aren't shuffled
+    hashes = lines.where(fitting).select(order.alias("h")).distinct().orderBy("h").limit(BACKGROUND).collect()
+    if not hashes:
+        return train([])
+    rows = lines.where(order <= hashes[-1]["h"]).where(fitting).distinct().orderBy(order, "line").limit(BACKGROUND)
+    return train(sorted(r["line"] for r in rows.collect()))
 
 
 def paragraphs(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:

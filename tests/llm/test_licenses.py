@@ -4,6 +4,7 @@ import re
 import textwrap
 
 import pytest
+from pyspark.sql import functions as F
 
 from seriesmill.llm import licenses, queries
 from seriesmill.llm.common import table
@@ -111,3 +112,15 @@ def test_scan_finds_wrapped_notices_and_other_wordings(spark):
         want = [family] if shares[family] >= licenses.SURE else []
         assert got[i].families == want, text
         assert want or "\n" not in text
+
+
+def test_background_of_a_small_table_is_all_its_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(licenses, "train", seen.append)
+    frame = spark.createDataFrame([(f"line {i}\nline {i + 1}\nlicensed as {i}",) for i in range(0, 30, 2)], "text string")
+    licenses.fit(frame)
+    assert seen == [sorted(f"line {i}" for i in range(30))]
+    monkeypatch.setattr(licenses, "BACKGROUND", 7)
+    licenses.fit(frame)
+    hashed = frame.select(F.explode(F.split("text", "\n")).alias("line")).where("line LIKE 'line%'").distinct()
+    assert seen[1] == sorted(r.line for r in hashed.orderBy(F.xxhash64("line")).limit(7).collect())
