@@ -1,11 +1,11 @@
 """Benchmark passages in documents, by a positional inverted index.
 
 The index holds (document, place, term) for every word of the documents that is a benchmark term. A
-window is 10 consecutive words of an item, or a whole item that is shorter. Of each window the two rarest
-terms by the index are looked up first: where their postings, less the terms' offsets in the item, meet,
-there is a possible alignment of item and document. The other postings of these documents, adjusted by
+window is 10 consecutive words of an item, or a whole item that is shorter. Of each window the four rarest
+terms by the index are looked up first: where the postings of any two of them, less the terms' offsets in the
+item, meet, there is a possible alignment of item and document. As 8 of 10 words miss two at most, none is lost. The other postings of these documents, adjusted by
 their offsets, are then intersected with the alignments; runs of 10 consecutive words are phrase matches,
-and 8 of 10 words in their places are a proximity match (of an alignment that two rarest terms led to).
+and 8 of 10 words in their places are a proximity match.
 
 All steps are DataFrame operations. The index is written to the shared folder; texts are not shuffled.
 
@@ -26,6 +26,8 @@ from seriesmill.llm.common import ascii_lower, documents_only, free_name, small,
 WINDOW = 10
 #: Words of a window in their places that make a proximity match.
 NEAR = 8
+#: Terms of a window that are looked up: so many that two are left where WINDOW - NEAR are missing.
+SEEDS = WINDOW - NEAR + 2
 #: What parts words; capitals become small letters afterwards, so they are no separators.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -61,9 +63,9 @@ def build_index(docs: DataFrame, terms: DataFrame, id_column: str = "doc_id", te
 
 
 def _rarest(words: DataFrame, index: DataFrame) -> DataFrame:
-    """(item, item_hash, one, two) for each window that can occur, if only nearly.
+    """(item, item_hash, seeds) for each window that can occur, if only nearly.
 
-    ``one`` and ``two`` are (off, term) of its rarest terms; the same for a window of one word.
+    ``seeds`` are (off, term) of its rarest terms, SEEDS at most.
     """
     times = index.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
     first = F.greatest(F.col("off") - (WINDOW - 1), F.lit(0))
@@ -76,31 +78,34 @@ def _rarest(words: DataFrame, index: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(found)).alias("found"), F.count(F.lit(1)).alias("size"))
         .where(F.size("found") >= F.when(F.col("size") == WINDOW, NEAR).otherwise(F.col("size")))
     )
-    place = lambda i: F.struct(F.col("found")[i]["off"].alias("off"), F.col("found")[i]["term"].alias("term"))
-    two = F.when(F.size("found") > 1, place(1)).otherwise(place(0))
-    return windows.select("item", "item_hash", place(0).alias("one"), two.alias("two")).distinct()
+    rarest = F.transform(F.slice("found", 1, SEEDS), lambda f: F.struct(f["off"].alias("off"), f["term"].alias("term")))
+    return windows.select("item", "item_hash", rarest.alias("seeds")).distinct()
 
 
 def _alignments(index: DataFrame, rarest: DataFrame) -> DataFrame:
     """Distinct (id, hash, item, item_hash, shift): the item's first word would be at place ``shift``.
 
-    The postings of a window's two rarest terms, less their offsets, must meet.
+    The postings of two of a window's rarest terms, less their offsets, must meet; the one of a window of one word
+    is enough.
     """
-    seeds = rarest.select("item", "item_hash", F.explode(F.array("one", "two")).alias("s")).select("item", "item_hash", "s.*")
+    seeds = rarest.select("item", "item_hash", F.explode("seeds").alias("s")).select("item", "item_hash", "s.*")
     met = (
         index.join(small(stored(seeds.distinct(), "seeds")), "term")
         .select("id", "hash", "item", "item_hash", (F.col("pos") - F.col("off")).alias("shift"), "off")
         .groupBy("id", "hash", "item", "item_hash", "shift")
         .agg(F.collect_set("off").alias("offs"))
     )
-    # an item has as many pairs as windows, at most
-    pairs = rarest.groupBy("item", "item_hash").agg(
-        F.collect_set(F.struct(F.col("one.off").alias("one"), F.col("two.off").alias("two"))).alias("pairs")
+    # an item has as many sets of offsets as windows, at most
+    sets = rarest.groupBy("item", "item_hash").agg(
+        F.collect_set(F.transform("seeds", lambda p: p["off"])).alias("sets")
     )
-    both = F.exists("pairs", lambda p: F.array_contains("offs", p["one"]) & F.array_contains("offs", p["two"]))
+    sets = sets.withColumn("single", F.exists("sets", lambda o: F.size(o) == 1))
+    # most have met one term only, and need no look at the sets
+    possible = (F.size("offs") > 1) | F.col("single")
+    enough = F.exists("sets", lambda o: F.size(F.array_intersect("offs", o)) >= F.least(F.size(o), F.lit(2)))
     return (
-        met.join(small(stored(pairs, "pairs")), ["item", "item_hash"])
-        .where(both)
+        met.join(small(stored(sets, "sets")), ["item", "item_hash"])
+        .where(possible & enough)
         .select("id", "hash", "item", "item_hash", "shift")
     )
 

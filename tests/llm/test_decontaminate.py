@@ -83,3 +83,16 @@ def test_empty_tables(spark):
     assert [r.contaminated for r in decontaminate.contamination(docs, items.limit(0)).collect()] == [False]
     assert decontaminate.without_contaminated(docs, items).count() == 0
     assert decontaminate.without_contaminated(docs, items.limit(0)).columns == docs.columns
+
+
+def test_proximity_matches_with_any_two_words_changed(spark):
+    places = [(i, j) for i in range(10) for j in range(i + 1, 10)]
+    item = [f"w{i}" for i in range(10)]
+    changed = [(n, " ".join("other" if k in pair else w for k, w in enumerate(item))) for n, pair in enumerate(places)]
+    # w0 is the rarest term, w9 the commonest
+    docs = changed + [(100 + i, " ".join(f"w{k} and" for k in range(9, 9 - i % 10, -1))) for i in range(50)]
+    found = decontaminate.matches(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"),
+    ).where("kind = 'proximity'")
+    assert {r.id for r in found.collect()} == {n for n, _ in changed}
