@@ -74,18 +74,23 @@ class _Words(dict):
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers.
 
-    def __init__(self, path: str):
+    With ``special`` the strings of special tokens in a text give their ids, as the library has it unless told
+    otherwise; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # their strings in a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         self.pieces = _Pieces(self.tokenizer.model)
         self.words = _Words(self.pieces)
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
+        #: Strings that the library cuts out of a text before its pieces.
+        self.added = [t["content"] for t in config.get("added_tokens") or () if special or not t["special"]]
         step = config["pre_tokenizer"] or {}
         self.by_pieces = (
             sys.byteorder == "little"
@@ -99,7 +104,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.by_pieces or _BEYOND.search(text):
+        if not self.by_pieces or _BEYOND.search(text) or any(token in text for token in self.added):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
         if any(c in text for c in _OTHER_SPACES) or any(pair in text for pair in _NEAR_SPACES):
@@ -113,4 +118,4 @@ class Encoder:
 @functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder in each worker process. The file lies at the same path on every machine."""
-    return Encoder(path)
+    return Encoder(path, special=True)

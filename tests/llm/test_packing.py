@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from seriesmill.llm import packing, queries
 from seriesmill.llm.common import table
-from seriesmill.llm.tokens import Encoder
+from seriesmill.llm.tokens import Encoder, encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -104,3 +104,16 @@ def test_shards_hold_the_neighbours_of_the_whole_table(spark, monkeypatch):
     assert max(np.unique(list(shard.values()), return_counts=True)[1]) <= 40
     recall = np.mean([shard[i] == shard[n] for i, n in enumerate(nearest)])
     assert recall > 0.7
+
+
+def test_added_tokens_have_the_ids_of_the_plain_library(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|> a", "a b<|endoftext|>", "a <|endoftext|><|endoftext|>\n c", "漢<|endoftext|>", "<|endoftext| >"]
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder(PATH).encode(text), "<u4").tolist() == ids
+    assert 50256 in tokenizer.encode(texts[0], add_special_tokens=False).ids
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts[:1])), "doc_id long, text string"), PATH).collect()
+    assert b"".join(r.ids for r in sorted(rows, key=lambda r: r.start)) == np.array(
+        [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 1], "<u4"
+    ).tobytes()
