@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import (
     decontaminate,
+    divergence,
     jaccard_join,
     licenses,
     line_dedup,
@@ -115,6 +116,52 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+kept AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs)
+    GROUP BY lang, term HAVING count(*) >= 30),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+    SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM docs)
+    JOIN kept USING (lang, term) GROUP BY ALL),
+wide AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n
+    FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+shares AS (
+    SELECT lang, source, term, n,
+           1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 5 * v) AS p
+    FROM wide JOIN vocabulary USING (lang)),
+whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang)::HUGEINT + 5 * v) AS q
+    FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM wide GROUP BY lang, term) JOIN vocabulary USING (lang)),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    WHERE x.term IS NULL OR y.term IS NOT NULL
+    GROUP BY ALL),
+most AS (
+    SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+    FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT lang, source, part, item, coalesce(value, 0) AS value FROM pairs UNION ALL SELECT * FROM most))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -126,9 +173,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 #: SQL for the queries that it can express on whole tables.
 SQL: dict[str, str] = {
     "op9_decontamination": OP9_SQL,
+    "op11_source_divergence": OP11_SQL,
 }
