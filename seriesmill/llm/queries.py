@@ -19,6 +19,7 @@ from seriesmill.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    spelling,
     token_files,
 )
 from seriesmill.llm.common import table
@@ -162,6 +163,10 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM ranked WHERE part = 'pair' OR rank <= 50"""
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -174,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
     "op11_source_divergence": op11_source_divergence,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 #: SQL for the queries that it can express on whole tables.
