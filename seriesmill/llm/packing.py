@@ -68,9 +68,8 @@ def tokenized(docs: DataFrame, tokenizer: str, id_column: str, text: str) -> Dat
     """
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = encoder(tokenizer)
-        end = np.array([END], "<u4").tobytes()
-        ids = [np.frombuffer(own.encode(t) + end, "<u4") for t in batch.column(1).to_pylist()]
+        flat, at = encoder(tokenizer).encode_batch(batch.column(1))
+        ids = [np.append(flat[low:high], np.uint32(END)) for low, high in zip(at[:-1], at[1:], strict=True)]
         cut = [len(i) - len(i) % WINDOW for i in ids]
         return pa.RecordBatch.from_arrays(
             [

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.llm import (
+    bpe,
     decontaminate,
     divergence,
     jaccard_join,
@@ -167,6 +168,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.decode(encoded, TOKENIZER).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -180,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_source_divergence": op11_source_divergence,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
 }
 
 #: SQL for the queries that it can express on whole tables.

@@ -48,8 +48,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             segments: list[tuple[list, list[int], list[bytes]]] = []
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = own.encode(value) + end
+            flat, at = own.encode_batch(batch.column(1))
+            for doc_id, low, high in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+                ids = flat[low:high].tobytes() + end
                 if not segments or sum(segments[-1][1]) >= SEGMENT:
                     segments.append(([], [], []))
                 for column, x in zip(segments[-1], (doc_id, len(ids) // 4, ids), strict=True):

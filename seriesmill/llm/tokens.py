@@ -3,6 +3,9 @@
 A byte-level BPE cuts a text into pieces by a pattern and encodes each piece by itself. So the ids of a
 piece are had from the library's model once and kept; a text is the sequence of its pieces' ids. Where a
 text holds letters beyond Latin ones, or with a tokenizer of another kind, the library gets the whole text.
+
+A batch of texts is split at its spaces and dictionary-encoded at once: each distinct word of the batch is
+looked up a single time, and the ids of all texts are put together by index.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ import sys
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces and words kept, some 200 bytes each, and the longest one that is kept, in characters.
 PIECES_KEPT, LONGEST_KEPT = 500_000, 40
@@ -27,6 +32,8 @@ _PIECE = re.compile(
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
 _BEYOND = re.compile("[^\x00-ɏ]")
+#: The first byte in UTF-8 of U+0240: no lesser byte begins a letter beyond U+024F.
+_BEYOND_BYTE = 0xC9
 
 
 def _byte_letters() -> dict[int, int]:
@@ -114,6 +121,50 @@ class Encoder:
         start = b"".join(map(self.pieces.__getitem__, _PIECE.findall(first)))
         return start + b"".join(map(self.words.__getitem__, words))
 
+    def words_ids(self, words: list[str], firsts: list[str]) -> list[bytes]:
+        """Ids of each word with a space in front, then of the texts' first words, which have none."""
+        made = list(map(self.words.__getitem__, words))
+        return made + [b"".join(map(self.pieces.__getitem__, _PIECE.findall(word))) for word in firsts]
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a batch, and where those of each begin, with the end of the last."""
+        texts = pc.fill_null(texts, "")
+        if not len(texts):
+            return np.empty(0, "<u4"), np.zeros(1, np.int64)
+        odd = self._odd(texts)
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        words = pc.split_pattern(plain, " ")
+        first = words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()
+        flat = words.flatten()
+        coded = flat.dictionary_encode()
+        known = len(coded.dictionary)
+        made = self.words_ids(coded.dictionary.to_pylist(), flat.take(pa.array(first)).to_pylist())
+        for i in np.flatnonzero(odd).tolist():
+            made[known + i] = self.encode(texts[i].as_py())
+        which = coded.indices.to_numpy().astype(np.int64)
+        which[first] = known + np.arange(len(first))
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids, counts = np.frombuffer(b"".join(made), "<u4"), sizes[which]
+        ends = np.cumsum(counts)
+        at = np.repeat(starts[which] - ends + counts, counts) + np.arange(ends[-1])
+        return ids[at], np.r_[(ends - counts)[first], ends[-1]]
+
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts can't be split at their spaces."""
+        raw = b"\n".join(texts.cast(pa.binary()).to_pylist())
+        strings = [*_OTHER_SPACES, *_NEAR_SPACES, *self.added]
+        beyond = bool((np.frombuffer(raw, np.uint8) >= _BEYOND_BYTE).any())
+        if self.by_pieces and not beyond and not any(s.encode() in raw for s in strings):
+            return np.zeros(len(texts), bool)
+        return np.array(
+            [
+                not self.by_pieces or bool(_BEYOND.search(t)) or any(s in t for s in strings)
+                for t in texts.to_pylist()
+            ],
+            bool,
+        )
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:
