@@ -214,8 +214,9 @@ def source_divergence(
         .join(small(languages), "lang")
         .select("lang", "term", "entries", F.expr(_p("n")).alias("whole"), "zeros")
     )
-    order = ("lang", "entries", "term")
-    ordered = stored(vectors, "vectors").repartitionByRange(*order).sortWithinPartitions(*order)
+    # dealt by the head of the order, as the bounds of the ranges are drawn from a sample at the driver
+    dealt = stored(vectors, "vectors").repartitionByRange("lang", F.slice("entries.n", 1, 2), "term")
+    ordered = dealt.sortWithinPartitions("lang", "entries", "term")
     found = stored(
         arrow_batches(ordered).mapInArrow(_stretches, "lang string, a int, b int, term string, value long"), "sums"
     )

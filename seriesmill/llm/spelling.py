@@ -187,7 +187,10 @@ def near_words(words: DataFrame) -> DataFrame:
     def entries(batch: pa.RecordBatch) -> pa.RecordBatch:
         return _entries(times.value)(batch)
 
-    rows = stored(arrow_rows(words.select("word"), entries, "key long, probe boolean, word string, last long"), "grams")
+    # a few files hold all words, and each word makes some forty rows
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = words.select("word").repartition(parts, "word")
+    rows = stored(arrow_rows(spread, entries, "key long, probe boolean, word string, last long"), "grams")
     index = rows.where("NOT probe").select("key", F.col("word").alias("s"), F.col("last").alias("s_last"))
     probes = rows.where("probe").select("key", F.col("word").alias("r"), F.col("last").alias("r_last"))
     found = probes.join(index, "key").where("r_last <= s_last AND r != s AND levenshtein(r, s, 1) = 1")
