@@ -71,7 +71,10 @@ from seriesmill.sources.sinks import (
 try:
     import corpus_pipeline
     from seriesmill.llm import queries as llm_queries
-except ModuleNotFoundError:
+except ModuleNotFoundError as error:
+    # what they need themselves must be there
+    if error.name not in ("corpus_pipeline", "seriesmill.llm"):
+        raise
     corpus_pipeline = llm_queries = None
 
 # The look-back ends at the end of the data and reaches back over all of it.
@@ -81,8 +84,9 @@ DAY = 24 * 60
 MULTI_FREQUENCIES = (60, DAY, MONTH)
 UNEVEN_FREQUENCIES = (420, 7 * DAY, MONTH)  # neither of the first two divides a month
 STREAM_PARTS = 4
-# The streams of intervals end before the data do.
-STREAM_END = 1706270400  # 2024-01-26T12:00:00Z
+# One stream of intervals ends after all of them have, the other before the data do.
+STREAM_END = AS_OF + 2 * 24 * 60 * 60
+STREAM_OPEN_END = 1706270400  # 2024-01-26T12:00:00Z
 RANGE_START, RANGE_END = 1704672000, 1705881600  # 2024-01-08 and 2024-01-22, UTC
 
 
@@ -453,7 +457,7 @@ def _stream_sliding_panes(spark, sf):
     return _comparable(read_latest(spark, f"{folder}/out", keys))
 
 
-def _stream_intervals(spark, sf):
+def _stream_intervals(spark, sf, end=STREAM_END):
     folder = _work_folder(spark, "intervals")
     queries = run_interval_job(
         _sample_stream(spark, sf),
@@ -463,7 +467,7 @@ def _stream_intervals(spark, sf):
         period=6 * 60,
         checkpoint=folder,
         drain=True,
-        clock=lambda: STREAM_END,
+        clock=lambda: end,
     )
     _finish(*queries)
     keys = ("pointId", "timestampStartOfWindow", "timestampEndOfWindow")
@@ -472,6 +476,11 @@ def _stream_intervals(spark, sf):
     return _comparable(hour.unionByName(day))
 
 
+def _stream_intervals_open(spark, sf):
+    """The stream ends while intervals are open: these are not published."""
+    return _stream_intervals(spark, sf, STREAM_OPEN_END)
+
+
 def _stream_lookback(spark, sf):
     """Uneven frequencies over the stream, for a batch at the end of the data."""
     folder = _work_folder(spark, "lookback")
@@ -565,6 +574,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sliding": _stream_sliding,
         "stream_sliding_panes": _stream_sliding_panes,
         "stream_intervals": _stream_intervals,
+        "stream_intervals_open": _stream_intervals_open,
         "stream_lookback": _stream_lookback,
         "stream_last_known_value": _stream_last_known_value("update"),
         "stream_last_known_value_all": _stream_last_known_value("complete"),
@@ -704,13 +714,13 @@ def _stream_panes_sql() -> str:
     return every + _record_sql("stddevValOfSamples", "every")
 
 
-def _stream_intervals_sql() -> str:
+def _stream_intervals_sql(end: int = STREAM_END) -> str:
     hour = _windows_sql(3600, 3600, _DELTA_SQL)
     day = _windows_sql(86400, 6 * 3600, _DELTA_SQL)
     return (
         f"""WITH {_SAMPLES_SQL}, {_POINTS_SQL}, every AS (
 (WITH {hour} SELECT * FROM windows) UNION ALL (WITH {day} SELECT * FROM windows))"""
-        + _record_sql("delta", "every", f'WHERE "windowEnd" <= {STREAM_END}')
+        + _record_sql("delta", "every", f'WHERE "windowEnd" <= {end}')
     )
 
 
@@ -840,6 +850,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_sliding": _sliding_sql(60, 15),
         "stream_sliding_panes": _stream_panes_sql(),
         "stream_intervals": _stream_intervals_sql(),
+        "stream_intervals_open": _stream_intervals_sql(STREAM_OPEN_END),
         "stream_lookback": f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, "
         + _lookback_rows_sql(UNEVEN_FREQUENCIES)
         + _record_sql("delta", "lookback"),

@@ -6,7 +6,8 @@ import datetime as dt
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.stats import DELTA, basic_exprs, first_key, last_key, stat_exprs, usable
@@ -101,6 +102,48 @@ def lookback_from_panes(
     return _intervals(grouped, end, horizon, keys)
 
 
+#: A node is as long as so many of the next shorter ones.
+NODE_FAN = 8
+
+
+def node_sizes(step: int, horizon: int) -> list[int]:
+    """Lengths of the nodes of panes as long as ``step``, each of which an interval can hold."""
+    sizes = [step]
+    while sizes[-1] * NODE_FAN <= horizon:
+        sizes.append(sizes[-1] * NODE_FAN)
+    return sizes
+
+
+def _fits(start, size: int, as_of: int, lengths: Sequence[int], floor):
+    """Whether a node lies in a single interval of each length, and within the longest."""
+    fits = (start >= as_of - lengths[-1]) & (start + size <= as_of)
+    for length in lengths:
+        fits = fits & (floor((start - as_of) / length) == floor((start + size - 1 - as_of) / length))
+    return fits
+
+
+def in_cover(as_of: int, lengths: Sequence[int], size: int, longer: int | None) -> Column:
+    """Whether the node at ``paneStart`` is one of the longest that make up all intervals.
+
+    Nodes of a size start at its multiples. A node is used where it lies within an interval of each
+    length, and the next longer node that holds it doesn't.
+    """
+    start = F.col("paneStart")
+    used = _fits(start, size, as_of, lengths, F.floor)
+    if longer is not None:
+        used = used & ~_fits(start - F.pmod(start, F.lit(longer)), longer, as_of, lengths, F.floor)
+    return used
+
+
+def node_days(as_of: int, lengths: Sequence[int], size: int, longer: int | None) -> list[int]:
+    """The days, since 1970, in which nodes of a size are used."""
+    start = np.arange((as_of - lengths[-1]) // size * size, as_of, size)
+    used = _fits(start, size, as_of, lengths, np.floor)
+    if longer is not None:
+        used &= ~_fits(start - start % longer, longer, as_of, lengths, np.floor)
+    return np.unique(start[used] // (24 * 60 * 60)).tolist()
+
+
 def _intervals(grouped: DataFrame, end: int, horizon: int, keys: Sequence[str]) -> DataFrame:
     interval_end = F.lit(end) - F.col("age")
     interval_start = interval_end - F.col("windowSeconds")

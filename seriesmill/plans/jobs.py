@@ -12,6 +12,7 @@ import math
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -21,15 +22,20 @@ from seriesmill.functions.stats import DELTA, STDDEV
 from seriesmill.functions.timeunits import durations, interval_text, minutes_to_seconds
 from seriesmill.operators.enrich import enrich, fits_broadcast, to_output
 from seriesmill.operators.lastvalue import last_known_value
-from seriesmill.operators.lookback import lookback_aggregates, lookback_from_panes
+from seriesmill.operators.lookback import (
+    in_cover,
+    lookback_aggregates,
+    lookback_from_panes,
+    node_days,
+    node_sizes,
+)
 from seriesmill.operators.sliding import (
     DEFAULT_SLIDE,
     DEFAULT_WINDOWS,
     expand_runs,
+    fold_panes,
     pane_aggregates,
     pane_runs,
-    sliding_aggregates,
-    use_direct,
 )
 from seriesmill.schemas import INGEST_TIME
 from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
@@ -58,12 +64,8 @@ def sliding_report(
 
     Equal windows that follow each other are joined with their point once.
     """
-    if use_direct(windows, slide):
-        rows = enrich(sliding_aggregates(samples, windows, slide, time_col), points)
-    else:
-        runs = pane_runs(pane_aggregates(samples, slide, time_col), windows, slide)
-        rows = expand_runs(enrich(runs, points), slide)
-    return to_output(rows, STDDEV)
+    runs = pane_runs(pane_aggregates(samples, slide, time_col), windows, slide)
+    return to_output(expand_runs(enrich(runs, points), slide), STDDEV)
 
 
 def interval_report(
@@ -225,10 +227,26 @@ class _LookbackPublisher(Publisher):
 
     frequencies: Sequence[float] = ()
 
-    def rows_at(self, as_of, before, upto_batch, bounds):
-        panes = self.panes(upto_batch, as_of - self.horizon, as_of)
-        step = minutes_to_seconds(self.slide)
-        return None if panes is None else lookback_from_panes(panes, as_of, self.frequencies, self.keys, step)
+    @property
+    def sizes(self) -> list[int]:
+        return node_sizes(minutes_to_seconds(self.slide), self.horizon)
+
+    def nodes_at(self, as_of: int, upto: int) -> DataFrame | None:
+        """The fewest nodes, as parts, that together are all intervals at a time."""
+        lengths, found = durations(self.frequencies), []
+        for size, longer in zip(self.sizes, [*self.sizes[1:], None], strict=True):
+            days = node_days(as_of, lengths, size, longer)
+            parts = self.panes_table.read(upto, size=size, days=days)
+            if parts is not None:
+                found.append(parts.where(in_cover(as_of, lengths, size, longer)))
+        return reduce(DataFrame.unionByName, found) if found else None
+
+    def rows_at(self, publication):
+        nodes = self.nodes_at(publication.as_of, publication.upto)
+        if nodes is None:
+            return None
+        panes, step = fold_panes(nodes, self.keys, self.stat), self.sizes[0]
+        return lookback_from_panes(panes, publication.as_of, self.frequencies, self.keys, step)
 
 
 def run_lookback_job(
@@ -249,8 +267,9 @@ def run_lookback_job(
     Frequencies of any length fit, and late samples correct all intervals within the longest one. The
     batch time is the last multiple of the period on the clock; samples at or after it wait for the
     next. Samples are kept as panes as long as the greatest common divisor of the period and the
-    frequencies, in ``pane_table``, by default a folder beside the checkpoint; a batch reads those of
-    the longest frequency. Without ``keep``, older days are removed.
+    frequencies, and as nodes of 8, 64, ... panes, in ``pane_table``, by default a folder beside the
+    checkpoint. A batch reads the fewest nodes that make up its intervals: some hundred a series for one
+    interval of any length. Without ``keep``, older days are removed.
     """
     lengths, step = durations(frequencies), minutes_to_seconds(period)
     small = fits_broadcast(points)

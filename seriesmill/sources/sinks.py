@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesmill.functions.codec import encode_records
 from seriesmill.functions.timeunits import interval_text
+from seriesmill.sources.notes import path_of
 
 BATCH_COLUMN = "batch"
 
@@ -82,13 +82,10 @@ def write_version(rows: DataFrame, path: str, batch_id: int) -> str:
     first one is refused where later ones lie: those are of another run.
     """
     if batch_id == 0:
-        try:
-            later = rows.sparkSession.read.parquet(path).where(F.col(BATCH_COLUMN) > 0)
-            if not later.isEmpty():
-                raise ValueError(f"{path} has the versions of another run; name another folder")
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        root, files = path_of(rows.sparkSession, path)
+        names = [status.getPath().getName() for status in files.listStatus(root)] if files.exists(root) else []
+        if any(n.startswith(f"{BATCH_COLUMN}=") and n != f"{BATCH_COLUMN}=0" for n in names):
+            raise ValueError(f"{path} has the versions of another run; name another folder")
     folder = f"{path}/{BATCH_COLUMN}={batch_id}"
     rows.write.mode("overwrite").parquet(folder)
     return folder

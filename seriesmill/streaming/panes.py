@@ -1,40 +1,51 @@
 """Windows and intervals over a stream through a table of panes.
 
-Every micro-batch is reduced to panes, one row per series and slide, and appended to a Parquet table as
-it is: there is no state and no watermark, and a late sample is one more part of its pane. Parts are
-folded when they are read.
+Every micro-batch is reduced to panes, one row per series and slide, and appended to a table as it is: there
+is no state and no watermark, and a late sample is one more part of its pane. Parts are folded when they are
+read, and merged for good once there are some of a day.
 
 A publication at a time T, a multiple of the slide, has all windows that ended after the publication
 before and up to T, and again those that ended earlier and hold a pane that the new micro-batch has added
 to. A micro-batch publishes once; without new samples :meth:`Publisher.publish` does.
+
+A publication is noted beside the checkpoint with all that its rows depend on before it is written, and
+noted as done afterwards. One that was not done is written again, under its number, before any other.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesmill.functions.stats import STDDEV
-from seriesmill.functions.timeunits import interval_text, minutes_to_seconds
+from seriesmill.functions.timeunits import floor_to, interval_text, minutes_to_seconds
 from seriesmill.operators.sliding import fold_panes, merge_panes, pane_aggregates, window_lengths
 from seriesmill.schemas import INGEST_TIME, SERIES_KEY
-from seriesmill.sources.dated import _missing, append_dated, read_dated, remove_days, run_of
-from seriesmill.sources.sinks import BATCH_COLUMN
+from seriesmill.sources.dated import SIZE_COLUMN, DatedTable, run_of
+from seriesmill.sources.notes import Note
 
 
 @dataclass
 class Publication:
-    """The ``number``-th publication: of a micro-batch, or of none, at a time."""
+    """The ``number``-th publication: of a micro-batch, or of none (-1), at a time.
+
+    ``before`` is the time of the one before it, ``upto`` the last micro-batch it knows of, ``low`` and ``high``
+    the first and last pane of its own micro-batch.
+    """
 
     number: int
     batch: int
     as_of: int
+    before: int | None
+    upto: int
+    low: int | None = None
+    high: int | None = None
 
 
 @dataclass
@@ -42,8 +53,8 @@ class Publisher:
     """A pane table and what has been published of it. Durations are in minutes.
 
     ``rows_at`` makes the rows of a publication; ``write`` gets them with the publication's number, and
-    gets the same rows again if a micro-batch runs again. Each publication is noted beside the
-    checkpoint before it is written. ``published`` has the number of rows of each, by number.
+    gets the same rows again if a micro-batch runs again or a write has failed. ``published`` has the number
+    of rows of each, by number.
     """
 
     spark: SparkSession
@@ -62,43 +73,63 @@ class Publisher:
 
     def __post_init__(self) -> None:
         self.table = f"{self.table}/run={run_of(self.spark, self.checkpoint)}"
-        self._noted: list[Publication] | None = None
-
-    # --- the notes ---
-
-    def _notes(self) -> list[Publication]:
-        if self._noted is None:
-            try:
-                rows = self.spark.read.parquet(f"{self.checkpoint}/publications").collect()
-            except AnalysisException as error:
-                if not _missing(error):
-                    raise
-                rows = []
-            made = (Publication(r["number"], r["for_batch"], r["as_of"]) for r in rows)
-            self._noted = sorted(made, key=lambda p: p.number)
-        return self._noted
-
-    def _note(self, batch: int, as_of: int | None = None) -> tuple[Publication, Publication | None]:
-        """The publication of a batch, which may be running again, and the one before."""
-        notes = self._notes()
-        again = [i for i, p in enumerate(notes) if p.batch == batch and batch >= 0]
-        if again:
-            return notes[again[0]], notes[again[0] - 1] if again[0] else None
-        step = minutes_to_seconds(self.period or self.slide)
-        now = int(self.clock() if as_of is None else as_of) // step * step
-        before = notes[-1] if notes else None
-        new = Publication(before.number + 1 if before else 0, batch, max(now, before.as_of) if before else now)
-        row = [(new.number, new.batch, new.as_of)]
-        frame = self.spark.createDataFrame(row, "number int, for_batch long, as_of long").coalesce(1)
-        frame.write.mode("overwrite").parquet(f"{self.checkpoint}/publications/p={new.number}")
-        notes.append(new)
-        return new, before
+        self.panes_table = DatedTable(
+            self.spark, self.table, "paneStart", lambda rows: fold_panes(rows, self.keys, self.stat), self.keys
+        )
+        self._lock = threading.RLock()
+        #: Number and time of the last publication, that of the last micro-batch, those not done.
+        self._log = Note(self.spark, f"{self.checkpoint}/publication-log")
+
+    #: Lengths of the nodes that panes are kept as, in seconds; the first is that of a pane.
+    @property
+    def sizes(self) -> list[int]:
+        return [minutes_to_seconds(self.slide)]
+
+    # --- the log ---
+
+    def _state(self) -> dict:
+        return self._log.value or {"number": -1, "as_of": None, "of_batch": None, "open": []}
+
+    def _publish(self, batch: int, as_of: float | None, upto: int, bounds: tuple[int, int] | None) -> None:
+        """Note a publication, write it, note it as done. A batch that runs again has the publication it had."""
+        state = self._state()
+        again = state["of_batch"]
+        if batch >= 0 and again and again["batch"] == batch:
+            new = Publication(**again)
+        else:
+            step = minutes_to_seconds(self.period or self.slide)
+            now = int(self.clock() if as_of is None else as_of) // step * step
+            before = state["as_of"]
+            now = now if before is None else max(now, before)
+            new = Publication(state["number"] + 1, batch, now, before, upto, *(bounds or (None, None)))
+            state = {**state, "number": new.number, "as_of": now, "open": [*state["open"], asdict(new)]}
+            if batch >= 0:
+                state["of_batch"] = asdict(new)
+            self._log.write(state)
+        self._write(new)
+
+    def _write(self, publication: Publication) -> None:
+        rows = self.rows_at(publication)
+        if rows is not None:
+            count = Observation()
+            self.write(rows.observe(count, F.count(F.lit(1)).alias("rows")), publication.number)
+            self.published[publication.number] = count.get["rows"]
+        state = self._state()
+        left = [p for p in state["open"] if p["number"] != publication.number]
+        if left != state["open"]:
+            self._log.write({**state, "open": left})
+
+    def _finish_open(self, but_batch: int | None = None) -> None:
+        """Write what was noted and not done, but for what a micro-batch that runs again does itself."""
+        for noted in self._state()["open"]:
+            if but_batch is None or noted["batch"] != but_batch:
+                self._write(Publication(**noted))
 
     # --- the table ---
 
     def panes(self, upto_batch: int, since: int | None, until: int, only: DataFrame | None = None) -> DataFrame | None:
         """Folded panes from ``since`` to before ``until``; with ``only``, of the series in it."""
-        parts = read_dated(self.spark, self.table, upto_batch, since, until)
+        parts = self.panes_table.read(upto_batch, since, until, self.sizes[0])
         if parts is None:
             return None
         pane = F.col("paneStart")
@@ -107,31 +138,42 @@ class Publisher:
             parts = parts.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi")
         return fold_panes(parts, self.keys, self.stat)
 
+    def _nodes(self, panes: DataFrame) -> DataFrame:
+        """The panes, and folded ones of each longer size."""
+        sizes = self.sizes
+        made = panes.withColumn(SIZE_COLUMN, F.lit(sizes[0]))
+        for size in sizes[1:]:
+            longer = fold_panes(panes.withColumn("paneStart", floor_to(F.col("paneStart"), size)), self.keys, self.stat)
+            made = made.unionByName(longer.withColumn(SIZE_COLUMN, F.lit(size)))
+        return made
+
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        parts = pane_aggregates(batch, self.slide, self.time_col, self.keys, self.stat)
-        bounds = append_dated(parts, self.table, batch_id, "paneStart", self.keys)
-        self._write(*self._note(batch_id), batch_id, bounds)
+        with self._lock:
+            self._finish_open(but_batch=batch_id)
+            parts = pane_aggregates(batch, self.slide, self.time_col, self.keys, self.stat)
+            if len(self.sizes) > 1:
+                parts = parts.persist()
+            try:
+                bounds = self.panes_table.append(self._nodes(parts), batch_id, self.sizes)
+            finally:
+                parts.unpersist()
+            self._publish(batch_id, None, batch_id, bounds)
+            # the batches before can't run again
+            self.panes_table.compact(batch_id)
+            if not self.keep:
+                self.panes_table.remove_days(self._state()["as_of"] - self.horizon)
 
     def publish(self, as_of: float | None = None) -> None:
         """What is due at a time, by default now, without new samples."""
-        notes, step = self._notes(), minutes_to_seconds(self.period or self.slide)
-        now = self.clock() if as_of is None else as_of
-        if notes and int(now) // step * step <= notes[-1].as_of:
-            return
-        last = max((p.batch for p in notes), default=-1)
-        self._write(*self._note(-1, as_of), last, None)
-
-    def _write(self, new: Publication, before: Publication | None, upto_batch: int, bounds) -> None:
-        rows = self.rows_at(new.as_of, before.as_of if before else None, upto_batch, bounds)
-        if rows is None:
-            return
-        count = Observation()
-        self.write(rows.observe(count, F.count(F.lit(1)).alias("rows")), new.number)
-        self.published[new.number] = count.get["rows"]
-        if not self.keep:
-            remove_days(self.spark, self.table, new.as_of - self.horizon)
-
-    def rows_at(self, as_of: int, before: int | None, upto_batch: int, bounds) -> DataFrame | None:
+        with self._lock:
+            self._finish_open()
+            state, step = self._state(), minutes_to_seconds(self.period or self.slide)
+            now = self.clock() if as_of is None else as_of
+            if state["as_of"] is not None and int(now) // step * step <= state["as_of"]:
+                return
+            self._publish(-1, now, state["of_batch"]["batch"] if state["of_batch"] else -1, None)
+
+    def rows_at(self, publication: Publication) -> DataFrame | None:
         raise NotImplementedError
 
 
@@ -146,22 +188,22 @@ class WindowPublisher(Publisher):
             panes, self.windows, self.slide, self.keys, ends_after=after, ends_until=until, stat=self.stat
         )
 
-    def rows_at(self, as_of, before, upto_batch, bounds):
+    def rows_at(self, publication):
+        as_of, before, upto = publication.as_of, publication.before, publication.upto
         due = None
         if before is None or as_of > before:
-            panes = self.panes(upto_batch, None if before is None else before - self.horizon, as_of)
+            panes = self.panes(upto, None if before is None else before - self.horizon, as_of)
             due = None if panes is None else self._merged(panes, before, as_of)
-        if before is None or bounds is None:
+        if before is None or publication.low is None:
             return due
-        low, high = bounds
-        until = min(before, high + self.horizon)
-        added = read_dated(self.spark, self.table, upto_batch, low, high)
+        low = publication.low
+        until = min(before, publication.high + self.horizon)
+        added = self.panes_table.read(upto, low, publication.high, self.sizes[0], batch=publication.batch)
         if added is None or low >= until:
             return due
         # windows that hold a pane of this batch: those of its panes alone
-        added = added.where(F.col(BATCH_COLUMN) == upto_batch)
         touched = self._merged(fold_panes(added, self.keys, self.stat), low, until)
-        panes = self.panes(upto_batch, low - self.horizon, until, added)
+        panes = self.panes(upto, low - self.horizon, until, added)
         window = [*self.keys, "windowSeconds", "windowEnd"]
         again = self._merged(panes, low, until).join(touched.select(*window), window, "left_semi")
         return again if due is None else again.unionByName(due)

@@ -18,7 +18,7 @@ from seriesmill.plans.jobs import (
     run_sliding_updates_job,
 )
 from seriesmill.schemas import SAMPLE_COLUMNS
-from seriesmill.sources.dated import DAY, append_dated, read_dated, remove_days
+from seriesmill.sources.dated import DAY, DatedTable
 from seriesmill.sources.readers import (
     json_source,
     kafka_source,
@@ -292,13 +292,14 @@ def test_a_repeated_batch_is_published_once(feed, points, tmp_path):
 
 
 def test_days_before_the_horizon_are_removed(spark, tmp_path):
-    table = str(tmp_path / "t")
+    table = DatedTable(spark, str(tmp_path / "t"), "s", lambda rows: rows, ["k"])
     rows = spark.createDataFrame([("a", 10), ("a", DAY + 5), ("a", 3 * DAY)], "k string, s long")
-    assert append_dated(rows, table, 0, "s", ["k"]) == (10, 3 * DAY)
-    assert remove_days(spark, table, 2 * DAY) == 2
-    assert rows_of(read_dated(spark, table, 0), "s") == [(3 * DAY,)]
-    assert read_dated(spark, table, 0, 0, DAY) is None
-    assert append_dated(rows.limit(0), table, 1, "s", ["k"]) is None
+    assert table.append(rows, 0) == (10, 3 * DAY)
+    assert table.remove_days(2 * DAY) == 2
+    assert rows_of(table.read(0), "s") == [(3 * DAY,)]
+    assert table.read(0, 0, DAY) is None
+    assert table.append(rows.limit(0), 1) is None
+    assert rows_of(DatedTable(spark, str(tmp_path / "t"), "s", lambda rows: rows, ["k"]).read(1), "s") == [(3 * DAY,)]
 
 
 def test_ingest_writes_both_streams_and_parses_once(spark, tmp_path):
