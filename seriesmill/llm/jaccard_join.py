@@ -16,10 +16,14 @@ Within a cell, texts are first compared with one pivot; only pairs that these li
 go to the tree. So a group of copies costs links in proportion to its size, not to its square, and
 no link between two components is lost. Texts with equal sets are one representative throughout.
 
+What the tree lets pass meets a second bound on points of four groups a shingle, of which only the parity
+of each count is kept: sets differ by at least as many shingles as there are groups of different parity.
+It rules out most pairs of texts that hold the same passage, or are remote copies of one text.
+
 Defined cases: a null or empty text, or one without words, has no shingles and is linked with nothing; so
 is a row with a null doc_id, whose component is null. Fewer than five words are one shingle, the whole
-sequence. Rows that share a doc_id share its component. Other columns are not read, and an empty table
-gives an empty result.
+sequence. Rows that share a doc_id share its component. The doc_id is of a whole-number type; another one is
+refused. Other columns are not read, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,11 +35,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from seriesmill.llm.common import arrow_batches, arrow_rows, documents_only, free_name, small, stored
 from seriesmill.llm.components import components
-from seriesmill.llm.hashing import MIX, Text, mixed
+from seriesmill.llm.hashing import MIX, Text
 
 SHINGLE = 5
 GROUPS = 256
@@ -63,7 +68,7 @@ _MOST = 0xFFFF
 
 def _hashed(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of a text's words, and of its shingles in their order."""
-    words = mixed(Text((text or "").encode("utf-8", "surrogatepass").lower()).words())
+    words = Text((text or "").encode("utf-8", "surrogatepass").lower()).word_hashes()
     if not len(words):
         return words, words
     size = min(SHINGLE, len(words))
@@ -137,12 +142,31 @@ def _points(packed: list[bytes]) -> np.ndarray:
     return np.stack([_folded(p) for p in packed]) if packed else np.empty((0, GROUPS), np.int32)
 
 
-def _finer(a: bytes, b: bytes, sizes: int) -> bool:
-    """Whether the bound by the finest groups that both have lets a pair pass."""
-    groups = min(len(a), len(b)) // 2
-    if groups == GROUPS:
-        return True
-    return 7 * int(np.minimum(_folded(a, groups), _folded(b, groups)).sum()) >= 3 * sizes
+def parities(values: np.ndarray) -> np.ndarray:
+    """A bit for each of four groups a shingle or more: whether their shingles are odd in number."""
+    groups = 1 << max(8, (4 * len(values) - 1).bit_length())
+    counts = np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.packbits(counts & 1, bitorder="little")
+
+
+def _halved(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parities of the fewer groups that have ``size`` bytes; groups are lower bits of the hash."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0) if len(bits) > size else bits
+
+
+def parity_allows(a: list[bytes], b: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Whether each pair of texts may differ by as few shingles as is needed; ``sizes`` are of both sets together."""
+    least = np.minimum(np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b)))
+    allowed = np.zeros(len(a), bool)
+    for size in np.unique(least).tolist():
+        at = np.flatnonzero(least == size)
+        for part in np.array_split(at, -(-len(at) * size // (1 << 24)) or 1):
+            x, y = (
+                np.stack([_halved(np.frombuffer(side[i], np.uint8), size) for i in part.tolist()]) for side in (a, b)
+            )
+            different = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            allowed[part] = 7 * different <= sizes[part]
+    return allowed
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -239,8 +263,8 @@ def tree_pairs(
 
 # --- on Spark -----------------------------------------------------------------
 
-_SCANNED = "id long, n int, twin long, digest binary, point binary, shingle long, word long, times long"
-_SCANNED_NAMES = ["id", "n", "twin", "digest", "point", "shingle", "word", "times"]
+_SCANNED = "id long, n int, twin long, digest binary, point binary, parity binary, shingle long, word long, times long"
+_SCANNED_NAMES = ["id", "n", "twin", "digest", "point", "parity", "shingle", "word", "times"]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,6 +282,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_twin(d) if d else None for d in digests], pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.array([point(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([parities(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 *(pa.array(blank, pa.int64()) for _ in range(3)),
             ],
             names=_SCANNED_NAMES,
@@ -269,21 +294,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.append(own)
                 size += len(values)
             if size >= COUNTED:
-                yield _frequent(held, 3, 5)
-                yield _frequent(words, COMMON_OFTEN, 6)
+                yield _frequent(held, 3, "shingle")
+                yield _frequent(words, COMMON_OFTEN, "word")
                 held, words, seen, size = [], [], set(), 0
-    yield _frequent(held, 3, 5)
-    yield _frequent(words, min(COMMON_OFTEN, 3 + size // 10_000), 6)
+    yield _frequent(held, 3, "shingle")
+    yield _frequent(words, min(COMMON_OFTEN, 3 + size // 10_000), "word")
 
 
-def _frequent(sets: list[np.ndarray], least: int, column: int) -> pa.RecordBatch:
+def _frequent(sets: list[np.ndarray], least: int, column: str) -> pa.RecordBatch:
     values, times = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
     often = times >= least
     n = int(often.sum())
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    arrays = [pa.nulls(n, kind) for kind in kinds]
-    arrays[column] = pa.array(values[often].view(np.int64))
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(times[often].astype(np.int64))], names=_SCANNED_NAMES)
+    kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3, *[pa.int64()] * 3)
+    made = dict(zip(_SCANNED_NAMES, (pa.nulls(n, kind) for kind in kinds), strict=True))
+    made |= {column: pa.array(values[often].view(np.int64)), "times": pa.array(times[often].astype(np.int64))}
+    return pa.RecordBatch.from_arrays(list(made.values()), names=_SCANNED_NAMES)
 
 
 def _twin(value: bytes) -> int:
@@ -376,15 +401,14 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
         x, y = (_points(batch.column(c).to_pylist()) for c in ("pa", "pb"))
         sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
         keep = 7 * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= 3 * sizes
-        fine = zip(*(batch.column(c).to_pylist() for c in ("pa", "pb")), sizes.tolist(), strict=True)
-        keep = [bool(k) and _finer(a, b, n) for k, (a, b, n) in zip(keep, fine, strict=True)]
+        keep &= parity_allows(*(batch.column(c).to_pylist() for c in ("qa", "qb")), sizes)
         return batch.select(["a", "da", "b", "db"]).filter(pa.array(keep))
 
-    both = (
-        pairs.join(points.select(F.col("digest").alias("da"), F.col("point").alias("pa")), "da")
-        .join(points.select(F.col("digest").alias("db"), F.col("point").alias("pb")), "db")
-        .select("a", "da", "na", "b", "db", "nb", "pa", "pb")
-    )
+    sides = [
+        points.select(*(F.col(c).alias(f"{short}{side}") for c, short in (("digest", "d"), ("point", "p"), ("parity", "q"))))
+        for side in "ab"
+    ]
+    both = pairs.join(sides[0], "da").join(sides[1], "db").select("a", "da", "na", "b", "db", "nb", "pa", "pb", "qa", "qb")
     return arrow_rows(both, test, "a long, da binary, b long, db binary")
 
 
@@ -464,12 +488,12 @@ def _tree_join(cells: DataFrame, points: DataFrame) -> DataFrame:
     def pairs(_: tuple, dealt: pa.Table) -> pa.Table:
         at = {c: dealt.column(c).to_numpy() for c in ("key", "i", "j", "id", "n", "label", "left", "right")}
         digests = dealt.column("digest").to_pylist()
-        packed = dealt.column("point").to_pylist()
+        packed, parity = (dealt.column(c).to_pylist() for c in ("point", "parity"))
         order = np.lexsort((at["j"], at["i"], at["key"]))
         new = np.zeros(len(order), bool)
         for c in ("key", "i", "j"):
             new[1:] |= at[c][order][1:] != at[c][order][:-1]
-        made: list[tuple] = []
+        sides_of: list[tuple[np.ndarray, np.ndarray]] = []
         for group in np.split(order, np.flatnonzero(new)):
             vectors = _points([packed[g] for g in group])
             sides = [np.flatnonzero(at[c][group]) for c in ("left", "right")]
@@ -479,15 +503,21 @@ def _tree_join(cells: DataFrame, points: DataFrame) -> DataFrame:
                 keep = at["label"][x] != at["label"][y]
                 if same:
                     keep &= x < y
-                made += [
-                    (int(at["id"][u]), digests[u], int(at["n"][u]), int(at["id"][v]), digests[v], int(at["n"][v]))
-                    for u, v in zip(x[keep], y[keep], strict=True)
-                    if _finer(packed[u], packed[v], int(at["n"][u]) + int(at["n"][v]))
-                ]
-        columns = list(zip(*made, strict=True)) or [()] * 6
+                x, y = x[keep], y[keep]
+                sizes = at["n"][x].astype(np.int64) + at["n"][y]
+                keep = parity_allows([parity[i] for i in x.tolist()], [parity[i] for i in y.tolist()], sizes)
+                sides_of.append((x[keep], y[keep]))
+        # once, however many cells of the bucket a pair shares
+        codes: dict[bytes, int] = {}
+        text_of = np.array([codes.setdefault(d, len(codes)) for d in digests], np.int64)
+        found = np.concatenate([np.stack(p, axis=1) for p in sides_of] or [np.empty((0, 2), np.int64)])
+        _, first = np.unique(np.sort(text_of[found], axis=1), axis=0, return_index=True)
+        columns = []
+        for place in found[first].T:
+            columns += [at["id"][place], [digests[i] for i in place.tolist()], at["n"][place]]
         kinds = (pa.int64(), pa.binary(), pa.int32()) * 2
         names = ("a", "da", "na", "b", "db", "nb")
-        return pa.table({n: pa.array(list(c), k) for n, c, k in zip(names, columns, kinds, strict=True)})
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
     schema = "a long, da binary, na int, b long, db binary, nb int"
     return _pair(rows.groupBy("bucket").applyInArrow(pairs, schema))
@@ -506,16 +536,18 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     ``representative`` is the least doc_id with an equal set; ``component_id`` the least that links reach.
     """
     spark: SparkSession = docs.sparkSession
+    if not isinstance(docs.schema[id_column].dataType, T.IntegralType):
+        raise ValueError(f"{id_column} is no whole number")
     rows = documents_only(docs, id_column, text).toDF("id", "text").withColumn("id", F.col("id").cast("long"))
     scanned = stored(arrow_batches(rows).mapInArrow(_scan, _SCANNED), "shingles")
-    texts = scanned.where("n IS NOT NULL").select("id", "n", "twin", "digest", "point")
+    texts = scanned.where("n IS NOT NULL").select("id", "n", "twin", "digest", "point", "parity")
     late = _most(scanned, "shingle", OFTEN, FREQUENT)
     usual = _most(scanned, "word", COMMON_OFTEN, COMMON)
     total = texts.agg(F.sum("n")).first()[0] or 0
     known = rows.where("id IS NOT NULL AND text IS NOT NULL")
     heads = stored(
         texts.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest")
-        .agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("twin", "n", "point"))),
+        .agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("twin", "n", "point", "parity"))),
         "heads",
     )
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * BUCKET)))
@@ -524,7 +556,7 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     shares = cells.groupBy("twin").agg(F.count(F.lit(1)).alias("cells"))
     members = heads.join(shares, "twin").withColumn("weight", F.col("cells") / F.col("n"))
     members = stored(members.select("twin", "id", "digest", "n", "weight"), "members")
-    points = heads.select("digest", "point")
+    points = heads.select("digest", "point", "parity")
     open_cells, sets, edges = cells, None, None
     for turn in range(STARS + 1):
         labelled = stored(_labelled(open_cells, members, edges), "open")

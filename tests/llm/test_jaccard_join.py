@@ -120,3 +120,44 @@ def test_components(spark, seed):
             if a != b:
                 label[a] = label[b] = min(label[a], label[b])
     assert got == label
+
+
+def test_words_that_polynomials_confuse_are_told_apart(spark):
+    letters = "a"
+    for _ in range(10):
+        letters += letters.translate(str.maketrans("ab", "ba"))
+    one, other = letters, letters.translate(str.maketrans("ab", "ba"))
+    assert len(jj.shingles(one)) == 1 and jj.shingles(one)[0] != jj.shingles(other)[0]
+    check(spark, [(1, one), (2, other), (3, one)])
+
+
+def test_word_hashes_of_all_lengths():
+    draw = random.Random(7)
+    words = sorted({"".join(draw.choice("abé") for _ in range(draw.randint(1, 40))) for _ in range(20000)})
+    text = jj.Text(" ".join(words).encode())
+    made = text.word_hashes()
+    assert len(set(made.tolist())) == len(words)
+    # the same wherever they stand
+    turned = jj.Text(("\t".join(reversed(words)) + "\n").encode()).word_hashes()
+    assert turned.tolist() == made.tolist()[::-1]
+    assert len(jj.Text(b"").word_hashes()) == len(jj.Text(b" \n").word_hashes()) == 0
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 300, 5000])
+def test_parities_rule_out_no_similar_sets(n):
+    draw = np.random.default_rng(n)
+    for _ in range(60):
+        a = np.unique(draw.integers(0, 2**64, n, np.uint64))
+        kept = a[draw.random(len(a)) < draw.uniform(0.6, 1)]
+        b = np.unique(np.concatenate([kept, draw.integers(0, 2**64, int(n * draw.uniform(0, 0.3)), np.uint64)]))
+        if len(b):
+            allowed = jj.parity_allows([jj.parities(a).tobytes()], [jj.parities(b).tobytes()], np.array([len(a) + len(b)]))
+            assert allowed[0] or not jj.linked(a, b)
+    far = [np.unique(draw.integers(0, 2**64, n + 20, np.uint64)) for _ in range(2)]
+    bits = [[jj.parities(v).tobytes()] for v in far]
+    assert not jj.parity_allows(*bits, np.array([sum(map(len, far))]))[0]
+
+
+def test_other_ids_are_refused(spark):
+    with pytest.raises(ValueError):
+        jj.similar_texts(spark.createDataFrame([("x", "a b")], "doc_id string, text string"))
