@@ -395,20 +395,18 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs (a, na, da, b, nb, db) that the bound of their points lets pass."""
+    """The pairs (a, na, da, b, nb, db) that the parities of their counts let pass."""
 
     def test(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (_points(batch.column(c).to_pylist()) for c in ("pa", "pb"))
         sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
-        keep = 7 * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= 3 * sizes
-        keep &= parity_allows(*(batch.column(c).to_pylist() for c in ("qa", "qb")), sizes)
+        keep = parity_allows(*(batch.column(c).to_pylist() for c in ("pa", "pb")), sizes)
         return batch.select(["a", "da", "b", "db"]).filter(pa.array(keep))
 
-    sides = [
-        points.select(*(F.col(c).alias(f"{short}{side}") for c, short in (("digest", "d"), ("point", "p"), ("parity", "q"))))
-        for side in "ab"
-    ]
-    both = pairs.join(sides[0], "da").join(sides[1], "db").select("a", "da", "na", "b", "db", "nb", "pa", "pb", "qa", "qb")
+    both = (
+        pairs.join(points.select(F.col("digest").alias("da"), F.col("parity").alias("pa")), "da")
+        .join(points.select(F.col("digest").alias("db"), F.col("parity").alias("pb")), "db")
+        .select("a", "da", "na", "b", "db", "nb", "pa", "pb")
+    )
     return arrow_rows(both, test, "a long, da binary, b long, db binary")
 
 
@@ -424,7 +422,10 @@ def _new_sets(docs: DataFrame, pairs: DataFrame, before: DataFrame | None) -> Da
 
 
 def _labelled(cells: DataFrame, heads: DataFrame, edges: DataFrame | None) -> DataFrame:
-    """Members (key, id, digest, n, weight, label) of the cells (key, twin) that still have two components."""
+    """Members (key, id, digest, n, weight, label) of the cells (key, twin) that still have two components.
+
+    Of cells with the same members one is kept: a passage makes a cell of each of its shingles.
+    """
     labels = heads.withColumn("label", F.col("id"))
     if edges is not None:
         found = components(edges)
@@ -433,7 +434,12 @@ def _labelled(cells: DataFrame, heads: DataFrame, edges: DataFrame | None) -> Da
         )
     split = (
         cells.join(labels.select("twin", "label"), "twin")
-        .groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+        .groupBy("key")
+        .agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"),
+            F.bit_xor(F.xxhash64("twin")).alias("one"), F.bit_xor(F.xxhash64("twin", F.lit(1))).alias("other"),
+        )
+        .where("lo != hi").groupBy("members", "one", "other").agg(F.min("key").alias("key"))
     )
     return cells.join(split.select("key"), "key", "left_semi").join(labels, "twin")
 

@@ -24,6 +24,7 @@ from seriesmill.llm.common import documents_only, extended, free_name, stored
 from seriesmill.llm.weak import VoteModel, estimate
 
 #: Measures of a text. The first five are exact counts, the others serve the rules.
+LEAST_WORDS = 50
 MEASURES = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     + [T.StructField(n, T.LongType()) for n in ("n_lines", "n_ended", "n_upper", "n_letters", "n_bangs", "n_top")]
@@ -148,7 +149,7 @@ def fit(measured: DataFrame, m: str) -> VoteModel:
 
 def base_failed(m: str) -> Column:
     words = F.col(f"`{m}`.n_words")
-    return (words < 50) | (F.col(f"`{m}`.n_repeat_words") * 100 > words * 50)
+    return (words < LEAST_WORDS) | (F.col(f"`{m}`.n_repeat_words") * 100 > words * 50)
 
 
 def verdicts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
