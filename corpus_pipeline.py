@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
-from seriesmill.llm.common import recording, remove, scratch, table
+from seriesmill.llm.common import free_name, recording, remove, scratch, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,9 +18,15 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the line chunks that occur before; their length is counted anew."""
-    rows = line_dedup.remove_repeated_chunks(docs)
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Documents without the line chunks that occur before; their length is counted anew.
+
+    One that lost lines and has fewer words left than the first stage asks for is a copy of others: it goes.
+    """
+    counts = tuple(free_name(docs, name) for name in ("chunks_removed", "lines_removed"))
+    rows = line_dedup.remove_repeated_chunks(docs, counts=counts)
+    words = F.size(F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"))
+    whole = rows.where((F.col(f"`{counts[1]}`") == 0) | (words >= quality_rules.LEAST_WORDS)).drop(*counts)
+    return whole.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
