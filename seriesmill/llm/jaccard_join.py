@@ -16,7 +16,7 @@ Within a cell, texts are first compared with one pivot; only pairs that these li
 go to the tree. So a group of copies costs links in proportion to its size, not to its square, and
 no link between two components is lost. Texts with equal sets are one representative throughout.
 
-What the tree lets pass meets a second bound on points of four groups a shingle, of which only the parity
+What the tree lets pass meets a second bound on points of two groups a shingle or more, of which only the parity
 of each count is kept: sets differ by at least as many shingles as there are groups of different parity.
 It rules out most pairs of texts that hold the same passage, or are remote copies of one text.
 
@@ -63,7 +63,8 @@ BROADCAST_IDS = 1_000_000
 TABLE_BITS = 23
 
 _ENTRY = np.dtype([("key", "<i8"), ("twin", "<i8")])
-_MOST = 0xFFFF
+#: The greatest count that a point holds, four bits each; it stands for any number from there.
+_MOST = 15
 
 
 def _hashed(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -122,20 +123,22 @@ def digest(values: np.ndarray) -> bytes:
 
 
 def point(values: np.ndarray) -> np.ndarray:
-    """Number of shingles in each group; the greatest that is held stands for any number from there.
+    """Number of shingles in each group, two groups to a byte.
 
     Long texts have more groups, so that these hold four shingles on average. Groups are ranges of the
     hash, so that neighbouring ones add up to those of a shorter text.
     """
     bits = max(GROUPS, len(values) // 4).bit_length() - 1
     counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, _MOST).astype("<u2")
+    held = np.minimum(counts, _MOST).astype(np.uint8)
+    return held[::2] | (held[1::2] << 4)
 
 
-def _folded(packed: bytes, groups: int = GROUPS) -> np.ndarray:
-    made = np.frombuffer(packed, "<u2").astype(np.int32)
+def _folded(packed: bytes) -> np.ndarray:
+    both = np.frombuffer(packed, np.uint8)
+    made = np.stack([both & _MOST, both >> 4], axis=1).astype(np.int32)
     made[made == _MOST] = 1 << 22
-    return made.reshape(groups, -1).sum(axis=1)
+    return made.reshape(GROUPS, -1).sum(axis=1)
 
 
 def _points(packed: list[bytes]) -> np.ndarray:
@@ -143,8 +146,8 @@ def _points(packed: list[bytes]) -> np.ndarray:
 
 
 def parities(values: np.ndarray) -> np.ndarray:
-    """A bit for each of four groups a shingle or more: whether their shingles are odd in number."""
-    groups = 1 << max(8, (4 * len(values) - 1).bit_length())
+    """A bit for each of two groups a shingle or more: whether their shingles are odd in number."""
+    groups = 1 << max(8, (2 * len(values) - 1).bit_length())
     counts = np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     return np.packbits(counts & 1, bitorder="little")
 
