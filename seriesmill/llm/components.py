@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import stored
@@ -38,8 +38,10 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u != v")
             .distinct()
         )
-        rows = stored(small, "edges")
-        state = rows.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
+        seen = Observation()
+        state = (F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("sum"))
+        rows = stored(small.observe(seen, *state), "edges")
+        state = seen.get
         if state == before:
             return rows.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label").union(
                 rows.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
