@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import public_tokenizers
@@ -54,6 +55,9 @@ _scratch: list[str] = []
 def _stage(function: Callable) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         remove(spark, _scratch)
+        # Spark drops the shuffles and broadcasts of the stage before as its plans are collected.
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
         with recording(_scratch):
             return function(spark, docs, sf_dir)
 
