@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from seriesmill.functions.codec import (
     decode_records,
     decode_samples,
+    encode_records,
     encode_samples,
+    with_message_key,
     with_sample_id,
 )
 from seriesmill.functions.stats import DELTA, STDDEV, delta_expr, first_expr, last_expr
@@ -52,6 +54,7 @@ from seriesmill.schemas import (
 )
 from seriesmill.sources import star_schema
 from seriesmill.sources.readers import (
+    drop_repeats,
     json_source,
     parquet_source,
     read_messages,
@@ -516,6 +519,33 @@ def _stream_last_known_value(mode):
     return query
 
 
+def _stream_last_known_value_restored(spark, sf):
+    """A run over the older samples; then one with a new checkpoint that starts from its table."""
+    folder, events = _work_folder(spark, "last-known-value-restored"), _sample_stream(spark, sf)
+    older = F.col("ingestUnixTimestamp") < RANGE_START
+    for name, part, restore in (("one", older, None), ("two", ~older, f"{folder}/one/out")):
+        sink = table_sink(f"{folder}/{name}/out")
+        _finish(
+            run_last_known_value_job(
+                events.where(part), sink, mode="complete", checkpoint=f"{folder}/{name}", drain=True, restore=restore
+            )
+        )
+    return _sample_rows(read_snapshot(spark, f"{folder}/two/out"))
+
+
+def _stream_drop_repeats(spark, sf):
+    """Messages of a publication that was written twice, read as a stream without the repeats."""
+    folder = _work_folder(spark, "repeats")
+    report = interval_report(_samples(spark, sf), _points(spark, sf), AS_OF, (DAY, MONTH))
+    messages = with_message_key(encode_records(report), 1).withColumn("timestamp", F.timestamp_seconds(F.lit(AS_OF)))
+    for _ in range(2):
+        messages.write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/in")
+    writer = drop_repeats(stream).select("value").writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+    _finish(writer.trigger(availableNow=True).format("text").start(f"{folder}/out"))
+    return _comparable(decode_records(spark.read.text(f"{folder}/out"), INTERVAL_AGGREGATE))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Hourly windows every 15 minutes, with the sensor metadata."""
     return _sliding(60, 15)(spark, "/root/testdata/sf0.001")
@@ -578,6 +608,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_lookback": _stream_lookback,
         "stream_last_known_value": _stream_last_known_value("update"),
         "stream_last_known_value_all": _stream_last_known_value("complete"),
+        "stream_last_known_value_restored": _stream_last_known_value_restored,
+        "stream_drop_repeats": _stream_drop_repeats,
     }
 
 
@@ -856,4 +888,6 @@ def oracle_sql() -> dict[str, str]:
         + _record_sql("delta", "lookback"),
         "stream_last_known_value": _LAST_VALUE_SQL,
         "stream_last_known_value_all": _LAST_VALUE_SQL,
+        "stream_last_known_value_restored": _LAST_VALUE_SQL,
+        "stream_drop_repeats": day_report,
     }

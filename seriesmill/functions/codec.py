@@ -103,6 +103,11 @@ def encode_records(records: DataFrame) -> DataFrame:
     return records.select(json_value(records.columns))
 
 
+def with_message_key(messages: DataFrame, number: int) -> DataFrame:
+    """Messages with a key that is the same whenever the publication of that number is written again."""
+    return messages.select(F.concat(F.lit(f"{number}-"), F.sha2("value", 256)).alias("key"), "value")
+
+
 def decode_records(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Read back what :func:`encode_records` wrote."""
     record = F.from_json("value", schema, READ_OPTIONS)

@@ -37,7 +37,8 @@ from seriesmill.operators.sliding import (
     pane_aggregates,
     pane_runs,
 )
-from seriesmill.schemas import INGEST_TIME
+from seriesmill.schemas import INGEST_TIME, SAMPLE_COLUMNS
+from seriesmill.sources.readers import read_published_samples
 from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
 from seriesmill.streaming.panes import Publisher, WindowPublisher, longest, run_publisher
 from seriesmill.streaming.windows import streaming_sliding_aggregates
@@ -299,8 +300,19 @@ def run_last_known_value_job(
     checkpoint: str | None = None,
     drain: bool = False,
     name: str = "last_known_value",
+    restore: str | None = None,
 ) -> StreamingQuery:
-    """Newest sample per series: ``update`` publishes changes, ``complete`` everything."""
+    """Newest sample per series: ``update`` publishes changes, ``complete`` everything.
+
+    ``restore`` names the folder of a table that an earlier run has published, for a run whose checkpoint
+    is new: what is known from there is the state that samples are merged into, so that series
+    without new samples are still published. It must be another folder than the sink's, whose rows would come back.
+    """
+    if restore is not None:
+        if sink.location.rstrip("/") == restore.rstrip("/"):
+            raise ValueError("the table to restore from must not be the one to write to")
+        known = read_published_samples(samples.sparkSession, restore)
+        samples = samples.select(*SAMPLE_COLUMNS).unionByName(known.select(*SAMPLE_COLUMNS))
     return start(
         last_known_value(samples),
         sink,

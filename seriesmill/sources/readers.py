@@ -75,3 +75,20 @@ def read_samples(
         reader = (spark.readStream if streaming else spark.read).options(**source.options)
         return check_samples(reader.schema(SENSOR_SAMPLE).parquet(source.location))
     return decode_samples(read_messages(spark, source, streaming), arrival)
+
+
+def read_published_samples(spark: SparkSession, path: str) -> DataFrame:
+    """The samples of a table that a last-known-value job has published, as a stream of its versions."""
+    schema = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def drop_repeats(messages: DataFrame, delay: str = "1 day", time_col: str = "timestamp", key: str = "key") -> DataFrame:
+    """Published messages without those that a repeated publication wrote again.
+
+    In a stream a key is remembered for ``delay`` of the messages' own time. Equal messages of one
+    publication are one; messages without a key are one another's repeats, so leave them out before.
+    """
+    if messages.isStreaming:
+        return messages.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
+    return messages.dropDuplicates([key])

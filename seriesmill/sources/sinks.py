@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from seriesmill.functions.codec import encode_records
+from seriesmill.functions.codec import encode_records, with_message_key
 from seriesmill.functions.timeunits import interval_text
 from seriesmill.sources.notes import path_of
 
@@ -24,7 +24,7 @@ class Sink:
 
 
 def kafka_sink(brokers: str, topic: str, **options: str) -> Sink:
-    """One JSON message per row, without a key."""
+    """One JSON message per row; those of numbered publications have a key."""
     return Sink("kafka", topic, {"kafka.bootstrap.servers": brokers, "topic": topic, **options})
 
 
@@ -61,12 +61,14 @@ def write_batch(
     """Write the rows of a batch query. A failed write fails the caller.
 
     With a ``number`` files go to a folder of that number, which is replaced if it is there, so that a
-    batch that runs again counts once; without one they are appended. Kafka gets them again.
+    batch that runs again counts once; without one they are appended. Kafka gets them again, with the
+    same keys, by which :func:`seriesmill.sources.readers.drop_repeats` tells them.
     """
     folder = sink.location if number is None else f"{sink.location}/{BATCH_COLUMN}={number}"
     mode = "append" if number is None else "overwrite"
     if sink.kind == "kafka":
-        encode(rows).write.format("kafka").options(**sink.options).save()
+        messages = encode(rows) if number is None else with_message_key(encode(rows), number)
+        messages.write.format("kafka").options(**sink.options).save()
     elif sink.kind == "json":
         encode(rows).write.mode(mode).text(folder)
     elif sink.kind == "parquet":

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import points_frame, rows_of, sample, samples_frame
-from seriesmill.functions.codec import encode_samples
+from seriesmill.functions.codec import encode_records, encode_samples, with_message_key
 from seriesmill.operators.lastvalue import last_known_value
 from seriesmill.operators.sliding import sliding_aggregates, windowed_aggregates
 from seriesmill.plans.jobs import (
@@ -20,6 +20,7 @@ from seriesmill.plans.jobs import (
 from seriesmill.schemas import SAMPLE_COLUMNS
 from seriesmill.sources.dated import DAY, DatedTable
 from seriesmill.sources.readers import (
+    drop_repeats,
     json_source,
     kafka_source,
     parquet_source,
@@ -220,6 +221,24 @@ def test_last_known_value_stream(feed, tmp_path):
     assert rows_of(everything.where("batch = 1"), "timeseriesId") == [("a",), ("b",)]
 
 
+def test_last_known_values_outlive_their_checkpoint(feed, tmp_path):
+    spark, one, two = feed.spark, str(tmp_path / "one"), str(tmp_path / "two")
+    feed.add(("a", 1, 100), ("b", 2, 100))
+    feed.add(("a", 3, 200))
+    finish(run_last_known_value_job(feed.stream(), table_sink(one), mode="update", checkpoint=str(tmp_path / "c1"), drain=True))
+    later = Feed(spark, tmp_path / "later")
+    later.folder.parent.mkdir()
+    later.add(("b", 5, 300), ("a", 9, 150))  # older than what is known of a
+    for mode, read in [("complete", read_snapshot), ("update", lambda s, p: read_latest(s, p, ("timeseriesId",)))]:
+        job = run_last_known_value_job(
+            later.stream(), table_sink(two + mode), mode=mode, checkpoint=str(tmp_path / f"c2{mode}"), drain=True, restore=one
+        )
+        finish(job)
+        assert last_values(read(spark, two + mode)) == [("a", 3.0, 200), ("b", 5.0, 300)]
+    with pytest.raises(ValueError, match="must not"):
+        run_last_known_value_job(later.stream(), table_sink(one), restore=one)
+
+
 def run_panes(feed, points, tmp_path, sink, clock=None, folder="checkpoint", table=None):
     query = run_sliding_job(
         feed.stream(),
@@ -402,6 +421,14 @@ def test_batch_sinks(spark, tmp_path):
         write_batch(frame, memory_sink("x"))
 
 
+def test_repeated_publications_have_the_same_keys(spark):
+    rows = spark.createDataFrame([("x", 1), ("y", 2)], "pointId string, n long")
+    first, again, other = (with_message_key(encode_records(rows), n) for n in (4, 4, 5))
+    assert rows_of(first, "key") == rows_of(again, "key") != rows_of(other, "key")
+    both = first.unionByName(again).unionByName(other)
+    assert rows_of(drop_repeats(both), "value") == sorted(rows_of(first, "value") * 2)
+
+
 def test_kafka_options(spark):
     source = kafka_source("h:9092", "samples", "lastKnown")
     assert source.options["subscribe"] == "samples,lastKnown"
