@@ -61,11 +61,13 @@ from seriesmill.sources.readers import (
     read_samples,
     read_sensor_points,
 )
+from seriesmill.sources.sample_table import SampleTable, read_sample_table
 from seriesmill.sources.sinks import (
     json_sink,
     parquet_sink,
     read_latest,
     read_snapshot,
+    sample_table_sink,
     table_sink,
     write_batch,
 )
@@ -428,6 +430,27 @@ def _stream_ingest(spark, sf):
     return samples.unionByName(spark.read.parquet(f"{folder}/rejects").drop("batch"))
 
 
+def _stream_sample_table(spark, sf):
+    """JSON messages to a sample table in several batches; statistics of a range of it."""
+    folder = _work_folder(spark, "sample-table")
+    encode_samples(_samples(spark, sf)).repartition(12).write.text(f"{folder}/in")
+    messages = read_messages(spark, json_source(f"{folder}/in", maxFilesPerTrigger="1"), streaming=True)
+    good, rejects = sample_table_sink(f"{folder}/samples"), parquet_sink(f"{folder}/rejects")
+    _finish(run_ingest_job(messages, good, rejects, checkpoint=folder, drain=True))
+    recent = read_sample_table(spark, f"{folder}/samples", RANGE_START, RANGE_END)
+    return _comparable(series_aggregates(recent, DELTA))
+
+
+def _sample_table(spark, sf):
+    """Samples appended to a table by halves of time and read back whole."""
+    folder, samples = _work_folder(spark, "samples"), _samples(spark, sf)
+    table = SampleTable(spark, folder)
+    older = F.col("ingestUnixTimestamp") < RANGE_START
+    for number, part in enumerate((older, ~older)):
+        table.append(samples.where(part), number)
+    return _sample_rows(read_sample_table(spark, folder))
+
+
 def _stream_sliding(spark, sf):
     folder = _work_folder(spark, "sliding")
     queries = run_sliding_updates_job(
@@ -601,6 +624,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_last_known_value": _publish_last_known_value,
         "null_values": _null_values,
         "stream_ingest": _stream_ingest,
+        "sample_table": _sample_table,
+        "stream_sample_table": _stream_sample_table,
         "stream_sliding": _stream_sliding,
         "stream_sliding_panes": _stream_sliding_panes,
         "stream_intervals": _stream_intervals,
@@ -807,6 +832,12 @@ SELECT p.*, "countOfSamples", "minValOfSamples", "maxValOfSamples", "avgValOfSam
 FROM stats s JOIN ({points}) p ON s."timeseriesId" = p."timeseriesId\""""
 
 
+_RANGE_SQL = f"""WITH {_SAMPLES_SQL}
+SELECT "timeseriesId", {_BASIC_SQL}, {_DELTA_SQL} FROM samples
+WHERE "ingestUnixTimestamp" >= {RANGE_START} AND "ingestUnixTimestamp" < {RANGE_END}
+GROUP BY "timeseriesId\""""
+
+
 def oracle_sql() -> dict[str, str]:
     day_report = (
         f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, {_lookback_rows_sql((DAY, MONTH))}"
@@ -840,10 +871,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_stats": f"""WITH {_SAMPLES_SQL}
             SELECT "timeseriesId", metric, {_BASIC_SQL}, {_STDDEV_SQL}
             FROM samples GROUP BY "timeseriesId", metric""",
-        "range_stats": f"""WITH {_SAMPLES_SQL}
-            SELECT "timeseriesId", {_BASIC_SQL}, {_DELTA_SQL} FROM samples
-            WHERE "ingestUnixTimestamp" >= {RANGE_START} AND "ingestUnixTimestamp" < {RANGE_END}
-            GROUP BY "timeseriesId\"""",
+        "range_stats": _RANGE_SQL,
         "sliding_60m": _sliding_sql(60, 15),
         "sliding_1d": _sliding_sql(DAY, 60),
         "sliding_7d": _sliding_sql(7 * DAY, DAY),
@@ -879,6 +907,8 @@ def oracle_sql() -> dict[str, str]:
         "publish_last_known_value": _LAST_VALUE_SQL,
         "null_values": _null_sql(),
         "stream_ingest": _INGEST_SQL,
+        "sample_table": _SAMPLE_ROWS_SQL,
+        "stream_sample_table": _RANGE_SQL,
         "stream_sliding": _sliding_sql(60, 15),
         "stream_sliding_panes": _stream_panes_sql(),
         "stream_intervals": _stream_intervals_sql(),

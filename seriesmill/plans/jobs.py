@@ -38,7 +38,9 @@ from seriesmill.operators.sliding import (
     pane_runs,
 )
 from seriesmill.schemas import INGEST_TIME, SAMPLE_COLUMNS
+from seriesmill.sources.dated import run_of
 from seriesmill.sources.readers import read_published_samples
+from seriesmill.sources.sample_table import SampleTable
 from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
 from seriesmill.streaming.panes import Publisher, WindowPublisher, longest, run_publisher
 from seriesmill.streaming.windows import streaming_sliding_aggregates
@@ -336,15 +338,24 @@ def run_ingest_job(
 ) -> StreamingQuery:
     """Parse each message once; samples go to one sink, all others with their reason to another.
 
-    ``messages`` is what :func:`seriesmill.sources.readers.read_messages` gives.
+    ``messages`` is what :func:`seriesmill.sources.readers.read_messages` gives. A sample table as a sink
+    gets the batches as a run of its own, and folders of earlier batches are merged.
     """
     checkpoint = _folder(checkpoint, name) or checkpoint_for(messages.sparkSession, name)
+    table = None
+    if samples_sink.kind == "samples":
+        run = run_of(messages.sparkSession, checkpoint)
+        table = SampleTable(messages.sparkSession, samples_sink.location, run)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_samples(batch).persist()
         try:
             good, rejects = split_parsed(parsed)
-            write_batch(good, samples_sink, encode_samples, batch_id)
+            if table is None:
+                write_batch(good, samples_sink, encode_samples, batch_id)
+            else:
+                table.append(good, batch_id)
+                table.compact(batch_id)
             write_batch(rejects, rejects_sink, number=batch_id)
         finally:
             parsed.unpersist()

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +44,8 @@ class DatedTable:
     """Rows by the day of ``time_col`` (epoch seconds), with a size for tables of several resolutions.
 
     ``fold`` makes one row of rows that belong together, such as the parts of a pane; it is given rows of
-    several batches and must keep all columns. Rows are spread over files by the hash of ``spread_by``.
+    several batches and must keep all columns. Rows are spread over files by the hash of ``spread_by``; with
+    ``sorted_by`` each file has a range of these columns instead, in order, and ``options`` go to the writer.
     """
 
     def __init__(
@@ -54,8 +55,11 @@ class DatedTable:
         time_col: str,
         fold: Callable[[DataFrame], DataFrame],
         spread_by: Sequence[str] = (),
+        sorted_by: Sequence[str] = (),
+        options: Mapping[str, str] | None = None,
     ):
         self.spark, self.path, self.time_col, self.fold, self.spread_by = spark, path, time_col, fold, spread_by
+        self.sorted_by, self.options = sorted_by, options or {}
         self._note = Note(spark, f"{path}/manifest")
         value = self._note.value or {"schema": None, "entries": [], "replaced": []}
         self._schema = value["schema"]
@@ -76,9 +80,19 @@ class DatedTable:
     def _write(self, rows: DataFrame, root: str, count: int, groups: int) -> None:
         """The rows, with size and day, as files of about ROWS_PER_FILE."""
         files = max(1, -(-count // ROWS_PER_FILE))
+        if self.sorted_by:
+            # ranges of days, and of a day's rows where it has more than a file: none grows with a hot key
+            order = [SIZE_COLUMN, DAY_COLUMN, *self.sorted_by]
+            dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+            self._save_as(dealt, root)
+            return
         slot = F.pmod(F.xxhash64(*self.spread_by), F.lit(files)) if self.spread_by else F.lit(0)
         dealt = rows.repartition(max(1, min(files * groups, count)), SIZE_COLUMN, DAY_COLUMN, slot)
-        dealt.write.mode("overwrite").partitionBy(SIZE_COLUMN, DAY_COLUMN).parquet(f"{self.path}/{root}")
+        self._save_as(dealt, root)
+
+    def _save_as(self, dealt: DataFrame, root: str) -> None:
+        writer = dealt.write.mode("overwrite").options(**self.options).partitionBy(SIZE_COLUMN, DAY_COLUMN)
+        writer.parquet(f"{self.path}/{root}")
 
     def append(self, rows: DataFrame, batch_id: int, sizes: Sequence[int] = (0,)) -> tuple[int, int] | None:
         """Add the rows of a micro-batch; returns the first and last second of those of the first size.
@@ -135,7 +149,8 @@ class DatedTable:
             if e["size"] == size
             and e["high"] <= upto_batch
             and (batch is None or e["low"] == e["high"] == batch)
-            and (since is None or since // DAY <= e["day"] <= until // DAY)
+            and (since is None or since // DAY <= e["day"])
+            and (until is None or e["day"] <= until // DAY)
             and (wanted is None or e["day"] in wanted)
         ]
         return self._load(entries) if entries else None

@@ -47,6 +47,11 @@ def table_sink(path: str) -> Sink:
     return Sink("table", path)
 
 
+def sample_table_sink(path: str) -> Sink:
+    """A table of samples laid out for ranges, see :mod:`seriesmill.sources.sample_table`; for the ingest job."""
+    return Sink("samples", path)
+
+
 def memory_sink(name: str) -> Sink:
     """A table on the driver. For tests only."""
     return Sink("memory", name)
