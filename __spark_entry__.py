@@ -53,6 +53,7 @@ from seriesmill.schemas import (
     WINDOW_AGGREGATE,
 )
 from seriesmill.sources import star_schema
+from seriesmill.sources.point_table import write_point_table
 from seriesmill.sources.readers import (
     drop_repeats,
     json_source,
@@ -353,6 +354,17 @@ def _enrich_fan_out(spark, sf):
     return _comparable(enrich(stats, both))
 
 
+def _enrich_buckets(parts):
+    """Windows joined with a table of points in buckets, hot series in several parts."""
+
+    def query(spark, sf):
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = write_point_table(_points(spark, sf), _work_folder(spark, "point-table"), buckets, parts)
+        return _comparable(sliding_report(_samples(spark, sf), table, [DAY], 60))
+
+    return query
+
+
 def _unmatched_series(spark, sf):
     stats = series_aggregates(_samples(spark, sf), STDDEV)
     return _comparable(unmatched_series(stats, star_schema.supplier_points(spark, sf)))
@@ -617,6 +629,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "last_known_value_advance": _last_known_value_advance,
         "enrich_inner": _enrich_inner,
         "enrich_fan_out": _enrich_fan_out,
+        "enrich_buckets": _enrich_buckets(1),
+        "enrich_bucket_parts": _enrich_buckets(3),
         "unmatched_series": _unmatched_series,
         "publish_windows": _publish_windows,
         "publish_intervals": _publish_intervals,
@@ -897,6 +911,8 @@ def oracle_sql() -> dict[str, str]:
         "enrich_fan_out": _enrich_sql(
             "SELECT * FROM customer_points UNION ALL SELECT * FROM supplier_points"
         ),
+        "enrich_buckets": _sliding_sql(DAY, 60),
+        "enrich_bucket_parts": _sliding_sql(DAY, 60),
         "unmatched_series": f"""WITH {_SAMPLES_SQL}, {_POINTS_SQL}
             SELECT "timeseriesId", {_BASIC_SQL}, {_STDDEV_SQL} FROM samples
             WHERE "timeseriesId" NOT IN (SELECT "timeseriesId" FROM supplier_points)

@@ -39,6 +39,7 @@ from seriesmill.operators.sliding import (
 )
 from seriesmill.schemas import INGEST_TIME, SAMPLE_COLUMNS
 from seriesmill.sources.dated import run_of
+from seriesmill.sources.point_table import PointTable
 from seriesmill.sources.readers import read_published_samples
 from seriesmill.sources.sample_table import SampleTable
 from seriesmill.sources.sinks import Sink, checkpoint_for, start, write_batch, write_version
@@ -58,7 +59,7 @@ SESSION_CONF = {
 
 def sliding_report(
     samples: DataFrame,
-    points: DataFrame,
+    points: DataFrame | PointTable,
     windows: Sequence[float] = DEFAULT_WINDOWS,
     slide: float = DEFAULT_SLIDE,
     time_col: str = INGEST_TIME,
@@ -73,7 +74,7 @@ def sliding_report(
 
 def interval_report(
     samples: DataFrame,
-    points: DataFrame,
+    points: DataFrame | PointTable,
     as_of: int | dt.datetime,
     frequencies: Sequence[float],
     time_col: str = INGEST_TIME,
@@ -101,7 +102,7 @@ def _into(sink: Sink) -> Callable[[DataFrame, int], None]:
 
 def run_sliding_job(
     samples: DataFrame,
-    points: DataFrame,
+    points: DataFrame | PointTable,
     sink: Sink,
     windows: Sequence[float] = DEFAULT_WINDOWS,
     period: float = DEFAULT_SLIDE,
@@ -137,7 +138,7 @@ def run_sliding_job(
 
 def run_sliding_updates_job(
     samples: DataFrame,
-    points: DataFrame,
+    points: DataFrame | PointTable,
     sink: Sink,
     windows: Sequence[float],
     period: float = DEFAULT_SLIDE,
@@ -179,7 +180,7 @@ def run_sliding_updates_job(
 
 def run_interval_job(
     samples: DataFrame,
-    points: DataFrame,
+    points: DataFrame | PointTable,
     sink: Sink,
     frequencies: Sequence[float],
     period: float = 5,
@@ -254,7 +255,7 @@ class _LookbackPublisher(Publisher):
 
 def run_lookback_job(
     samples: DataFrame,
-    points: DataFrame,
+    points: DataFrame | PointTable,
     sink: Sink,
     frequencies: Sequence[float],
     period: float = 5,

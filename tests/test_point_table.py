@@ -1,0 +1,114 @@
+"""Points in buckets: the same rows as a broadcast, no shuffle on their side, hot series in parts."""
+
+import pytest
+
+from builders import points_frame, rows_of, samples_frame
+from seriesmill.operators.enrich import enrich, fits_broadcast, unmatched_series
+from seriesmill.operators.series import series_aggregates
+from seriesmill.operators.sliding import pane_aggregates, pane_runs
+from seriesmill.plans.jobs import run_sliding_job, sliding_report
+from seriesmill.sources.point_table import PART, read_point_table, write_point_table
+from seriesmill.sources.readers import parquet_source, read_samples
+from seriesmill.sources.sinks import read_latest, table_sink
+
+SERIES = [f"s{i}" for i in range(30)]
+POINTS = [(f"P{s}", s) for s in SERIES[:25]] + [("Q0", "s0"), ("R0", "s0"), ("none", "unknown"), ("null", None)]
+BUCKETS = 4
+
+
+@pytest.fixture
+def points(spark):
+    return points_frame(spark, POINTS)
+
+
+@pytest.fixture
+def samples(spark):
+    rows = [(s, i, 900 * i + n) for n, s in enumerate(SERIES) for i in range(40 if s == "s0" else 2)]
+    return samples_frame(spark, rows)
+
+
+def exchanges_above_points(frame):
+    """Shuffles over the scan of the points, and all shuffles of the plan."""
+    frame.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = frame._jdf.queryExecution().executedPlan()
+        found = {"points": 0, "all": 0}
+
+        def scans(node):
+            text = node.nodeName()
+            mine = "Scan parquet" in text and "points_" in text
+            children = node.children()
+            below = [scans(children.apply(i)) for i in range(children.size())]
+            if text == "Exchange":
+                found["all"] += 1
+                found["points"] += any(below)
+            return mine or any(below)
+
+        assert scans(plan)
+        return found["points"], found["all"]
+    finally:
+        frame.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_same_rows_as_a_broadcast(spark, samples, points, tmp_path, parts):
+    table = write_point_table(points, str(tmp_path / "p"), BUCKETS, parts)
+    assert not fits_broadcast(table)
+    plain, bucketed = (sliding_report(samples, side, [60], 15) for side in (points, table))
+    assert bucketed.columns == plain.columns
+    assert rows_of(bucketed, *plain.columns) == rows_of(plain, *plain.columns)
+    stats = series_aggregates(samples)
+    assert enrich(stats, table).columns == enrich(stats, points).columns
+    assert rows_of(unmatched_series(stats, table), "timeseriesId") == rows_of(unmatched_series(stats, points), "timeseriesId")
+    assert rows_of(table.points, "pointId") == sorted((name,) for name, series in POINTS if series)
+
+
+def test_points_are_not_shuffled(spark, samples, points, tmp_path):
+    table = write_point_table(points, str(tmp_path / "p"), BUCKETS)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(BUCKETS)
+    # aggregates by series are partitioned as the buckets are: one shuffle in all
+    assert exchanges_above_points(enrich(series_aggregates(samples), table)) == (0, 1)
+    runs = pane_runs(pane_aggregates(samples, 15), [60, 120], 15)
+    assert exchanges_above_points(enrich(runs, table))[0] == 0
+    parted = write_point_table(points, str(tmp_path / "q"), BUCKETS, 3)
+    assert exchanges_above_points(enrich(runs, parted))[0] == 0
+
+
+def test_a_hot_series_is_joined_in_parts(spark, samples, points, tmp_path):
+    table = write_point_table(points, str(tmp_path / "p"), BUCKETS, 3)
+    runs = pane_runs(pane_aggregates(samples, 15), [60], 15)
+    hot = table.dealt(runs).where("timeseriesId = 's0'").groupBy(PART).count().collect()
+    assert len(hot) == 3
+    assert max(r["count"] for r in hot) < 0.6 * sum(r["count"] for r in hot)
+
+
+def test_a_new_version_and_another_catalog(spark, points, tmp_path):
+    folder = str(tmp_path / "p")
+    with pytest.raises(ValueError):
+        read_point_table(spark, folder)
+    first = write_point_table(points, folder, 2)
+    name = first.frame.inputFiles()[0].split("/")[-2].replace("-", "_")
+    spark.sql(f"DROP TABLE {name}")  # the files stay, as for a session that never knew the table
+    again = read_point_table(spark, folder)
+    assert rows_of(again.points, "pointId") == rows_of(points.where("timeseriesId is not null"), "pointId")
+    assert (again.buckets, again.parts) == (2, 1)
+    write_point_table(points.limit(0), folder, 3, 2)
+    empty = read_point_table(spark, folder)
+    assert empty.points.count() == 0 and (empty.buckets, empty.parts) == (3, 2)
+    with pytest.raises(ValueError):
+        write_point_table(points, folder, 0)
+
+
+def test_stream_with_points_in_buckets(spark, samples, points, tmp_path):
+    samples.write.parquet(str(tmp_path / "in"))
+    table = write_point_table(points, str(tmp_path / "p"), BUCKETS, 2)
+    stream = read_samples(spark, parquet_source(str(tmp_path / "in")), streaming=True)[0]
+    out = str(tmp_path / "out")
+    query = run_sliding_job(
+        stream, table, table_sink(out), [60], 15, checkpoint=str(tmp_path / "c"), drain=True, clock=lambda: 10**6
+    )
+    query.awaitTermination()
+    key = ("pointId", "timestampStartOfWindow", "timestampEndOfWindow")
+    got = read_latest(spark, out, key)
+    columns = [c for c in got.columns if c != "stddevValOfSamples"]
+    assert rows_of(got, *columns) == rows_of(sliding_report(samples, points, [60], 15), *columns)
