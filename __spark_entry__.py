@@ -72,6 +72,7 @@ from seriesmill.sources.sinks import (
     table_sink,
     write_batch,
 )
+from seriesmill.streaming.supervise import run_supervised
 
 # The text operators are a part of their own; without it the rest works alone.
 try:
@@ -495,6 +496,26 @@ def _stream_sliding_panes(spark, sf):
     return _comparable(read_latest(spark, f"{folder}/out", keys))
 
 
+def _stream_restarted(spark, sf):
+    """A sliding job that fails in its second batch, started again on its checkpoint."""
+    folder, samples, points = _work_folder(spark, "restarted"), _sample_stream(spark, sf), _points(spark, sf)
+    calls = []
+
+    def clock():
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("the clock is away")
+        return STREAM_END
+
+    def job():
+        out = table_sink(f"{folder}/out")
+        return run_sliding_job(samples, points, out, [DAY], 6 * 60, checkpoint=folder, drain=True, clock=clock)
+
+    run_supervised(job, pause=0)
+    keys = ("pointId", "timestampStartOfWindow", "timestampEndOfWindow")
+    return _comparable(read_latest(spark, f"{folder}/out", keys))
+
+
 def _stream_intervals(spark, sf, end=STREAM_END):
     folder = _work_folder(spark, "intervals")
     queries = run_interval_job(
@@ -642,6 +663,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sample_table": _stream_sample_table,
         "stream_sliding": _stream_sliding,
         "stream_sliding_panes": _stream_sliding_panes,
+        "stream_restarted": _stream_restarted,
         "stream_intervals": _stream_intervals,
         "stream_intervals_open": _stream_intervals_open,
         "stream_lookback": _stream_lookback,
@@ -927,6 +949,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_sample_table": _RANGE_SQL,
         "stream_sliding": _sliding_sql(60, 15),
         "stream_sliding_panes": _stream_panes_sql(),
+        "stream_restarted": f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, {_windows_sql(DAY * 60, 6 * 3600)}"
+        + _record_sql("stddevValOfSamples", where=f'WHERE "windowEnd" <= {STREAM_END}'),
         "stream_intervals": _stream_intervals_sql(),
         "stream_intervals_open": _stream_intervals_sql(STREAM_OPEN_END),
         "stream_lookback": f"WITH {_SAMPLES_SQL}, {_POINTS_SQL}, "

@@ -109,15 +109,28 @@ class Publisher:
         self._write(new)
 
     def _write(self, publication: Publication) -> None:
-        rows = self.rows_at(publication)
+        rows, made, again = self.rows_at(publication), 0, 0
         if rows is not None:
-            count = Observation()
-            self.write(rows.observe(count, F.count(F.lit(1)).alias("rows")), publication.number)
-            self.published[publication.number] = count.get["rows"]
+            count, before = Observation(), publication.before
+            ended = F.lit(False) if before is None else F.unix_seconds("windowEnd") <= before
+            counted = rows.observe(count, F.count(F.lit(1)).alias("rows"), F.count_if(ended).alias("again"))
+            self.write(counted, publication.number)
+            made, again = count.get["rows"], count.get["again"]
+            self.published[publication.number] = made
         state = self._state()
         left = [p for p in state["open"] if p["number"] != publication.number]
         if left != state["open"]:
-            self._log.write({**state, "open": left})
+            totals = {"rows": state.get("rows", 0) + made, "again": state.get("again", 0) + again}
+            self._log.write({**state, **totals, "open": left})
+
+    @property
+    def totals(self) -> dict[str, int]:
+        """Rows published since the checkpoint is there, and those of windows that had ended a publication before.
+
+        They are noted with a publication's end, so each counts once, however often it was written.
+        """
+        state = self._state()
+        return {name: state.get(name, 0) for name in ("rows", "again")}
 
     def _finish_open(self, but_batch: int | None = None) -> None:
         """Write what was noted and not done, but for what a micro-batch that runs again does itself."""
