@@ -3,8 +3,9 @@
 A paragraph is a line, or the lines that a wrapped text has been cut into: a line of 30 to 120 characters that
 ends no sentence goes on in the next one, and so does one that ends within a hyphenated word. Its features are word n-grams of one to three words; a softmax regression with an L1
 penalty gives few of them a weight for each licence family and for the class ``unknown``. It learns from
-statements built of the names and frames below, from statements with made-up names, and from lines of
-the corpus, BACKGROUND at most. A held-out third of these calibrates the probabilities by a temperature.
+statements built of the names and frames below, from paragraphs of common licences, from statements with made-up
+names, prose on licences, and lines of the corpus, BACKGROUND at most. A third of the different texts among these
+is held out to calibrate the probabilities by a temperature.
 
 A prediction is confirmed if the paragraph holds most of a template's 3-word sequences, or a template
 holds most of the paragraph's. Paragraphs without any cover word can't be predicted and aren't classified: all
@@ -39,14 +40,16 @@ SURE, CONFIRMED = 0.5, 0.5
 # Names of licences and frames of statements. Fixed values.
 NAMES = {
     "agpl": ["GNU Affero General Public License, version 3", "GNU AGPL v3", "AGPL-3.0"],
-    "apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"],
+    "apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0", "Apache 2.0"],
     "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "BSD-3-Clause", "New BSD License"],
     "cc-by": ["CC BY 4.0", "CC BY 3.0", "Creative Commons Attribution 4.0 International License"],
     "cc-by-nc": ["CC BY-NC 4.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-sa": ["CC BY-SA 4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
     "gpl": ["GNU General Public License, version 3", "GNU General Public License, version 2", "GNU GPL v3", "GPL-3.0", "GPLv2"],
     "lgpl": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License, version 2.1", "LGPL-3.0"],
-    "mit": ["MIT License", "MIT licence", "Expat MIT License"],
+    "epl": ["Eclipse Public License 2.0", "Eclipse Public License, version 1.0", "EPL-2.0"],
+    "isc": ["ISC License", "ISC licence"],
+    "mit": ["MIT License", "MIT licence", "Expat MIT License", "MIT"],
     "mpl": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0"],
     "public-domain": ["CC0 1.0 Universal", "CC0 1.0", "Unlicense"],
 }
@@ -57,13 +60,52 @@ FRAMES = [
     "SPDX-License-Identifier: {}",
 ]
 BODIES = {
-    "mit": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "gpl": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"],
-    "lgpl": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "apache": ["Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."],
-    "public-domain": ["This work has been dedicated to the public domain.", "This is free and unencumbered software released into the public domain."],
+    "mit": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
+        "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness.",
+        "In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits",
+    ],
+    "bsd": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.",
+    ],
+    "gpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ],
+    "lgpl": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "You should have received a copy of the GNU Lesser General Public License along with this library",
+    ],
+    "agpl": ["You should have received a copy of the GNU Affero General Public License along with this program."],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    ],
+    "mpl": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at",
+    ],
+    "apache": [
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ],
+    "public-domain": [
+        "This work has been dedicated to the public domain.", "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
     "proprietary": ["All rights reserved.", "Copyright. All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
 OTHERS = [
@@ -73,6 +115,10 @@ OTHERS = [
 PROSE = [
     "He lost his driving licence in the park.", "The committee will license new taxis next year.", "Released under water, the float rose.",
     "Permission to land was granted.", "The general public is invited.", "All rights and duties of the club", "version 2.0 was released",
+    "A licence tells you what you may do with a text.", "Many projects choose a license late.", "Which license is best for a library?",
+    "The court read the license of the software aloud.", "Source code was copied without permission.", "The software is slow.",
+    "She asked for a copy of the license agreement.", "The library lends books and software.", "Copies are sold at the door.",
+    "In no event were more than ten people present.", "The warranty of the car has ended.", "Unless required by the teacher, hats are off.",
     "the public library is open", "free of charge for members", "source and binary stars", "This work is done.", "4.0 percent", "by 3.0 points",
 ]
 
@@ -109,6 +155,20 @@ def _sequences(words: Column, n: int) -> Column:
     return F.array_distinct(F.when(F.size(words) >= n, made).otherwise(F.array().cast(_PARTS)))
 
 
+#: Words of a part of a body that is learned from, and from one to the next; parts go on to the body's end.
+PART_WORDS, PART_STEP = 12, 4
+
+
+def body_parts() -> list[tuple[str, str]]:
+    """(family, part) of the paragraphs of licences longer than a part."""
+    made = []
+    for family, bodies in BODIES.items():
+        for words in (body.split() for body in bodies):
+            starts = range(0, len(words) - PART_STEP, PART_STEP) if len(words) > PART_WORDS else ()
+            made += [(family, " ".join(words[i : i + PART_WORDS])) for i in starts]
+    return made
+
+
 def statements() -> list[tuple[str, str]]:
     """(family, statement) learned from, beside lines of the corpus."""
     made = [(family, frame.format(name)) for family, names in NAMES.items() for name in names for frame in FRAMES]
@@ -132,10 +192,9 @@ class Model:
         return dict(zip(self.classes, (share / share.sum()).tolist(), strict=True))
 
 
-def train(background: list[str], rounds: int = 250, penalty: float = 2e-4, rate: float = 2.0) -> Model:
+def train(background: list[str], rounds: int = 250, penalty: float = 1e-4, rate: float = 2.0) -> Model:
     """Softmax regression with an L1 penalty by proximal gradient steps; each third example calibrates."""
-    known = statements()
-    examples = known + [(UNKNOWN, line) for line in background]
+    examples = statements() + body_parts() + [(UNKNOWN, line) for line in background]
     classes = sorted({family for family, _ in examples})
     grams = [ngrams(text) for _, text in examples]
     vocabulary = sorted(set().union(*(g for g, (family, _) in zip(grams, examples, strict=True) if family != UNKNOWN)))
@@ -144,7 +203,9 @@ def train(background: list[str], rounds: int = 250, penalty: float = 2e-4, rate:
     for row, found in zip(x, grams, strict=True):
         row[[place[g] for g in found if g in place]] = 1
     y = np.eye(len(classes), dtype=np.float32)[[classes.index(family) for family, _ in examples]]
-    held = np.arange(len(examples)) % 3 == 2
+    # copies of a statement are all held out or none
+    place_of = {text: i for i, text in enumerate(dict.fromkeys(text for _, text in examples))}
+    held = np.array([place_of[text] % 3 == 2 for _, text in examples])
 
     def fitted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         weights, bias = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
