@@ -2,7 +2,8 @@
 
 A paragraph is a line, or the lines that a wrapped text has been cut into: a line of 30 to 120 characters that
 ends no sentence goes on in the next one, and so does one that ends within a hyphenated word. Its features are word n-grams of one to three words; a softmax regression with an L1
-penalty gives few of them a weight for each licence family and for the class ``unknown``. It learns from
+penalty gives few of them a weight for each licence family and for the class ``unknown``; n-grams of words that are
+common in the corpus alone have none. It learns from
 statements built of the names and frames below, from paragraphs of common licences, from statements with made-up
 names, prose on licences, and lines of the corpus, BACKGROUND at most. A third of the different texts among these
 is held out to calibrate the probabilities by a temperature.
@@ -21,6 +22,7 @@ result each; null ids are like others. Other columns are not read, and an empty
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +38,8 @@ BACKGROUND = 1500
 LONGEST = 3
 #: Probability from which a family is named, and share of 3-word sequences that confirms it.
 SURE, CONFIRMED = 0.5, 0.5
+#: Words that one in so many lines of the corpus holds are common: n-grams of such words alone are no features.
+COMMON = 100
 
 # Names of licences and frames of statements. Fixed values.
 NAMES = {
@@ -49,7 +53,7 @@ NAMES = {
     "lgpl": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License, version 2.1", "LGPL-3.0"],
     "epl": ["Eclipse Public License 2.0", "Eclipse Public License, version 1.0", "EPL-2.0"],
     "isc": ["ISC License", "ISC licence"],
-    "mit": ["MIT License", "MIT licence", "Expat MIT License", "MIT"],
+    "mit": ["MIT License", "MIT licence", "Expat MIT License"],
     "mpl": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0"],
     "public-domain": ["CC0 1.0 Universal", "CC0 1.0", "Unlicense"],
 }
@@ -160,12 +164,16 @@ PART_WORDS, PART_STEP = 12, 4
 
 
 def body_parts() -> list[tuple[str, str]]:
-    """(family, part) of the paragraphs of licences longer than a part."""
+    """(family, part) of the paragraphs of licences longer than a part.
+
+    Parts of PART_STEP words backwards are ``unknown``: single words of licences don't make one.
+    """
     made = []
     for family, bodies in BODIES.items():
-        for words in (body.split() for body in bodies):
-            starts = range(0, len(words) - PART_STEP, PART_STEP) if len(words) > PART_WORDS else ()
+        for words in (body.split() for body in bodies if len(body.split()) > PART_WORDS):
+            starts = range(0, len(words) - PART_STEP, PART_STEP)
             made += [(family, " ".join(words[i : i + PART_WORDS])) for i in starts]
+            made += [(UNKNOWN, " ".join(reversed(words[i : i + PART_STEP]))) for i in starts]
     return made
 
 
@@ -192,12 +200,23 @@ class Model:
         return dict(zip(self.classes, (share / share.sum()).tolist(), strict=True))
 
 
+def lines_with(background: list[str]) -> dict[str, int]:
+    """How many of the lines hold a word."""
+    return Counter(word for line in background for word in set(re.findall(_WORD, line.lower())))
+
+
 def train(background: list[str], rounds: int = 250, penalty: float = 1e-4, rate: float = 2.0) -> Model:
     """Softmax regression with an L1 penalty by proximal gradient steps; each third example calibrates."""
+    # a line with three words of a licence in a row may be a piece of one, so it says nothing of other texts
+    of_bodies = {g for bodies in BODIES.values() for body in bodies for g in ngrams(body) if g.count(" ") == LONGEST - 1}
+    background = [line for line in background if of_bodies.isdisjoint(ngrams(line))]
     examples = statements() + body_parts() + [(UNKNOWN, line) for line in background]
     classes = sorted({family for family, _ in examples})
     grams = [ngrams(text) for _, text in examples]
-    vocabulary = sorted(set().union(*(g for g, (family, _) in zip(grams, examples, strict=True) if family != UNKNOWN)))
+    times = lines_with(background)
+    common = {word for word, n in times.items() if n * COMMON >= len(background)}
+    said = set().union(*(g for g, (family, _) in zip(grams, examples, strict=True) if family != UNKNOWN))
+    vocabulary = sorted(g for g in said if not common.issuperset(g.split(" ")))
     place = {g: i for i, g in enumerate(vocabulary)}
     x = np.zeros((len(examples), len(vocabulary)), np.float32)
     for row, found in zip(x, grams, strict=True):
@@ -240,10 +259,7 @@ def cover_words(classes: list[str], bias: np.ndarray, weights: dict[str, list[fl
     What an n-gram adds to a family's lead is put down to its word that is rarest in the corpus lines. The
     commonest words are left out as long as all that is put down to them leaves every family behind.
     """
-    times: dict[str, int] = {}
-    for line in background:
-        for word in set(re.findall(_WORD, line.lower())):
-            times[word] = times.get(word, 0) + 1
+    times = lines_with(background)
     unknown = classes.index(UNKNOWN)
     gains: dict[str, np.ndarray] = {}
     for gram, values in weights.items():

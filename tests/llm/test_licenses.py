@@ -53,7 +53,7 @@ def test_paragraphs_of_licences_in_other_wordings(model):
         "Notice: the library is closed, see above.", "The author wrote the following list of names in a file.",
     ):
         shares = model.probabilities(text)
-        assert shares[licenses.UNKNOWN] > 0.5, text
+        assert max(share for family, share in shares.items() if family != licenses.UNKNOWN) < licenses.SURE, text
 
 
 def test_every_statement_has_a_cover_word(model):
