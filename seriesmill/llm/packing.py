@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import arrow_batches, arrow_rows, documents_only, small, stored
 from seriesmill.llm.components import components
-from seriesmill.llm.tokens import encoder
+from seriesmill.llm.tokens import encoder, grouped
 
 WINDOW = 2048
 END = 1
@@ -35,9 +35,8 @@ END = 1
 SHARD = 2000
 #: Parts of the table that shards are cut from, at most.
 MOST_PARTS = 500
-#: A seed's terms that are looked up: those of the greatest weight. A query of all of them would rank by
-#: the commonest, at many times the cost.
-QUERY_TERMS = 32
+#: A term that a rest in so many of the shard holds has its weights in a matrix, not in a list of rests.
+COMMON_ONE_IN = 10
 K1, B = 1.2, 0.75
 #: Minhashes of a rest; so many sorted orders, each by its own share of them; rests compared with those that
 #: follow so closely in an order.
@@ -83,7 +82,9 @@ def tokenized(docs: DataFrame, tokenizer: str, id_column: str, text: str) -> Dat
 
     rows = documents_only(docs, id_column, text).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
-    made = arrow_rows(rows, encode, f"id {kind}, n long, blocks binary, rest binary")
+    made = arrow_batches(rows).mapInArrow(
+        lambda batches: map(encode, grouped(batches)), f"id {kind}, n long, blocks binary, rest binary"
+    )
     return stored(made.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
 
@@ -215,21 +216,29 @@ class Index:
         self.first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.empty(0, np.int64)
         self.end = np.r_[self.first[1:], len(token)]
         place = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1 if len(token) else token
-        # each rest's terms, the weightiest first
-        order = np.lexsort((place, -self.weight, self.rest))
-        starts = np.searchsorted(self.rest[order], np.arange(len(rests) + 1))
-        self.terms = [place[order[s : min(e, s + QUERY_TERMS)]] for s, e in zip(starts[:-1], starts[1:], strict=True)]
+        common = (self.end - self.first) * COMMON_ONE_IN >= max(1, len(rests))
+        # scores by the common terms of a seed, of all rests at once
+        often = np.flatnonzero(common[place])
+        matrix = np.zeros((int(common.sum()), len(rests)))
+        matrix[(np.cumsum(common) - 1)[place[often]], self.rest[often]] = self.weight[often]
+        self.score = (matrix > 0).T.astype(float) @ matrix
+        # each rest's other terms; rests of a shard have small numbers, which numpy sorts in one pass
+        other = np.flatnonzero(~common[place])
+        holders = self.rest[other]
+        order = np.argsort(holders.astype(np.uint16) if len(rests) <= 1 << 16 else holders, kind="stable")
+        starts = np.searchsorted(holders[order], np.arange(len(rests) + 1))
+        self.terms = [place[other[order[s:e]]] for s, e in zip(starts[:-1], starts[1:], strict=True)]
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Rests that share a query term with the seed, by descending score, then by place."""
+        """Rests that share a term with the seed, by descending score over all its terms, then by place."""
+        score = self.score[seed]
         spans = [slice(self.first[t], self.end[t]) for t in self.terms[seed]]
-        if not spans:
-            return np.empty(0, np.int64)
-        score = np.bincount(
-            np.concatenate([self.rest[s] for s in spans]),
-            np.concatenate([self.weight[s] for s in spans]),
-            minlength=self.size,
-        )
+        if spans:
+            score = score + np.bincount(
+                np.concatenate([self.rest[s] for s in spans]),
+                np.concatenate([self.weight[s] for s in spans]),
+                minlength=self.size,
+            )
         found = np.flatnonzero(score > 0)
         return found[np.argsort(-score[found], kind="stable")]
 

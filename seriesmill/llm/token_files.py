@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from seriesmill.llm import simple8b
 from seriesmill.llm.common import BATCH_ROWS, documents_only, stored
-from seriesmill.llm.tokens import encoder
+from seriesmill.llm.tokens import encoder, grouped
 
 END = 2
 SEGMENT = 1 << 15
@@ -46,7 +46,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before, own = TaskContext.get().partitionId(), 0, 0, encoder(tokenizer)
         end = np.array([END], "<u4").tobytes()
-        for batch in batches:
+        for batch in grouped(batches):
             segments: list[tuple[list, list[int], list[bytes]]] = []
             flat, at = own.encode_batch(batch.column(1))
             for doc_id, low, high in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):

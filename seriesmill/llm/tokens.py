@@ -11,10 +11,11 @@ looked up a single time, and the ids of all texts are put together by index.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import sys
-from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ import pyarrow.compute as pc
 
 #: Pieces and words kept, some 200 bytes each, and the longest one that is kept, in characters.
 PIECES_KEPT, LONGEST_KEPT = 500_000, 40
+#: Bytes of a batch that small batches are put together to.
+GROUP_BYTES = 16 << 20
 
 # The pieces of byte-level BPE below U+0250. The pattern's letters, numbers and white space there.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -44,6 +47,8 @@ def _byte_letters() -> dict[int, int]:
 
 
 _BYTES = _byte_letters()
+#: The letter of each byte, in UTF-16.
+_LETTER_OF = np.array([_BYTES[b] for b in range(256)], "<u2")
 
 
 #: Beside other white space a space may be part of a longer piece; texts with these go by pieces.
@@ -59,25 +64,41 @@ class _Pieces(dict):
         self.model = model
 
     def __missing__(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(_BYTES)
-        made = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+        made = self.made([piece])[0]
         if len(piece) <= LONGEST_KEPT and len(self) < PIECES_KEPT:
             self[piece] = made
         return made
 
+    def made(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, whether it is known or not."""
+        raw = list(map(str.encode, pieces))
+        letters = _LETTER_OF[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-16-le")
+        ends = list(itertools.accumulate(map(len, raw), initial=0))
+        tokens = [self.model.tokenize(letters[a:b]) for a, b in itertools.pairwise(ends)]
+        return _slices([token.id for found in tokens for token in found], list(map(len, tokens)))
 
-class _Words(dict):
-    """Ids of a space and what follows up to the next space."""
+    def of_all(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; unknown ones are made together, and kept as far as there is room."""
+        new = [piece for piece in dict.fromkeys(pieces) if piece not in self]
+        room = PIECES_KEPT - len(self)
+        self.update(zip(new, self.made(new), strict=True))
+        found = list(map(self.__getitem__, pieces))
+        for number, piece in enumerate(new):
+            if number >= room or len(piece) > LONGEST_KEPT:
+                del self[piece]
+        return found
 
-    def __init__(self, pieces: _Pieces):
-        super().__init__()
-        self.pieces = pieces
 
-    def __missing__(self, word: str) -> bytes:
-        made = b"".join(map(self.pieces.__getitem__, _PIECE.findall(" " + word)))
-        if len(word) <= LONGEST_KEPT and len(self) < PIECES_KEPT:
-            self[word] = made
-        return made
+def _strings(values: pa.Array) -> list[str]:
+    """The values, made by Arrow at once; ``to_pylist`` goes one by one."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _slices(ids: list[int], sizes: list[int]) -> list[bytes]:
+    """The ids cut into parts of these sizes."""
+    raw = np.array(ids, "<u4").tobytes()
+    ends = itertools.accumulate((4 * size for size in sizes), initial=0)
+    return [raw[a:b] for a, b in itertools.pairwise(ends)]
 
 
 class Encoder:
@@ -93,7 +114,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.pieces = _Pieces(self.tokenizer.model)
-        self.words = _Words(self.pieces)
+        #: Ids of a space and what follows up to the next space.
+        self.words: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         #: Strings that the library cuts out of a text before its pieces.
@@ -118,14 +140,30 @@ class Encoder:
             return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
         # no piece goes on over a space that follows something else
         first, *words = text.split(" ")
-        start = b"".join(map(self.pieces.__getitem__, _PIECE.findall(first)))
-        return start + b"".join(map(self.words.__getitem__, words))
+        distinct = list(dict.fromkeys(words))
+        made = self.words_ids(distinct, [first])
+        ids = dict(zip(distinct, made[:-1], strict=True))
+        return made[-1] + b"".join(map(ids.__getitem__, words))
 
     def words_ids(self, words: list[str], firsts: list[str]) -> list[bytes]:
         """Ids of each word with a space in front, then of the texts' first words, which have none."""
-        made = list(map(self.words.__getitem__, words))
+        made = list(map(self.words.get, words))
+        new = [i for i, ids in enumerate(made) if ids is None]
+        for i, ids in zip(new, self._new_words([words[i] for i in new]), strict=True):
+            made[i] = ids
+            if len(words[i]) <= LONGEST_KEPT and len(self.words) < PIECES_KEPT:
+                self.words[words[i]] = ids
         return made + [b"".join(map(self.pieces.__getitem__, _PIECE.findall(word))) for word in firsts]
 
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not known: all are cut into pieces in one go."""
+        pieces = _PIECE.findall(" " + " ".join(words)) if words else []
+        heads = [i for i, piece in enumerate(pieces) if piece[0] == " "]
+        if len(heads) != len(words):  # white space of two words became one piece
+            return [b"".join(map(self.pieces.__getitem__, _PIECE.findall(" " + word))) for word in words]
+        found = self.pieces.of_all(pieces)
+        return [b"".join(found[a:b]) for a, b in itertools.pairwise([*heads, len(pieces)])]
+
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a batch, and where those of each begin, with the end of the last."""
         texts = pc.fill_null(texts, "")
@@ -138,17 +176,15 @@ class Encoder:
         flat = words.flatten()
         coded = flat.dictionary_encode()
         known = len(coded.dictionary)
-        made = self.words_ids(coded.dictionary.to_pylist(), flat.take(pa.array(first)).to_pylist())
+        made = self.words_ids(_strings(coded.dictionary), _strings(flat.take(pa.array(first))))
         for i in np.flatnonzero(odd).tolist():
             made[known + i] = self.encode(texts[i].as_py())
         which = coded.indices.to_numpy().astype(np.int64)
         which[first] = known + np.arange(len(first))
-        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
-        starts = np.cumsum(sizes) - sizes
-        ids, counts = np.frombuffer(b"".join(made), "<u4"), sizes[which]
-        ends = np.cumsum(counts)
-        at = np.repeat(starts[which] - ends + counts, counts) + np.arange(ends[-1])
-        return ids[at], np.r_[(ends - counts)[first], ends[-1]]
+        ids = pa.array(made, pa.large_binary()).take(pa.array(which))
+        _, ends, flat = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1) // 4
+        return np.frombuffer(flat, "<u4", int(ends[-1])), np.r_[ends[first], ends[-1]]
 
     def _odd(self, texts: pa.Array) -> np.ndarray:
         """Which texts can't be split at their spaces."""
@@ -166,6 +202,18 @@ class Encoder:
         )
 
 
+def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of GROUP_BYTES or a little more; a word is looked up once in each of them."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.nbytes for b in waiting) >= GROUP_BYTES:
+            yield pa.concat_batches(waiting)
+            waiting = []
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 @functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder in each worker process. The file lies at the same path on every machine."""
