@@ -15,6 +15,7 @@ held out. Other columns are not read, and an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +35,9 @@ EPOCHS, RATE, SEED = 12, 40.0, 3
 BACK = 3
 #: Bytes of a text that are looked at together.
 CHUNK = 1 << 20
+#: Bytes of a word that no chunk cuts.
+LONGEST_WORD = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 def _buckets(hashes: np.ndarray, kind: int) -> np.ndarray:
     spread = (hashes + np.uint64(kind)) * MIX
@@ -42,36 +46,42 @@ def _buckets(hashes: np.ndarray, kind: int) -> np.ndarray:
     return (spread >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
-def _chunk_features(raw: bytes) -> list[np.ndarray]:
+def _chunk_features(raw: bytes, before: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features of whole words that follow those of ``before``, and the last words for the next chunk."""
     text = Text(raw)
     if not len(text.starts):
-        return []
-    words = text.words()
-    made = [_buckets(words, 1)]
-    if len(words) > 1:
-        made.append(_buckets(words[:-1] * np.uint64(31) ^ words[1:], 2))
+        return [], before
+    words, first = np.concatenate([before, text.words()]), len(before)
+    made = [_buckets(words[first:], 1)]
+    second = max(first, 1)
+    if len(words) > second:
+        made.append(_buckets(words[second - 1 : -1] * np.uint64(31) ^ words[second:], 2))
     for back in range(1, BACK + 1):
-        again = np.count_nonzero(words[back:] == words[:-back])
+        later = max(first, back)
+        again = np.count_nonzero(words[later:] == words[later - back : len(words) - back]) if len(words) > later else 0
         made.append(_buckets(np.full(again, back, np.uint64), 3))
     spaces = np.concatenate([[0], np.cumsum(text.space)])
     for size in (3, 4):
         if len(raw) >= size:
             at = np.flatnonzero(spaces[size:] == spaces[:-size])
             made.append(_buckets(text.parts(at, at + size), 4 + size))
-    return made
+    return made, words[-BACK:]
 
 
 def features(text: str | None) -> np.ndarray:
-    """Rows of the vector table, one for each feature of the whole text."""
+    """Rows of the vector table, one for each feature of the whole text.
+
+    Long texts go in chunks that end behind a space; pairs and repeats of words reach over their bounds.
+    So chunks change nothing, unless a word has more than LONGEST_WORD bytes: it may count as several.
+    """
     raw = (text or "").encode("utf-8", "surrogatepass")
     made: list[np.ndarray] = []
-    at = 0
+    last, at = np.empty(0, np.uint64), 0
     while at < len(raw):
-        end = at + CHUNK
-        if end < len(raw):
-            cut = max(raw.rfind(b" ", at, end), raw.rfind(b"\n", at, end))
-            end = cut + 1 if cut >= at else end
-        made += _chunk_features(raw[at:end])
+        space = _SPACE.search(raw, at + CHUNK, at + CHUNK + LONGEST_WORD)
+        end = space.end() if space else at + CHUNK + LONGEST_WORD
+        parts, last = _chunk_features(raw[at:end], last)
+        made += parts
         at = end
     return np.concatenate(made) if made else np.empty(0, np.int64)
 

@@ -25,13 +25,20 @@ def test_held_out_accuracy(spark):
     assert np.mean(np.array(good)[:, None] > np.array(bad)) >= 0.98
 
 
-def test_features_do_not_depend_on_chunks_but_for_pairs(monkeypatch):
-    text = "some words, an École and 漢字 again again " * 50
-    whole = qc.features(text)
+def test_features_do_not_depend_on_chunks(monkeypatch):
+    text = "some words, an École and 漢字 again again\tno no\n" * 50 + "a b  a b " + "longer" * 40
+    whole = np.sort(qc.features(text))
+    for size in (1, 7, 100, len(text)):
+        monkeypatch.setattr(qc, "CHUNK", size)
+        assert np.array_equal(np.sort(qc.features(text)), whole)
+    for spaces in ("", " ", " \n ", "word", "word "):
+        monkeypatch.setattr(qc, "CHUNK", 1)
+        parts = np.sort(qc.features(spaces))
+        monkeypatch.setattr(qc, "CHUNK", 1 << 20)
+        assert np.array_equal(parts, np.sort(qc.features(spaces)))
+    # a word beyond the longest one is cut
     monkeypatch.setattr(qc, "CHUNK", 100)
-    parts = qc.features(text)
-    assert abs(len(whole) - len(parts)) < 200
-    assert len(np.intersect1d(whole, parts)) > 0.9 * len(np.unique(whole))
+    monkeypatch.setattr(qc, "LONGEST_WORD", 100)
     assert len(qc.features("x" * 1000)) > 0
 
 
