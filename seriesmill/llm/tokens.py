@@ -15,7 +15,6 @@ import itertools
 import json
 import re
 import sys
-from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,6 @@ import pyarrow.compute as pc
 
 #: Pieces and words kept, some 200 bytes each, and the longest one that is kept, in characters.
 PIECES_KEPT, LONGEST_KEPT = 500_000, 40
-#: Bytes of a batch that small batches are put together to.
-GROUP_BYTES = 16 << 20
 
 # The pieces of byte-level BPE below U+0250. The pattern's letters, numbers and white space there.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -80,12 +77,10 @@ class _Pieces(dict):
     def of_all(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; unknown ones are made together, and kept as far as there is room."""
         new = [piece for piece in dict.fromkeys(pieces) if piece not in self]
+        made = dict(zip(new, self.made(new), strict=True))
+        found = [made.get(piece) or self[piece] for piece in pieces]
         room = PIECES_KEPT - len(self)
-        self.update(zip(new, self.made(new), strict=True))
-        found = list(map(self.__getitem__, pieces))
-        for number, piece in enumerate(new):
-            if number >= room or len(piece) > LONGEST_KEPT:
-                del self[piece]
+        self.update((p, made[p]) for p in itertools.islice((p for p in new if len(p) <= LONGEST_KEPT), room))
         return found
 
 
@@ -202,18 +197,6 @@ class Encoder:
         )
 
 
-def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of GROUP_BYTES or a little more; a word is looked up once in each of them."""
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        waiting.append(batch)
-        if sum(b.nbytes for b in waiting) >= GROUP_BYTES:
-            yield pa.concat_batches(waiting)
-            waiting = []
-    if waiting:
-        yield pa.concat_batches(waiting)
-
-
 @functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder in each worker process. The file lies at the same path on every machine."""
