@@ -20,7 +20,7 @@ skewed the samples are.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -126,12 +126,16 @@ def pane_aggregates(
 
 
 def fold_panes(
-    parts: DataFrame, keys: Sequence[str] = (SERIES_KEY,), stat: str = STDDEV
+    parts: DataFrame,
+    keys: Sequence[str] = (SERIES_KEY,),
+    stat: str = STDDEV,
+    marked: str | None = None,
 ) -> DataFrame:
     """One pane per series and slide from several parts of it, such as those of micro-batches.
 
     Parts are brought together by one aggregation, those of a task before the shuffle; a pane of a table
-    has a bounded number of them, see :mod:`seriesmill.sources.dated`.
+    has a bounded number of them, see :mod:`seriesmill.sources.dated`. ``marked`` names a boolean column:
+    a pane has it if one of its parts does.
     """
     pane = [*keys, "paneStart"]
     folds = [
@@ -141,6 +145,8 @@ def fold_panes(
         (F.sum("sumValOfSamples") / F.sum("countOfSamples")).alias("avgValOfSamples"),
         F.sum("sumValOfSamples").alias("sumValOfSamples"),
     ]
+    if marked is not None:
+        folds.append(F.max(marked).alias(marked))
     if stat == DELTA:
         return parts.groupBy(*pane).agg(
             *folds, F.min("oldest").alias("oldest"), F.max("newest").alias("newest")
@@ -170,6 +176,15 @@ def _apart(count: str, total: str, other_count: str, other_total: str) -> str:
     )
 
 
+def merge_tasks(panes: DataFrame) -> int:
+    """Tasks for a merge whose windows are far more than its panes.
+
+    Left alone, Spark makes few tasks of small panes, just more than there are cores, and the windows of
+    the last one come when all others are done.
+    """
+    return int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def pane_runs(
     panes: DataFrame,
     windows: Sequence[float] = DEFAULT_WINDOWS,
@@ -179,6 +194,7 @@ def pane_runs(
     ends_until: int | None = None,
     partitions: int | None = None,
     stat: str = STDDEV,
+    marked: str | None = None,
 ) -> DataFrame:
     """Sliding-window statistics from panes, one row per run of equal windows.
 
@@ -190,7 +206,8 @@ def pane_runs(
     ``ends_after`` (exclusive) and ``ends_until`` (inclusive) restrict the result
     to windows that end in that range, in epoch seconds; only the panes such
     windows can hold are read. ``partitions`` fixes the number of tasks for the
-    merge, for sparse series where a small input makes a large result.
+    merge, for sparse series where a small input makes a large result. ``marked``
+    names a boolean column of the panes: only windows with such a pane are kept.
     """
     lengths, step = window_lengths(windows, slide)
     pane = F.col("paneStart")
@@ -254,6 +271,8 @@ def pane_runs(
         parts["squares"] = ("sum", "addedSquares")
     else:
         parts |= {"oldest": ("min", "oldest"), "newest": ("max", "newest")}
+    if marked is not None:
+        parts["marked"] = ("max", f"`{marked}`")
     frames = []
     for name, (fold, value) in parts.items():
         frames += [
@@ -272,7 +291,7 @@ def pane_runs(
     folded = folded.where("not change <=> previous")
 
     def both(name: str) -> str:
-        if name in ("least", "greatest", "oldest", "newest"):
+        if name in ("least", "greatest", "oldest", "newest", "marked"):
             pick = "least" if name in ("least", "oldest") else "greatest"
             return f"{pick}(tail_{name}, head_{name})"
         if name == "squares":
@@ -306,7 +325,7 @@ def pane_runs(
         *key_columns,
         "windowSeconds",
         f"inline(if({opens}, array({opening}, {here}), array({here})))",
-    ).where("n > 0 and fromEnd <= toEnd")
+    ).where("n > 0 and fromEnd <= toEnd" + (" and marked" if marked is not None else ""))
     return runs.selectExpr(
         *key_columns,
         "windowSeconds",
@@ -346,10 +365,15 @@ def merge_panes(
     ends_until: int | None = None,
     partitions: int | None = None,
     stat: str = STDDEV,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Sliding-window statistics from panes, one row per window; see :func:`pane_runs`."""
+    """Sliding-window statistics from panes, one row per window; see :func:`pane_runs`.
+
+    ``finish`` is applied to the rows that stand for runs of equal windows: what it does to the
+    statistics is done once a run.
+    """
     runs = pane_runs(panes, windows, slide, keys, ends_after, ends_until, partitions, stat)
-    return expand_runs(runs, slide)
+    return expand_runs(runs if finish is None else finish(runs), slide)
 
 
 def sliding_aggregates(
@@ -360,6 +384,7 @@ def sliding_aggregates(
     keys: Sequence[str] = (SERIES_KEY,),
     plan: str = "panes",
     partitions: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Statistics per series for every sliding window, several lengths at once.
 
@@ -368,13 +393,15 @@ def sliding_aggregates(
 
     ``plan="panes"`` works as described above, whatever the lengths. ``plan="direct"`` gives each sample
     to each of its windows through Spark's time windows, whose deviations have two digits fewer at a
-    level of 1e9.
+    level of 1e9. ``finish`` is applied as in :func:`merge_panes`, or to the windows of the direct plan.
     """
     lengths, step = window_lengths(windows, slide)
     if plan == "panes":
         panes = pane_aggregates(samples, slide, time_col, keys)
-        return merge_panes(panes, windows, slide, keys, partitions=partitions)
+        partitions = partitions or merge_tasks(panes)
+        return merge_panes(panes, windows, slide, keys, partitions=partitions, finish=finish)
     if plan == "direct":
         parts = [_windowed(samples, n, step, STDDEV, time_col, keys) for n in lengths]
-        return reduce(DataFrame.unionByName, parts)
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows if finish is None else finish(rows)
     raise ValueError(f"unknown plan {plan!r}")

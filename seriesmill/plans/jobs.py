@@ -34,6 +34,7 @@ from seriesmill.operators.sliding import (
     DEFAULT_WINDOWS,
     expand_runs,
     fold_panes,
+    merge_tasks,
     pane_aggregates,
     pane_runs,
 )
@@ -63,13 +64,17 @@ def sliding_report(
     windows: Sequence[float] = DEFAULT_WINDOWS,
     slide: float = DEFAULT_SLIDE,
     time_col: str = INGEST_TIME,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Published records of the sliding job over a table of samples.
 
-    Equal windows that follow each other are joined with their point once.
+    Equal windows that follow each other are joined with their point once, and so is what ``finish``
+    does to the statistics.
     """
-    runs = pane_runs(pane_aggregates(samples, slide, time_col), windows, slide)
-    return to_output(expand_runs(enrich(runs, points), slide), STDDEV)
+    panes = pane_aggregates(samples, slide, time_col)
+    runs = pane_runs(panes, windows, slide, partitions=merge_tasks(panes))
+    joined = enrich(runs if finish is None else finish(runs), points)
+    return to_output(expand_runs(joined, slide), STDDEV)
 
 
 def interval_report(
@@ -128,10 +133,11 @@ def run_sliding_job(
         checkpoint,
         period,
         longest(windows, period),
-        lambda rows, number: write(to_output(enrich(rows, points, small), STDDEV), number),
+        lambda rows, number: write(to_output(rows, STDDEV), number),
         time_col=time_col,
         clock=clock,
         windows=windows,
+        join=lambda runs: enrich(runs, points, small),
     )
     return run_publisher(publisher, samples, name, period, drain)
 
@@ -214,12 +220,13 @@ def run_interval_job(
             folder,
             min(frequency, period),
             length,
-            lambda rows, number, write=write: write(to_output(enrich(rows, points, small), DELTA), number),
+            lambda rows, number, write=write: write(to_output(rows, DELTA), number),
             DELTA,
             time_col,
             period=period,
             clock=clock,
             windows=[frequency],
+            join=lambda runs: enrich(runs, points, small),
         )
         queries.append(run_publisher(publisher, samples, query, period, drain))
     return queries

@@ -137,10 +137,12 @@ class DatedTable:
         size: int = 0,
         batch: int | None = None,
         days: Iterable[int] | None = None,
+        but_batch: int | None = None,
     ) -> DataFrame | None:
         """Rows of the batches up to ``upto_batch``, or None if the days asked for hold none.
 
-        Only the folders of the days from ``since`` to ``until``, in seconds, are read, or those of ``days``.
+        Only the folders of the days from ``since`` to ``until``, in seconds, are read, or those of ``days``;
+        of all batches, of one, or of all others.
         """
         wanted = None if days is None else set(days)
         entries = [
@@ -149,6 +151,7 @@ class DatedTable:
             if e["size"] == size
             and e["high"] <= upto_batch
             and (batch is None or e["low"] == e["high"] == batch)
+            and (but_batch is None or not e["low"] == e["high"] == but_batch)
             and (since is None or since // DAY <= e["day"])
             and (until is None or e["day"] <= until // DAY)
             and (wanted is None or e["day"] in wanted)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -113,9 +113,10 @@ def read_latest(
     versions = read_versions(spark, path)
     if where is not None:
         versions = versions.where(where)
+    # One sort after the shuffle: an aggregate of whole rows would be sorted on both sides of it.
+    newer = F.lead(BATCH_COLUMN).over(Window.partitionBy(*keys).orderBy(BATCH_COLUMN))
     columns = [c for c in versions.columns if c != BATCH_COLUMN]
-    newest = F.max_by(F.struct(*columns), BATCH_COLUMN).alias("newest")
-    return versions.groupBy(*keys).agg(newest).select("newest.*")
+    return versions.withColumn("_newer", newer).where(F.col("_newer").isNull()).select(*columns)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

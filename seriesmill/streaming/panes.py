@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from seriesmill.functions.stats import STDDEV
 from seriesmill.functions.timeunits import floor_to, interval_text, minutes_to_seconds
-from seriesmill.operators.sliding import fold_panes, merge_panes, pane_aggregates, window_lengths
+from seriesmill.operators.sliding import expand_runs, fold_panes, pane_aggregates, pane_runs, window_lengths
 from seriesmill.schemas import INGEST_TIME, SERIES_KEY
 from seriesmill.sources.dated import SIZE_COLUMN, DatedTable, run_of
 from seriesmill.sources.notes import Note
@@ -109,11 +109,9 @@ class Publisher:
         self._write(new)
 
     def _write(self, publication: Publication) -> None:
-        rows, made, again = self.rows_at(publication), 0, 0
-        if rows is not None:
-            count, before = Observation(), publication.before
-            ended = F.lit(False) if before is None else F.unix_seconds("windowEnd") <= before
-            counted = rows.observe(count, F.count(F.lit(1)).alias("rows"), F.count_if(ended).alias("again"))
+        count, made, again = Observation(), 0, 0
+        counted = self.counted_at(publication, count)
+        if counted is not None:
             self.write(counted, publication.number)
             made, again = count.get["rows"], count.get["again"]
             self.published[publication.number] = made
@@ -140,36 +138,29 @@ class Publisher:
 
     # --- the table ---
 
-    def panes(self, upto_batch: int, since: int | None, until: int, only: DataFrame | None = None) -> DataFrame | None:
-        """Folded panes from ``since`` to before ``until``; with ``only``, of the series in it."""
+    def panes(self, upto_batch: int, since: int | None, until: int) -> DataFrame | None:
+        """Folded panes from ``since`` to before ``until``."""
         parts = self.panes_table.read(upto_batch, since, until, self.sizes[0])
         if parts is None:
             return None
         pane = F.col("paneStart")
         parts = parts.where((pane < until) if since is None else (pane >= since) & (pane < until))
-        if only is not None:
-            parts = parts.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi")
         return fold_panes(parts, self.keys, self.stat)
 
     def _nodes(self, panes: DataFrame) -> DataFrame:
-        """The panes, and folded ones of each longer size."""
-        sizes = self.sizes
-        made = panes.withColumn(SIZE_COLUMN, F.lit(sizes[0]))
-        for size in sizes[1:]:
-            longer = fold_panes(panes.withColumn("paneStart", floor_to(F.col("paneStart"), size)), self.keys, self.stat)
-            made = made.unionByName(longer.withColumn(SIZE_COLUMN, F.lit(size)))
-        return made
+        """The panes, and folded ones of each longer size, by one shuffle."""
+        sizes = [F.lit(size) for size in self.sizes]
+        if len(sizes) == 1:
+            return panes.withColumn(SIZE_COLUMN, sizes[0])
+        parts = panes.withColumn(SIZE_COLUMN, F.explode(F.array(*sizes)))
+        parts = parts.withColumn("paneStart", floor_to(F.col("paneStart"), F.col(SIZE_COLUMN)))
+        return fold_panes(parts, [*self.keys, SIZE_COLUMN], self.stat)
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
         with self._lock:
             self._finish_open(but_batch=batch_id)
             parts = pane_aggregates(batch, self.slide, self.time_col, self.keys, self.stat)
-            if len(self.sizes) > 1:
-                parts = parts.persist()
-            try:
-                bounds = self.panes_table.append(self._nodes(parts), batch_id, self.sizes)
-            finally:
-                parts.unpersist()
+            bounds = self.panes_table.append(self._nodes(parts), batch_id, self.sizes)
             self._publish(batch_id, None, batch_id, bounds)
             # the batches before can't run again
             self.panes_table.compact(batch_id)
@@ -189,19 +180,39 @@ class Publisher:
     def rows_at(self, publication: Publication) -> DataFrame | None:
         raise NotImplementedError
 
+    def counted_at(self, publication: Publication, count: Observation) -> DataFrame | None:
+        """The rows of a publication; observed are their number and that of windows that had ended before."""
+        rows, before = self.rows_at(publication), publication.before
+        if rows is None:
+            return None
+        ended = F.lit(False) if before is None else F.unix_seconds("windowEnd") <= before
+        return rows.observe(count, F.count(F.lit(1)).alias("rows"), F.count_if(ended).alias("again"))
+
 
 @dataclass
 class WindowPublisher(Publisher):
-    """Publishes sliding windows of all the lengths in ``windows``."""
+    """Publishes sliding windows of all the lengths in ``windows``.
 
-    windows: Sequence[float] = ()
+    ``join`` is applied to the rows that stand for runs of equal windows, before there is one for each window.
+    """
 
-    def _merged(self, panes: DataFrame, after: int | None, until: int) -> DataFrame:
-        return merge_panes(
-            panes, self.windows, self.slide, self.keys, ends_after=after, ends_until=until, stat=self.stat
-        )
+    windows: Sequence[float] = ()
+    join: Callable[[DataFrame], DataFrame] | None = None
+
+    def _merged(self, panes: DataFrame, after: int | None, until: int, marked: str | None = None) -> DataFrame:
+        return pane_runs(panes, self.windows, self.slide, self.keys, after, until, stat=self.stat, marked=marked)
+
+    def _marked_panes(self, publication: Publication, added: DataFrame, since: int, until: int) -> DataFrame:
+        """Folded panes of the series that a micro-batch has added to; those it has added to are marked."""
+        parts = added.withColumn("marked", F.lit(True))
+        others = self.panes_table.read(publication.upto, since, until, self.sizes[0], but_batch=publication.batch)
+        if others is not None:
+            others = others.join(added.select(*self.keys).distinct(), list(self.keys), "left_semi")
+            parts = parts.unionByName(others.withColumn("marked", F.lit(False)))
+        pane = F.col("paneStart")
+        return fold_panes(parts.where((pane >= since) & (pane < until)), self.keys, self.stat, "marked")
 
-    def rows_at(self, publication):
+    def runs_at(self, publication: Publication) -> DataFrame | None:
         as_of, before, upto = publication.as_of, publication.before, publication.upto
         due = None
         if before is None or as_of > before:
@@ -214,13 +225,29 @@ class WindowPublisher(Publisher):
         added = self.panes_table.read(upto, low, publication.high, self.sizes[0], batch=publication.batch)
         if added is None or low >= until:
             return due
-        # windows that hold a pane of this batch: those of its panes alone
-        touched = self._merged(fold_panes(added, self.keys, self.stat), low, until)
-        panes = self.panes(upto, low - self.horizon, until, added)
-        window = [*self.keys, "windowSeconds", "windowEnd"]
-        again = self._merged(panes, low, until).join(touched.select(*window), window, "left_semi")
+        # windows that hold a pane of this batch
+        again = self._merged(self._marked_panes(publication, added, low - self.horizon, until), low, until, "marked")
         return again if due is None else again.unionByName(due)
 
+    def rows_at(self, publication):
+        runs = self.runs_at(publication)
+        return None if runs is None else self._expanded(runs)
+
+    def _expanded(self, runs: DataFrame) -> DataFrame:
+        return expand_runs(runs if self.join is None else self.join(runs), self.slide)
+
+    def counted_at(self, publication, count):
+        runs, step = self.runs_at(publication), minutes_to_seconds(self.slide)
+        if runs is None:
+            return None
+        windows = f"(toEnd - fromEnd) div {step} + 1"
+        # a run can begin before the publication before and end after it
+        again = "0L"
+        if publication.before is not None:
+            again = f"greatest(0L, floor((least(toEnd, {publication.before}L) - fromEnd) / {step}) + 1)"
+        observed = [F.expr(f"coalesce(sum({n}), 0L)").alias(name) for name, n in (("rows", windows), ("again", again))]
+        return self._expanded(runs.observe(count, *observed))
+
 
 def run_publisher(
     publisher: Publisher, samples: DataFrame, name: str, period: float, drain: bool
