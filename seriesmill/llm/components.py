@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import stored
@@ -15,33 +15,34 @@ def _nearest(neighbours: DataFrame) -> DataFrame:
     return neighbours.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
 
 
+def _counted(rows: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges, written, with their number and sum: equal for equal edges."""
+    seen = Observation()
+    state = (F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("sum"))
+    return stored(rows.observe(seen, *state), "edges"), seen.get
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for each node of the edges (a, b); label is the least node of the component.
 
     Every round writes its edges to the shared folder. It ends when each node points at the least node
-    it can reach, which takes a number of rounds in the order of the logarithm of the longest path.
+    it can reach, which takes a number of rounds in the order of the logarithm of the longest path; one
+    round for edges that are such stars already. Labels found before can stand for the edges they come from.
     """
-    rows = stored(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    rows, before = _counted(
+        edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    )
     for _ in range(ROUNDS):
         # large star: larger neighbours are handed to the least neighbour
         both = rows.union(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
-            both.join(_nearest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
-        # small star: the node and its smaller neighbours are handed to the least of them
-        near = _nearest(large)
+        large = both.join(_nearest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # small star: the node and its smaller neighbours are handed to the least of them; one shuffle by the node
+        # serves the distinct rows and their least
+        near = large.repartition("u").distinct().withColumn("m", F.min("v").over(Window.partitionBy("u")))
         small = (
-            large.join(near, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(near.select("u", F.col("m").alias("v")))
-            .where("u != v")
-            .distinct()
+            near.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         )
-        seen = Observation()
-        state = (F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("sum"))
-        rows = stored(small.observe(seen, *state), "edges")
-        state = seen.get
+        rows, state = _counted(small)
         if state == before:
             return rows.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label").union(
                 rows.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()

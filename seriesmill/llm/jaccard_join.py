@@ -424,14 +424,13 @@ def _new_sets(docs: DataFrame, pairs: DataFrame, before: DataFrame | None) -> Da
     return before.union(stored(_sets_of(docs, more), "sets"))
 
 
-def _labelled(cells: DataFrame, heads: DataFrame, edges: DataFrame | None) -> DataFrame:
+def _labelled(cells: DataFrame, heads: DataFrame, found: DataFrame | None) -> DataFrame:
     """Members (key, id, digest, n, weight, label) of the cells (key, twin) that still have two components.
 
     Of cells with the same members one is kept: a passage makes a cell of each of its shingles.
     """
     labels = heads.withColumn("label", F.col("id"))
-    if edges is not None:
-        found = components(edges)
+    if found is not None:
         labels = heads.join(found, heads["id"] == found["node"], "left").select(
             *heads.columns, F.coalesce("label", "id").alias("label")
         )
@@ -568,7 +567,10 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     points = heads.select("digest", "point", "parity")
     open_cells, sets, edges = cells, None, None
     for turn in range(STARS + 1):
-        labelled = stored(_labelled(open_cells, members, edges), "open")
+        labels = None if edges is None else components(edges)
+        if labels is not None:  # what they say stands for the links so far
+            edges = labels.where("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labelled = stored(_labelled(open_cells, members, labels), "open")
         if labelled.isEmpty():
             break
         if turn < STARS:
