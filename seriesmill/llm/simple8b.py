@@ -26,6 +26,8 @@ COUNTS = (1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 _LIMITS = np.array([1 << w for w in WIDTHS[1:]], np.uint64)
 _COUNT = np.array(COUNTS, np.int64)
 _REACH = max(COUNTS)
+#: The first selector whose width holds a value, for values up to the greatest two-byte one.
+_CLASSES = (np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right") + 1).astype(np.int8)
 
 
 def _selectors(classes: np.ndarray) -> np.ndarray:
@@ -68,7 +70,10 @@ def encode(segments: Sequence[np.ndarray]) -> list[bytes]:
         values[end - n : end, :BLOCK] = flat.reshape(n, BLOCK)
         if n and size % BLOCK:
             lengths[end - 1] = size % BLOCK
-    classes = (np.searchsorted(_LIMITS, values.ravel(), side="right") + 1).astype(np.int8).reshape(values.shape)
+    if int(values.max()) < len(_CLASSES):
+        classes = _CLASSES[values.view(np.int64)]
+    else:
+        classes = (np.searchsorted(_LIMITS, values.ravel(), side="right") + 1).astype(np.int8).reshape(values.shape)
     best = _selectors(classes)
     # all blocks advance by one word at a time
     at, alive, steps = np.zeros(total, np.int64), np.arange(total), []

@@ -22,11 +22,11 @@ from pyspark.sql.window import Window
 
 from seriesmill.llm import simple8b
 from seriesmill.llm.common import BATCH_ROWS, documents_only, stored
-from seriesmill.llm.tokens import encoder
+from seriesmill.llm.tokens import encoder, grouped
 
 END = 2
 SEGMENT = 1 << 15
-#: Segments that are decoded before their rows are handed on.
+#: Segments that are coded together, and that are decoded before their rows are handed on.
 SEGMENTS_AT_ONCE = 32
 
 
@@ -46,7 +46,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before, own = TaskContext.get().partitionId(), 0, 0, encoder(tokenizer)
         end = np.array([END], "<u4").tobytes()
-        for batch in batches:
+        for batch in grouped(batches):
             segments: list[tuple[list, list[int], list[bytes]]] = []
             flat, at = own.encode_batch(batch.column(1))
             for doc_id, low, high in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
@@ -55,7 +55,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
                     segments.append(([], [], []))
                 for column, x in zip(segments[-1], (doc_id, len(ids) // 4, ids), strict=True):
                     column.append(x)
-            coded = simple8b.encode([np.frombuffer(b"".join(s[2]), "<u4") for s in segments])
+            coded: list[bytes] = []
+            for first in range(0, len(segments), SEGMENTS_AT_ONCE):
+                part_of = segments[first : first + SEGMENTS_AT_ONCE]
+                coded += simple8b.encode([np.frombuffer(b"".join(s[2]), "<u4") for s in part_of])
             sizes = [sum(s[1]) for s in segments]
             starts = [before + sum(sizes[:i]) for i in range(len(sizes))]
             yield pa.RecordBatch.from_arrays(

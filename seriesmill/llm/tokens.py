@@ -15,13 +15,16 @@ import itertools
 import json
 import re
 import sys
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces and words kept, some 200 bytes each, and the longest one that is kept, in characters.
-PIECES_KEPT, LONGEST_KEPT = 500_000, 40
+PIECES_KEPT, LONGEST_KEPT = 250_000, 40
+#: Bytes of a batch that small batches are put together to.
+GROUP_BYTES = 8 << 20
 
 # The pieces of byte-level BPE below U+0250. The pattern's letters, numbers and white space there.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -71,16 +74,22 @@ class _Pieces(dict):
         raw = list(map(str.encode, pieces))
         letters = _LETTER_OF[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-16-le")
         ends = list(itertools.accumulate(map(len, raw), initial=0))
-        tokens = [self.model.tokenize(letters[a:b]) for a, b in itertools.pairwise(ends)]
-        return _slices([token.id for found in tokens for token in found], list(map(len, tokens)))
+        # tokens are let go at once: many objects held would be gone through by the garbage collector again and again
+        ids: list[int] = []
+        sizes, tokenize = [], self.model.tokenize
+        for a, b in itertools.pairwise(ends):
+            found = tokenize(letters[a:b])
+            sizes.append(len(found))
+            ids += [token.id for token in found]
+        return _slices(ids, sizes)
 
     def of_all(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; unknown ones are made together, and kept as far as there is room."""
         new = [piece for piece in dict.fromkeys(pieces) if piece not in self]
         made = dict(zip(new, self.made(new), strict=True))
         found = [made.get(piece) or self[piece] for piece in pieces]
-        room = PIECES_KEPT - len(self)
-        self.update((p, made[p]) for p in itertools.islice((p for p in new if len(p) <= LONGEST_KEPT), room))
+        if (room := PIECES_KEPT - len(self)) > 0:
+            self.update((p, made[p]) for p in itertools.islice((p for p in new if len(p) <= LONGEST_KEPT), room))
         return found
 
 
@@ -144,10 +153,13 @@ class Encoder:
         """Ids of each word with a space in front, then of the texts' first words, which have none."""
         made = list(map(self.words.get, words))
         new = [i for i, ids in enumerate(made) if ids is None]
-        for i, ids in zip(new, self._new_words([words[i] for i in new]), strict=True):
+        unknown = [words[i] for i in new]
+        found = self._new_words(unknown)
+        for i, ids in zip(new, found, strict=True):
             made[i] = ids
-            if len(words[i]) <= LONGEST_KEPT and len(self.words) < PIECES_KEPT:
-                self.words[words[i]] = ids
+        if (room := PIECES_KEPT - len(self.words)) > 0:
+            kept = ((word, ids) for word, ids in zip(unknown, found, strict=True) if len(word) <= LONGEST_KEPT)
+            self.words.update(itertools.islice(kept, room))
         return made + [b"".join(map(self.pieces.__getitem__, _PIECE.findall(word))) for word in firsts]
 
     def _new_words(self, words: list[str]) -> list[bytes]:
@@ -197,6 +209,20 @@ class Encoder:
         )
 
 
+def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of GROUP_BYTES or a little more; a word is looked up once in each of them."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.nbytes
+        if size >= GROUP_BYTES:
+            yield pa.concat_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 @functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder in each worker process. The file lies at the same path on every machine."""

@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from seriesmill.llm import queries, simple8b, token_files
+from seriesmill.llm import queries, simple8b, token_files, tokens
 from seriesmill.llm.common import table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,3 +69,20 @@ def test_nulls_repeated_rows_long_texts_and_empty_table(spark):
         at += r.n_tokens
     empty = token_files.read_tokens(token_files.write_tokens(frame.limit(0), PATH))
     assert empty.count() == 0
+
+
+def test_a_new_word_of_small_batches_is_cut_once(monkeypatch):
+    asked = []
+    made = tokens._Pieces.made
+    monkeypatch.setattr(tokens._Pieces, "made", lambda self, pieces: asked.extend(pieces) or made(self, pieces))
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 0)
+    texts = ["one raremadeupword two", None, "one raremadeupword", ""] * 5
+    batches = [pa.record_batch({"text": pa.array(texts[i : i + 2], pa.string())}) for i in range(0, len(texts), 2)]
+    own = tokens.Encoder(PATH, special=True)
+    found = [own.encode_batch(b.column(0)) for b in tokens.grouped(iter(batches))]
+    got = [[*flat[a:b], 2] for flat, at in found for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got == plain(texts)
+    assert asked.count(" raremadeupword") == 1
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 1)
+    assert [b.num_rows for b in tokens.grouped(iter(batches))] == [2] * 10
+    assert not list(tokens.grouped(iter([])))
