@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import arrow_batches, arrow_rows, documents_only, small, stored
 from seriesmill.llm.components import components
-from seriesmill.llm.tokens import encoder
+from seriesmill.llm.tokens import encoder, grouped
 
 WINDOW = 2048
 END = 1
@@ -82,7 +82,9 @@ def tokenized(docs: DataFrame, tokenizer: str, id_column: str, text: str) -> Dat
 
     rows = documents_only(docs, id_column, text).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
-    made = arrow_rows(rows, encode, f"id {kind}, n long, blocks binary, rest binary")
+    made = arrow_batches(rows).mapInArrow(
+        lambda batches: map(encode, grouped(batches)), f"id {kind}, n long, blocks binary, rest binary"
+    )
     return stored(made.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
 
@@ -93,10 +95,11 @@ def document_counts(tokens: DataFrame) -> np.ndarray:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                part = np.unique(_wide(value))
-                if len(part) and part[-1] >= len(total):
-                    total = np.concatenate([total, np.zeros(int(part[-1]) + 1 - len(total), np.int64)])
-                total[part] += 1
+                part = _wide(value)
+                greatest = int(part.max(initial=0))
+                if greatest >= len(total):
+                    total = np.concatenate([total, np.zeros(greatest + 1 - len(total), np.int64)])
+                total[part] += 1  # once for an id, however often the rest has it
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["token", "n"])
 
@@ -227,8 +230,8 @@ class Index:
         starts = np.searchsorted(holders[order], np.arange(len(rests) + 1))
         self.terms = [place[other[order[s:e]]] for s, e in zip(starts[:-1], starts[1:], strict=True)]
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Rests that share a term with the seed, by descending score over all its terms, then by place."""
+    def neighbours(self, seed: int, unused: np.ndarray | bool = True) -> np.ndarray:
+        """Unused rests that share a term with the seed, by descending score over all its terms, then by place."""
         score = self.score[seed]
         spans = [slice(self.first[t], self.end[t]) for t in self.terms[seed]]
         if spans:
@@ -237,7 +240,7 @@ class Index:
                 np.concatenate([self.weight[s] for s in spans]),
                 minlength=self.size,
             )
-        found = np.flatnonzero(score > 0)
+        found = np.flatnonzero((score > 0) & unused)
         return found[np.argsort(-score[found], kind="stable")]
 
 
@@ -260,7 +263,7 @@ def fill(lengths: np.ndarray, neighbours) -> Iterator[list[tuple[int, int, int]]
             room -= take
 
         place(seed)
-        near = neighbours(int(seed)) if room else ()
+        near = neighbours(int(seed), left > 0) if room else ()
         for candidates in (near, order):
             while room and len(candidates):
                 candidates = candidates[left[candidates] > 0]

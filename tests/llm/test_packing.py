@@ -117,3 +117,13 @@ def test_added_tokens_have_the_ids_of_the_plain_library(spark):
     assert b"".join(r.ids for r in sorted(rows, key=lambda r: r.start)) == np.array(
         [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 1], "<u4"
     ).tobytes()
+
+
+def test_used_rests_are_no_neighbours():
+    rests = [np.array(r, "<u4") for r in ([5, 6, 7], [5, 6], [5, 9], [5, 6, 7, 8])]
+    counts = np.bincount(np.concatenate(rests), minlength=10)
+    index = packing.Index(rests, counts, 4, 2.75)
+    every = index.neighbours(0).tolist()
+    unused = np.array([True, False, True, True])
+    assert 1 in every
+    assert index.neighbours(0, unused).tolist() == [r for r in every if r != 1]
