@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from seriesmill.llm.common import stored
 
 ROUNDS = 60
+#: Edges of a file of a round, if there are fewer files than tasks for that.
+FILE_EDGES = 10_000
 
 
 def _nearest(neighbours: DataFrame) -> DataFrame:
@@ -15,8 +17,13 @@ def _nearest(neighbours: DataFrame) -> DataFrame:
     return neighbours.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
 
 
-def _counted(rows: DataFrame) -> tuple[DataFrame, dict]:
-    """The edges, written, with their number and sum: equal for equal edges."""
+def _counted(rows: DataFrame, before: dict | None = None) -> tuple[DataFrame, dict]:
+    """The edges, written, with their number and sum: equal for equal edges.
+
+    There are no more files than those of the round before ask for: no task opens and writes one for a few edges.
+    """
+    if before is not None:
+        rows = rows.coalesce(-(-before["n"] // FILE_EDGES) or 1)
     seen = Observation()
     state = (F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("sum"))
     return stored(rows.observe(seen, *state), "edges"), seen.get
@@ -42,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = (
             near.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         )
-        rows, state = _counted(small)
+        rows, state = _counted(small, before)
         if state == before:
             return rows.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label").union(
                 rows.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()

@@ -33,3 +33,27 @@ def test_labels_stand_for_the_edges_they_come_from(spark):
     whole = {(r.node, r.label) for r in components(make(edges)).collect()}
     half = components(make(edges[:75])).where("node != label").toDF("a", "b")
     assert {(r.node, r.label) for r in components(half.union(make(edges[75:]))).collect()} == whole
+
+
+def test_a_round_of_few_edges_writes_one_file(spark, monkeypatch):
+    files, store = [], module.stored
+
+    def keep(rows, name):
+        made = store(rows, name)
+        files.append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(module, "stored", keep)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        edges = spark.createDataFrame([(n, n // 2) for n in range(1, 200)], "a long, b long")
+        got = {r.node: r.label for r in components(edges).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == dict.fromkeys(range(200), 0)
+    assert len(files) > 2
+    assert max(files[1:]) == 1
