@@ -189,7 +189,7 @@ class SpanModel:
     def probability(self) -> Column:
         made = F.lit(0.0)
         for kind, model in self.by_kind.items():
-            made = F.when(F.col("kind") == kind, model.probability(F.col("pattern"))).otherwise(made)
+            made = F.when(F.col("kind") == kind, model.of_pattern(F.col("pattern"))).otherwise(made)
         return made
 
 

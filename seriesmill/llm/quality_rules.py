@@ -132,9 +132,9 @@ RULES = (
 )
 
 
-def votes(m: str) -> Column:
-    """The votes in the order of RULES as one string of the digits 0 (bad), 1 (abstains), 2 (good)."""
-    return F.concat(*((v + 1).cast("string") for v in map(rules(m).__getitem__, RULES)))
+def votes(m: str) -> list[Column]:
+    """The votes in the order of RULES: 0 (bad), 1 (abstains), 2 (good)."""
+    return [vote + 1 for vote in map(rules(m).__getitem__, RULES)]
 
 
 def fit(measured: DataFrame, m: str) -> VoteModel:
@@ -143,7 +143,7 @@ def fit(measured: DataFrame, m: str) -> VoteModel:
     To the driver come counts of vote patterns: 3 to the number of rules (59,049) rows at most,
     whatever the size of the table; in practice a few hundred.
     """
-    counts = measured.groupBy(votes(m).alias("pattern")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = measured.groupBy(F.concat(*(v.cast("string") for v in votes(m))).alias("pattern")).agg(F.count(F.lit(1)).alias("n")).collect()
     return estimate([(r["pattern"], r["n"]) for r in counts], len(RULES))
 
 

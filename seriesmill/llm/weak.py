@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,16 +22,22 @@ class VoteModel:
     prior: float
     weights: tuple[tuple[float, float, float], ...]
 
-    def log_odds(self, pattern: Column) -> Column:
-        """Of a column of patterns, a digit for each labeler."""
+    def log_odds(self, votes: Sequence[Column]) -> Column:
+        """Of a column for each labeler, 0, 1 or 2.
+
+        Each vote stands once in the expression: Spark writes its code again wherever it stands.
+        """
         total = F.lit(self.prior)
-        for i, weights in enumerate(self.weights):
-            digit = F.substring(pattern, i + 1, 1)
-            total = total + F.when(digit == "0", weights[0]).when(digit == "2", weights[2]).otherwise(weights[1])
+        for vote, weights in zip(votes, self.weights, strict=True):
+            total = total + F.get(F.array(*map(F.lit, weights)), vote)
         return total
 
-    def probability(self, pattern: Column) -> Column:
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.log_odds(pattern)))
+    def probability(self, votes: Sequence[Column]) -> Column:
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.log_odds(votes)))
+
+    def of_pattern(self, pattern: Column) -> Column:
+        """The probability of a column of patterns, a digit for each labeler."""
+        return self.probability([F.substring(pattern, i + 1, 1).cast("int") for i in range(len(self.weights))])
 
 
 def estimate(patterns: list[tuple[str, int]], labelers: int, rounds: int = 60) -> VoteModel:

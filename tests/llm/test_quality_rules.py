@@ -1,14 +1,16 @@
 """Quality rules: exact counts against plain loops, verdicts against labels."""
 
+import math
 import re
 
 import duckdb
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
 from seriesmill.llm import quality_rules, queries
 from seriesmill.llm.common import table
-from seriesmill.llm.weak import estimate
+from seriesmill.llm.weak import VoteModel, estimate
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,3 +76,21 @@ def test_nulls_ties_clashing_columns_and_empty_table(spark):
     assert quality_rules.keep_good(frame.limit(0)).count() == 0
     verdicts = quality_rules.verdicts(frame)
     assert verdicts.count() == 6
+
+
+@pytest.mark.parametrize("function", [quality_rules.keep_good, quality_rules.verdicts])
+def test_spark_compiles_the_code_of_the_verdict(spark, capsys, function):
+    frame = spark.createDataFrame([(1, "a b c " * 30), (2, "word. " * 60)], "doc_id long, text string")
+    function(frame).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?[0-9]+)", capsys.readouterr().out)]
+    # -1: a method of more than 64 KB
+    assert sizes and 0 < min(sizes) and max(sizes) < 16_000
+
+
+def test_probability_of_votes_and_of_a_pattern(spark):
+    model = VoteModel(0.25, ((-1.5, 0.0, 0.75), (-2.0, -0.125, 1.0)))
+    rows = spark.createDataFrame([(a, b, f"{a}{b}") for a in range(3) for b in range(3)], "a int, b int, p string")
+    made = rows.select("*", model.probability([rows.a, rows.b]).alias("v"), model.of_pattern(rows.p).alias("w")).collect()
+    for r in made:
+        want = 1 / (1 + math.exp(-(0.25 + model.weights[0][r.a] + model.weights[1][r.b])))
+        assert r.v == r.w == pytest.approx(want)
