@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from seriesmill.llm.common import arrow_rows, documents_only
-from seriesmill.llm.tokens import _BYTES, _PIECE, LONGEST_KEPT, PIECES_KEPT, Encoder
+from seriesmill.llm.tokens import _BYTES, _PIECE, LONGEST_KEPT, Encoder
 
 _LETTER_BYTES = {letter: byte for byte, letter in _BYTES.items()}
 
@@ -40,6 +40,8 @@ LONGEST = 64
 LEAVES = 1 << 21
 #: No merge: above any rank and place.
 NONE = np.int64(2**63 - 1)
+#: Words kept, some 200 bytes each.
+WORDS_KEPT = 250_000
 _PLACE = 32
 
 
@@ -221,16 +223,17 @@ class TreeEncoder(Encoder):
         ids = dict(zip(distinct, encode_pieces(distinct, self.merges), strict=True))
         return [b"".join(map(ids.__getitem__, group)) for group in groups]
 
-    def words_ids(self, words: list[str], firsts: list[str]) -> list[bytes]:
+    def first_ids(self, words: list[str]) -> list[bytes]:
+        return self._joined([[p.encode() for p in _PIECE.findall(word)] for word in words])
+
+    def words_ids(self, words: list[str]) -> pa.LargeBinaryArray:
         made = list(map(self.kept.get, words))
         new = [i for i, ids in enumerate(made) if ids is None]
-        texts = [*(" " + words[i] for i in new), *firsts]
-        found = self._joined([[p.encode() for p in _PIECE.findall(text)] for text in texts])
-        for i, ids in zip(new, found[: len(new)], strict=True):
+        for i, ids in zip(new, self.first_ids([" " + words[i] for i in new]), strict=True):
             made[i] = ids
-            if len(words[i]) <= LONGEST_KEPT and len(self.kept) < PIECES_KEPT:
+            if len(words[i]) <= LONGEST_KEPT and len(self.kept) < WORDS_KEPT:
                 self.kept[words[i]] = ids
-        return made + found[len(new) :]
+        return pa.array(made, pa.large_binary())
 
     def encode(self, text: str | None) -> bytes:
         """The ids of any text; strings of added tokens are cut out first."""

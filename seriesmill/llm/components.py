@@ -1,4 +1,4 @@
-"""Connected components of a table of edges, by alternating large-star and small-star steps."""
+"""Connected components of a table of edges, by alternating large-star and small-star steps; of pointers, by doubling."""
 
 from __future__ import annotations
 
@@ -56,3 +56,29 @@ def components(edges: DataFrame) -> DataFrame:
             )
         before = state
     raise RuntimeError(f"no end after {ROUNDS} rounds")
+
+
+def roots(pointers: DataFrame) -> DataFrame:
+    """(node, label) for each node of the pointers (a, b), one of each node; label is a node of the component.
+
+    Every b must have a pointer too, and every path must end in two nodes that point at each other; the lesser
+    one is the label. A round doubles the pointers of the nodes that haven't reached it yet, so the
+    number of rounds is the logarithm of the longest path.
+    """
+    seen = Observation()
+    of = lambda rows: rows.select(F.col("a").alias("b"), F.col("b").alias("c"), *rows.columns[2:])
+    ends = F.col("c") == F.col("a")
+    rows = pointers.join(of(pointers), "b").select(
+        "a", F.when(ends, F.least("a", "b")).otherwise(F.col("c")).alias("b"), ends.alias("done")
+    )
+    left = F.sum((~F.col("done")).cast("long")).alias("left")
+    rows = stored(rows.observe(seen, left), "pointers")
+    done, most = rows.where("done"), seen.get["left"] or 0
+    for _ in range(ROUNDS):
+        if not most:
+            return done.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        on_the_way, seen = rows.where("NOT done"), Observation()
+        further = on_the_way.select("a", "b").join(of(done.union(on_the_way)), "b").select("a", F.col("c").alias("b"), "done")
+        rows = stored(further.coalesce(-(-most // FILE_EDGES)).observe(seen, left), "pointers")
+        done, most = done.union(rows.where("done")), seen.get["left"] or 0
+    raise RuntimeError(f"no end after {ROUNDS} rounds")

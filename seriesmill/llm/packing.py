@@ -17,7 +17,7 @@ dealt by content and row. Other columns are not read, and an empty table gives n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import arrow_batches, arrow_rows, documents_only, small, stored
-from seriesmill.llm.components import components
+from seriesmill.llm.components import roots
 from seriesmill.llm.tokens import encoder, grouped
 
 WINDOW = 2048
@@ -44,6 +44,9 @@ HASHES, ORDERS, FOLLOWING = 32, 8, 8
 #: A term that no other rest has gives no minhash.
 NOWHERE = np.int32(2**31 - 1)
 
+#: Bits of a row's number in a link, below the minhashes that agree: rows come from fewer than 16 million tasks.
+ROW_BITS = 57
+
 #: Bits of a sequence's number within its shard: no shard has more sequences than twice its rests and a few.
 SHARD_BITS = 16
 
@@ -132,16 +135,19 @@ def signatures(rests: list[np.ndarray], ranks: np.ndarray) -> np.ndarray:
 
 
 def links(rows: np.ndarray, signs: np.ndarray, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, most similar row, minhashes that agree) of those that stand close in an order."""
+    """(row, most similar row, minhashes that agree) of those that stand close in an order.
+
+    Of equally similar rows the one with the greatest number is taken: so no links form a ring of three or more.
+    """
     best, other = np.zeros(len(rows), np.int64), np.full(len(rows), -1, np.int64)
     for lag in range(1, min(FOLLOWING, len(rows) - 1) + 1):
         one, two = signs[:-lag], signs[lag:]
         same = ((one == two) & (one != NOWHERE)).sum(axis=1) * (orders[:-lag] == orders[lag:])
         for this, that in ((slice(None, -lag), slice(lag, None)), (slice(lag, None), slice(None, -lag))):
-            better = same > best[this]
+            better = (same > best[this]) | ((same == best[this]) & (rows[that] > other[this]))
             other[this] = np.where(better, rows[that], other[this])
             best[this] = np.maximum(best[this], same)
-    found = other >= 0
+    found = best > 0
     return rows[found], other[found], best[found]
 
 
@@ -175,13 +181,14 @@ def shards_by_content(rests: DataFrame, counts: np.ndarray, total: int) -> DataF
             rows = np.concatenate([rows, batch.column("row").to_numpy()])
             signs = np.concatenate([signs, new])
             orders = np.concatenate([orders, batch.column("order").to_numpy()])
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in links(rows, signs, orders)], names=["a", "b", "same"])
+            one, two, same = links(rows, signs, orders)
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array((same << ROW_BITS) | two)], names=["a", "link"])
             rows, signs, orders = rows[-FOLLOWING:], signs[-FOLLOWING:], orders[-FOLLOWING:]
 
     sorted_rows = keyed.repartitionByRange(*place).sortWithinPartitions(*place).select("row", "sign", "order")
-    found = arrow_batches(sorted_rows).mapInArrow(compare, "a long, b long, same long")
-    nearest = found.groupBy("a").agg(F.max(F.struct("same", F.col("b"))).alias("best")).select("a", "best.b")
-    groups = components(nearest)
+    found = arrow_batches(sorted_rows).mapInArrow(compare, "a long, link long")
+    nearest = found.groupBy("a").agg(F.max("link").bitwiseAND((1 << ROW_BITS) - 1).alias("b"))
+    groups = roots(stored(nearest, "nearest"))
     labelled = signed.join(groups, signed["row"] == groups["node"], "left").select(
         "row", F.coalesce("label", "row").alias("label"), "sign"
     )
@@ -230,22 +237,28 @@ class Index:
         starts = np.searchsorted(holders[order], np.arange(len(rests) + 1))
         self.terms = [place[other[order[s:e]]] for s, e in zip(starts[:-1], starts[1:], strict=True)]
 
+    def scores(self, seed: int) -> np.ndarray:
+        """The score of each rest over all terms of the seed."""
+        terms = self.terms[seed]
+        if not len(terms):
+            return self.score[seed]
+        sizes = self.end[terms] - self.first[terms]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.first[terms] - ends + sizes, sizes) + np.arange(ends[-1])
+        return self.score[seed] + np.bincount(self.rest[at], self.weight[at], minlength=self.size)
+
     def neighbours(self, seed: int, unused: np.ndarray | bool = True) -> np.ndarray:
         """Unused rests that share a term with the seed, by descending score over all its terms, then by place."""
-        score = self.score[seed]
-        spans = [slice(self.first[t], self.end[t]) for t in self.terms[seed]]
-        if spans:
-            score = score + np.bincount(
-                np.concatenate([self.rest[s] for s in spans]),
-                np.concatenate([self.weight[s] for s in spans]),
-                minlength=self.size,
-            )
+        score = self.scores(seed)
         found = np.flatnonzero((score > 0) & unused)
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def fill(lengths: np.ndarray, neighbours) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows as lists of (rest, from, length). All are full but the last one, if need be."""
+def fill(lengths: np.ndarray, scores: Callable[[int], np.ndarray]) -> Iterator[list[tuple[int, int, int]]]:
+    """Windows as lists of (rest, from, length). All are full but the last one, if need be.
+
+    The best neighbour that fits is looked up for each place, which costs less than to sort all neighbours of a seed.
+    """
     left, done = lengths.astype(np.int64).copy(), np.zeros(len(lengths), np.int64)
     order = np.argsort(-left, kind="stable")
     for seed in order:
@@ -263,15 +276,25 @@ def fill(lengths: np.ndarray, neighbours) -> Iterator[list[tuple[int, int, int]]
             room -= take
 
         place(seed)
-        near = neighbours(int(seed), left > 0) if room else ()
-        for candidates in (near, order):
-            while room and len(candidates):
-                candidates = candidates[left[candidates] > 0]
-                fits = candidates[left[candidates] <= room]
-                if len(fits):
-                    place(fits[0])
-                elif len(candidates):
-                    place(candidates[0])
+        if room:
+            score = np.where(left > 0, scores(int(seed)), 0)
+        while room:
+            fits = np.where(left <= room, score, 0)
+            best = int(fits.argmax())
+            if not fits[best] > 0:
+                best = int(score.argmax())
+            if not score[best] > 0:
+                break
+            place(best)
+            score[best] = 0
+        candidates = order
+        while room and len(candidates):
+            candidates = candidates[left[candidates] > 0]
+            fits = candidates[left[candidates] <= room]
+            if len(fits):
+                place(fits[0])
+            elif len(candidates):
+                place(candidates[0])
         yield window
 
 
@@ -317,7 +340,7 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
         all_ids = [_wide(v) for v in group.column("rest").to_pylist()]
         names, whole = group.column("id").to_pylist(), group.column("n").to_pylist()
         index = Index(all_ids, shared.value, total, mean)
-        windows = list(fill(np.array([len(r) for r in all_ids]), index.neighbours))
+        windows = list(fill(np.array([len(r) for r in all_ids]), index.scores))
         if windows and sum(p[2] for p in windows[-1]) < WINDOW:
             windows += _powers(windows.pop())
         rows = []

@@ -5,7 +5,7 @@ piece are had from the library's model once and kept; a text is the sequence of
 text holds letters beyond Latin ones, or with a tokenizer of another kind, the library gets the whole text.
 
 A batch of texts is split at its spaces and dictionary-encoded at once: each distinct word of the batch is
-looked up a single time, and the ids of all texts are put together by index.
+cut into pieces, each distinct piece looked up a single time, and the ids of words and texts are put together by index.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import itertools
 import json
+import operator
 import re
 import sys
 from collections.abc import Iterable, Iterator
@@ -21,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces and words kept, some 200 bytes each, and the longest one that is kept, in characters.
-PIECES_KEPT, LONGEST_KEPT = 250_000, 40
+#: Pieces kept, some 200 bytes each, and the longest one that is kept, in characters.
+PIECES_KEPT, LONGEST_KEPT = 500_000, 40
 #: Bytes of a batch that small batches are put together to.
 GROUP_BYTES = 8 << 20
 
@@ -56,6 +57,9 @@ _OTHER_SPACES = "\t\x0b\x0c\r\x85\xa0"
 _NEAR_SPACES = ("  ", "\n ", " \n")
 
 
+_ID = operator.attrgetter("id")
+
+
 class _Pieces(dict):
     """Ids of pieces by the tokenizer's model, little-endian unsigned 32-bit integers."""
 
@@ -80,19 +84,31 @@ class _Pieces(dict):
         for a, b in itertools.pairwise(ends):
             found = tokenize(letters[a:b])
             sizes.append(len(found))
-            ids += [token.id for token in found]
+            ids.extend(map(_ID, found))
         return _slices(ids, sizes)
 
     def of_all(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece; unknown ones are made together, and kept as far as there is room."""
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in self]
-        made = dict(zip(new, self.made(new), strict=True))
-        found = [made.get(piece) or self[piece] for piece in pieces]
+        """The ids of distinct pieces; unknown ones are made together, and kept as far as there is room."""
+        found = list(map(self.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        unknown = [pieces[i] for i in new]
+        made = self.made(unknown)
+        for i, ids in zip(new, made, strict=True):
+            found[i] = ids
         if (room := PIECES_KEPT - len(self)) > 0:
-            self.update((p, made[p]) for p in itertools.islice((p for p in new if len(p) <= LONGEST_KEPT), room))
+            kept = ((piece, ids) for piece, ids in zip(unknown, made, strict=True) if len(piece) <= LONGEST_KEPT)
+            self.update(itertools.islice(kept, room))
         return found
 
 
+def _near(data: np.ndarray) -> bool:
+    """Whether UTF-8 has one of _NEAR_SPACES."""
+    space = data == ord(" ")
+    white = data == ord("\n")
+    white |= space
+    return bool((space[1:] & white[:-1]).any() or (white[1:] & space[:-1]).any())
+
+
 def _strings(values: pa.Array) -> list[str]:
     """The values, made by Arrow at once; ``to_pylist`` goes one by one."""
     return values.to_numpy(zero_copy_only=False).tolist()
@@ -118,8 +134,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.pieces = _Pieces(self.tokenizer.model)
-        #: Ids of a space and what follows up to the next space.
-        self.words: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         #: Strings that the library cuts out of a text before its pieces.
@@ -145,31 +159,24 @@ class Encoder:
         # no piece goes on over a space that follows something else
         first, *words = text.split(" ")
         distinct = list(dict.fromkeys(words))
-        made = self.words_ids(distinct, [first])
-        ids = dict(zip(distinct, made[:-1], strict=True))
-        return made[-1] + b"".join(map(ids.__getitem__, words))
-
-    def words_ids(self, words: list[str], firsts: list[str]) -> list[bytes]:
-        """Ids of each word with a space in front, then of the texts' first words, which have none."""
-        made = list(map(self.words.get, words))
-        new = [i for i, ids in enumerate(made) if ids is None]
-        unknown = [words[i] for i in new]
-        found = self._new_words(unknown)
-        for i, ids in zip(new, found, strict=True):
-            made[i] = ids
-        if (room := PIECES_KEPT - len(self.words)) > 0:
-            kept = ((word, ids) for word, ids in zip(unknown, found, strict=True) if len(word) <= LONGEST_KEPT)
-            self.words.update(itertools.islice(kept, room))
-        return made + [b"".join(map(self.pieces.__getitem__, _PIECE.findall(word))) for word in firsts]
-
-    def _new_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are not known: all are cut into pieces in one go."""
-        pieces = _PIECE.findall(" " + " ".join(words)) if words else []
-        heads = [i for i, piece in enumerate(pieces) if piece[0] == " "]
+        ids = dict(zip(distinct, self.words_ids(distinct).to_pylist(), strict=True))
+        return self.first_ids([first])[0] + b"".join(map(ids.__getitem__, words))
+
+    def first_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words without a space in front."""
+        return [b"".join(map(self.pieces.__getitem__, _PIECE.findall(word))) for word in words]
+
+    def words_ids(self, words: list[str]) -> pa.LargeBinaryArray:
+        """Ids of distinct words with a space in front: all are cut into pieces in one go, and put together by index."""
+        pieces = pa.array(_PIECE.findall(" " + " ".join(words)) if words else [], pa.string()).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        heads = np.flatnonzero(pc.starts_with(pieces.dictionary, " ").to_numpy(zero_copy_only=False)[which])
         if len(heads) != len(words):  # white space of two words became one piece
-            return [b"".join(map(self.pieces.__getitem__, _PIECE.findall(" " + word))) for word in words]
-        found = self.pieces.of_all(pieces)
-        return [b"".join(found[a:b]) for a, b in itertools.pairwise([*heads, len(pieces)])]
+            return pa.array(self.first_ids([" " + word for word in words]), pa.large_binary())
+        ids = pa.array(self.pieces.of_all(_strings(pieces.dictionary)), pa.large_binary()).take(pieces.indices)
+        _, ends, flat = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1)[np.r_[heads, len(ids)]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), flat])
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a batch, and where those of each begin, with the end of the last."""
@@ -183,12 +190,13 @@ class Encoder:
         flat = words.flatten()
         coded = flat.dictionary_encode()
         known = len(coded.dictionary)
-        made = self.words_ids(_strings(coded.dictionary), _strings(flat.take(pa.array(first))))
+        firsts = self.first_ids(_strings(flat.take(pa.array(first))))
         for i in np.flatnonzero(odd).tolist():
-            made[known + i] = self.encode(texts[i].as_py())
+            firsts[i] = self.encode(texts[i].as_py())
         which = coded.indices.to_numpy().astype(np.int64)
         which[first] = known + np.arange(len(first))
-        ids = pa.array(made, pa.large_binary()).take(pa.array(which))
+        made = pa.concat_arrays([self.words_ids(_strings(coded.dictionary)), pa.array(firsts, pa.large_binary())])
+        ids = made.take(pa.array(which))
         _, ends, flat = ids.buffers()
         ends = np.frombuffer(ends, np.int64, len(ids) + 1) // 4
         return np.frombuffer(flat, "<u4", int(ends[-1])), np.r_[ends[first], ends[-1]]
@@ -196,9 +204,12 @@ class Encoder:
     def _odd(self, texts: pa.Array) -> np.ndarray:
         """Which texts can't be split at their spaces."""
         raw = b"\n".join(texts.cast(pa.binary()).to_pylist())
+        data = np.frombuffer(raw, np.uint8)
         strings = [*_OTHER_SPACES, *_NEAR_SPACES, *self.added]
-        beyond = bool((np.frombuffer(raw, np.uint8) >= _BEYOND_BYTE).any())
-        if self.by_pieces and not beyond and not any(s.encode() in raw for s in strings):
+        beyond = bool((data >= _BEYOND_BYTE).any())
+        # a byte is found much faster than two
+        others = (s.encode() for s in (*_OTHER_SPACES, *self.added))
+        if self.by_pieces and not beyond and not _near(data) and not any(s[:1] in raw and s in raw for s in others):
             return np.zeros(len(texts), bool)
         return np.array(
             [

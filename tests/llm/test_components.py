@@ -1,5 +1,6 @@
 """Rounds and shuffles of the connected components."""
 
+import itertools
 import random
 
 from seriesmill.llm import components as module
@@ -57,3 +58,27 @@ def test_a_round_of_few_edges_writes_one_file(spark, monkeypatch):
     assert got == dict.fromkeys(range(200), 0)
     assert len(files) > 2
     assert max(files[1:]) == 1
+
+
+def test_roots_of_pointers_in_few_rounds(spark, monkeypatch):
+    draw = random.Random(5)
+    nodes = draw.sample(range(10_000), 700)
+    # a path of 500 nodes, a star, pairs, and trees; each ends in two nodes that point at each other
+    pointers = dict(itertools.pairwise(nodes[:500])) | {n: nodes[501] for n in nodes[500:560]}
+    pointers |= {nodes[499]: nodes[498], nodes[501]: nodes[502], nodes[502]: nodes[501]}
+    pointers |= {n: nodes[i ^ 1] for i, n in enumerate(nodes) if 560 <= i < 600}
+    pointers |= {nodes[600]: nodes[601], nodes[601]: nodes[600]}
+    pointers |= {nodes[i]: nodes[draw.randrange(600, i)] for i in range(602, 700)}
+    written = recorded(monkeypatch)
+    got = module.roots(spark.createDataFrame(list(pointers.items()), "a long, b long")).collect()
+    labels = {r.node: r.label for r in got}
+    assert len(got) == len(pointers) == len(labels)
+
+    def root(node):
+        while pointers[pointers[node]] != node:
+            node = pointers[node]
+        return min(node, pointers[node])
+
+    assert labels == {node: root(node) for node in pointers}
+    assert len(written) <= 10
+    assert module.roots(spark.createDataFrame([], "a long, b long")).count() == 0

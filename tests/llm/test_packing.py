@@ -3,10 +3,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from seriesmill.llm import packing, queries
+from seriesmill.llm import packing, queries, tokens
 from seriesmill.llm.common import table
 from seriesmill.llm.tokens import Encoder, encoder
 
@@ -127,3 +128,33 @@ def test_used_rests_are_no_neighbours():
     unused = np.array([True, False, True, True])
     assert 1 in every
     assert index.neighbours(0, unused).tolist() == [r for r in every if r != 1]
+
+
+def test_links_form_no_ring():
+    draw = np.random.default_rng(2)
+    rows = draw.permutation(400).astype(np.int64)
+    signs = draw.integers(0, 3, (400, packing.HASHES)).astype(">i4")
+    signs[100:200] = signs[100]  # copies
+    signs[200:210] = packing.NOWHERE  # nothing in common with any other
+    best = {}
+    for low, high in ((0, 250), (250 - packing.FOLLOWING, 400)):
+        of = slice(low, high)
+        for one, two, same in zip(*packing.links(rows[of], signs[of], np.zeros(high - low, np.int32)), strict=True):
+            assert 0 < same <= packing.HASHES
+            best[int(one)] = max(best.get(int(one), (0, -1)), (int(same), int(two)))
+    assert len(best) == 390
+    for node in best:
+        path = [node]
+        while (further := best[path[-1]][1]) not in path:
+            path.append(further)
+        assert further == path[-2]
+
+
+def test_texts_share_the_pieces_of_their_words(monkeypatch):
+    asked = []
+    made = tokens._Pieces.made
+    monkeypatch.setattr(tokens._Pieces, "made", lambda self, pieces: asked.extend(pieces) or made(self, pieces))
+    texts = ["a raremadeupword, raremadeupword.\nraremadeupword", "b raremadeupword; x raremadeupword\n", "c\n", "", None, "d "]
+    flat, at = Encoder(PATH, special=True).encode_batch(pa.array(texts, pa.string()))
+    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain(texts)
+    assert asked.count(" raremadeupword") == asked.count("raremadeupword") == 1
